@@ -1,0 +1,192 @@
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from snapfold.operators import cumulative as cu
+from snapfold.operators import scd
+from snapfold.plans.oracle import oracle
+from snapfold.plans.registry import query
+from snapfold.sources import fixtures as fx
+
+P_ATTRS = ["scoring_class", "is_active"]
+A_ATTRS = ["quality_class", "is_active"]
+P_NAMES = dict(start="start_season", end="end_season", current="current_season")
+A_NAMES = dict(start="start_date", end="end_date", current="current_year")
+
+
+def _players(spark, sf_dir):
+    seasons = fx.fx_player_seasons(spark, sf_dir)
+    cutoff = seasons.select(F.max("season") - 1).scalar()  # backfill to the last-but-one season
+    return cu.backfill_players(seasons), cutoff
+
+
+def _actors(spark, sf_dir):
+    films = fx.fx_actor_films(spark, sf_dir)
+    cutoff = films.select(F.max("year") - 1).scalar()
+    return cu.backfill_actors(films), cutoff
+
+
+def players_scd(spark, sf_dir, fixed=False):
+    players, cutoff = _players(spark, sf_dir)
+    return scd.scd2_backfill(players, "player_name", "current_season", P_ATTRS, cutoff, fixed=fixed, **P_NAMES)
+
+
+def actors_scd(spark, sf_dir, fixed=False):
+    actors, cutoff = _actors(spark, sf_dir)
+    return scd.scd2_backfill(actors, "actor", "current_year", A_ATTRS, cutoff, fixed=fixed, **A_NAMES)
+
+
+query("scd2_backfill_players")(lambda spark, sf_dir: players_scd(spark, sf_dir))
+query("scd2_backfill_players_fixed")(lambda spark, sf_dir: players_scd(spark, sf_dir, fixed=True))
+query("scd2_backfill_actors")(lambda spark, sf_dir: actors_scd(spark, sf_dir))
+query("scd2_backfill_actors_fixed")(lambda spark, sf_dir: actors_scd(spark, sf_dir, fixed=True))
+
+
+def _players_incremental(fixed):
+    def run(spark, sf_dir):
+        players, cutoff = _players(spark, sf_dir)
+        hist = scd.scd2_backfill(players, "player_name", "current_season", P_ATTRS, cutoff, fixed=fixed,
+                                 **P_NAMES)
+        return scd.scd2_incremental(hist, players, "player_name", P_ATTRS, cutoff, emit_unchanged=fixed,
+                                    null_safe=fixed, **P_NAMES)
+    return run
+
+
+def _actors_incremental(fixed):
+    def run(spark, sf_dir):
+        actors, cutoff = _actors(spark, sf_dir)
+        hist = scd.scd2_backfill(actors, "actor", "current_year", A_ATTRS, cutoff, fixed=fixed, **A_NAMES)
+        return scd.scd2_incremental(hist, actors, "actor", A_ATTRS, cutoff, emit_unchanged=True,
+                                    closed_row_attrs="old" if fixed else "new", keep_current=True,
+                                    null_safe=fixed, **A_NAMES)
+    return run
+
+
+query("scd2_incremental_players")(_players_incremental(False))
+query("scd2_incremental_players_fixed")(_players_incremental(True))
+query("scd2_incremental_actors")(_actors_incremental(False))
+query("scd2_incremental_actors_fixed")(_actors_incremental(True))
+
+
+@query("state_change")
+def state_change(spark, sf_dir):
+    return scd.state_change(players_scd(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- oracle SQL
+PLAYERS_SQL = """ps AS (SELECT * FROM fx_player_seasons),
+b AS (SELECT max(season) AS hi FROM ps),
+p AS (SELECT player_name, min(season) AS first_season FROM ps GROUP BY player_name),
+grid AS (SELECT p.player_name, unnest(generate_series(p.first_season, b.hi)) AS current_season FROM p, b),
+snap AS (SELECT g.player_name, CAST(g.current_season AS INTEGER) AS current_season,
+                arg_max(ps.pts, ps.season) AS last_pts, max(ps.season) = g.current_season AS is_active
+         FROM grid g JOIN ps ON ps.player_name = g.player_name AND ps.season <= g.current_season
+         GROUP BY g.player_name, g.current_season),
+entities AS (SELECT player_name, current_season,
+                    CASE WHEN last_pts > 20 THEN 'star' WHEN last_pts > 15 THEN 'good'
+                         WHEN last_pts > 10 THEN 'average' ELSE 'bad' END AS scoring_class,
+                    is_active FROM snap),
+cut AS (SELECT max(season) - 1 AS y FROM ps)"""
+
+ACTORS_SQL = """af AS (SELECT * FROM fx_actor_films),
+b AS (SELECT max(year) AS hi FROM af),
+firsts AS (SELECT actor, min(year) AS f FROM af GROUP BY actor),
+grid AS (SELECT actor, unnest(generate_series(f, b.hi)) AS year FROM firsts, b),
+yr AS (SELECT actor, year, avg(CAST(rating AS DECIMAL(20,6))) AS avg_rating FROM af GROUP BY actor, year),
+entities AS (SELECT g.actor, CAST(g.year AS INTEGER) AS current_year,
+                    CASE WHEN avg_rating > 8 THEN 'star' WHEN avg_rating > 7 AND avg_rating <= 8 THEN 'good'
+                         WHEN avg_rating > 6 AND avg_rating <= 7 THEN 'average' ELSE 'bad' END AS quality_class,
+                    yr.actor IS NOT NULL AS is_active
+             FROM grid g LEFT JOIN yr ON yr.actor = g.actor AND yr.year = g.year),
+cut AS (SELECT max(year) - 1 AS y FROM af)"""
+
+
+def backfill_sql(key, period, attrs, names, fixed):
+    a1, a2 = attrs
+    neq = (lambda x: f"{x} IS DISTINCT FROM prev_{x}") if fixed else (lambda x: f"{x} <> prev_{x}")
+    streak = ", streak_identifier" if fixed else ""
+    return f"""with_previous AS (
+  SELECT {key}, {period}, {a1}, {a2},
+         LAG({a1}, 1) OVER (PARTITION BY {key} ORDER BY {period}) AS prev_{a1},
+         LAG({a2}, 1) OVER (PARTITION BY {key} ORDER BY {period}) AS prev_{a2}
+  FROM entities),
+with_indicators AS (
+  SELECT *, CASE WHEN {neq(a1)} THEN 1 WHEN {neq(a2)} THEN 1 ELSE 0 END AS change_indicator
+  FROM with_previous WHERE {period} <= (SELECT y FROM cut)),
+with_streaks AS (
+  SELECT *, SUM(change_indicator) OVER (PARTITION BY {key} ORDER BY {period}) AS streak_identifier
+  FROM with_indicators),
+scd AS (
+  SELECT {key}, {a1}, {a2}, MIN({period}) AS {names['start']}, MAX({period}) AS {names['end']},
+         (SELECT y FROM cut) AS {names['current']}
+  FROM with_streaks GROUP BY {key}, {a1}, {a2}{streak})"""
+
+
+def incremental_sql(key, attrs, names, *, emit_unchanged, closed_new_attrs, keep_current, null_safe):
+    a1, a2 = attrs
+    s, e, c = names["start"], names["end"], names["current"]
+    eq = (lambda x: f"ts.{x} IS NOT DISTINCT FROM ls.{x}") if null_safe else (lambda x: f"ts.{x} = ls.{x}")
+    ne = (lambda x: f"ts.{x} IS DISTINCT FROM ls.{x}") if null_safe else (lambda x: f"ts.{x} <> ls.{x}")
+    cur = lambda src: f", {src}" if keep_current else ""
+    closed_src = "ts" if closed_new_attrs else "ls"
+    unchanged = f"""
+UNION ALL
+SELECT ts.{key}, ts.{a1}, ts.{a2}, ls.{s}, ts.{c} AS {e}{cur('ts.' + c)}
+FROM this_period ts JOIN last_scd ls ON ls.{key} = ts.{key}
+WHERE {eq(a1)} AND {eq(a2)}""" if emit_unchanged else ""
+    return f"""WITH last_scd AS (SELECT * FROM scd WHERE {c} = (SELECT y FROM cut) AND {e} = (SELECT y FROM cut)),
+historical AS (SELECT * FROM scd WHERE {c} = (SELECT y FROM cut) AND {e} < (SELECT y FROM cut)),
+this_period AS (SELECT * FROM entities WHERE {c} = (SELECT y FROM cut) + 1)
+SELECT {key}, {a1}, {a2}, {s}, {e}{cur(c)} FROM historical{unchanged}
+UNION ALL
+SELECT ts.{key}, {closed_src}.{a1}, {closed_src}.{a2}, ls.{s}, ls.{e}{cur('ls.' + c)}
+FROM this_period ts JOIN last_scd ls ON ls.{key} = ts.{key}
+WHERE {ne(a1)} OR {ne(a2)}
+UNION ALL
+SELECT ts.{key}, ts.{a1}, ts.{a2}, ts.{c}, ts.{c}{cur('ts.' + c)}
+FROM this_period ts JOIN last_scd ls ON ls.{key} = ts.{key}
+WHERE {ne(a1)} OR {ne(a2)}
+UNION ALL
+SELECT ts.{key}, ts.{a1}, ts.{a2}, ts.{c}, ts.{c}{cur('ts.' + c)}
+FROM this_period ts LEFT JOIN last_scd ls ON ts.{key} = ls.{key} WHERE ls.{key} IS NULL"""
+
+
+def _with(ctes: str, body: str) -> str:
+    body = body.strip()
+    if body.upper().startswith("WITH "):
+        return f"WITH {ctes},\n{body[5:]}"
+    return f"WITH {ctes}\n{body}"
+
+
+for fixed in (False, True):
+    sfx = "_fixed" if fixed else ""
+    p_back = backfill_sql("player_name", "current_season", P_ATTRS, P_NAMES, fixed)
+    a_back = backfill_sql("actor", "current_year", A_ATTRS, A_NAMES, fixed)
+    oracle("scd2_backfill_players" + sfx, _with(f"{PLAYERS_SQL},\n{p_back}", "SELECT * FROM scd"))
+    oracle("scd2_backfill_actors" + sfx, _with(f"{ACTORS_SQL},\n{a_back}", "SELECT * FROM scd"))
+    oracle("scd2_incremental_players" + sfx, _with(
+        f"{PLAYERS_SQL},\n{p_back}",
+        incremental_sql("player_name", P_ATTRS, P_NAMES, emit_unchanged=fixed, closed_new_attrs=False,
+                        keep_current=False, null_safe=fixed)))
+    oracle("scd2_incremental_actors" + sfx, _with(
+        f"{ACTORS_SQL},\n{a_back}",
+        incremental_sql("actor", A_ATTRS, A_NAMES, emit_unchanged=True, closed_new_attrs=not fixed,
+                        keep_current=True, null_safe=fixed)))
+
+oracle("state_change", _with(
+    f"{PLAYERS_SQL},\n{backfill_sql('player_name', 'current_season', P_ATTRS, P_NAMES, False)}",
+    """WITH player_activity AS (
+  SELECT player_name, start_season, end_season, is_active,
+         LAG(is_active, 1, FALSE) OVER (PARTITION BY player_name ORDER BY start_season) AS prev_is_active,
+         MIN(start_season) OVER (PARTITION BY player_name) AS first_season_for_player
+  FROM scd)
+SELECT player_name, start_season,
+  CASE
+    WHEN start_season = first_season_for_player AND is_active = TRUE THEN 'New'
+    WHEN is_active = FALSE AND prev_is_active = TRUE THEN 'Retired'
+    WHEN is_active = TRUE AND prev_is_active = FALSE THEN 'Returned from Retirement'
+    WHEN is_active = TRUE AND prev_is_active = TRUE THEN 'Continued Playing'
+    WHEN is_active = FALSE AND prev_is_active = FALSE THEN 'Stayed Retired'
+    ELSE 'Unknown Status'
+  END AS player_status
+FROM player_activity"""))
