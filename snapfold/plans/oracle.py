@@ -34,5 +34,5 @@ REFERRER_CASE_SQL = """CASE
 def render_list_sql(expr: str, fmt: str | None = None) -> str:
     """DuckDB twin of ``pgcompat.render_list``."""
     if fmt:
-        return f"array_to_string(list_transform({expr}, x -> strftime(x, '{fmt}')), ',')"
-    return f"array_to_string(list_transform({expr}, x -> CAST(x AS VARCHAR)), ',')"
+        return f"array_to_string(list_transform({expr}, lambda x: strftime(x, '{fmt}')), ',')"
+    return f"array_to_string(list_transform({expr}, lambda x: CAST(x AS VARCHAR)), ',')"
