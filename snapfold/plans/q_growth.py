@@ -1,0 +1,99 @@
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from snapfold.functions.pgcompat import render_list
+from snapfold.operators import growth as gr
+from snapfold.operators.cumulative import fold_periods
+from snapfold.plans.oracle import oracle
+from snapfold.plans.q_datelists import DAILY_SQL, DAY_FMT, daily, day_bounds, days
+from snapfold.plans.registry import query
+from snapfold.session import cut_lineage
+
+
+def _render(df):
+    return df.select("user_id", "first_active_date", "last_active_date", "daily_active_state",
+                     "weekly_active_state", render_list("dates_active", DAY_FMT).alias("dates_active"), "date")
+
+
+@query("growth_step")
+def growth_step(spark, sf_dir):
+    """Day-by-day fold over every day of the data."""
+    src = cut_lineage(daily(spark, sf_dir))
+    lo, hi = day_bounds(src)
+    empty = src.limit(0).select(
+        F.col("user_id").cast("string").alias("user_id"), F.col("date").alias("first_active_date"),
+        F.col("date").alias("last_active_date"), F.lit("").alias("daily_active_state"),
+        F.lit("").alias("weekly_active_state"), F.array("date").alias("dates_active"), "date")
+    snaps = fold_periods(empty, days(lo, hi), lambda prev, d: gr.growth_step(
+        prev, src.where(F.col("date") == F.lit(d)).select("user_id", F.col("date").alias("today_date"))))
+    return _render(snaps)
+
+
+def growth_table(spark, sf_dir):
+    d = daily(spark, sf_dir)
+    return gr.growth_backfill(d, d.select(F.max("date")).scalar())
+
+
+@query("growth_backfill")
+def growth_backfill(spark, sf_dir):
+    return _render(growth_table(spark, sf_dir))
+
+
+# closed form of the fold: pl = last active day before the day
+GROWTH_SQL = f"""WITH {DAILY_SQL},
+b AS (SELECT max(date) AS hi FROM daily),
+f AS (SELECT user_id, min(date) AS first FROM daily GROUP BY 1),
+grid AS (SELECT f.user_id, f.first,
+                CAST(unnest(generate_series(f.first, b.hi, INTERVAL 1 DAY)) AS DATE) AS date FROM f, b),
+st AS (
+  SELECT g.user_id, g.first, g.date,
+         max(d.date) FILTER (WHERE d.date < g.date) AS pl,
+         bool_or(d.date = g.date) AS active,
+         max(d.date) AS last_active,
+         list_sort(list(d.date)) AS upto
+  FROM grid g JOIN daily d ON d.user_id = g.user_id AND d.date <= g.date
+  GROUP BY g.user_id, g.first, g.date),
+growth AS (
+  SELECT CAST(user_id AS VARCHAR) AS user_id, first AS first_active_date, last_active AS last_active_date,
+         CASE WHEN date = first THEN 'New'
+              WHEN active AND pl = date - 1 THEN 'Retained'
+              WHEN active THEN 'Resurrected'
+              WHEN pl = date - 1 THEN 'Churned'
+              ELSE 'Stale' END AS daily_active_state,
+         CASE WHEN date = first THEN 'New'
+              WHEN pl >= date - 8 THEN 'Retained'
+              WHEN active THEN 'Resurrected'
+              ELSE 'Stale' END AS weekly_active_state,
+         upto, date
+  FROM st)
+"""
+for key in ("growth_step", "growth_backfill"):
+    oracle(key, GROWTH_SQL + """SELECT user_id, CAST(first_active_date AS TIMESTAMP) AS first_active_date,
+  CAST(last_active_date AS TIMESTAMP) AS last_active_date, daily_active_state, weekly_active_state,
+  array_to_string(list_transform(upto, lambda x: strftime(x, '%Y-%m-%d')), ',') AS dates_active,
+  CAST(date AS TIMESTAMP) AS date
+FROM growth""")
+
+
+@query("growth_by_date")
+def growth_by_date(spark, sf_dir):
+    return gr.growth_by_date(growth_table(spark, sf_dir))
+
+
+oracle("growth_by_date", GROWTH_SQL + """SELECT CAST(date AS TIMESTAMP) AS date, daily_active_state,
+  COUNT(1) AS num_users FROM growth GROUP BY 1, 2""")
+
+
+@query("retention_curve")
+def retention_curve(spark, sf_dir):
+    return gr.retention(growth_table(spark, sf_dir))
+
+
+oracle("retention_curve", GROWTH_SQL + """SELECT CAST(first_active_date AS TIMESTAMP) AS first_active_date,
+  CAST(date - first_active_date AS INTEGER) AS days_since_signup,
+  CAST(EXTRACT(dow FROM first_active_date) AS BIGINT) AS dow,
+  CAST(COUNT(CASE WHEN daily_active_state IN ('Retained', 'Resurrected', 'New') THEN 1 END) AS DOUBLE)
+    / COUNT(1) AS pct_active,
+  COUNT(1) AS num_users
+FROM growth GROUP BY 1, 2, 3""")

@@ -1,0 +1,78 @@
+"""Streaming jobs run to completion (``availableNow``) into Parquet sinks and
+read back. Append mode emits a window once the watermark passes its end, so
+the expected result is the batch result minus windows still open at the final
+watermark (max event time - delay)."""
+
+from __future__ import annotations
+
+from snapfold.plans.oracle import oracle
+from snapfold.plans.q_web import GAP_MINUTES, SESSION_KEYS, SESSION_SOURCE_KEYS, sessions_sql
+from snapfold.plans.registry import query
+from snapfold.sources.tables import event_stream, read_table
+from snapfold.streaming import jobs
+
+DELAY_MINUTES = 10
+DELAY = f"{DELAY_MINUTES} minutes"
+
+
+def _fx_stream(spark, sf_dir):
+    from snapfold.sources.fixtures import events_view
+    return events_view(event_stream(spark, sf_dir), read_table(spark, sf_dir, "pages"),
+                       read_table(spark, sf_dir, "nation"))
+
+
+@query("stream_ingest")
+def stream_ingest(spark, sf_dir):
+    stream = jobs.processed_events(event_stream(spark, sf_dir), read_table(spark, sf_dir, "pages"),
+                                   read_table(spark, sf_dir, "nation"))
+    _, path = jobs.run_to_parquet(spark, stream, "processed_events")
+    return spark.read.parquet(path)
+
+
+oracle("stream_ingest", "SELECT * FROM fx_processed_events")
+
+
+def _hourly(keys, name):
+    def run(spark, sf_dir):
+        stream = jobs.hourly_counts(_fx_stream(spark, sf_dir), keys, DELAY)
+        _, path = jobs.run_to_parquet(spark, stream, name)
+        return spark.read.parquet(path)
+    return run
+
+
+query("stream_hourly")(_hourly(["host"], "processed_events_aggregated"))
+query("stream_hourly_source")(_hourly(["host", "referrer"], "processed_events_aggregated_source"))
+
+
+def _hourly_sql(keys):
+    k = ", ".join(keys)
+    return f"""SELECT date_trunc('hour', event_time) AS event_hour, {k}, COUNT(*) AS num_hits
+FROM fx_events GROUP BY date_trunc('hour', event_time), {k}
+HAVING date_trunc('hour', event_time) + INTERVAL 1 HOUR
+       <= (SELECT max(event_time) FROM fx_events) - INTERVAL {DELAY_MINUTES} MINUTE"""
+
+
+oracle("stream_hourly", _hourly_sql(["host"]))
+oracle("stream_hourly_source", _hourly_sql(["host", "referrer"]))
+
+
+def _sessions(keys, name):
+    def run(spark, sf_dir):
+        stream = jobs.session_counts(_fx_stream(spark, sf_dir), keys, f"{GAP_MINUTES} minutes", DELAY)
+        _, path = jobs.run_to_parquet(spark, stream, name)
+        return spark.read.parquet(path)
+    return run
+
+
+query("stream_sessions")(_sessions(SESSION_KEYS, "assignment_events_sessions"))
+query("stream_sessions_source")(_sessions(SESSION_SOURCE_KEYS, "processed_assignment_events_source_sessions"))
+
+
+def _sessions_oracle(keys):
+    k = ", ".join(keys)
+    return sessions_sql(keys) + f"""SELECT session_start, session_end, {k}, num_hits FROM sessions
+WHERE session_end <= (SELECT max(event_time) FROM fx_events) - INTERVAL {DELAY_MINUTES} MINUTE"""
+
+
+oracle("stream_sessions", _sessions_oracle(SESSION_KEYS))
+oracle("stream_sessions_source", _sessions_oracle(SESSION_SOURCE_KEYS))
