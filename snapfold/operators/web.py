@@ -41,7 +41,8 @@ def hourly_counts(events: DataFrame, keys: list[str], ts: str = "event_time") ->
 
 def sessions(events: DataFrame, keys: list[str], gap: str = SESSION_GAP, ts: str = "event_time") -> DataFrame:
     """One row per session of ``keys``: a session ends when the next event is
-    ``gap`` or more after the last one; end = last event + gap."""
+    more than ``gap`` after the last one (sessions that touch merge);
+    end = last event + gap."""
     sw = F.session_window(event_ts(ts, events), gap)
     return (events.where(F.col(ts).isNotNull())
                   .groupBy(sw.alias("s"), *keys).agg(F.count(F.lit(1)).alias("num_hits"))

@@ -74,7 +74,7 @@ def sessions_sql(keys) -> str:
     k = ", ".join(keys)
     return f"""WITH ev AS (SELECT {k}, event_time FROM fx_events WHERE event_time IS NOT NULL),
 s1 AS (SELECT *, CASE WHEN lag(event_time) OVER w IS NULL
-                        OR event_time - lag(event_time) OVER w >= INTERVAL {GAP_MINUTES} MINUTE
+                        OR event_time - lag(event_time) OVER w > INTERVAL {GAP_MINUTES} MINUTE
                       THEN 1 ELSE 0 END AS new_session
        FROM ev WINDOW w AS (PARTITION BY {k} ORDER BY event_time)),
 s2 AS (SELECT *, SUM(new_session) OVER (PARTITION BY {k} ORDER BY event_time ROWS UNBOUNDED PRECEDING) AS sid
