@@ -81,9 +81,12 @@ def points_sets(details: DataFrame, player_seasons: DataFrame, fixed: bool = Fal
     (name, season) with ``player_seasons`` carrying the game's own season, and
     ranks every set within its season."""
     ps = player_seasons.select("player_name", "season")
-    gd = details.select("player_name", "team_abbreviation", F.col("pts").cast("int").alias("pts"),
-                        *(["season"] if fixed else []))
     keys = ["player_name", "season"] if fixed else ["player_name"]
+    # SUM distributes over the join: sum the details per (join key, team)
+    # first, so the join multiplies one row per player and team instead of
+    # every game line by every season of the player.
+    gd = (details.groupBy(*keys, "team_abbreviation")
+                 .agg(F.sum(F.col("pts").cast("int")).alias("pts")))
     j = gd.join(ps, keys)
     sets = [["season", "player_name", "team_abbreviation"], ["season", "player_name"],
             ["season", "team_abbreviation"], ["season"], []]
