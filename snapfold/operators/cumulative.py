@@ -175,9 +175,12 @@ def quality_class(avg: Column) -> Column:
              .when((avg > 6) & (avg <= 7), "average").otherwise("bad"))
 
 
-def cumulate_actors(prev: DataFrame, films: DataFrame) -> DataFrame:
+def cumulate_actors(prev: DataFrame, films: DataFrame, carry_class: bool = False) -> DataFrame:
     """One year of the cumulative ``actors`` table: append the year's films
-    (sorted by title), class from the year's average rating, active flag."""
+    (sorted by title), class from the year's average rating, active flag.
+
+    As written an actor without films this year gets class 'bad' (the average
+    is NULL); ``carry_class`` keeps the previous class instead."""
     nya = films.groupBy("actor", "year").agg(
         F.array_sort(F.collect_list(film_struct())).alias("new_films"),
         exact_avg("rating").alias("avg_rating"))
@@ -191,7 +194,9 @@ def cumulate_actors(prev: DataFrame, films: DataFrame) -> DataFrame:
         F.when(F.col("y_films").isNull(), F.col("n_new_films"))
          .when(F.col("n_new_films").isNull(), F.col("y_films"))
          .otherwise(F.concat("y_films", "n_new_films")).alias("films"),
-        quality_class(F.col("n_avg_rating")).alias("quality_class"),
+        (F.when(F.col("n_avg_rating").isNotNull(), quality_class(F.col("n_avg_rating")))
+          .otherwise(F.col("y_quality_class")) if carry_class
+         else quality_class(F.col("n_avg_rating"))).alias("quality_class"),
         year.alias("current_year"),
         F.col("n_new_films").isNotNull().alias("is_active"))
 
@@ -203,10 +208,10 @@ def _empty_actors(films: DataFrame) -> DataFrame:
         F.lit(None).cast("boolean").alias("is_active"))
 
 
-def fold_actors(films: DataFrame, first: int, last: int) -> DataFrame:
+def fold_actors(films: DataFrame, first: int, last: int, carry_class: bool = False) -> DataFrame:
     src = cut_lineage(films)
     return fold_periods(_empty_actors(src), range(first, last + 1),
-                        lambda prev, yr: cumulate_actors(prev, src.where(F.col("year") == yr)))
+                        lambda prev, yr: cumulate_actors(prev, src.where(F.col("year") == yr), carry_class))
 
 
 def backfill_actors(films: DataFrame, hi: Column | int | None = None) -> DataFrame:

@@ -125,11 +125,16 @@ def _explode_actors(df):
     return cu.explode_history(df, arr="films", keys=keys, with_pos=True)
 
 
-@query("actors_step")
-def actors_step(spark, sf_dir):
-    films = fx.fx_actor_films(spark, sf_dir)
-    lo, hi = bounds(films, "year")
-    return _explode_actors(cu.fold_actors(films, lo, hi))
+def _actors_step(carry):
+    def run(spark, sf_dir):
+        films = fx.fx_actor_films(spark, sf_dir)
+        lo, hi = bounds(films, "year")
+        return _explode_actors(cu.fold_actors(films, lo, hi, carry_class=carry))
+    return run
+
+
+query("actors_step")(_actors_step(False))
+query("actors_step_fixed")(_actors_step(True))
 
 
 @query("actors_backfill")
@@ -154,3 +159,12 @@ FROM g2 JOIN af ON af.actor = g2.actor AND af.year <= g2.year"""
 
 oracle("actors_step", ACTORS_CLOSED_FORM)
 oracle("actors_backfill", ACTORS_CLOSED_FORM)
+
+# D2 fixed: an inactive year keeps the class of the last active year
+oracle("actors_step_fixed", ACTORS_CLOSED_FORM.replace(
+    """g2 AS (SELECT g.actor, g.year, yr.avg_rating, yr.actor IS NOT NULL AS is_active
+       FROM grid g LEFT JOIN yr ON yr.actor = g.actor AND yr.year = g.year)""",
+    """g2 AS (SELECT g.actor, g.year, arg_max(yr.avg_rating, yr.year) AS avg_rating,
+              bool_or(yr.year = g.year) AS is_active
+       FROM grid g JOIN yr ON yr.actor = g.actor AND yr.year <= g.year
+       GROUP BY g.actor, g.year)"""))

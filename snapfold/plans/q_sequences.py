@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from snapfold.operators import cubes, sequences
 from snapfold.plans.oracle import oracle
 from snapfold.plans.q_cubes import MIN_HITS
+from snapfold.plans.q_facts import _order_sql
 from snapfold.plans.registry import query
 from snapfold.sources import fixtures as fx
 
@@ -76,3 +77,31 @@ oracle("page_transitions", f"""WITH combined AS (
 SELECT to_url, from_url, COUNT(1) AS num_users, MIN(gap) AS min_seconds, MAX(gap) AS max_seconds,
        AVG(gap) AS avg_seconds
 FROM aggregated GROUP BY to_url, from_url HAVING COUNT(1) > {MIN_HITS}""")
+
+
+@query("rolling_wins_fixed")
+def rolling_wins_fixed(spark, sf_dir):
+    """Over team games, not player lines: player lines are deduplicated, a
+    team wins a game when its players' plus-minus sums above zero."""
+    from snapfold.operators.facts import dedup
+    lines = dedup(fx.fx_game_details(spark, sf_dir), ["game_id", "team_id", "player_id"])
+    games = lines.groupBy("team_abbreviation", "game_id").agg(
+        F.when(F.sum("plus_minus") > 0, 1).otherwise(0).alias("win"))
+    return sequences.rolling_sum_top(games, "team_abbreviation", ["game_id"], F.col("win"), n=WINDOW_ROWS)
+
+
+oracle("rolling_wins_fixed", f"""WITH lines AS (
+    SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY game_id, team_id, player_id
+                                                ORDER BY {_order_sql(["game_id", "team_id", "player_id"])}) AS rn
+                   FROM fx_game_details) d WHERE rn = 1
+), games AS (
+    SELECT team_abbreviation, game_id, CASE WHEN SUM(plus_minus) > 0 THEN 1 ELSE 0 END AS win
+    FROM lines GROUP BY team_abbreviation, game_id
+)
+SELECT team_abbreviation, max_wins_in_90_game_stretch FROM (
+    SELECT team_abbreviation,
+           SUM(win) OVER (PARTITION BY team_abbreviation ORDER BY game_id
+                          ROWS BETWEEN {WINDOW_ROWS - 1} PRECEDING AND CURRENT ROW) AS max_wins_in_90_game_stretch
+    FROM games) t
+ORDER BY max_wins_in_90_game_stretch DESC, team_abbreviation
+LIMIT 1""")

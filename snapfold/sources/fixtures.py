@@ -84,7 +84,7 @@ def fx_processed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def processed_view(ev: DataFrame) -> DataFrame:
     """The stream sink row: TIMESTAMP(3) is a millisecond truncation."""
-    return ev.select("ip", F.date_trunc("millisecond", "event_time").alias("event_timestamp"),
+    return ev.select("ip", F.date_trunc("millisecond", "event_time").cast("timestamp_ntz").alias("event_timestamp"),
                      "referrer", "host", "url", "geodata")
 
 
