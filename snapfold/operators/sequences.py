@@ -49,12 +49,15 @@ def longest_streak(df: DataFrame, key: str, order: list[str], pred: Column,
                    bucket_size: int = GAME_BUCKET) -> DataFrame:
     """Longest run of consecutive rows (per ``key`` in ``order``) where
     ``pred`` holds: number all rows, number the qualifying rows again, equal
-    difference = one island. A NULL predicate breaks a run."""
+    difference = one island. A NULL predicate breaks a run.
+
+    The second numbering orders by the first one (unique), so rows that tie
+    on ``order`` are numbered consistently in both passes."""
     order_cols = [F.col(c).asc_nulls_first() for c in order]
     base = df.select(key, *order, pred.alias("_ok"))
     all_rn = ordinal_within(base, [key], order_cols, _bucket(bucket_col, bucket_size), name="rn")
     hits = all_rn.where(F.col("_ok"))
-    both = ordinal_within(hits, [key], order_cols, _bucket(bucket_col, bucket_size), name="rn2")
+    both = ordinal_within(hits, [key], [F.col("rn")], _bucket(bucket_col, bucket_size), name="rn2")
     islands = both.groupBy(key, (F.col("rn") - F.col("rn2")).alias("_grp")).agg(
         F.count(F.lit(1)).alias(out))
     return islands.groupBy(key).agg(F.max(out).cast("bigint").alias(out))
@@ -65,32 +68,49 @@ def _seconds_between(later: str, earlier: str) -> Column:
             - F.unix_micros(F.col(earlier).cast("timestamp"))) / F.lit(1e6)
 
 
-def page_transitions(combined: DataFrame, min_users: int | None = 100) -> DataFrame:
+def page_transitions(combined: DataFrame, min_users: int | None = 100, bucket_seconds: int = 60) -> DataFrame:
     """Fastest move from ``from_url`` to ``to_url`` per user within a day, then
     per url pair: users, min, max and mean seconds; HAVING users > min_users.
 
     The reference self-joins all earlier same-day events of a user (all pairs
     of a user-day). Here each event only meets the latest earlier event of each
     url: events are repeated once per distinct url of their user-day (at most
-    the number of urls) and an as-of lookup over (user, day, from_url) sorted
-    by time finds the latest earlier "from" event. The minimum over events of
-    (t - latest earlier from-time) equals the minimum over all pairs."""
+    the number of urls) and an as-of lookup finds the latest earlier "from"
+    event. The minimum over events of (t - latest earlier from-time) equals the
+    minimum over all pairs.
+
+    The as-of lookup is split by time bucket so a busy user-day never sits in
+    one task: a window inside (user, day, from_url, bucket) finds the latest
+    earlier mark of the same bucket, and a window over the small table of
+    per-bucket latest marks carries the latest mark of earlier buckets."""
+    keys = ["user_id", "day", "from_url"]
     ev = (combined.where(F.col("user_id").isNotNull() & F.col("event_time").isNotNull())
                   .select("user_id", F.to_date("event_time").alias("day"),
                           F.col("event_time").alias("t"), "url"))
+    second_of_day = F.hour("t") * 3600 + F.minute("t") * 60 + F.second("t")
+    bucket = F.floor(second_of_day / F.lit(bucket_seconds))
     urls = ev.select("user_id", "day", F.col("url").alias("from_url")).distinct()
     cand = (ev.join(urls, ["user_id", "day"])
-              .select("user_id", "day", "from_url", "t", F.col("url").alias("to_url"),
-                      F.lit(1).alias("kind")))
+              .select(*keys, "t", F.col("url").alias("to_url"), F.lit(1).alias("kind")))
     marks = ev.select("user_id", "day", F.col("url").alias("from_url"), "t",
                       F.lit(None).cast("string").alias("to_url"), F.lit(0).alias("kind"))
-    # at equal times the candidates sort first, so only strictly earlier marks count
-    w = (Window.partitionBy("user_id", "day", "from_url").orderBy("t", F.col("kind").desc())
+    rows = cand.unionByName(marks).withColumn("b", bucket)
+    # latest mark per non-empty bucket (NULL when a bucket only has candidates),
+    # then the latest mark of all earlier buckets: at most one row per bucket
+    per_bucket = rows.groupBy(*keys, "b").agg(
+        F.max(F.when(F.col("kind") == 0, F.col("t"))).alias("bucket_max"))
+    carry = per_bucket.select(*keys, "b", F.max("bucket_max").over(
+        Window.partitionBy(*keys).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)).alias("carry_t"))
+    # inside a bucket: at equal times candidates sort first, so only strictly
+    # earlier marks count
+    w = (Window.partitionBy(*keys, "b").orderBy("t", F.col("kind").desc())
                .rowsBetween(Window.unboundedPreceding, -1))
-    asof = cand.unionByName(marks).select(
-        "user_id", "to_url", "from_url", "t", "kind",
-        F.max(F.when(F.col("kind") == 0, F.col("t"))).over(w).alias("prev_t"))
-    gaps = (asof.where((F.col("kind") == 1) & F.col("prev_t").isNotNull())
+    local = (rows.select(*keys, "b", "to_url", "t", "kind",
+                         F.max(F.when(F.col("kind") == 0, F.col("t"))).over(w).alias("local_t"))
+                 .where(F.col("kind") == 1))
+    asof = local.join(carry, [*keys, "b"]).select(
+        "user_id", "to_url", "from_url", "t", F.coalesce("local_t", "carry_t").alias("prev_t"))
+    gaps = (asof.where(F.col("prev_t").isNotNull())
                 .select("user_id", "to_url", "from_url", _seconds_between("t", "prev_t").alias("gap")))
     per_user = gaps.groupBy("user_id", "to_url", "from_url").agg(F.min("gap").alias("gap"))
     out = per_user.groupBy("to_url", "from_url").agg(

@@ -47,8 +47,7 @@ oracle("longest_streak", """WITH player_scoring AS (
     FROM fx_game_details
 ), streaks_identified AS (
     SELECT player_name, game_id,
-           rn - ROW_NUMBER() OVER (PARTITION BY player_name
-                                   ORDER BY game_id NULLS FIRST, points_scored NULLS FIRST) AS streak_group_id
+           rn - ROW_NUMBER() OVER (PARTITION BY player_name ORDER BY rn) AS streak_group_id
     FROM player_scoring WHERE points_scored > 10
 )
 SELECT player_name, CAST(MAX(n) AS BIGINT) AS longest_streak_with_10_or_more_pts

@@ -190,13 +190,24 @@ def test_longest_streak_null_breaks(spark):
     assert r[0]["longest_streak_with_10_or_more_pts"] == 3
 
 
-def test_page_transitions_equals_pairs(spark):
+def _random_events(n=300, seed=7):
+    import random
+    rnd = random.Random(seed)
+    base = dt.datetime(2023, 1, 1, 23, 0)
+    return [(rnd.choice([1, 2, 3, None]), base + dt.timedelta(seconds=rnd.randrange(0, 7200)),
+             rnd.choice(["/a", "/b", "/c", "/d"])) for _ in range(n)]
+
+
+@pytest.mark.parametrize("bucket_seconds,rows", [
+    (1, None), (60, None), (86400, None), (60, "random"), (7, "random")])
+def test_page_transitions_equals_pairs(spark, bucket_seconds, rows):
     t = lambda h, m: dt.datetime(2023, 1, 1, h, m)
-    rows = [(1, t(10, 0), "/a"), (1, t(10, 5), "/b"), (1, t(10, 7), "/a"), (1, t(10, 9), "/b"),
-            (2, t(9, 0), "/b"), (2, t(9, 0), "/a"), (None, t(9, 1), "/a")]
+    rows = _random_events() if rows == "random" else [
+        (1, t(10, 0), "/a"), (1, t(10, 5), "/b"), (1, t(10, 7), "/a"), (1, t(10, 9), "/b"),
+        (2, t(9, 0), "/b"), (2, t(9, 0), "/a"), (None, t(9, 1), "/a")]
     ev = spark.createDataFrame(rows, "user_id int, event_time timestamp_ntz, url string")
     got = {(r.to_url, r.from_url): (r.num_users, r.min_seconds) for r in
-           sequences.page_transitions(ev, min_users=None).collect()}
+           sequences.page_transitions(ev, min_users=None, bucket_seconds=bucket_seconds).collect()}
     # brute force over all same-day earlier pairs
     exp = {}
     for u1, t1, a in rows:
@@ -234,3 +245,39 @@ def test_metric_daily_positions(spark, positions, expected):
     assert len(rows) == expected
     vals = {r.metric_date.day: r.value for r in rows}
     assert vals[1] == 2.0 and vals[3] == 4.0 and (positions is None or vals[4] is None)
+
+
+@pytest.mark.parametrize("bucket_size", [1, 3, 1000])
+def test_bucketed_moving_sum_equals_window(spark, bucket_size):
+    import random
+    rnd = random.Random(bucket_size)
+    rows = [(rnd.choice(["T1", "T2", "T3"]), rnd.randrange(0, 60), rnd.randrange(0, 5), rnd.randrange(-5, 6))
+            for _ in range(400)]
+    df = spark.createDataFrame(rows, "team_abbreviation string, game_id long, player_id long, plus_minus int")
+    win = F.when(F.col("plus_minus") > 0, 1).otherwise(0)
+    order = ["game_id", "player_id", "plus_minus"]
+    for n in (1, 7, 90):
+        a = sequences.rolling_sum_top(df, "team_abbreviation", order, win, n=n, bucket_size=bucket_size).collect()
+        b = sequences.rolling_sum_top_window(df, "team_abbreviation", order, win, n=n).collect()
+        assert a == b
+
+
+@pytest.mark.parametrize("bucket_size", [1, 4, 1000])
+def test_bucketed_streak_equals_brute_force(spark, bucket_size):
+    import random
+    rnd = random.Random(bucket_size + 1)
+    rows = [(rnd.choice(["p", "q"]), g, rnd.choice([None, 3, 11, 12, 20])) for g in range(80) for _ in (0, 1)
+            if rnd.random() < 0.8]
+    df = spark.createDataFrame(rows, "player_name string, game_id long, pts int")
+    got = {r[0]: r[1] for r in sequences.longest_streak(df, "player_name", ["game_id", "pts"], F.col("pts") > 10,
+                                                           bucket_size=bucket_size).collect()}
+    exp = {}
+    for p in ("p", "q"):
+        seq = sorted([(g, -1 if v is None else v) for n, g, v in rows if n == p])
+        best = cur = 0
+        for _, v in seq:
+            cur = cur + 1 if v > 10 else 0
+            best = max(best, cur)
+        if best:
+            exp[p] = best
+    assert got == exp
