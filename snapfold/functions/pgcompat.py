@@ -100,6 +100,3 @@ def render_list(arr, fmt: str | None = None) -> Column:
         return F.array_join(F.transform(col(arr), lambda x: F.date_format(x, fmt)), ",")
     return F.array_join(F.transform(col(arr), lambda x: x.cast("string")), ",")
 
-
-def to_ntz(c) -> Column:
-    return col(c).cast("timestamp_ntz")

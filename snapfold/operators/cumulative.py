@@ -18,7 +18,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapfold.functions.pgcompat import last_elem, score_class
+from snapfold.functions.pgcompat import first_elem, last_elem, safe_divisor, score_class
 from snapfold.session import cut_lineage
 
 PLAYER_STATIC = ("height", "college", "country", "draft_year", "draft_round", "draft_number")
@@ -135,7 +135,7 @@ def backfill_players(seasons: DataFrame, lo: Column | int | None = None,
 
 def first_last(players: DataFrame, arr: str = "season_stats") -> DataFrame:
     """First and latest history element and their points."""
-    first, last = F.try_element_at(F.col(arr), F.lit(1)), last_elem(arr)
+    first, last = first_elem(arr), last_elem(arr)
     return players.select("player_name",
                           first["season"].alias("first_season"), first["pts"].alias("first_pts"),
                           last["season"].alias("latest_season"), last["pts"].alias("latest_pts"))
@@ -143,10 +143,9 @@ def first_last(players: DataFrame, arr: str = "season_stats") -> DataFrame:
 
 def improvement_ratio(players: DataFrame, cls: str = "star") -> DataFrame:
     """Latest points over first points (0 -> 1) for one scoring class."""
-    first, last = F.try_element_at(F.col("season_stats"), F.lit(1)), last_elem("season_stats")
-    div = F.when(first["pts"] == 0, F.lit(1.0)).otherwise(first["pts"])
+    first, last = first_elem("season_stats"), last_elem("season_stats")
     return (players.where(F.col("scoring_class") == cls)
-                   .select("player_name", (last["pts"] / div).alias("avg_pts")))
+                   .select("player_name", (last["pts"] / safe_divisor(first["pts"])).alias("avg_pts")))
 
 
 def explode_history(players: DataFrame, arr: str = "season_stats", keys=("player_name",),

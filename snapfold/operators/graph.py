@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from snapfold.functions.pgcompat import safe_divisor
 from snapfold.operators.facts import dedup
 
 JSON_OPTS = {"ignoreNullFields": "false"}  # json_build_object keeps NULL members
@@ -122,7 +123,7 @@ def pair_report(vertices: DataFrame, edges: DataFrame, fixed: bool = False) -> D
     games = F.get_json_object("v_properties", "$.number_of_games").cast("double")
     points = F.get_json_object("v_properties", "$.total_points").cast("double")
     num, den = (points, games) if fixed else (games, points)
-    ratio = num / F.when(den == 0, F.lit(1.0)).otherwise(den)
+    ratio = num / safe_divisor(den)
     return (j.select(F.get_json_object("v_properties", "$.player_name").alias("player_name"),
                      "object_identifier", ratio.alias("pct_point_per_game_career"),
                      F.get_json_object("properties", "$.subject_points").alias("total_points_scores_vs_object"),

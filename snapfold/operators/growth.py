@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapfold.functions.pgcompat import pg_dow
+from snapfold.functions.pgcompat import days_between, pg_dow
 
 # Growth states.
 NEW, RETAINED, RESURRECTED, CHURNED, STALE = "New", "Retained", "Resurrected", "Churned", "Stale"
@@ -92,6 +92,6 @@ def retention(df: DataFrame, cohort=None) -> DataFrame:
     n = F.count(F.lit(1))
     act = F.count(F.when(F.col("daily_active_state").isin(*ACTIVE_STATES), 1))
     return (df.groupBy("first_active_date",
-                       F.datediff("date", "first_active_date").alias("days_since_signup"),
+                       days_between("date", "first_active_date").alias("days_since_signup"),
                        pg_dow("first_active_date").alias("dow"))
               .agg((act.cast("double") / n).alias("pct_active"), n.alias("num_users")))
