@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from snapfold.functions.joins import join_null_safe
+
 _B = "_bucket"
 
 
@@ -38,7 +40,7 @@ def ordinal_within(df: DataFrame, keys: list[str], order: list[Column], bucket:
     local = b.select("*", F.row_number().over(inside).alias("_lrn"),
                      *[F.sum(c).over(inside.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_l{n}")
                        for n, c in running.items()])
-    j = local.join(offsets, [*keys, _B])
+    j = join_null_safe(local, offsets, [*keys, _B])  # a NULL key is a group too
     out = j.withColumn(name, F.col("_off") + F.col("_lrn"))
     for n in running:
         out = out.withColumn(n, F.col(f"_o_s_{n}") + F.col(f"_l{n}"))

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from snapfold.functions.joins import join_null_safe
 from snapfold.functions.ordinals import ordinal_within
 
 GAME_BUCKET = 4096  # game ids per bucket when numbering rows within a team/player
@@ -28,8 +29,8 @@ def rolling_sum_top(df: DataFrame, key: str, order: list[str], value: Column, n:
                               [F.col(c).asc_nulls_first() for c in order],
                               _bucket(bucket_col, bucket_size), running={"_s": F.col("_v")})
     cur = numbered.select(key, "rn", "_s")
-    back = numbered.select(key, (F.col("rn") + n).alias("rn"), F.col("_s").alias("_s_back"))
-    moving = (cur.join(back, [key, "rn"], "left")
+    back = numbered.select(F.col(key).alias("_k"), (F.col("rn") + n).alias("_rn"), F.col("_s").alias("_s_back"))
+    moving = (cur.join(back, cur[key].eqNullSafe(back["_k"]) & (cur["rn"] == back["_rn"]), "left")
                  .select(key, (F.col("_s") - F.coalesce("_s_back", F.lit(0))).alias(out)))
     best = moving.groupBy(key).agg(F.max(out).alias(out))
     return best.orderBy(F.col(out).desc(), F.col(key).asc()).limit(1)
@@ -108,7 +109,7 @@ def page_transitions(combined: DataFrame, min_users: int | None = 100, bucket_se
     local = (rows.select(*keys, "b", "to_url", "t", "kind",
                          F.max(F.when(F.col("kind") == 0, F.col("t"))).over(w).alias("local_t"))
                  .where(F.col("kind") == 1))
-    asof = local.join(carry, [*keys, "b"]).select(
+    asof = join_null_safe(local, carry, [*keys, "b"]).select(
         "user_id", "to_url", "from_url", "t", F.coalesce("local_t", "carry_t").alias("prev_t"))
     gaps = (asof.where(F.col("prev_t").isNotNull())
                 .select("user_id", "to_url", "from_url", _seconds_between("t", "prev_t").alias("gap")))

@@ -281,3 +281,18 @@ def test_bucketed_streak_equals_brute_force(spark, bucket_size):
         if best:
             exp[p] = best
     assert got == exp
+
+
+@pytest.mark.parametrize("bucket_hours", [1, 3, 100000])
+def test_bucketed_sessions_equal_session_window(spark, bucket_hours):
+    import random
+    rnd = random.Random(bucket_hours)
+    base = dt.datetime(2023, 1, 1, 20, 0)
+    rows = [(rnd.choice(["a", "b"]), rnd.choice(["h1", "h2", None]),
+             base + dt.timedelta(minutes=rnd.choice([0, 15, 30, 45]) * rnd.randrange(0, 40)))
+            for _ in range(300)]
+    ev = spark.createDataFrame(rows, "ip string, host string, event_time timestamp_ntz")
+    key = lambda r: tuple((x is None, str(x)) for x in r)
+    a = sorted(web.sessions_bucketed(ev, ["ip", "host"], 30, bucket_hours=bucket_hours).collect(), key=key)
+    b = sorted(web.sessions(ev, ["ip", "host"], "30 minutes").collect(), key=key)
+    assert len(a) > 20 and a == b
