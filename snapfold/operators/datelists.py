@@ -168,11 +168,17 @@ METRIC = "site_hits"
 
 
 def append_metric(state: DataFrame | None, today: DataFrame, day: dt.date, metric: str = METRIC,
-                  filter_metric: bool = True) -> DataFrame:
+                  positional: bool = False) -> DataFrame:
     """One day of ``array_metrics``: append today's count (0 if absent) to each
     user's array of the month; a user first seen today gets zeros for the
     earlier days of the month. ``today`` = (user_id, date, hits) of ``day``.
-    Returns the rows to upsert on (user_id, month_start, metric_name)."""
+    Returns the rows to upsert on (user_id, month_start, metric_name).
+
+    As written the count is appended, so re-running a day appends twice and a
+    skipped day shifts later positions, and the month's rows are read for
+    every metric. ``positional`` writes the count at position day - month
+    start (zero padding, replacing a value already there) and reads only this
+    metric: re-runs are idempotent."""
     month = day.replace(day=1)
     da = today.select(F.col("user_id").alias("d_user"), F.col("date").alias("d_date"),
                       F.col("hits").alias("d_hits"))
@@ -182,19 +188,28 @@ def append_metric(state: DataFrame | None, today: DataFrame, day: dt.date, metri
                                 F.array().cast("array<double>").alias("y_array"))
     else:
         ya = state.where(F.col("month_start") == F.lit(month))
-        if filter_metric:
+        if positional:
             ya = ya.where(F.col("metric_name") == metric)
         ya = ya.select(F.col("user_id").alias("y_user"), F.col("month_start").alias("y_month"),
                        F.col("metric_name").alias("y_metric"), F.col("metric_array").alias("y_array"))
     j = da.join(ya, F.col("d_user") == F.col("y_user"), "full_outer")
-    count = F.array(F.coalesce("d_hits", F.lit(0)).cast("double"))
+    hits = F.coalesce("d_hits", F.lit(0)).cast("double")
+    count = F.array(hits)
     lead = F.coalesce(F.datediff("d_date", F.trunc("d_date", "month")), F.lit(0))
+    if positional:
+        old = F.coalesce("y_array", F.array().cast("array<double>"))
+        slot = F.lit((day - month).days)
+        last = F.greatest(slot, F.size(old) - 1)
+        arr = F.transform(F.sequence(F.lit(0), last), lambda i: F.when(i == slot, hits).otherwise(
+            F.coalesce(F.try_element_at(old, i + 1), F.lit(0.0))))
+    else:
+        arr = (F.when(F.col("y_metric").isNotNull(), F.concat("y_array", count))
+                .otherwise(F.concat(F.array_repeat(F.lit(0.0), lead), count)))
     return j.select(
         F.coalesce("d_user", "y_user").alias("user_id"),
         F.coalesce("y_month", F.trunc("d_date", "month")).alias("month_start"),
         F.lit(metric).alias("metric_name"),
-        F.when(F.col("y_metric").isNotNull(), F.concat("y_array", count))
-         .otherwise(F.concat(F.array_repeat(F.lit(0.0), lead), count)).alias("metric_array"))
+        arr.alias("metric_array"))
 
 
 def backfill_metric_arrays(daily: DataFrame, end: Column, metric: str = METRIC) -> DataFrame:

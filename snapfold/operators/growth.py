@@ -15,14 +15,15 @@ GROWTH_COLUMNS = ("user_id", "first_active_date", "last_active_date", "daily_act
                   "weekly_active_state", "dates_active", "date")
 
 
-def growth_step(prev: DataFrame, today: DataFrame) -> DataFrame:
+def growth_step(prev: DataFrame, today: DataFrame, churn_first: bool = False) -> DataFrame:
     """One day of ``users_growth_accounting`` (first match wins):
 
     daily: New (no history) / Retained (active yesterday) / Resurrected /
     Churned (inactive today, active yesterday) / Stale.
     weekly, as written: New / Retained (last active within 7 days of
     yesterday, also when absent today) / Resurrected / Churned (unreachable) /
-    Stale.
+    Stale. ``churn_first`` tests weekly Churned before Retained, so it can
+    be reached.
     ``today`` = (user_id, today_date) of the day's active users."""
     t = today.select(F.col("user_id").cast("string").alias("t_user"), F.col("today_date"))
     y = prev.select(*[F.col(c).alias("y_" + c) for c in GROWTH_COLUMNS])
@@ -35,8 +36,12 @@ def growth_step(prev: DataFrame, today: DataFrame) -> DataFrame:
               .when(td.isNull() & (ylast == ydate), CHURNED)
               .otherwise(STALE))
     churned = td.isNull() & (ylast == ydate)
-    weekly = (F.when(no_prev, NEW).when(ylast >= F.date_sub(ydate, 7), RETAINED)
-               .when(ylast < F.date_sub(td, 7), RESURRECTED).when(churned, CHURNED).otherwise(STALE))
+    if churn_first:
+        weekly = (F.when(no_prev, NEW).when(churned, CHURNED).when(ylast >= F.date_sub(ydate, 7), RETAINED)
+                   .when(ylast < F.date_sub(td, 7), RESURRECTED).otherwise(STALE))
+    else:
+        weekly = (F.when(no_prev, NEW).when(ylast >= F.date_sub(ydate, 7), RETAINED)
+                   .when(ylast < F.date_sub(td, 7), RESURRECTED).when(churned, CHURNED).otherwise(STALE))
     empty = F.array().cast("array<date>")
     return j.select(
         F.coalesce("t_user", "y_user_id").alias("user_id"),
@@ -49,7 +54,7 @@ def growth_step(prev: DataFrame, today: DataFrame) -> DataFrame:
         F.coalesce("today_date", F.date_add("y_date", 1)).alias("date"))
 
 
-def growth_backfill(daily: DataFrame, end: Column) -> DataFrame:
+def growth_backfill(daily: DataFrame, end: Column, churn_first: bool = False) -> DataFrame:
     """Every (user, day) row of the folded table in one pass, from the sorted
     list of active days: pl = last active day before the day."""
     per = daily.groupBy("user_id").agg(F.min("date").alias("first"),
@@ -69,10 +74,12 @@ def growth_backfill(daily: DataFrame, end: Column) -> DataFrame:
                     .when(active, RESURRECTED)
                     .when(pl == yday, CHURNED)
                     .otherwise(STALE))
-    weekly_state = (F.when(d == F.col("first"), NEW)
-                     .when(pl >= F.date_sub(d, 8), RETAINED)
-                     .when(active, RESURRECTED)
-                     .otherwise(STALE))
+    weekly_state = F.when(d == F.col("first"), NEW)
+    if churn_first:
+        weekly_state = weekly_state.when(~active & (pl == yday), CHURNED)
+    weekly_state = (weekly_state.when(pl >= F.date_sub(d, 8), RETAINED)
+                                .when(active, RESURRECTED)
+                                .otherwise(STALE))
     return g.select("user_id", F.col("first").alias("first_active_date"),
                     F.array_max("dates_active").alias("last_active_date"),
                     daily_state.alias("daily_active_state"), weekly_state.alias("weekly_active_state"),

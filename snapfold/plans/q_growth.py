@@ -16,8 +16,13 @@ def _render(df):
                      "weekly_active_state", render_list("dates_active", DAY_FMT).alias("dates_active"), "date")
 
 
-@query("growth_step")
-def growth_step(spark, sf_dir):
+def _growth_step(churn_first):
+    def run(spark, sf_dir):
+        return growth_fold(spark, sf_dir, churn_first)
+    return run
+
+
+def growth_fold(spark, sf_dir, churn_first=False):
     """Day-by-day fold over every day of the data."""
     src = cut_lineage(daily(spark, sf_dir))
     lo, hi = day_bounds(src)
@@ -26,10 +31,15 @@ def growth_step(spark, sf_dir):
         F.col("date").alias("last_active_date"), F.lit("").alias("daily_active_state"),
         F.lit("").alias("weekly_active_state"), F.array("date").alias("dates_active"), "date")
     snaps = fold_periods(empty, days(lo, hi), lambda prev, d: gr.growth_step(
-        prev, src.where(F.col("date") == F.lit(d)).select("user_id", F.col("date").alias("today_date"))))
+        prev, src.where(F.col("date") == F.lit(d)).select("user_id", F.col("date").alias("today_date")),
+        churn_first=churn_first))
     return _render(snaps)
 
 
+query("growth_step")(_growth_step(False))
+query("growth_step_fixed")(_growth_step(True))
+
+
 def growth_table(spark, sf_dir):
     d = daily(spark, sf_dir)
     return gr.growth_backfill(d, d.select(F.max("date")).scalar())
@@ -68,8 +78,13 @@ growth AS (
          upto, date
   FROM st)
 """
-for key in ("growth_step", "growth_backfill"):
-    oracle(key, GROWTH_SQL + """SELECT user_id, CAST(first_active_date AS TIMESTAMP) AS first_active_date,
+GROWTH_FIXED_SQL = GROWTH_SQL.replace("""         CASE WHEN date = first THEN 'New'
+              WHEN pl >= date - 8 THEN 'Retained'""", """         CASE WHEN date = first THEN 'New'
+              WHEN NOT active AND pl = date - 1 THEN 'Churned'
+              WHEN pl >= date - 8 THEN 'Retained'""")
+assert GROWTH_FIXED_SQL != GROWTH_SQL
+for key, base in (("growth_step", GROWTH_SQL), ("growth_backfill", GROWTH_SQL), ("growth_step_fixed", GROWTH_FIXED_SQL)):
+    oracle(key, base + """SELECT user_id, CAST(first_active_date AS TIMESTAMP) AS first_active_date,
   CAST(last_active_date AS TIMESTAMP) AS last_active_date, daily_active_state, weekly_active_state,
   array_to_string(list_transform(upto, lambda x: strftime(x, '%Y-%m-%d')), ',') AS dates_active,
   CAST(date AS TIMESTAMP) AS date

@@ -296,3 +296,23 @@ def test_bucketed_sessions_equal_session_window(spark, bucket_hours):
     a = sorted(web.sessions_bucketed(ev, ["ip", "host"], 30, bucket_hours=bucket_hours).collect(), key=key)
     b = sorted(web.sessions(ev, ["ip", "host"], "30 minutes").collect(), key=key)
     assert len(a) > 20 and a == b
+
+
+def test_metric_array_rerun_and_skip(spark):
+    from snapfold.sources.sinks import upsert_frames
+    keys = ["user_id", "month_start", "metric_name"]
+    daily_rows = {d: spark.createDataFrame([(1, D(2023, 1, d), d * 10)], "user_id int, date date, hits bigint")
+                  for d in (1, 2, 3)}
+
+    def run(order, positional):
+        state = None
+        for d in order:
+            rows = dl.append_metric(state, daily_rows[d], D(2023, 1, d), positional=positional)
+            state = rows if state is None else upsert_frames(state, rows, keys)
+        return state.collect()[0]["metric_array"]
+
+    assert run([1, 2, 3], False) == run([1, 2, 3], True) == [10.0, 20.0, 30.0]
+    assert run([1, 2, 2, 3], False) == [10.0, 20.0, 20.0, 30.0]      # as written: a re-run appends
+    assert run([1, 2, 2, 3], True) == [10.0, 20.0, 30.0]             # positional: idempotent
+    assert run([1, 3], False) == [10.0, 30.0]                        # as written: a skipped day shifts
+    assert run([1, 3], True) == [10.0, 0.0, 30.0]
