@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapfold.functions.pgcompat import first_elem, last_elem, safe_divisor, score_class
-from snapfold.session import cut_lineage
+from snapfold.session import cut_lineage, stage_by_period
 
 PLAYER_STATIC = ("height", "college", "country", "draft_year", "draft_round", "draft_number")
 STAT_FIELDS = ("season", "gp", "pts", "reb", "ast")
@@ -101,7 +101,7 @@ def _empty_players(seasons: DataFrame) -> DataFrame:
 
 def fold_players(seasons: DataFrame, first: int, last: int, fixed: bool = False) -> DataFrame:
     """All snapshots first..last built season by season."""
-    src = cut_lineage(seasons)  # read and aggregate the source once
+    src = stage_by_period(seasons, "season")  # built once; each step reads one partition
     return fold_periods(_empty_players(src), range(first, last + 1),
                         lambda prev, s: cumulate_players(prev, src.where(F.col("season") == s), fixed))
 
@@ -208,7 +208,7 @@ def _empty_actors(films: DataFrame) -> DataFrame:
 
 
 def fold_actors(films: DataFrame, first: int, last: int, carry_class: bool = False) -> DataFrame:
-    src = cut_lineage(films)
+    src = stage_by_period(films, "year")
     return fold_periods(_empty_actors(src), range(first, last + 1),
                         lambda prev, yr: cumulate_actors(prev, src.where(F.col("year") == yr), carry_class))
 

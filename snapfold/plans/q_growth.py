@@ -8,7 +8,7 @@ from snapfold.operators.cumulative import fold_periods
 from snapfold.plans.oracle import oracle
 from snapfold.plans.q_datelists import DAILY_SQL, DAY_FMT, daily, day_bounds, days
 from snapfold.plans.registry import query
-from snapfold.session import cut_lineage
+from snapfold.session import stage_by_period
 
 
 def _render(df):
@@ -24,7 +24,7 @@ def _growth_step(churn_first):
 
 def growth_fold(spark, sf_dir, churn_first=False):
     """Day-by-day fold over every day of the data."""
-    src = cut_lineage(daily(spark, sf_dir))
+    src = stage_by_period(daily(spark, sf_dir), "date")
     lo, hi = day_bounds(src)
     empty = src.limit(0).select(
         F.col("user_id").cast("string").alias("user_id"), F.col("date").alias("first_active_date"),

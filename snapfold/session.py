@@ -83,3 +83,13 @@ def cut_lineage(df, how: str = "checkpoint"):
     path = scratch_path(spark, "table")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def stage_by_period(df, period: str):
+    """Write ``df`` once into the shared folder as Parquet partitioned by
+    ``period`` and read it back: a step that filters one period then reads
+    only that partition (partition pruning) instead of the whole source."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"by-{period}")
+    df.write.mode("overwrite").partitionBy(period).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
