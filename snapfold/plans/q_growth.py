@@ -32,7 +32,7 @@ def growth_fold(spark, sf_dir, churn_first=False):
         F.lit("").alias("weekly_active_state"), F.array("date").alias("dates_active"), "date")
     snaps = fold_periods(empty, days(lo, hi), lambda prev, d: gr.growth_step(
         prev, src.where(F.col("date") == F.lit(d)).select("user_id", F.col("date").alias("today_date")),
-        churn_first=churn_first))
+        churn_first=churn_first), key="user_id")
     return _render(snaps)
 
 

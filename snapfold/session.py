@@ -93,3 +93,17 @@ def stage_by_period(df, period: str):
     path = scratch_path(spark, f"by-{period}")
     df.write.mode("overwrite").partitionBy(period).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def store_bucketed(df, key: str, buckets: int | None = None):
+    """Write ``df`` as a Parquet table bucketed by ``key`` in the shared folder
+    and read it back. A later join on ``key`` sees the table as already
+    hash-partitioned, so only the other side is shuffled. The rows of a join
+    output partition on ``key`` all fall into one bucket (same hash), so each
+    task writes one file."""
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = "snapfold_state_" + uuid.uuid4().hex[:12]
+    (df.write.mode("overwrite").bucketBy(n, key)
+       .option("path", scratch_path(spark, name)).saveAsTable(name))
+    return spark.table(name)
