@@ -100,3 +100,20 @@ def render_list(arr, fmt: str | None = None) -> Column:
         return F.array_join(F.transform(col(arr), lambda x: F.date_format(x, fmt)), ",")
     return F.array_join(F.transform(col(arr), lambda x: x.cast("string")), ",")
 
+
+
+def wall_instant(c) -> Column:
+    """TIMESTAMP_NTZ -> the TIMESTAMP whose UTC wall clock equals it, in any
+    session time zone: hour windows then start on wall-clock hours and
+    durations are wall-clock durations."""
+    return F.from_utc_timestamp(col(c).cast("timestamp"), F.current_timezone())
+
+
+def wall_clock(c) -> Column:
+    """Inverse of ``wall_instant``: TIMESTAMP -> TIMESTAMP_NTZ of its UTC wall clock."""
+    return F.to_utc_timestamp(col(c), F.current_timezone()).cast("timestamp_ntz")
+
+
+def wall_micros(c) -> Column:
+    """Microseconds since 1970-01-01 00:00 of a TIMESTAMP_NTZ wall clock."""
+    return F.unix_micros(wall_instant(c))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from snapfold.functions.joins import join_null_safe
 from snapfold.functions.ordinals import ordinal_within
+from snapfold.functions.pgcompat import wall_micros
 
 GAME_BUCKET = 4096  # game ids per bucket when numbering rows within a team/player
 
@@ -65,8 +66,7 @@ def longest_streak(df: DataFrame, key: str, order: list[str], pred: Column,
 
 
 def _seconds_between(later: str, earlier: str) -> Column:
-    return (F.unix_micros(F.col(later).cast("timestamp"))
-            - F.unix_micros(F.col(earlier).cast("timestamp"))) / F.lit(1e6)
+    return (wall_micros(later) - wall_micros(earlier)) / F.lit(1e6)
 
 
 def page_transitions(combined: DataFrame, min_users: int | None = 100, bucket_seconds: int = 60) -> DataFrame:

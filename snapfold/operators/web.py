@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from snapfold.functions.joins import join_null_safe
+from snapfold.functions.pgcompat import wall_clock, wall_instant
 
 # Session gap and watermark delay: the reference does not state them; ours.
 SESSION_GAP = "30 minutes"
@@ -16,12 +17,14 @@ WATERMARK_DELAY = "10 minutes"
 
 
 def event_ts(c: str = "event_time", df: DataFrame | None = None) -> Column:
-    """Event time as TIMESTAMP (session zone UTC): watermarks and session
-    windows need it; the sources carry TIMESTAMP_NTZ. A column that already
-    is a TIMESTAMP is used as is, so a watermark on it stays visible."""
+    """Event time as TIMESTAMP: watermarks and session windows need it; the
+    sources carry TIMESTAMP_NTZ, read as a UTC wall clock so windows do not
+    depend on the session time zone (``pgcompat.wall_instant``). A column
+    that already is a TIMESTAMP is used as is, so a watermark on it stays
+    visible."""
     if df is not None and isinstance(df.schema[c].dataType, TimestampType):
         return F.col(c)
-    return F.col(c).cast("timestamp")
+    return wall_instant(c)
 
 
 def count_by_json(df: DataFrame, col: str, path: str, name: str, top: int | None = 10) -> DataFrame:
@@ -38,7 +41,7 @@ def hourly_counts(events: DataFrame, keys: list[str], ts: str = "event_time") ->
     ``window`` works for both; on a stream the caller adds the watermark."""
     w = F.window(event_ts(ts, events), "1 hour")
     return (events.groupBy(w.alias("w"), *keys).agg(F.count(F.lit(1)).alias("num_hits"))
-                  .select(F.col("w.start").cast("timestamp_ntz").alias("event_hour"), *keys, "num_hits"))
+                  .select(wall_clock("w.start").alias("event_hour"), *keys, "num_hits"))
 
 
 def sessions(events: DataFrame, keys: list[str], gap: str = SESSION_GAP, ts: str = "event_time") -> DataFrame:
@@ -48,8 +51,8 @@ def sessions(events: DataFrame, keys: list[str], gap: str = SESSION_GAP, ts: str
     sw = F.session_window(event_ts(ts, events), gap)
     return (events.where(F.col(ts).isNotNull())
                   .groupBy(sw.alias("s"), *keys).agg(F.count(F.lit(1)).alias("num_hits"))
-                  .select(F.col("s.start").cast("timestamp_ntz").alias("session_start"),
-                          F.col("s.end").cast("timestamp_ntz").alias("session_end"),
+                  .select(wall_clock("s.start").alias("session_start"),
+                          wall_clock("s.end").alias("session_end"),
                           *keys, "num_hits"))
 
 
