@@ -37,3 +37,16 @@ def event_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int |
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.parquet(sf_dir)
+
+
+def kafka_event_stream(spark: SparkSession, servers: str, topic: str, schema,
+                       starting_offsets: str = "latest") -> DataFrame:
+    """``events`` from a Kafka topic of JSON values (deployment source; needs
+    the spark-sql-kafka package on the classpath). Same columns as the file
+    source, so every streaming job takes either."""
+    from pyspark.sql import functions as F
+    raw = (spark.readStream.format("kafka")
+           .option("kafka.bootstrap.servers", servers).option("subscribe", topic)
+           .option("startingOffsets", starting_offsets).load())
+    return (raw.select(F.from_json(F.col("value").cast("string"), schema).alias("e"))
+               .select("e.*"))

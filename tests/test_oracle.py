@@ -34,3 +34,15 @@ def test_entry_smoke(spark):
     assert len(rows) > 0
     pct = [r["pct_visited_signup"] for r in rows]
     assert pct == sorted(pct, reverse=True)
+
+
+@pytest.mark.parametrize("name", ["stream_hourly", "host_share", "session_avg", "page_transitions",
+                                  "fct_game_details"])
+def test_session_time_zone_does_not_matter(spark, sf_dir, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")  # +05:30: hours off UTC hours
+    try:
+        ok, msg = compare(spark, name, QUERIES[name], ORACLE[name], sf_dir, con)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert ok, msg
