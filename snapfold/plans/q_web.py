@@ -30,6 +30,15 @@ def session_table(spark, sf_dir, keys=SESSION_KEYS):
     return web.sessions_bucketed(fx.fx_events(spark, sf_dir), list(keys), GAP_MINUTES)
 
 
+@query("inspection_scans")
+def inspection_scans(spark, sf_dir):
+    """``SELECT * FROM processed_events``: the plain read the scripts end with."""
+    return fx.fx_processed_events(spark, sf_dir)
+
+
+oracle("inspection_scans", "SELECT * FROM fx_processed_events")
+
+
 @query("hits_by_country")
 def hits_by_country(spark, sf_dir):
     return web.count_by_json(fx.fx_processed_events(spark, sf_dir), "geodata", "$.country", "country", top=10)
