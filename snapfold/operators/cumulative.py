@@ -34,10 +34,6 @@ def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(c).alias(prefix + c) for c in df.columns])
 
 
-def empty_like(spark, schema) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
 def fold_periods(initial: DataFrame, periods: Iterable, step: Callable[[DataFrame, object], DataFrame],
                  keep_all: bool = True, key: str | None = None) -> DataFrame:
     """Run ``step(state, period)`` over ``periods``; every new state is cut
