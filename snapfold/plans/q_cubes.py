@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-
 from snapfold.operators import cubes
 from snapfold.plans.oracle import REFERRER_CASE_SQL, oracle
 from snapfold.plans.registry import query
