@@ -46,3 +46,17 @@ def ordinal_within(df: DataFrame, keys: list[str], order: list[Column], bucket:
         out = out.withColumn(n, F.col(f"_o_s_{n}") + F.col(f"_l{n}"))
     drop = [_B, "_off", "_lrn", *[f"_o_s_{n}" for n in running], *[f"_l{n}" for n in running]]
     return out.drop(*drop)
+
+
+def rank_by_counts(df: DataFrame, keys: list[str], value: str, name: str = "rank",
+                   descending: bool = True) -> DataFrame:
+    """``RANK() OVER (PARTITION BY keys ORDER BY value [DESC NULLS FIRST])``
+    without a window over the rows: rank = 1 + rows of the partition that sort
+    before the value. Rows are counted per distinct value (a map-side partial
+    aggregate), the window runs over one row per distinct value, and the ranks
+    are joined back on (keys, value)."""
+    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    order = F.col(value).desc_nulls_first() if descending else F.col(value).asc_nulls_first()
+    before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = counts.select(*keys, value, (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1).alias(name))
+    return join_null_safe(df, ranks, [*keys, value])

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from snapfold.functions.ordinals import rank_by_counts
 from snapfold.functions.pgcompat import REFERRER_RULES, referrer_class
 
 OVERALL = "(overall)"
@@ -100,9 +101,10 @@ def points_sets(details: DataFrame, player_seasons: DataFrame, fixed: bool = Fal
                        & F.col("team_abbreviation").isNull()))
     order = F.col("total_points").desc_nulls_first()
     if fixed:
-        # one rank per set and season: the partition carries the grouping flags
-        w_pt = Window.partitionBy("season", "is_player_agg", "is_team_agg").orderBy(order)
-        rank = F.when(F.col("season").isNotNull(), F.rank().over(w_pt))
+        # one rank per set and season (the partition carries the grouping
+        # flags): a whole season per set, so ranked by counting distinct totals
+        agg = rank_by_counts(agg, ["season", "is_player_agg", "is_team_agg"], "total_points", "_rank")
+        rank = F.when(F.col("season").isNotNull(), F.col("_rank"))
     else:
         r_pt = F.rank().over(Window.partitionBy("season", "player_name", "team_abbreviation").orderBy(order))
         r_p = F.rank().over(Window.partitionBy("season", "player_name").orderBy(order))

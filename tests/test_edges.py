@@ -316,3 +316,16 @@ def test_metric_array_rerun_and_skip(spark):
     assert run([1, 2, 2, 3], True) == [10.0, 20.0, 30.0]             # positional: idempotent
     assert run([1, 3], False) == [10.0, 30.0]                        # as written: a skipped day shifts
     assert run([1, 3], True) == [10.0, 0.0, 30.0]
+
+
+
+def test_rank_by_counts_equals_rank(spark):
+    import random
+    from pyspark.sql import Window
+    from snapfold.functions.ordinals import rank_by_counts
+    rnd = random.Random(3)
+    rows = [(rnd.choice(["a", "b", None]), rnd.choice([None, 1, 2, 2, 3, 5, 8])) for _ in range(200)]
+    df = spark.createDataFrame(rows, "k string, v int").withColumn("id", F.monotonically_increasing_id())
+    got = rank_by_counts(df, ["k"], "v", "r").select("id", "r")
+    exp = df.select("id", F.rank().over(Window.partitionBy("k").orderBy(F.col("v").desc_nulls_first())).alias("r"))
+    assert sorted(got.collect()) == sorted(exp.collect())
