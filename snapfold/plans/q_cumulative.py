@@ -20,8 +20,11 @@ def players_table(spark, sf_dir):
 
 
 def players_latest(spark, sf_dir):
-    p = players_table(spark, sf_dir)
-    return p.where(F.col("current_season") == p.select(F.max("current_season")).scalar())
+    """The snapshot of the last season (the last snapshot = the last season
+    of player_seasons, so the scalar does not rebuild the table)."""
+    seasons = fx.fx_player_seasons(spark, sf_dir)
+    p = cu.backfill_players(seasons)
+    return p.where(F.col("current_season") == seasons.select(F.max("season")).scalar())
 
 
 def _explode_players(df):

@@ -6,6 +6,7 @@ from snapfold.operators import cumulative as cu
 from snapfold.operators import scd
 from snapfold.plans.oracle import oracle
 from snapfold.plans.registry import query
+from snapfold.session import cut_lineage
 from snapfold.sources import fixtures as fx
 
 P_ATTRS = ["scoring_class", "is_active"]
@@ -15,15 +16,16 @@ A_NAMES = dict(start="start_date", end="end_date", current="current_year")
 
 
 def _players(spark, sf_dir):
-    seasons = fx.fx_player_seasons(spark, sf_dir)
-    cutoff = seasons.select(F.max("season") - 1).scalar()  # backfill to the last-but-one season
-    return cu.backfill_players(seasons), cutoff
+    """The ``players`` table, stored once (the SCD jobs read it for the history,
+    for the next period's snapshot and for the cutoff), and the cutoff: the
+    backfill runs to the last-but-one season."""
+    players = cut_lineage(cu.backfill_players(fx.fx_player_seasons(spark, sf_dir)))
+    return players, players.select(F.max("current_season") - 1).scalar()
 
 
 def _actors(spark, sf_dir):
-    films = fx.fx_actor_films(spark, sf_dir)
-    cutoff = films.select(F.max("year") - 1).scalar()
-    return cu.backfill_actors(films), cutoff
+    actors = cut_lineage(cu.backfill_actors(fx.fx_actor_films(spark, sf_dir)))
+    return actors, actors.select(F.max("current_year") - 1).scalar()
 
 
 def players_scd(spark, sf_dir, fixed=False):
