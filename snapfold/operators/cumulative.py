@@ -13,9 +13,10 @@ Two ways to build the same table:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from snapfold.functions.pgcompat import first_elem, last_elem, safe_divisor, score_class
@@ -28,6 +29,8 @@ FILM_FIELDS = ("film", "votes", "rating", "filmid")
 PLAYER_COLUMNS = ("player_name", *PLAYER_STATIC, "season_stats", "scoring_class",
                   "years_since_last_season", "current_season", "is_active")
 ACTOR_COLUMNS = ("actor", "year", "films", "quality_class", "current_year", "is_active")
+ROWS_PER_BUCKET = 1_000_000  # target rows per bucket of a stored fold state
+BUCKET_MIN_ROWS = 5_000_000  # smaller states are checkpointed and reshuffled
 
 
 def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
@@ -43,15 +46,28 @@ def fold_periods(initial: DataFrame, periods: Iterable, step: Callable[[DataFram
     With ``key`` (the entity column the step joins on) each state is stored
     bucketed by it: the next step's join reads the state as already
     partitioned and shuffles only the new period's rows, not the whole
-    accumulated state (session setting ``snapfold.fold.bucketedState``,
-    default true; false = plain checkpoints, less fixed cost per step on tiny
-    states). Returns the union of all snapshots, or the last one."""
-    if initial.sparkSession.conf.get("snapfold.fold.bucketedState", "true").lower() != "true":
+    accumulated state, once the state has BUCKET_MIN_ROWS rows (session
+    setting ``snapfold.fold.bucketedState=false`` turns it off). Returns the
+    union of all snapshots, or the last one."""
+    spark = initial.sparkSession
+    if spark.conf.get("snapfold.fold.bucketedState", "true").lower() != "true":
         key = None
-    state, snapshots = initial, []
+    max_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    state, snapshots, rows = initial, [], 0
     for p in periods:
-        out = step(state, p)
-        state = store_bucketed(out, key) if key else cut_lineage(out)
+        # the state's row count is observed while it is written (no extra job);
+        # a state past BUCKET_MIN_ROWS is stored bucketed by the key, with
+        # buckets of ~ROWS_PER_BUCKET rows, so the next join does not shuffle
+        # it; a smaller one is a plain checkpoint (its shuffle costs less than
+        # a table write)
+        seen = Observation()
+        out = step(state, p).observe(seen, F.count(F.lit(1)).alias("rows"))
+        if key and rows >= BUCKET_MIN_ROWS:
+            buckets = max(1, min(max_buckets, math.ceil(rows / ROWS_PER_BUCKET)))
+            state = store_bucketed(out, key, buckets)
+        else:
+            state = cut_lineage(out)
+        rows = seen.get["rows"]
         snapshots.append(state)
     if not snapshots:
         return initial

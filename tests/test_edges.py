@@ -40,7 +40,11 @@ def test_player_step_yesterday_today_both(spark):
     assert all(r["is_active"] is None for r in asw)
 
 
-def test_backfill_equals_fold(spark):
+@pytest.mark.parametrize("bucketed", [False, True])
+def test_backfill_equals_fold(spark, monkeypatch, bucketed):
+    if bucketed:  # store every state bucketed by the key, 1 row per bucket
+        monkeypatch.setattr(cu, "BUCKET_MIN_ROWS", 1)
+        monkeypatch.setattr(cu, "ROWS_PER_BUCKET", 1)
     seasons = seasons_df(spark, [("a", 1996, 21), ("a", 1998, 11), ("b", 1997, 16), ("b", 1998, 3)])
     cols = ["player_name", "current_season", "scoring_class", "years_since_last_season", "is_active"]
     fold = cu.fold_players(seasons, 1996, 1998, fixed=True).select(*cols, "season_stats")
