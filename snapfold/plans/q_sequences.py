@@ -7,6 +7,7 @@ from snapfold.plans.oracle import oracle
 from snapfold.plans.q_cubes import MIN_HITS
 from snapfold.plans.q_facts import _order_sql
 from snapfold.plans.registry import query
+from snapfold.session import cut_lineage
 from snapfold.sources import fixtures as fx
 
 WINDOW_ROWS = 90
@@ -59,7 +60,9 @@ GROUP BY player_name""")
 @query("page_transitions")
 def page_transitions(spark, sf_dir):
     combined = cubes.web_events_combined(fx.fx_events(spark, sf_dir), fx.fx_devices(spark, sf_dir))
-    return sequences.page_transitions(combined, min_users=MIN_HITS)
+    # stored once: the as-of lookup reads the events several times
+    narrow = cut_lineage(combined.select("user_id", "event_time", "url"))
+    return sequences.page_transitions(narrow, min_users=MIN_HITS)
 
 
 oracle("page_transitions", f"""WITH combined AS (

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from snapfold.operators import web
 from snapfold.plans.oracle import oracle
 from snapfold.plans.registry import query
+from snapfold.session import cut_lineage
 from snapfold.sources import fixtures as fx
 
 # Fixed values for the fixture hosts: the LIKE pattern and the host list of
@@ -24,10 +25,17 @@ def hourly(spark, sf_dir, keys=("host",)):
     return web.hourly_counts(fx.fx_events(spark, sf_dir), list(keys))
 
 
-def session_table(spark, sf_dir, keys=SESSION_KEYS):
+def session_events(spark, sf_dir):
+    """The narrow event columns the session jobs read, stored once: the
+    bucketed sessionisation reads its input several times."""
+    return cut_lineage(fx.fx_events(spark, sf_dir).select(*SESSION_SOURCE_KEYS, "event_time"))
+
+
+def session_table(spark, sf_dir, keys=SESSION_KEYS, events=None):
     """Batch sessions (bucketed: a busy ip/host is spread over many tasks);
     the stream uses ``session_window`` with the same result."""
-    return web.sessions_bucketed(fx.fx_events(spark, sf_dir), list(keys), GAP_MINUTES)
+    ev = events if events is not None else session_events(spark, sf_dir)
+    return web.sessions_bucketed(ev, list(keys), GAP_MINUTES)
 
 
 @query("inspection_scans")
@@ -120,9 +128,10 @@ GROUP BY host""")
 
 @query("session_filter")
 def session_filter(spark, sf_dir):
-    a = (session_table(spark, sf_dir).where(F.col("host").like(HOST_LIKE))
+    ev = session_events(spark, sf_dir)
+    a = (session_table(spark, sf_dir, events=ev).where(F.col("host").like(HOST_LIKE))
          .withColumn("referrer", F.lit(None).cast("string")).withColumn("sink", F.lit("ip_host")))
-    b = (session_table(spark, sf_dir, SESSION_SOURCE_KEYS).where(F.col("host").like(HOST_LIKE))
+    b = (session_table(spark, sf_dir, SESSION_SOURCE_KEYS, events=ev).where(F.col("host").like(HOST_LIKE))
          .withColumn("sink", F.lit("ip_host_referrer")))
     return a.unionByName(b)
 
