@@ -13,15 +13,24 @@ SCORING_CLASSES = ("star", "good", "average", "bad")
 VERTEX_TYPES = ("player", "team", "game")
 EDGE_TYPES = ("plays_against", "shares_team", "plays_in", "plays_on")
 
-# Referrer classification, first match wins.
-REFERRER_RULES = (
-    ("%zachwilson%", "On-site"),
-    ("%eczachly%", "On-site"),
-    ("%dataengineer.io%", "On-site"),
+# Referrer classification after the site's own domains, first
+# match wins ('%t.co%' also matches reddit.com and is tested first).
+EXTERNAL_REFERRER_RULES = (
     ("%t.co%", "Twitter"),
     ("%linkedin%", "Linkedin"),
     ("%reddit%", "Reddit"),
 )
+# The site's own domains are deployment data: the fixture site serves
+# *.shop.example. A deployment passes its own patterns.
+SITE_DOMAIN_PATTERNS = ("%shop.example%",)
+
+
+def referrer_rules(site_patterns=SITE_DOMAIN_PATTERNS):
+    """The rule list: own-site patterns -> On-site, then the external rules."""
+    return tuple((p, "On-site") for p in site_patterns) + EXTERNAL_REFERRER_RULES
+
+
+REFERRER_RULES = referrer_rules()
 
 # 32-bit activity masks (top bit = newest day).
 MASK_32 = 0xFFFFFFFF

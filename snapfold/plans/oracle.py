@@ -21,9 +21,7 @@ def load_all() -> dict[str, str]:
 
 # Referrer classification as SQL, first match wins.
 REFERRER_CASE_SQL = """CASE
-    WHEN referrer LIKE '%zachwilson%' THEN 'On-site'
-    WHEN referrer LIKE '%eczachly%' THEN 'On-site'
-    WHEN referrer LIKE '%dataengineer.io%' THEN 'On-site'
+    WHEN referrer LIKE '%shop.example%' THEN 'On-site'
     WHEN referrer LIKE '%t.co%' THEN 'Twitter'
     WHEN referrer LIKE '%linkedin%' THEN 'Linkedin'
     WHEN referrer LIKE '%reddit%' THEN 'Reddit'

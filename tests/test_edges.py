@@ -144,10 +144,12 @@ def test_dedup_total_order(spark):
 
 def test_referrer_rules_first_match(spark):
     df = spark.createDataFrame([("https://reddit.com/r/x",), ("https://www.linkedin.com",), (None,),
-                                ("https://blog.example.org",), ("https://eczachly.com",)], "referrer string")
+                                ("https://blog.example.org",), ("https://alpha.shop.example/x",)], "referrer string")
     got = [r[0] for r in df.select(pg.referrer_class("referrer")).collect()]
     # '%t.co%' also matches reddit.com and is tested first
     assert got == ["Twitter", "Linkedin", "Direct", "Other", "On-site"]
+    own = pg.referrer_rules(("%blog.example%",))
+    assert [r[0] for r in df.select(pg.referrer_class("referrer", own)).collect()][3] == "On-site"
 
 
 def test_grouping_sets_totals_agree(spark, sf_dir):
