@@ -65,8 +65,8 @@ def longest_streak(df: DataFrame, key: str, order: list[str], pred: Column,
     return islands.groupBy(key).agg(F.max(out).cast("bigint").alias(out))
 
 
-def _seconds_between(later: str, earlier: str) -> Column:
-    return (wall_micros(later) - wall_micros(earlier)) / F.lit(1e6)
+def _micros_between(later: str, earlier: str) -> Column:
+    return wall_micros(later) - wall_micros(earlier)
 
 
 def page_transitions(combined: DataFrame, min_users: int | None = 100, bucket_seconds: int = 60) -> DataFrame:
@@ -111,14 +111,17 @@ def page_transitions(combined: DataFrame, min_users: int | None = 100, bucket_se
                  .where(F.col("kind") == 1))
     asof = join_null_safe(local, carry, [*keys, "b"]).select(
         "user_id", "to_url", "from_url", "t", F.coalesce("local_t", "carry_t").alias("prev_t"))
+    # gaps in integer microseconds: the mean is an exact integer sum / count,
+    # the same in any engine and any summation order
     gaps = (asof.where(F.col("prev_t").isNotNull())
-                .select("user_id", "to_url", "from_url", _seconds_between("t", "prev_t").alias("gap")))
+                .select("user_id", "to_url", "from_url", _micros_between("t", "prev_t").alias("gap")))
     per_user = gaps.groupBy("user_id", "to_url", "from_url").agg(F.min("gap").alias("gap"))
+    n = F.count(F.lit(1))
     out = per_user.groupBy("to_url", "from_url").agg(
-        F.count(F.lit(1)).alias("num_users"),
-        F.min("gap").alias("min_seconds"),
-        F.max("gap").alias("max_seconds"),
-        F.avg("gap").alias("avg_seconds"))
+        n.alias("num_users"),
+        (F.min("gap") / F.lit(1e6)).alias("min_seconds"),
+        (F.max("gap") / F.lit(1e6)).alias("max_seconds"),
+        (F.sum("gap") / n / F.lit(1e6)).alias("avg_seconds"))
     if min_users is not None:
         out = out.where(F.col("num_users") > min_users)
     return out
