@@ -212,6 +212,18 @@ def append_metric(state: DataFrame | None, today: DataFrame, day: dt.date, metri
         arr.alias("metric_array"))
 
 
+def upsert_month(state: DataFrame, rows: DataFrame, day: dt.date, metric: str = METRIC) -> DataFrame:
+    """Upsert one day's ``append_metric`` rows into the state.
+
+    The day's rows cover every state row of (month, metric) - the full outer
+    join keeps them all - so the upsert on (user_id, month_start, metric_name)
+    is: drop that month's rows of the metric, add the new ones. A filter and a
+    union: no join and no shuffle of the other months' rows."""
+    month = F.lit(day.replace(day=1))
+    keep = state.where(~((F.col("month_start") == month) & (F.col("metric_name") == metric)))
+    return keep.unionByName(rows)
+
+
 def backfill_metric_arrays(daily: DataFrame, end: Column, metric: str = METRIC) -> DataFrame:
     """The folded ``array_metrics`` of a month in one pass: per user the
     zero-filled daily counts from the month start to ``end``."""

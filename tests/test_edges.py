@@ -324,6 +324,21 @@ def test_metric_array_rerun_and_skip(spark):
     assert run([1, 3], True) == [10.0, 0.0, 30.0]
 
 
+def test_upsert_month_equals_keyed_upsert(spark):
+    from snapfold.sources.sinks import upsert_frames
+    keys = ["user_id", "month_start", "metric_name"]
+    state = spark.createDataFrame(
+        [(1, D(2023, 1, 1), "site_hits", [1.0]), (2, D(2023, 1, 1), "site_hits", [2.0]),
+         (1, D(2022, 12, 1), "site_hits", [9.0]), (1, D(2023, 1, 1), "other", [5.0])],
+        "user_id int, month_start date, metric_name string, metric_array array<double>")
+    today = spark.createDataFrame([(2, D(2023, 1, 2), 4), (3, D(2023, 1, 2), 6)], "user_id int, date date, hits bigint")
+    for positional in (False, True):
+        rows = dl.append_metric(state, today, D(2023, 1, 2), positional=positional)
+        a = sorted(map(tuple, dl.upsert_month(state, rows, D(2023, 1, 2)).collect()))
+        b = sorted(map(tuple, upsert_frames(state, rows, keys).collect()))
+        assert a == b
+
+
 
 def test_rank_by_counts_equals_rank(spark):
     import random
