@@ -13,6 +13,7 @@ rows give repeated rows; a null doc_id is carried; other columns are ignored.
 from __future__ import annotations
 
 import base64
+import re
 from functools import lru_cache
 from heapq import heappop, heappush
 
@@ -23,13 +24,14 @@ from pyspark.sql import functions as F
 
 from snapfold.llm.common import RunCache, batch_of, id_text, map_slices
 
-# white space other than one space between two other characters
-ODD_SPACE = r"(\s{2,}|(?! )\s)"
+# white space as the pattern's engine has it (fixed value); Python's has more
+_W = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+UNIT = f" ?[^{_W}]+|[{_W}]+(?![^{_W}])|[{_W}]+"
 
 WORD_BITS = 256
 BIT = [1 << k for k in range(WORD_BITS)]
-# pre-tokens and runs that a worker remembers, in each of two generations
-CACHED_PIECES, CACHED_RUNS = 200_000, 150_000
+# units and pre-tokens that a worker remembers, in each of two generations
+CACHED = 350_000
 
 
 class Ranks:
@@ -176,71 +178,38 @@ def load_encoder(path: str, pattern: str) -> Encoder:
 
 
 class Encoder:
-    """Encodes texts. A single space between two other characters always begins a
-    match of the pattern, so runs without white space are encoded, and remembered,
-    on their own; other white space is given to the pattern's white space rule."""
+    """Encodes texts unit by unit: a unit is a run without white space with at most one
+    space before it, or other white space, cut as the pattern cuts it. No match of the
+    pattern crosses the end of a unit, so units are encoded, and remembered, alone."""
 
     def __init__(self, path: str, pattern: str):
         import regex
         self.merge = Merger(load_ranks(path)).ids
-        self.findall = regex.compile(pattern).findall
-        self.odd_space = regex.compile(ODD_SPACE)
-        self.pieces = RunCache(lambda p: self.merge([p.encode()])[0], CACHED_PIECES)
-        self.plain = RunCache(self.encode_run, CACHED_RUNS // 4)
-        self.spaced = RunCache(lambda run: self.encode_run(" " + run), CACHED_RUNS)
-
-    def encode_run(self, run: str) -> bytes:
-        return b"".join([self.pieces[m] for m in self.findall(run)])
-
-    def learn(self, texts: list[str]) -> None:
-        """Merges the new pre-tokens of many texts in one queue."""
-        runs, pieces = self.spaced, self.pieces
-        new = [run for run in {run for text in texts for run in text.split()}
-               if len(run) <= runs.longest and not runs.knows(run)]
-        cut = [self.findall(" " + run) for run in new]
-        unknown = [m for m in {m for ms in cut for m in ms} if not pieces.knows(m)]
-        for piece, ids in zip(unknown, self.merge([p.encode() for p in unknown])):
-            pieces.put(piece, ids)
-        for run, ms in zip(new, cut):
-            runs.put(run, b"".join([pieces[m] for m in ms]))
-
-    def encode(self, text: str) -> bytes:
-        """Ids of a text as little-endian 32-bit integers."""
-        out: list[bytes] = []
-        parts = self.odd_space.split(text)
-        plain, spaced = self.plain, self.spaced
-        last = len(parts) - 1
-        lead = False
-        for at in range(0, last + 1, 2):
-            part = parts[at]
-            if part:
-                words = part.split(" ")
-                if at == last and words[-1] == "":      # one space ends the text
-                    words.pop()
-                    tail = True
-                else:
-                    tail = False
-                if words[0] == "" and len(words) > 1:   # one space begins the text
-                    words = words[1:]
-                    lead = True
-                if words and words[0] != "":
-                    out.append(spaced[words[0]] if lead else plain[words[0]])
-                    out.extend(map(spaced.__getitem__, words[1:]))
-                if tail:
-                    out.append(plain[" "])
-            lead = False
-            if at < last:
-                run = parts[at + 1]
-                if at + 1 == last - 1 and not parts[last]:
-                    out.append(self.encode_run(run))    # white space up to the end
-                elif run[-1] == " ":
-                    out.append(self.encode_run(run[:-1]))
-                    lead = True
-                else:
-                    if len(run) > 1:
-                        out.append(self.encode_run(run[:-1]))
-                    out.append(self.encode_run(run[-1]))
-        return b"".join(out)
+        self.matches = regex.compile(pattern).findall
+        self.units = re.compile(UNIT).findall
+        self.known = RunCache(lambda unit: self.encode_new([unit])[0], CACHED)
+
+    def encode_new(self, units: list[str]) -> list[bytes]:
+        """Ids of units; their pre-tokens not known yet are merged in one queue. A
+        match of the pattern is also matched whole when it stands alone."""
+        known = self.known
+        cut = [self.matches(unit) for unit in units]
+        new = list({m for ms in cut for m in ms if not known.knows(m)})
+        got = dict(zip(new, self.merge([m.encode() for m in new])))
+        known.update_all(got)
+        return [b"".join([got[m] if m in got else known[m] for m in ms]) for ms in cut]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts as little-endian 32-bit integers."""
+        known = self.known
+        cut = [self.units(text) for text in texts]
+        new = [u for u in set().union(*cut) if not known.knows(u)]
+        once = dict(zip(new, self.encode_new(new)))
+        known.update_all(once)
+        try:
+            return [b"".join(map(known.__getitem__, units)) for units in cut]
+        finally:
+            known.turn()
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
@@ -250,9 +219,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
         enc = load_encoder(ranks_path, pattern)
 
         def run(batch):
-            texts = batch.column("text").to_pylist()
-            enc.learn(texts)
-            done = [enc.encode(t) for t in texts]
+            done = enc.encode(batch.column("text").to_pylist())
             offsets = np.zeros(len(done) + 1, dtype=np.int32)
             np.cumsum([len(d) // 4 for d in done], out=offsets[1:])
             values = pa.array(np.frombuffer(b"".join(done), dtype="<i4"))

@@ -62,10 +62,11 @@ def null_safe_key(*cols: Column) -> Column:
 
 
 class RunCache(dict):
-    """Results of ``make(run)`` in two generations of at most ``limit`` runs, none longer
-    than ``longest``: bounded memory in which frequent runs stay."""
+    """Results of ``make(run)`` in two generations: once ``limit`` runs are held, ``turn``
+    makes them the old generation, whose runs come back when they are met again. So
+    memory is bounded and frequent runs stay. Runs over ``longest`` aren't kept."""
 
-    def __init__(self, make, limit: int = 120_000, longest: int = 48):
+    def __init__(self, make, limit: int, longest: int = 48):
         super().__init__()
         self.make, self.limit, self.longest = make, limit, longest
         self.old: dict = {}
@@ -76,14 +77,17 @@ class RunCache(dict):
             got = self.make(run)
             if len(run) > self.longest:
                 return got
-        self.put(run, got)
+        self[run] = got
         return got
 
     def knows(self, run) -> bool:
         return run in self or run in self.old
 
-    def put(self, run, got) -> None:
+    def update_all(self, got: dict) -> None:
+        self.update((k, v) for k, v in got.items() if len(k) <= self.longest)
+
+    def turn(self) -> None:
+        """To be called between texts."""
         if len(self) >= self.limit:
-            self.old = self.copy()
+            self.old = dict(self)
             self.clear()
-        self[run] = got

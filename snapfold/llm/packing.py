@@ -116,7 +116,10 @@ class RunTokenizer:
 
     def encode(self, text: str) -> bytes:
         runs = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        return b"".join(map(self.runs.__getitem__, runs))
+        ids = b"".join(map(self.runs.__getitem__, runs))
+        self.runs.turn()
+        self.words.turn()
+        return ids
 
 
 @lru_cache(maxsize=2)

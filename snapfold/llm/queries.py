@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapfold.llm import byte_bpe, packing
+from snapfold.llm import byte_bpe, packing, simhash_dedup
 from snapfold.llm.common import table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -30,9 +30,17 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), WORD_TOKENIZER)
 
 
+def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose SimHashes are linked within four bits."""
+    found = simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash_dedup.hex_fingerprint(F.col("fp")).alias("fingerprint"),
+                        "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_packing": op3_packing,
+    "op4_simhash_dedup": op4_simhash_dedup,
 }
 
 ORACLE: dict[str, str] = {}
