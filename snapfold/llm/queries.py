@@ -9,13 +9,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapfold.llm import byte_bpe, packing, simhash_dedup
+from snapfold.llm import byte_bpe, fingerprints, license_scan, packing, secrets, simhash_dedup
 from snapfold.llm.common import table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and labels of every document."""
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE of every document, encoded and decoded."""
     ids = byte_bpe.encode(table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
@@ -37,10 +42,39 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "component_id")
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited form, and how many other
+    fingerprints of the corpus lie within three bits."""
+    tested = fingerprints.edit_test(table(spark, sf_dir, "documents"))
+    near = fingerprints.near_counts(tested.select("fp").distinct())
+    return tested.join(near, "fp", "left").select(
+        "doc_id", "n_chars", "edited_sha256", simhash_dedup.hex_fingerprint(F.col("fp")).alias("fingerprint"),
+        simhash_dedup.hex_fingerprint(F.col("edited_fp")).alias("edited_fingerprint"), "near_edited", "near_next",
+        F.coalesce("n_near", F.lit(0)).alias("n_near"))
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, and how many of their values look live or copied."""
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    spans = F.coalesce("judged", F.array().cast("array<struct<start:int,kind:int,end:int,live:boolean,"
+                                                "n_repos:bigint,n_owners:bigint>>"))
+    base = F.filter(spans, lambda s: s["kind"] < 3)
+    of_kind = lambda k: F.size(F.filter(spans, lambda s: s["kind"] == k)).cast("long")
+    return found.select(
+        "doc_id", of_kind(0).alias("n_assign"), of_kind(1).alias("n_access"), of_kind(2).alias("n_hex"),
+        F.sha2(secrets.spans_text(base), 256).alias("base_sha256"),
+        secrets.spans_text(F.filter(spans, lambda s: (s["kind"] < 3) | s["live"])).alias("spans"),
+        F.size(F.filter(spans, lambda s: s["live"])).cast("long").alias("n_live"),
+        F.size(F.filter(spans, lambda s: ~s["live"])).cast("long").alias("n_copied"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_packing": op3_packing,
     "op4_simhash_dedup": op4_simhash_dedup,
+    "op6_fingerprints": op6_fingerprints,
+    "op7_secret_scan": op7_secret_scan,
 }
 
 ORACLE: dict[str, str] = {}

@@ -21,7 +21,6 @@ component with no doc_id at all has component_id null; other columns are ignored
 from __future__ import annotations
 
 from functools import partial
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +29,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from snapfold.llm.common import batch_of, id_text, map_slices, store
+from snapfold.llm.shards import block_masks, deal_shards, map_shards
 
 SHINGLE_WORDS = 4
 RADIUS = 4
@@ -163,59 +163,16 @@ def shard_links(shard: np.ndarray, is_node: np.ndarray, own: np.ndarray, values:
 
 # ---- links between distinct fingerprints
 
-def block_masks(radius: int = RADIUS, blocks: int = BLOCKS) -> list[int]:
-    """For each choice of ``blocks - radius`` blocks, the mask of their bits (unsigned).
-    Values within the radius agree under one mask at least."""
-    cuts = [64 * k // blocks for k in range(blocks + 1)]
-    bits = [((1 << (b - a)) - 1) << a for a, b in zip(cuts, cuts[1:])]
-    return [sum(c) for c in combinations(bits, blocks - radius)]
-
-
-def signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
-
-
 def links(distinct: DataFrame, radius: int = RADIUS, tree_nodes: int = TREE_NODES) -> DataFrame:
     """(a long, b long), a != b: links that connect whatever the links within the radius
     between the distinct values in column ``fp`` connect."""
     masks = block_masks(radius, max(BLOCKS, radius + 1))
-    shards = distinct.select("fp", F.explode(F.array(*[
-        F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("v"))
-        for t, m in enumerate(masks)])).alias("s")).select("fp", "s.t", "s.v")
-    sizes = shards.groupBy("t", "v").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    # a shard of n fingerprints is cut into c trees by hash; tree i also gets the parts j > i
-    cut = (F.ceil(F.col("n") / F.lit(tree_nodes))).cast("int")
-    dealt = (shards.join(sizes.withColumn("c", cut).drop("n"), ["t", "v"])
-             .withColumn("p", F.pmod(F.xxhash64("fp"), F.col("c")).cast("int"))
-             .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("c") - 1)))
-             .select("t", "v", F.least("i", "p").alias("tree"), F.greatest("i", "p").alias("part"),
-                     (F.col("p") <= F.col("i")).alias("is_node"), "fp"))
-
-    def search(batches):
-        held: list[np.ndarray] | None = None
-
-        def found(rows):
-            t, v, tree, part, is_node, fp = rows
-            new = np.concatenate([[True], np.any([x[1:] != x[:-1] for x in (t, v, tree, part)], axis=0)])
-            x, y = shard_links(np.cumsum(new), is_node, tree == part, fp.view(np.uint64), radius)
-            return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array(y.view(np.int64))],
-                                              names=["a", "b"])
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            if held is not None:
-                rows = [np.concatenate(x) for x in zip(held, rows)]
-            last = np.all([x == x[-1] for x in rows[:4]], axis=0)   # a shard that may go on
-            whole = int(np.argmax(last))
-            if whole:
-                yield found([x[:whole] for x in rows])
-            held = [x[whole:] for x in rows]
-        if held is not None:
-            yield found(held)
-    by = ["t", "v", "tree", "part"]
-    return (dealt.repartition(*by).sortWithinPartitions(*by)
-            .mapInArrow(search, "a long, b long").distinct())
+    dealt = deal_shards(distinct, masks, tree_nodes)
+
+    def found(t, own, shard, is_node, values):
+        a, b = shard_links(shard, is_node, own, values, radius)
+        return {"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))}
+    return map_shards(dealt, found, "a long, b long").distinct()
 
 
 # ---- components
