@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapfold.llm import byte_bpe, fingerprints, license_scan, packing, secrets, simhash_dedup
+from snapfold.llm import ann, byte_bpe, fingerprints, license_scan, packing, secrets, simhash_dedup
 from snapfold.llm.common import table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -42,6 +42,11 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "component_id")
 
 
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest of all vectors for each whose vec_id is divisible by 50."""
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited form, and how many other
     fingerprints of the corpus lie within three bits."""
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_packing": op3_packing,
     "op4_simhash_dedup": op4_simhash_dedup,
+    "op5_nearest_neighbours": op5_nearest_neighbours,
     "op6_fingerprints": op6_fingerprints,
     "op7_secret_scan": op7_secret_scan,
 }
