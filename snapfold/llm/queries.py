@@ -9,8 +9,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapfold.llm import ann, byte_bpe, fingerprints, license_scan, packing, secrets, simhash_dedup
+from snapfold.llm import (ann, byte_bpe, fingerprints, license_scan, packing, quality, secrets, simhash_dedup,
+                          toxicity)
 from snapfold.llm.common import table
+from snapfold.llm.labelled import fold
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -73,6 +75,24 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(F.filter(spans, lambda s: ~s["live"])).cast("long").alias("n_copied"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; crc32 fold 0 of 5 is held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), "toxic", folds=5, held_out=0)
+    return toxicity.classify(docs, model).select(
+        "doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; crc32 fold 2 of 4 is held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), "quality", folds=4, held_out=2)
+    return quality.classify(docs, model).select(
+        "doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_byte_bpe": op2_byte_bpe,
@@ -81,6 +101,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_nearest_neighbours": op5_nearest_neighbours,
     "op6_fingerprints": op6_fingerprints,
     "op7_secret_scan": op7_secret_scan,
+    "op9_toxicity": op9_toxicity,
+    "op10_quality": op10_quality,
 }
 
 ORACLE: dict[str, str] = {}
