@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from snapfold.llm.common import batch_of, id_text, map_slices
 from snapfold.llm.labelled import TRAIN_ROWS, chosen, fold
@@ -63,21 +64,24 @@ def statistics_of(text: str) -> list[float]:
             len(URL.findall(raw)) / per]
 
 
-def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] = []) -> DataFrame:
-    """(doc_id, *keep, *STATS), one row per row of ``docs``."""
-    texts = id_text(docs, id_col, text_col) if not keep else docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), *keep,
-        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+STAT_PREFIX = "__quality_"      # of the columns added to a table's own
+SCORE = STAT_PREFIX + "score"
+
+
+def with_statistics(rows: DataFrame, text_col: str = "text", columns: list[str] | None = None) -> DataFrame:
+    """``columns`` (else all) of every row, and the statistics as STAT_PREFIX columns."""
+    columns = rows.columns if columns is None else columns
+    schema = StructType([rows.schema[c] for c in columns]
+                        + [StructField(STAT_PREFIX + s, DoubleType()) for s in STATS])
 
     def make():
         def run(batch):
-            rows = np.array([statistics_of(t) for t in batch.column("text").to_pylist()]).reshape(-1, len(STATS))
-            cols = {c: batch.column(c) for c in ["doc_id", *keep]}
-            return batch_of(cols | {s: pa.array(rows[:, j]) for j, s in enumerate(STATS)})
+            texts = batch.column(text_col).to_pylist()
+            got = np.array([statistics_of(t or "") for t in texts]).reshape(-1, len(STATS))
+            return batch_of({c: batch.column(c) for c in columns}
+                            | {STAT_PREFIX + s: pa.array(got[:, j]) for j, s in enumerate(STATS)})
         return run
-    types = dict(texts.dtypes)
-    schema = ", ".join([f"`{c}` {types[c]}" for c in ["doc_id", *keep]] + [f"{s} double" for s in STATS])
-    return map_slices(texts, make, schema)
+    return map_slices(rows, make, schema)
 
 
 # ---- rules
@@ -177,7 +181,7 @@ class RuleEnsemble:
         for rule, weight in self.rules:
             test = None
             for j, low, value in rule:
-                one = F.col(STATS[j]) <= F.lit(value) if low else F.col(STATS[j]) > F.lit(value)
+                one = F.col(STAT_PREFIX + STATS[j]) <= value if low else F.col(STAT_PREFIX + STATS[j]) > value
                 test = one if test is None else test & one
             total = total + F.when(test, F.lit(weight)).otherwise(F.lit(0.0))
         return 1 / (1 + F.exp(-total))
@@ -194,9 +198,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: in
     """Fitted on at most ``rows`` labelled rows outside the held-out fold."""
     train = chosen(labels, label, fold(F.col("doc_id"), folds) != held_out, rows)
     texts = id_text(docs, id_col, text_col).join(F.broadcast(train), "doc_id")
-    got = statistics(texts, keep=["y"]).toArrow()
+    got = with_statistics(texts, columns=["doc_id", "y"]).toArrow()
     order = np.argsort(got.column("doc_id").to_numpy(), kind="stable")[:rows]
-    x = np.stack([got.column(s).to_numpy()[order] for s in STATS], axis=1) if len(order) else np.zeros((0, len(STATS)))
+    x = np.stack([got.column(STAT_PREFIX + s).to_numpy()[order] for s in STATS], axis=1)
     y = got.column("y").to_numpy()[order].astype(float)
     p = float(y.mean()) if len(y) else 0.5
     if p in (0.0, 1.0) or len(y) < 20:
@@ -207,6 +211,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: in
     return RuleEnsemble(b, [(r, float(v)) for r, v in zip(rules, w) if abs(v) > 1e-6])
 
 
+def scored(docs: DataFrame, model: RuleEnsemble, text_col: str = "text") -> DataFrame:
+    """Every row with all its columns and its score in column SCORE."""
+    return with_statistics(docs, text_col).withColumn(SCORE, model.column()).select(*docs.columns, SCORE)
+
+
 def classify(docs: DataFrame, model: RuleEnsemble, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score) of every row."""
-    return statistics(docs, id_col, text_col).select("doc_id", model.column().alias("score"))
+    rows = with_statistics(id_text(docs, id_col, text_col), columns=["doc_id"])
+    return rows.select("doc_id", model.column().alias("score"))

@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapfold.llm import (ann, byte_bpe, fingerprints, license_scan, packing, quality, secrets, simhash_dedup,
-                          toxicity)
+                          toxicity, warc)
 from snapfold.llm.common import table
 from snapfold.llm.labelled import fold
+from snapfold.llm.oracles import ORACLE  # noqa: F401
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -75,6 +76,11 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(F.filter(spans, lambda s: ~s["live"])).cast("long").alias("n_copied"))
 
 
+def op8_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and plain-text records of every page."""
+    return warc.derive(warc.responses(table(spark, sf_dir, "pages")))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; crc32 fold 0 of 5 is held out."""
     docs = table(spark, sf_dir, "documents")
@@ -101,8 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_nearest_neighbours": op5_nearest_neighbours,
     "op6_fingerprints": op6_fingerprints,
     "op7_secret_scan": op7_secret_scan,
+    "op8_warc_derivatives": op8_warc_derivatives,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
 }
-
-ORACLE: dict[str, str] = {}

@@ -90,17 +90,11 @@ def more_spans(text: str, base: list[Span]) -> list[Span]:
     return found
 
 
-def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               owner_col: str = "source", repo_col: str = "doc_id") -> DataFrame:
-    """(row, doc_id, owner, repo, found): one row per row of ``docs`` with its spans of
-    all kinds as array of (kind, start, end, hash of the value)."""
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
-        F.coalesce(F.col(owner_col).cast("string"), F.lit("")).alias("owner"),
-        F.coalesce(F.col(repo_col).cast("string"), F.lit("")).alias("repo"),
-        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    span = pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("hash", pa.int64())])
+SPAN = pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("hash", pa.int64())])
+
 
+def _searched(rows: DataFrame) -> DataFrame:
+    """Adds ``found`` to (row, doc_id, owner, repo, text), in place of text."""
     def make():
         def run(batch):
             out = []
@@ -110,12 +104,30 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                              "hash": xxh64_intdigest(v.encode("utf-8", "surrogatepass")) - (1 << 63)}
                             for k, s, e, v in base + more_spans(text, base)])
             kept = {c: batch.column(c) for c in ("row", "doc_id", "owner", "repo")}
-            return batch_of(kept | {"found": (out, pa.list_(span))})
+            return batch_of(kept | {"found": (out, pa.list_(SPAN))})
         return run
     return map_slices(rows, make, "row long, doc_id long, owner string, repo string, "
                                   "found array<struct<kind:int,start:int,end:int,hash:long>>")
 
 
+def _named(docs: DataFrame, row, id_col: str, text_col: str, owner_col: str, repo_col: str) -> DataFrame:
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in docs.columns else F.lit("")
+    return docs.select(row.alias("row"), F.col(id_col).cast("long").alias("doc_id"), text(owner_col).alias("owner"),
+                       text(repo_col).alias("repo"), text(text_col).alias("text"))
+
+
+def _exploded(some: DataFrame, *cols: str) -> DataFrame:
+    found = store(_searched(_named(some, F.col(ROW), *cols)), "secret-spans")
+    return found.select("row", "owner", "repo", F.explode("found").alias("s")).select("row", "owner", "repo", "s.*")
+
+
+def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               owner_col: str = "source", repo_col: str = "doc_id") -> DataFrame:
+    """(row, doc_id, owner, repo, found): one row per row of ``docs`` with its spans of
+    all kinds as array of (kind, start, end, hash of the value)."""
+    return _searched(_named(docs, F.monotonically_increasing_id(), id_col, text_col, owner_col, repo_col))
+
+
 def ownership(found: DataFrame) -> DataFrame:
     """(hash, n_repos, n_owners) over the corpus, from rows (hash, owner, repo)."""
     held = found.select("hash", "owner", "repo").distinct()
@@ -141,3 +153,48 @@ def spans_text(spans):
     names = F.array(*[F.lit(k) for k in KINDS])
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(
         ":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+# ---- masking
+
+ROW, SPANS = "__secret_row", "__secret_spans"      # columns added to a table's own
+MASK = "[SECRET]"
+
+
+def masked_text(text: str, more: list[tuple[int, int]]) -> str:
+    """``text`` with its base spans and the spans ``more`` replaced; spans that overlap
+    become one."""
+    cuts = sorted([(s, e) for _, s, e, _ in base_spans(text)] + more)
+    out, at = [], 0
+    for k, (start, end) in enumerate(cuts):
+        if start >= at or k == 0:
+            out += [text[at:start], MASK]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+def mask(docs: DataFrame, max_owners: int = MAX_OWNERS, id_col: str = "doc_id", text_col: str = "text",
+         owner_col: str = "source", repo_col: str = "doc_id") -> DataFrame:
+    """All rows with secrets masked: every base span, and those of the further kinds whose
+    value looks live. Only rows that may hold a further kind are stored and joined with
+    what the corpus says of its values; the others are masked as they are read."""
+    columns = docs.columns
+    may = F.coalesce(F.col(text_col).rlike(MORE_RLIKE), F.lit(False))
+    some = store(docs.filter(may).withColumn(ROW, F.monotonically_increasing_id()), "secret-rows")
+    each = _exploded(some, id_col, text_col, owner_col, repo_col).filter(F.col("kind") >= 3)
+    live = ownership(each).filter(F.col("n_owners") <= max_owners).select("hash")
+    spans = each.join(live, "hash").groupBy("row").agg(
+        F.collect_list(F.struct("start", "end")).alias(SPANS)).withColumnRenamed("row", ROW)
+
+    def masker(with_spans: bool):
+        def make():
+            def run(batch):
+                given = batch.column(SPANS).to_pylist() if with_spans else [None] * batch.num_rows
+                texts = [None if t is None else masked_text(t, [(x["start"], x["end"]) for x in g or ()])
+                         for t, g in zip(batch.column(text_col).to_pylist(), given)]
+                return batch_of({c: batch.column(c) for c in columns} | {text_col: (texts, pa.string())})
+            return run
+        return make
+    quiet = map_slices(docs.filter(~may), masker(False), docs.schema)
+    told = map_slices(some.join(spans, ROW, "left").select(*columns, SPANS), masker(True), docs.schema)
+    return quiet.union(told)

@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 from xxhash import xxh64_intdigest
 
 from snapfold.llm.common import batch_of, id_text, map_slices, store
@@ -36,6 +37,7 @@ RADIUS = 4
 HASH_SEED = 42
 BLOCKS = 6            # a shard is 2 of 6 blocks: 21 or 22 bits
 TREE_NODES = 4096     # of one BK-tree, at most
+ROW = "__row"         # the column that tells rows apart
 
 
 # ---- fingerprints
@@ -60,13 +62,19 @@ def simhash(text: str, words_per_shingle: int = SHINGLE_WORDS) -> int:
 def fingerprints(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """(doc_id, fp long): the fingerprint's 64 bits as a signed integer."""
+    return fingerprints_of(id_text(docs, id_col, text_col), words_per_shingle, "text", "doc_id")
+
+
+def fingerprints_of(rows: DataFrame, words_per_shingle: int, text_col: str, kept: str = ROW) -> DataFrame:
+    """Column ``kept`` of every row and the fingerprint of its text in ``fp``."""
     def make():
         def run(batch):
-            fps = np.array([simhash(t, words_per_shingle) for t in batch.column("text").to_pylist()],
-                           dtype=np.uint64)
-            return batch_of({"doc_id": batch.column("doc_id"), "fp": pa.array(fps.view(np.int64))})
+            texts = batch.column(text_col).to_pylist()
+            fps = np.array([simhash(t or "", words_per_shingle) for t in texts], dtype=np.uint64)
+            return batch_of({kept: batch.column(kept), "fp": pa.array(fps.view(np.int64))})
         return run
-    return map_slices(id_text(docs, id_col, text_col), make, "doc_id long, fp long")
+    schema = StructType([rows.schema[kept], StructField("fp", LongType())])
+    return map_slices(rows.select(kept, text_col), make, schema)
 
 
 def hex_fingerprint(fp):
@@ -204,14 +212,42 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return e.select("v", F.col("u").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS, radius: int = RADIUS,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp, component_id): one row per row of ``docs``."""
-    prints = store(fingerprints(docs, words_per_shingle, id_col, text_col), "fingerprints")
+def grouped(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(fp, first_id, root, component_id) for every distinct fingerprint in ``prints``
+    (doc_id, fp): its smallest doc_id, its component, and the smallest doc_id there."""
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     roots = components(links(distinct.select("fp"), radius))
     rooted = distinct.join(roots.withColumnRenamed("v", "fp"), "fp", "left") \
         .withColumn("root", F.coalesce("root", "fp"))
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_print = rooted.join(ids, "root").select("fp", "component_id")
-    return prints.join(of_print, "fp").select("doc_id", "fp", "component_id")
+    return rooted.join(ids, "root")
+
+
+def near_duplicates(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS, radius: int = RADIUS,
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, fp, component_id): one row per row of ``docs``."""
+    prints = store(fingerprints(docs, words_per_shingle, id_col, text_col), "fingerprints")
+    return prints.join(grouped(prints, radius).select("fp", "component_id"), "fp") \
+        .select("doc_id", "fp", "component_id")
+
+
+def deduplicate(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS, radius: int = RADIUS,
+                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row, whole, of each component: that with its smallest doc_id, null last. Rows
+    that share the id are told apart by a hash of all their columns; of equal rows one
+    stays. Groups are found on ids, hashes and fingerprints alone."""
+    parts = [x for c in docs.columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    row = F.struct(F.col(id_col).isNull().alias("none"), F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"),
+                   F.xxhash64(*parts).alias("hash"))
+    prints = store(fingerprints_of(docs.withColumn(ROW, row), words_per_shingle, text_col), "fingerprints")
+    first = prints.groupBy("fp").agg(F.min(ROW).alias(ROW))
+    roots = components(links(first.select("fp"), radius)).withColumnRenamed("v", "fp")
+    kept = first.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min(ROW).alias(ROW))
+    times = prints.groupBy(ROW).agg(F.count(F.lit(1)).alias("times"))
+    kept = store(kept.select(ROW).join(times, ROW), "kept-rows")
+    marked = docs.withColumn(ROW, row)
+    once = marked.join(kept.filter("times = 1").select(ROW), ROW, "left_semi").select(docs.columns)
+    repeated = kept.filter("times > 1").select(ROW)
+    if repeated.isEmpty():
+        return once
+    return once.union(marked.join(repeated, ROW, "left_semi").dropDuplicates([ROW]).select(docs.columns))

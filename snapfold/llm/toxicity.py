@@ -26,12 +26,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from snapfold.llm.common import RunCache, batch_of, id_text, map_slices
 from snapfold.llm.labelled import TRAIN_ROWS, chosen, fold
 
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (3, 4, 5, 6, 7, 8)
+LONGEST = 40            # characters of a word that terms are learned from
 LEAST_DOCS = 4          # toxic training rows that a learned term is in, at least
+SURPRISE = 4.0          # standard deviations over chance, at least
 RATIO = 4.0             # commoner in toxic rows by this factor, at least
 MOST_TERMS = 6000       # learned terms, at most
 LEXICONS = 8            # voters that the learned words, and the beginnings, are dealt into
@@ -65,24 +68,39 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out:
 
 def learn_lexicon(train: DataFrame, most: int = MOST_TERMS) -> dict[str, float]:
     """Log-ratio of each learned term: how much commoner it is in toxic rows."""
-    def make():
-        def run(batch):
-            ys, terms = [], []
-            for y, text in zip(batch.column("y").to_pylist(), batch.column("text").to_pylist()):
-                own = {t for w in words_of(text) if len(w) <= 40 for t in terms_of(w)}
-                terms += own
-                ys += [y] * len(own)
-            return batch_of({"term": (terms, pa.string()), "y": (ys, pa.int32())})
-        return run
-    counts = map_slices(train.select("y", "text"), make, "term string, y int") \
-        .groupBy("term").agg(F.sum("y").alias("toxic"), F.count(F.lit(1)).alias("n"))
+    def count(batches):
+        held: dict[str, list[int]] = {}                 # a term's toxic rows and rows, combined here
+
+        def flush():
+            out = batch_of({"term": (list(held), pa.string()),
+                            "toxic": ([x[0] for x in held.values()], pa.int64()),
+                            "n": ([x[1] for x in held.values()], pa.int64())})
+            held.clear()
+            return out
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                some = batch.slice(at, 64)
+                for y, text in zip(some.column("y").to_pylist(), some.column("text").to_pylist()):
+                    for t in {t for w in words_of(text) if len(w) <= LONGEST for t in terms_of(w)}:
+                        x = held.setdefault(t, [0, 0])
+                        x[0] += y
+                        x[1] += 1
+                if len(held) > CACHED:
+                    yield flush()
+        if held:
+            yield flush()
+    counts = train.select("y", "text").mapInArrow(count, "term string, toxic long, n long") \
+        .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
     size = train.agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("toxic")).first()
     n, toxic = size["n"], size["toxic"] or 0
     if not toxic or toxic == n:
         return {}
     ratio = ((F.col("toxic") + 0.1) / F.lit(float(toxic))) / ((F.col("n") - F.col("toxic") + 0.5) / F.lit(float(n - toxic)))
+    expected = F.col("n") * F.lit(toxic / n)
+    surprise = (F.col("toxic") - expected) / F.sqrt(expected)
     found = (counts.filter(F.col("toxic") >= LEAST_DOCS).withColumn("ratio", ratio)
-             .filter(F.col("ratio") >= RATIO).orderBy(F.desc("toxic"), "term").limit(most))
+             .filter((F.col("ratio") >= RATIO) & (surprise >= SURPRISE))
+             .orderBy(F.desc("toxic"), "term").limit(most))
     return {r["term"]: math.log(r["ratio"]) for r in found.collect()}
 
 
@@ -254,12 +272,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: in
     return Model(lexicon, b, w)
 
 
-def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
-             keep: list[str] = []) -> DataFrame:
-    """(doc_id, *keep, score) of every row, over whole texts."""
-    texts = id_text(docs, id_col, text_col) if not keep else docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), *keep,
-        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+SCORE = "__toxicity_score"      # the column added to a table's own
+
+
+def scored(docs: DataFrame, model: Model, text_col: str = "text", columns: list[str] | None = None) -> DataFrame:
+    """``columns`` (else all) of every row and the score of its whole text, in SCORE."""
+    columns = docs.columns if columns is None else columns
     lexicon, intercept, weights = model.lexicon, model.intercept, model.weights
     beginning = _beginnings(lexicon)
 
@@ -268,11 +286,16 @@ def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
         def run(batch):
             scores = []
-            for text in batch.column("text").to_pylist():
-                total = intercept + float(weights[_features(voters, beginning, text)[1]].sum())
+            for text in batch.column(text_col).to_pylist():
+                total = intercept + float(weights[_features(voters, beginning, text or "")[1]].sum())
                 scores.append(1 / (1 + math.exp(-max(-40.0, min(40.0, total)))))
-            return batch_of({c: batch.column(c) for c in ["doc_id", *keep]} | {"score": (scores, pa.float64())})
+            return batch_of({c: batch.column(c) for c in columns} | {SCORE: (scores, pa.float64())})
         return run
-    types = dict(texts.dtypes)
-    schema = ", ".join([f"`{c}` {types[c]}" for c in ["doc_id", *keep]] + ["score double"])
-    return map_slices(texts, make, schema)
+    schema = StructType([docs.schema[c] for c in columns] + [StructField(SCORE, DoubleType())])
+    return map_slices(docs, make, schema)
+
+
+def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, score) of every row."""
+    rows = scored(id_text(docs, id_col, text_col), model, columns=["doc_id"])
+    return rows.withColumnRenamed(SCORE, "score")
