@@ -1,0 +1,70 @@
+from __future__ import annotations
+
+import zlib
+
+import corpus_pipeline as cp
+from snapfold.llm import quality, secrets, toxicity
+from snapfold.llm.common import store, table
+from tests.llm import cases
+from tests.llm.test_packing import check
+from tests.llm.test_simhash_dedup import brute_components, brute_fingerprint
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_stages_by_brute_force(spark):
+    """Each stage's decisions, worked out again row by row from what it was given."""
+    from tokenizers import Tokenizer
+    docs = table(spark, SF, "documents")
+    given = {r.doc_id: r.text for r in docs.collect()}
+    labels = {r.doc_id: r for r in table(spark, SF, "labels").collect()}
+
+    kept = store(cp.quality_stage(spark, docs, SF), "t")
+    left = {r.doc_id: r.text for r in kept.collect()}
+    assert kept.columns == docs.columns and all(given[i] == t for i, t in left.items())
+    model = quality.fit(docs, table(spark, SF, "labels"), "quality", 4, 2)
+    assert set(left) == {i for i, t in given.items() if model.score(
+        __import__("numpy").array([quality.statistics_of(t)]))[0] >= cp.KEEP_QUALITY}
+    good = [i for i, r in labels.items() if r.quality == 1]
+    assert sum(i in left for i in good) > 0.98 * len(good)
+
+    clean = store(cp.toxicity_stage(spark, kept, SF), "t")
+    fewer = {r.doc_id: r.text for r in clean.collect()}
+    model = toxicity.fit(kept, table(spark, SF, "labels"), "toxic", 5, 0)
+    score = {r.doc_id: r.score for r in toxicity.classify(kept, model).collect()}
+    assert set(fewer) == {i for i in left if score[i] < cp.REJECT_TOXIC}
+
+    once = store(cp.near_dedup_stage(spark, clean, SF), "t")
+    ids = sorted(fewer)
+    roots = brute_components([brute_fingerprint(fewer[i]) for i in ids], 4)
+    assert sorted(r.doc_id for r in once.collect()) == sorted({ids[r] for r in roots})
+
+    masked = store(cp.secrets_stage(spark, once, SF), "t")
+    for r in masked.collect():
+        assert not secrets.base_spans(r.text) and r.n_chars == len(r.text)
+        assert r.text == fewer[r.doc_id] or secrets.MASK in r.text
+
+    tok = Tokenizer.from_file(cp.WORD_TOKENIZER)
+    tok.encode_special_tokens = True
+    check(cp.packing_stage(spark, masked, SF).collect(), [(r.doc_id, r.text) for r in masked.collect()], tok)
+
+
+def test_run_is_the_stages_in_order(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in cp.STAGES:
+        docs = store(stage(spark, docs, sf_dir), "t")
+    assert sorted(map(tuple, docs.collect())) == sorted(map(tuple, cp.run(spark, sf_dir).collect()))
+    assert [n for n, _ in cp.STAGES] == ["quality", "toxicity", "near_dedup", "secrets", "packing"]
+
+
+def test_odd_rows_and_empty_table(spark, tmp_path):
+    sf = str(tmp_path)
+    rows = [(i, i % 3 // 2, int(zlib.crc32(str(i).encode()) % 3 == 0)) for i, _ in cases.texts() if i is not None]
+    cases.labels(spark, rows).write.parquet(f"{sf}/labels.parquet")
+    for docs in (cases.docs(spark), cases.empty(spark)):
+        columns = docs.columns
+        for name, stage in cp.STAGES:
+            docs = store(stage(spark, docs, sf), "t")
+            if name != "packing":
+                assert docs.columns == columns
+        docs.count()
