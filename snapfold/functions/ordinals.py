@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapfold.functions.joins import join_null_safe
+from snapfold.functions.joins import plain_keys, restored
 
 _B = "_bucket"
 
@@ -22,41 +22,61 @@ def ordinal_within(df: DataFrame, keys: list[str], order: list[Column], bucket:
                    name: str = "rn", running: dict[str, Column] | None = None) -> DataFrame:
     """Add ``name`` = 1-based row number within ``keys`` in ``order``.
 
-    ``bucket`` must be monotone in ``order`` (e.g. ``floor(game_id / 4096)``).
-    ``running`` maps output names to numeric columns whose running sum (over
-    rows up to and including the current one, in the same order) is added too.
-    """
+    ``bucket`` must be monotone in ``order`` (e.g. ``floor(game_id / 4096)``); a
+    NULL bucket comes last. ``running`` maps output names to numeric columns
+    whose running sum (over rows up to and including the current one, in the
+    same order) is added too."""
     running = running or {}
-    b = df.withColumn(_B, bucket)
-    sums = {f"_s_{n}": F.sum(c) for n, c in running.items()}
-    per_bucket = b.groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("_cnt"),
-                                          *[v.alias(k) for k, v in sums.items()])
-    before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(
-        *keys, _B,
-        F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
-        *[F.coalesce(F.sum(k).over(before), F.lit(0)).alias(f"_o{k}") for k in sums])
-    inside = Window.partitionBy(*keys, _B).orderBy(*order)
+    null_bucket = "_no_bucket"
+    values = {f"_v_{n}": c for n, c in running.items()}
+    b, plain = plain_keys(df.withColumn(_B, bucket).withColumns(values)
+                          .withColumn(null_bucket, F.col(_B).isNull())
+                          .withColumn(_B, F.coalesce(_B, F.lit(0))), keys)
+    by = [*plain, null_bucket, _B]
+    inside = Window.partitionBy(*by).orderBy(*order)
     local = b.select("*", F.row_number().over(inside).alias("_lrn"),
-                     *[F.sum(c).over(inside.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_l{n}")
-                       for n, c in running.items()])
-    j = join_null_safe(local, offsets, [*keys, _B])  # a NULL key is a group too
-    out = j.withColumn(name, F.col("_off") + F.col("_lrn"))
-    for n in running:
-        out = out.withColumn(n, F.col(f"_o_s_{n}") + F.col(f"_l{n}"))
-    drop = [_B, "_off", "_lrn", *[f"_o_s_{n}" for n in running], *[f"_l{n}" for n in running]]
-    return out.drop(*drop)
+                     *[F.sum(f"_v_{n}").over(inside.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_l{n}")
+                       for n in running])
+    per_bucket = b.groupBy(*by).agg(F.count(F.lit(1)).alias("_cnt"),
+                                    *[F.sum(f"_v_{n}").alias(f"_s{n}") for n in running])
+    before = Window.partitionBy(*plain).orderBy(null_bucket, _B).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_bucket.select(
+        *by, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
+        *[F.coalesce(F.sum(f"_s{n}").over(before), F.lit(0)).alias(f"_o{n}") for n in running])
+    rest = [c for c in df.columns if c not in keys]
+    return local.join(offsets, by).select(
+        *restored(keys), *rest, (F.col("_off") + F.col("_lrn")).alias(name),
+        *[(F.col(f"_o{n}") + F.col(f"_l{n}")).alias(n) for n in running])
+
+
+RANK_WIDTH = 1024  # values of one range when ranks are counted
 
 
 def rank_by_counts(df: DataFrame, keys: list[str], value: str, name: str = "rank",
-                   descending: bool = True) -> DataFrame:
-    """``RANK() OVER (PARTITION BY keys ORDER BY value [DESC NULLS FIRST])``
-    without a window over the rows: rank = 1 + rows of the partition that sort
-    before the value. Rows are counted per distinct value (a map-side partial
-    aggregate), the window runs over one row per distinct value, and the ranks
-    are joined back on (keys, value)."""
-    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    order = F.col(value).desc_nulls_first() if descending else F.col(value).asc_nulls_first()
-    before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = counts.select(*keys, value, (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1).alias(name))
-    return join_null_safe(df, ranks, [*keys, value])
+                   width: int = RANK_WIDTH) -> DataFrame:
+    """``RANK() OVER (PARTITION BY keys ORDER BY value DESC NULLS FIRST)`` of a
+    numeric column without a window over a partition's rows: rank = 1 + rows of
+    the partition that sort before the value.
+
+    Rows are counted per distinct value (a map-side partial aggregate). Values
+    are cut into ranges of ``width``: a window over the ranges gives the rows of
+    larger ranges, a window inside a range the rows of larger values there. No
+    window holds more than the distinct values of one range, or the ranges of
+    one partition."""
+    d, plain = plain_keys(df.withColumn("_value", F.col(value)), [*keys, value])
+    group = [c for c in plain if c not in ("_key_" + value, "_null_" + value)]
+    v, none = "_key_" + value, "_null_" + value
+    d = d.withColumn("_range", F.floor(F.col(v) / F.lit(width)).cast("long"))
+    counts = d.groupBy(*group, none, "_range", v).agg(F.count(F.lit(1)).alias("_n"))
+    ranges = counts.groupBy(*group, none, "_range").agg(F.sum("_n").alias("_rn"))
+    larger = Window.partitionBy(*group).orderBy(F.col(none).desc(), F.col("_range").desc()) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    above = ranges.select(*group, none, "_range", F.coalesce(F.sum("_rn").over(larger), F.lit(0)).alias("_above"))
+    inside = Window.partitionBy(*group, none, "_range").orderBy(F.col(v).desc()) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    ranks = (counts.withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+             .join(above, [*group, none, "_range"])
+             .select(*group, none, "_range", v, (F.col("_above") + F.col("_in") + 1).alias(name)))
+    rest = [c for c in df.columns if c not in keys and c != value]
+    out = d.join(ranks, [*group, none, "_range", v])
+    return out.select(*restored(keys), F.col("_value").alias(value), *rest, name)

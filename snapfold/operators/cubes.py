@@ -106,13 +106,15 @@ def points_sets(details: DataFrame, player_seasons: DataFrame, fixed: bool = Fal
         agg = rank_by_counts(agg, ["season", "is_player_agg", "is_team_agg"], "total_points", "_rank")
         rank = F.when(F.col("season").isNotNull(), F.col("_rank"))
     else:
+        # a player-team or player partition holds the few rows of one player; a
+        # team's holds all its players, so its ranks are counted
         r_pt = F.rank().over(Window.partitionBy("season", "player_name", "team_abbreviation").orderBy(order))
         r_p = F.rank().over(Window.partitionBy("season", "player_name").orderBy(order))
-        r_t = F.rank().over(Window.partitionBy("season", "team_abbreviation").orderBy(order))
+        agg = rank_by_counts(agg, ["season", "team_abbreviation"], "total_points", "_team_rank")
         pa, ta, has_season = F.col("is_player_agg"), F.col("is_team_agg"), F.col("season").isNotNull()
         rank = (F.when((pa == 0) & (ta == 0) & has_season, r_pt)
                  .when((pa == 0) & (ta == 1) & has_season, r_p)
-                 .when((pa == 1) & (ta == 0) & has_season, r_t))
+                 .when((pa == 1) & (ta == 0) & has_season, F.col("_team_rank")))
     return agg.select("season", "player_name", "team_abbreviation",
                       F.col("total_points").cast("bigint").alias("total_points"),
                       rank.cast("bigint").alias("rank_in_group"))

@@ -13,14 +13,13 @@ Two ways to build the same table:
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapfold.functions.pgcompat import first_elem, last_elem, safe_divisor, score_class
-from snapfold.session import cut_lineage, stage_by_period, store_bucketed
+from snapfold.session import scratch_path, stage_by_period
 
 PLAYER_STATIC = ("height", "college", "country", "draft_year", "draft_round", "draft_number")
 STAT_FIELDS = ("season", "gp", "pts", "reb", "ast")
@@ -28,9 +27,8 @@ FILM_FIELDS = ("film", "votes", "rating", "filmid")
 
 PLAYER_COLUMNS = ("player_name", *PLAYER_STATIC, "season_stats", "scoring_class",
                   "years_since_last_season", "current_season", "is_active")
+FOLD_STEP = "fold_step"  # partition column of a fold's table
 ACTOR_COLUMNS = ("actor", "year", "films", "quality_class", "current_year", "is_active")
-ROWS_PER_BUCKET = 1_000_000  # target rows per bucket of a stored fold state
-BUCKET_MIN_ROWS = 5_000_000  # smaller states are checkpointed and reshuffled
 
 
 def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
@@ -38,45 +36,23 @@ def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
 
 
 def fold_periods(initial: DataFrame, periods: Iterable, step: Callable[[DataFrame, object], DataFrame],
-                 keep_all: bool = True, key: str | None = None) -> DataFrame:
-    """Run ``step(state, period)`` over ``periods``; every new state is cut
-    from its lineage (written to the shared checkpoint folder), so step N does
-    not recompute steps 1..N-1 and a lost executor only re-reads one step.
-
-    With ``key`` (the entity column the step joins on) each state is stored
-    bucketed by it: the next step's join reads the state as already
-    partitioned and shuffles only the new period's rows, not the whole
-    accumulated state, once the state has BUCKET_MIN_ROWS rows (session
-    setting ``snapfold.fold.bucketedState=false`` turns it off). Returns the
-    union of all snapshots, or the last one."""
+                 keep_all: bool = True) -> DataFrame:
+    """Run ``step(state, period)`` over ``periods``. Every new state is written
+    as one partition of a Parquet table in the shared folder, so step N reads
+    step N-1 from files (columns pruned) instead of recomputing it, and a lost
+    executor only re-reads one step. Returns all snapshots - one scan of that
+    table, however many periods - or the last one."""
     spark = initial.sparkSession
-    if spark.conf.get("snapfold.fold.bucketedState", "true").lower() != "true":
-        key = None
-    max_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    state, snapshots, rows = initial, [], 0
-    for p in periods:
-        # the state's row count is observed while it is written (no extra job);
-        # a state past BUCKET_MIN_ROWS is stored bucketed by the key, with
-        # buckets of ~ROWS_PER_BUCKET rows, so the next join does not shuffle
-        # it; a smaller one is a plain checkpoint (its shuffle costs less than
-        # a table write)
-        seen = Observation()
-        out = step(state, p).observe(seen, F.count(F.lit(1)).alias("rows"))
-        if key and rows >= BUCKET_MIN_ROWS:
-            buckets = max(1, min(max_buckets, math.ceil(rows / ROWS_PER_BUCKET)))
-            state = store_bucketed(out, key, buckets)
-        else:
-            state = cut_lineage(out)
-        rows = seen.get["rows"]
-        snapshots.append(state)
-    if not snapshots:
-        return initial
-    if not keep_all:
-        return snapshots[-1]
-    out = snapshots[0]
-    for s in snapshots[1:]:
-        out = out.unionByName(s)
-    return out
+    base = scratch_path(spark, "fold")
+    state, n = initial, 0
+    for n, p in enumerate(periods, start=1):
+        out = step(state, p)
+        schema = out.schema
+        out.hint("rebalance").write.parquet(f"{base}/{FOLD_STEP}={n}")
+        state = spark.read.schema(schema).parquet(f"{base}/{FOLD_STEP}={n}")
+    if not n or not keep_all:
+        return state
+    return spark.read.schema(state.schema).parquet(base).select(*state.columns)
 
 
 # --------------------------------------------------------------------------- players
@@ -124,8 +100,7 @@ def fold_players(seasons: DataFrame, first: int, last: int, fixed: bool = False)
     """All snapshots first..last built season by season."""
     src = stage_by_period(seasons, "season")  # built once; each step reads one partition
     return fold_periods(_empty_players(src), range(first, last + 1),
-                        lambda prev, s: cumulate_players(prev, src.where(F.col("season") == s), fixed),
-                        key="player_name")
+                        lambda prev, s: cumulate_players(prev, src.where(F.col("season") == s), fixed))
 
 
 def backfill_players(seasons: DataFrame, lo: Column | int | None = None,
@@ -232,8 +207,7 @@ def _empty_actors(films: DataFrame) -> DataFrame:
 def fold_actors(films: DataFrame, first: int, last: int, carry_class: bool = False) -> DataFrame:
     src = stage_by_period(films, "year")
     return fold_periods(_empty_actors(src), range(first, last + 1),
-                        lambda prev, yr: cumulate_actors(prev, src.where(F.col("year") == yr), carry_class),
-                        key="actor")
+                        lambda prev, yr: cumulate_actors(prev, src.where(F.col("year") == yr), carry_class))
 
 
 def backfill_actors(films: DataFrame, hi: Column | int | None = None) -> DataFrame:

@@ -24,6 +24,11 @@ def day_range(c: str, day: dt.date) -> Column:
     return (F.col(c) >= lo) & (F.col(c) < hi)
 
 
+def before_day(c: str, day: dt.date) -> Column:
+    """``DATE(c) < day`` on the raw timestamp."""
+    return F.col(c) < F.lit(day.isoformat()).cast("timestamp_ntz")
+
+
 def event_range(events: DataFrame, c: str = "event_time") -> DataFrame:
     return events.agg(F.max(c).alias("max_event_time"), F.min(c).alias("min_event_time"))
 
@@ -76,7 +81,9 @@ def date_bitmask(users: DataFrame, anchor: Column, start: Column, fixed: bool =
     # bounds become columns first: subqueries may not sit inside lambdas
     u = users.select(key, "dates_active", anchor.alias("_anchor"), start.alias("_start"))
     a, s = F.col("_anchor"), F.col("_start")
-    days = F.filter(F.array_distinct("dates_active"), lambda d: (d >= s) & (d <= a))
+    # a day over ``top`` days old has no bit, however early ``start`` is
+    days = F.filter(F.array_distinct("dates_active"),
+                    lambda d: (d >= s) & (d <= a) & (F.datediff(a, d) <= F.lit(top)))
     one = F.lit(1).cast("bigint")
     total = F.aggregate(days, F.lit(0).cast("bigint"),
                         lambda acc, d: acc + F.call_function("shiftleft", one, F.lit(top) - F.datediff(a, d)))
@@ -163,6 +170,29 @@ def reduce_monthly(events: DataFrame, zero_fill: bool = False, key: str = "host"
                       filled("unique_visitors").alias("unique_visitors_array"))
 
 
+def daily_hosts(events: DataFrame, key: str = "host", ts: str = "event_time",
+                visitor: str = "user_id") -> DataFrame:
+    """(key, date, hits, unique_visitors) per host and day."""
+    e = events.where(F.col(ts).isNotNull() & F.col(key).isNotNull() & F.col(visitor).isNotNull())
+    return e.groupBy(key, F.to_date(ts).alias("date")).agg(
+        F.count(F.lit(1)).alias("hits"), F.countDistinct(visitor).alias("unique_visitors"))
+
+
+def append_reduced(stored: DataFrame | None, today: DataFrame, day: dt.date, key: str = "host") -> DataFrame:
+    """One day of the monthly arrays: the day's hosts with their counts appended
+    to what is stored for the month, the rows to upsert on (month, host). Hosts
+    without hits that day are left as they are, as the script does."""
+    month = F.lit(day.replace(day=1))
+    t = today.select(key, "hits", "unique_visitors")
+    new = {"hit_array": F.array("hits"), "unique_visitors_array": F.array("unique_visitors")}
+    if stored is None:
+        return t.select(month.alias("month"), key, *[v.alias(c) for c, v in new.items()])
+    old = stored.where(F.col("month") == month).select(F.col(key).alias("o_key"), *new)
+    return t.join(old, F.col(key) == F.col("o_key"), "left").select(
+        month.alias("month"), key, *[F.concat(F.coalesce(F.col(c), F.array().cast("array<bigint>")), v).alias(c)
+                                     for c, v in new.items()])
+
+
 # --------------------------------------------------------------------------- array_metrics
 METRIC = "site_hits"
 
@@ -172,7 +202,8 @@ def append_metric(state: DataFrame | None, today: DataFrame, day: dt.date, metri
     """One day of ``array_metrics``: append today's count (0 if absent) to each
     user's array of the month; a user first seen today gets zeros for the
     earlier days of the month. ``today`` = (user_id, date, hits) of ``day``.
-    Returns the rows to upsert on (user_id, month_start, metric_name).
+    Returns all rows of the (month, metric), those of absent users included, so
+    that they replace its partition.
 
     As written the count is appended, so re-running a day appends twice and a
     skipped day shifts later positions, and the month's rows are read for
@@ -212,18 +243,6 @@ def append_metric(state: DataFrame | None, today: DataFrame, day: dt.date, metri
         arr.alias("metric_array"))
 
 
-def upsert_month(state: DataFrame, rows: DataFrame, day: dt.date, metric: str = METRIC) -> DataFrame:
-    """Upsert one day's ``append_metric`` rows into the state.
-
-    The day's rows cover every state row of (month, metric) - the full outer
-    join keeps them all - so the upsert on (user_id, month_start, metric_name)
-    is: drop that month's rows of the metric, add the new ones. A filter and a
-    union: no join and no shuffle of the other months' rows."""
-    month = F.lit(day.replace(day=1))
-    keep = state.where(~((F.col("month_start") == month) & (F.col("metric_name") == metric)))
-    return keep.unionByName(rows)
-
-
 def backfill_metric_arrays(daily: DataFrame, end: Column, metric: str = METRIC) -> DataFrame:
     """The folded ``array_metrics`` of a month in one pass: per user the
     zero-filled daily counts from the month start to ``end``."""
@@ -240,11 +259,11 @@ def array_length_audit(df: DataFrame, col: str = "metric_array") -> DataFrame:
     return df.groupBy(F.size(col).alias("array_length")).agg(F.count(F.lit(1)).alias("num_rows"))
 
 
-def metric_daily(df: DataFrame, positions: int | None = 4) -> DataFrame:
+def metric_daily(df: DataFrame, positions: int | None = None) -> DataFrame:
     """Sum the arrays by position per (metric, month) and turn them back into
-    (metric, date, value) rows. As written only the first ``positions``
-    positions are summed (a missing element sums to NULL); ``None`` sums every
-    position (posexplode + one partial/final aggregation)."""
+    (metric, date, value) rows: every position (posexplode + one partial/final
+    aggregation). ``positions`` sums only the first ones, as the script writes
+    them out (a missing element sums to NULL)."""
     if positions is not None:
         summed = df.groupBy("metric_name", "month_start").agg(
             F.array(*[F.sum(F.try_element_at("metric_array", F.lit(i))) for i in range(1, positions + 1)])

@@ -53,15 +53,16 @@ def team_vertices(teams: DataFrame) -> DataFrame:
                                          F.col("arena"), F.col("yearfounded").alias("year_founded"))))
 
 
-def _player_game_rows(details: DataFrame) -> DataFrame:
-    """One row per (player, game), the ``row_number() = 1`` dedup with a total order."""
+def player_game_rows(details: DataFrame) -> DataFrame:
+    """One row per (player, game), the ``row_number() = 1`` dedup with a total
+    order. Both kinds of edges start from it: store it once."""
     cols = ["player_id", "game_id", "team_id", "team_abbreviation", "player_name", "start_position", "pts"]
     return dedup(details.select(*cols), ["player_id", "game_id"])
 
 
-def plays_in_edges(details: DataFrame) -> DataFrame:
-    f = _player_game_rows(details)
-    return f.select(
+def plays_in_edges(lines: DataFrame) -> DataFrame:
+    """One edge per row of ``player_game_rows``."""
+    return lines.select(
         F.col("player_id").cast("string").alias("subject_identifier"), F.lit("player").alias("subject_type"),
         F.col("game_id").cast("string").alias("object_identifier"), F.lit("game").alias("object_type"),
         F.lit("plays_in").alias("edge_type"),
@@ -69,15 +70,15 @@ def plays_in_edges(details: DataFrame) -> DataFrame:
                     F.col("team_abbreviation")).alias("properties"))
 
 
-def player_edges(details: DataFrame) -> DataFrame:
+def player_edges(lines: DataFrame) -> DataFrame:
     """Player-player edges: per ordered pair (subject id > object id) of
     players in the same game, ``shares_team`` or ``plays_against``, with games
     and both players' points.
 
-    The pairs are the output itself, so the game self-join stays: both sides
-    are first reduced to one narrow row per (player, game), and AQE's skew-join
+    The pairs are the output itself, so the game self-join stays: ``lines`` is
+    one narrow row per (player, game) (``player_game_rows``), and AQE's skew-join
     split spreads a crowded game over several tasks."""
-    f = _player_game_rows(details).select("player_id", "game_id", "player_name", "team_abbreviation", "pts")
+    f = lines.select("player_id", "game_id", "player_name", "team_abbreviation", "pts")
     a = f.select(*[F.col(c).alias("a_" + c) for c in f.columns])
     b = f.select(*[F.col(c).alias("b_" + c) for c in f.columns])
     pairs = a.join(b, (F.col("a_game_id") == F.col("b_game_id"))
@@ -103,29 +104,31 @@ def vertex_counts(vertices: DataFrame) -> DataFrame:
     return vertices.groupBy("type").agg(F.count(F.lit(1)).alias("num_vertices"))
 
 
-def _subject_join(vertices: DataFrame, edges: DataFrame) -> DataFrame:
-    v = vertices.select(F.col("identifier"), F.col("type"), F.col("properties").alias("v_properties"))
-    return v.join(edges, (v.identifier == edges.subject_identifier) & (v.type == edges.subject_type))
-
-
 def max_edge_points(vertices: DataFrame, edges: DataFrame) -> DataFrame:
-    """Largest ``pts`` on any edge leaving each player vertex, by player name."""
-    j = _subject_join(vertices, edges)
-    return j.groupBy(F.get_json_object("v_properties", "$.player_name").alias("player_name")).agg(
-        F.max(F.get_json_object("properties", "$.pts").cast("int")).alias("max_pts"))
+    """Largest ``pts`` on any edge leaving each player vertex, by player name.
+    The edges are reduced to one row per subject before they meet the vertices."""
+    most = edges.groupBy("subject_identifier", "subject_type").agg(
+        F.max(F.get_json_object("properties", "$.pts").cast("int")).alias("pts"))
+    v = vertices.select("identifier", "type", F.get_json_object("properties", "$.player_name").alias("player_name"))
+    j = v.join(most, (v.identifier == most.subject_identifier) & (v.type == most.subject_type))
+    return j.groupBy("player_name").agg(F.max("pts").alias("max_pts"))
 
 
 def pair_report(vertices: DataFrame, edges: DataFrame, fixed: bool = False) -> DataFrame:
     """Per player-player edge: the subject's career ratio, and the points and
     games against the object. As written the ratio is games / points (0 -> 1);
-    ``fixed`` gives points per game."""
-    j = _subject_join(vertices, edges).where(F.col("object_type") == "player")
-    games = F.get_json_object("v_properties", "$.number_of_games").cast("double")
-    points = F.get_json_object("v_properties", "$.total_points").cast("double")
-    num, den = (points, games) if fixed else (games, points)
-    ratio = num / safe_divisor(den)
-    return (j.select(F.get_json_object("v_properties", "$.player_name").alias("player_name"),
-                     "object_identifier", ratio.alias("pct_point_per_game_career"),
-                     F.get_json_object("properties", "$.subject_points").alias("total_points_scores_vs_object"),
-                     F.get_json_object("properties", "$.num_games").alias("games_played"))
-              .where(F.col("pct_point_per_game_career").isNotNull()))
+    ``fixed`` gives points per game. The JSON of each side is parsed once,
+    before the join."""
+    v = vertices.select("identifier", "type", F.from_json(
+        "properties", "player_name string, number_of_games double, total_points double").alias("v"))
+    num, den = ("v.total_points", "v.number_of_games") if fixed else ("v.number_of_games", "v.total_points")
+    v = v.select("identifier", "type", "v.player_name",
+                 (F.col(num) / safe_divisor(den)).alias("pct_point_per_game_career")) \
+        .where(F.col("pct_point_per_game_career").isNotNull())
+    e = edges.where(F.col("object_type") == "player").select(
+        "subject_identifier", "subject_type", "object_identifier",
+        F.from_json("properties", "subject_points string, num_games string").alias("e"))
+    return (v.join(e, (v.identifier == e.subject_identifier) & (v.type == e.subject_type))
+             .select("player_name", "object_identifier", "pct_point_per_game_career",
+                     F.col("e.subject_points").alias("total_points_scores_vs_object"),
+                     F.col("e.num_games").alias("games_played")))

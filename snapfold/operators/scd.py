@@ -46,51 +46,45 @@ def scd2_incremental(scd: DataFrame, snapshot: DataFrame, key: str, attrs: list[
     """Next period of a type 2 dimension from the rows current at ``cutoff``
     and the entity snapshot of ``cutoff + 1``.
 
-    Output = history (ended before cutoff) + [unchanged rows extended to the
-    new period] + changed (old row closed, new row opened, one join and an
-    ``explode`` of a two-element array) + new entities (left anti join).
+    One full outer join of the dimension with the snapshot: a row current at the
+    cutoff meets its entity, older history meets nothing and passes through, an
+    entity that meets no current row is new. Each joined row then yields its
+    output rows - none, one or two - through one ``explode``.
 
     ``emit_unchanged``: the players script computes but never emits them.
     ``closed_row_attrs``: "new" reproduces the actors script, whose closed row
     carries the new attributes. ``keep_current`` keeps the ``current`` column.
     ``null_safe`` compares attributes with NULL-safe equality."""
-    Y = F.lit(cutoff) if isinstance(cutoff, int) else cutoff
-    last = scd.where((F.col(current) == Y) & (F.col(end) == Y))
-    hist = scd.where((F.col(current) == Y) & (F.col(end) < Y))
-    ts = snapshot.where(F.col(current) == Y + 1).select(key, *attrs, current)
-
-    ls = last.select(key, *[F.col(a).alias("ls_" + a) for a in attrs], F.col(start).alias("ls_start"),
-                     F.col(end).alias("ls_end"), F.col(current).alias("ls_current"))
-    j = ts.join(ls, key)  # inner: the LEFT JOINs of the scripts are null-rejected by their WHERE
-    same = [(F.col(a).eqNullSafe(F.col("ls_" + a)) if null_safe else F.col(a) == F.col("ls_" + a))
-            for a in attrs]
-    diff = [_changed(F.col(a), F.col("ls_" + a), null_safe) for a in attrs]
-    is_same, is_diff = same[0], diff[0]
-    for s_, d_ in zip(same[1:], diff[1:]):
-        is_same, is_diff = is_same & s_, is_diff | d_
-
-    def row(attr_prefix: str, s_: Column, e_: Column, c_: Column) -> Column:
-        return F.struct(*[F.col(attr_prefix + a).alias(a) for a in attrs],
-                        s_.alias(start), e_.alias(end), c_.alias(current))
-
-    closed = row("ls_" if closed_row_attrs == "old" else "", F.col("ls_start"), F.col("ls_end"),
-                 F.col("ls_current"))
-    opened = row("", F.col(current), F.col(current), F.col(current))
-    changed = (j.where(is_diff).select(key, F.explode(F.array(closed, opened)).alias("r"))
-                .select(key, "r.*"))
-    new = ts.join(ls, key, "left_anti").select(
-        key, *attrs, F.col(current).alias(start), F.col(current).alias(end), F.col(current).alias(current))
-    cols = [key, *attrs, start, end, *([current] if keep_current else [])]
-    parts = [hist.select(*cols)]
-    if emit_unchanged:
-        unchanged = j.where(is_same).select(key, *attrs, F.col("ls_start").alias(start),
-                                             F.col(current).alias(end), F.col(current).alias(current))
-        parts.append(unchanged.select(*cols))
-    parts += [changed.select(*cols), new.select(*cols)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    at = F.lit(cutoff) if isinstance(cutoff, int) else cutoff
+    was, now = "was_", "now_"
+    known = scd.where((F.col(current) == at) & (F.col(end) <= at)).select(
+        *[F.col(c).alias(was + c) for c in (key, *attrs, start, end, current)], F.lit(True).alias("known"))
+    seen = snapshot.where(F.col(current) == at + 1).select(
+        *[F.col(c).alias(now + c) for c in (key, *attrs, current)], F.lit(True).alias("seen"))
+    met = known.join(seen, (F.col(was + key) == F.col(now + key)) & (F.col(was + end) == at), "full_outer")
+
+    same = differ = None
+    for a in attrs:
+        d = _changed(F.col(now + a), F.col(was + a), null_safe)
+        same, differ = (~d, d) if same is None else (same & ~d, differ | d)
+
+    def row(attr_side: str, first: str, last: str, at_: str) -> Column:
+        return F.struct(*[F.col(attr_side + a).alias(a) for a in attrs], F.col(first).alias(start),
+                        F.col(last).alias(end), F.col(at_).alias(current))
+    as_was = row(was, was + start, was + end, was + current)
+    closed = row(was if closed_row_attrs == "old" else now, was + start, was + end, was + current)
+    opened = row(now, now + current, now + current, now + current)
+    extended = row(now, was + start, now + current, now + current)
+    nothing = F.filter(F.array(opened), lambda _: F.lit(False))
+    rows = (F.when(F.col("known").isNull(), F.array(opened))
+             .when(F.col(was + end) < at, F.array(as_was))
+             .when(F.col("seen").isNull(), nothing)
+             .when(differ, F.array(closed, opened))
+             .when(same & F.lit(emit_unchanged), F.array(extended))
+             .otherwise(nothing))
+    return (met.select(F.coalesce(was + key, now + key).alias(key), F.explode(rows).alias("r"))
+               .select(key, *[F.col("r." + c).alias(c) for c in (*attrs, start, end)],
+                       *([F.col("r." + current).alias(current)] if keep_current else [])))
 
 
 # Player status labels, first match wins.

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapfold.functions.joins import join_null_safe
+from snapfold.functions.joins import plain_keys, restored
 from snapfold.functions.ordinals import ordinal_within
 from snapfold.functions.pgcompat import wall_micros
 
@@ -23,46 +23,44 @@ def rolling_sum_top(df: DataFrame, key: str, order: list[str], value: Column, n:
     """Best sum of ``value`` over ``n`` consecutive rows of one ``key``
     (``ROWS BETWEEN n-1 PRECEDING AND CURRENT ROW``), top-1 over keys.
 
-    The moving sum is S(r) - S(r-n) of the running sum S: row numbers and
-    running sums come from bucketed windows (``ordinal_within``) and S(r-n) is
-    an equi-join on (key, r), so no task ever holds a whole team."""
+    Row r's value counts in the windows that end at rows r .. r+n-1, so with S
+    the running sum the moving sum at r is S(r) - S(r-n): every row gives S at r
+    and -S at r+n, summed per (key, r). One aggregation, no self join; row numbers
+    and running sums come from bucketed windows (``ordinal_within``), so no task
+    ever holds a whole team."""
     numbered = ordinal_within(df.select(key, *order, value.alias("_v")), [key],
-                              [F.col(c).asc_nulls_first() for c in order],
+                              [F.col(c).asc_nulls_last() for c in order],
                               _bucket(bucket_col, bucket_size), running={"_s": F.col("_v")})
-    cur = numbered.select(key, "rn", "_s")
-    back = numbered.select(F.col(key).alias("_k"), (F.col("rn") + n).alias("_rn"), F.col("_s").alias("_s_back"))
-    moving = (cur.join(back, cur[key].eqNullSafe(back["_k"]) & (cur["rn"] == back["_rn"]), "left")
-                 .select(key, (F.col("_s") - F.coalesce("_s_back", F.lit(0))).alias(out)))
+    parts = numbered.select(key, F.explode(F.array(
+        F.struct(F.col("rn").alias("r"), F.col("_s").alias("s"), F.lit(True).alias("here")),
+        F.struct((F.col("rn") + n).alias("r"), (-F.col("_s")).alias("s"), F.lit(False).alias("here")))).alias("p"))
+    moving = (parts.groupBy(key, "p.r").agg(F.sum("p.s").alias(out), F.bool_or("p.here").alias("_here"))
+                   .where("_here"))
     best = moving.groupBy(key).agg(F.max(out).alias(out))
     return best.orderBy(F.col(out).desc(), F.col(key).asc()).limit(1)
 
 
-def rolling_sum_top_window(df: DataFrame, key: str, order: list[str], value: Column, n: int = 90,
-                           out: str = "max_wins_in_90_game_stretch") -> DataFrame:
-    """Same result with one window per key (fine when keys are many and even)."""
-    w = (Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-               .rowsBetween(-(n - 1), 0))
-    moving = df.select(key, F.sum(value).over(w).alias(out))
-    return moving.orderBy(F.col(out).desc(), F.col(key).asc()).limit(1)
-
-
 def longest_streak(df: DataFrame, key: str, order: list[str], pred: Column,
                    out: str = "longest_streak_with_10_or_more_pts", bucket_col: str = "game_id",
-                   bucket_size: int = GAME_BUCKET) -> DataFrame:
-    """Longest run of consecutive rows (per ``key`` in ``order``) where
-    ``pred`` holds: number all rows, number the qualifying rows again, equal
-    difference = one island. A NULL predicate breaks a run.
+                   bucket_size: int = GAME_BUCKET, only: str | None = None,
+                   top: int | None = None) -> DataFrame:
+    """Longest run of consecutive rows (per ``key`` in ``order``, NULLs last)
+    where ``pred`` holds: number all rows, number the qualifying rows again,
+    equal difference = one island; its length is COUNT(bucket_col), so a row
+    without a game id joins a run but is not counted. A NULL predicate breaks a
+    run. ``only`` reports one key, ``top`` the longest runs.
 
     The second numbering orders by the first one (unique), so rows that tie
     on ``order`` are numbered consistently in both passes."""
-    order_cols = [F.col(c).asc_nulls_first() for c in order]
-    base = df.select(key, *order, pred.alias("_ok"))
+    order_cols = [F.col(c).asc_nulls_last() for c in order]
+    base = (df if only is None else df.where(F.col(key) == only)).select(key, *order, pred.alias("_ok"))
     all_rn = ordinal_within(base, [key], order_cols, _bucket(bucket_col, bucket_size), name="rn")
     hits = all_rn.where(F.col("_ok"))
     both = ordinal_within(hits, [key], [F.col("rn")], _bucket(bucket_col, bucket_size), name="rn2")
     islands = both.groupBy(key, (F.col("rn") - F.col("rn2")).alias("_grp")).agg(
-        F.count(F.lit(1)).alias(out))
-    return islands.groupBy(key).agg(F.max(out).cast("bigint").alias(out))
+        F.count(bucket_col).alias(out))
+    best = islands.groupBy(key).agg(F.max(out).cast("bigint").alias(out))
+    return best if top is None else best.orderBy(F.col(out).desc(), F.col(key).asc_nulls_last()).limit(top)
 
 
 def _micros_between(later: str, earlier: str) -> Column:
@@ -95,7 +93,7 @@ def page_transitions(combined: DataFrame, min_users: int | None = 100, bucket_se
               .select(*keys, "t", F.col("url").alias("to_url"), F.lit(1).alias("kind")))
     marks = ev.select("user_id", "day", F.col("url").alias("from_url"), "t",
                       F.lit(None).cast("string").alias("to_url"), F.lit(0).alias("kind"))
-    rows = cand.unionByName(marks).withColumn("b", bucket)
+    rows, keys = plain_keys(cand.unionByName(marks).withColumn("b", bucket), keys)
     # latest mark per non-empty bucket (NULL when a bucket only has candidates),
     # then the latest mark of all earlier buckets: at most one row per bucket
     per_bucket = rows.groupBy(*keys, "b").agg(
@@ -109,8 +107,8 @@ def page_transitions(combined: DataFrame, min_users: int | None = 100, bucket_se
     local = (rows.select(*keys, "b", "to_url", "t", "kind",
                          F.max(F.when(F.col("kind") == 0, F.col("t"))).over(w).alias("local_t"))
                  .where(F.col("kind") == 1))
-    asof = join_null_safe(local, carry, [*keys, "b"]).select(
-        "user_id", "to_url", "from_url", "t", F.coalesce("local_t", "carry_t").alias("prev_t"))
+    asof = local.join(carry, [*keys, "b"]).select(
+        *restored(["user_id", "from_url"]), "to_url", "t", F.coalesce("local_t", "carry_t").alias("prev_t"))
     # gaps in integer microseconds: the mean is an exact integer sum / count,
     # the same in any engine and any summation order
     gaps = (asof.where(F.col("prev_t").isNotNull())

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
-from snapfold.functions.joins import join_null_safe
+from snapfold.functions.joins import plain_keys, restored
 from snapfold.functions.pgcompat import wall_clock, wall_instant
+from snapfold.session import cut_lineage
 
 # Session gap and watermark delay: the reference does not state them; ours.
 SESSION_GAP = "30 minutes"
@@ -45,7 +46,7 @@ def hourly_counts(events: DataFrame, keys: list[str], ts: str = "event_time") ->
 
 
 def sessions(events: DataFrame, keys: list[str], gap: str = SESSION_GAP, ts: str = "event_time") -> DataFrame:
-    """One row per session of ``keys``: a session ends when the next event is
+    """One row per session of ``keys``, times as a TIMESTAMP(3) sink keeps them: a session ends when the next event is
     more than ``gap`` after the last one (sessions that touch merge);
     end = last event + gap."""
     sw = F.session_window(event_ts(ts, events), gap)
@@ -53,7 +54,8 @@ def sessions(events: DataFrame, keys: list[str], gap: str = SESSION_GAP, ts: str
                   .groupBy(sw.alias("s"), *keys).agg(F.count(F.lit(1)).alias("num_hits"))
                   .select(wall_clock("s.start").alias("session_start"),
                           wall_clock("s.end").alias("session_end"),
-                          *keys, "num_hits"))
+                          *keys, "num_hits")
+                  .select(to_millis("session_start"), to_millis("session_end"), *keys, "num_hits"))
 
 
 def _carry_before(per_bucket: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
@@ -78,33 +80,40 @@ def sessions_bucketed(events: DataFrame, keys: list[str], gap_minutes: int = 30,
     gap = F.expr(f"INTERVAL {int(gap_minutes)} MINUTES")
     t = F.col(ts).cast("timestamp_ntz")
     hours = F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")) * 24 + F.hour(t)
-    e = events.where(F.col(ts).isNotNull()).select(*keys, t.alias("_t"),
-                                                   F.floor(hours / F.lit(bucket_hours)).alias("_b"))
-    inside = Window.partitionBy(*keys, "_b").orderBy("_t")
+    e, plain = plain_keys(events.where(F.col(ts).isNotNull()).select(
+        *keys, t.alias("_t"), F.floor(hours / F.lit(bucket_hours)).alias("_b")), keys)
+    by = [*plain, "_b"]
+    inside = Window.partitionBy(*by).orderBy("_t")
     upto = inside.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    per_bucket = e.groupBy(*keys, "_b").agg(F.max("_t").alias("_bmax"))
-    prev = join_null_safe(e.select(*keys, "_b", "_t", F.lag("_t").over(inside).alias("_prev_local")),
-                                _carry_before(per_bucket, keys, "_bmax", "_prev_carry"), [*keys, "_b"])
+    per_bucket = e.groupBy(*by).agg(F.max("_t").alias("_bmax"))
+    prev = e.select("*", F.lag("_t").over(inside).alias("_prev_local")) \
+        .join(_carry_before(per_bucket, plain, "_bmax", "_prev_carry"), by)
     prev_t = F.coalesce("_prev_local", "_prev_carry")
-    flagged = prev.select(*keys, "_b", "_t", (prev_t.isNull() | ((F.col("_t") - prev_t) > gap)).alias("_start"))
+    flagged = prev.select(*by, "_t", (prev_t.isNull() | ((F.col("_t") - prev_t) > gap)).alias("_start"))
     start_t = F.when(F.col("_start"), F.col("_t"))
-    local = flagged.select(*keys, "_b", "_t", F.max(start_t).over(upto).alias("_s_local"))
-    starts = flagged.groupBy(*keys, "_b").agg(F.max(start_t).alias("_bstart"))
-    labelled = join_null_safe(local, _carry_before(starts, keys, "_bstart", "_s_carry"), [*keys, "_b"])
-    per_session = labelled.groupBy(*keys, F.coalesce("_s_local", "_s_carry").alias("session_start")).agg(
+    local = flagged.select(*by, "_t", F.max(start_t).over(upto).alias("_s_local"))
+    starts = flagged.groupBy(*by).agg(F.max(start_t).alias("_bstart"))
+    labelled = local.join(_carry_before(starts, plain, "_bstart", "_s_carry"), by)
+    per_session = labelled.groupBy(*plain, F.coalesce("_s_local", "_s_carry").alias("session_start")).agg(
         F.max("_t").alias("_last"), F.count(F.lit(1)).alias("num_hits"))
-    return per_session.select("session_start", (F.col("_last") + gap).alias("session_end"), *keys, "num_hits")
+    return per_session.withColumn("session_end", F.col("_last") + gap).select(
+        to_millis("session_start"), to_millis("session_end"), *restored(keys), "num_hits")
+
+
+def to_millis(c: str, name: str | None = None) -> Column:
+    """A TIMESTAMP_NTZ as a TIMESTAMP(3) sink keeps it."""
+    return F.date_trunc("MILLISECOND", F.col(c).cast("timestamp")).cast("timestamp_ntz").alias(name or c)
 
 
 def share_of_total(hourly: DataFrame, like: str, listed, key: str = "host") -> DataFrame:
     """Hours with hits per matching key and its share of all matching keys'
-    hours, reported for the listed keys. The total is a scalar subquery over a
-    one-row aggregate (no cross join)."""
-    conteo = (hourly.where(F.col(key).like(like)).groupBy(key)
-                    .agg(F.count("event_hour").alias("count_event")))
-    total = conteo.select(F.sum("count_event")).scalar()
-    return (conteo.where(F.col(key).isin(list(listed)))
-                  .select(key, "count_event", (F.col("count_event") / total).alias("pct_event")))
+    hours, reported for the listed keys. The events are aggregated once, to one
+    stored row per key; the total is a scalar over those rows."""
+    hours = cut_lineage(hourly.where(F.col(key).like(like)).groupBy(key)
+                        .agg(F.count("event_hour").alias("hours_seen")), "parquet")
+    total = hours.select(F.sum("hours_seen")).scalar()
+    return (hours.where(F.col(key).isin(list(listed)))
+                 .select(key, "hours_seen", (F.col("hours_seen") / total).alias("share_of_hours")))
 
 
 def avg_rows_per_key(hourly: DataFrame, like: str | None = None, key: str = "host") -> DataFrame:
@@ -116,17 +125,21 @@ def avg_rows_per_key(hourly: DataFrame, like: str | None = None, key: str = "hos
 
 
 def avg_per_session(sessions_df: DataFrame, like: str | None = None, listed=None, by: str | None = None,
-                    weight: str = "num_hits", name: str = "average_events_per_session") -> DataFrame:
+                    weight: str = "num_hits", name: str = "average_events_per_session",
+                    one_row: bool = False) -> DataFrame:
     """Average events per (session_start, ip, host), overall or per ``by``.
 
     The script counts sink rows per session; on one-row-per-event data that is
-    the event count, which a per-session sink carries as ``weight``."""
+    the event count, which a per-session sink carries as ``weight``. ``one_row``
+    says that the rows are sessions of (ip, host) already, as
+    ``sessions_bucketed`` makes them: they are not grouped again."""
     s = sessions_df
     if like is not None:
         s = s.where(F.col("host").like(like))
     if listed is not None:
         s = s.where(F.col("host").isin(list(listed)))
-    per = s.groupBy("session_start", "ip", "host").agg(F.sum(weight).alias("_n"))
+    per = (s.withColumn("_n", F.col(weight)) if one_row
+           else s.groupBy("session_start", "ip", "host").agg(F.sum(weight).alias("_n")))
     if by is None:
         return per.agg(F.avg("_n").alias(name))
     return per.groupBy(by).agg(F.avg("_n").alias(name))

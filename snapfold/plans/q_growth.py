@@ -32,7 +32,7 @@ def growth_fold(spark, sf_dir, churn_first=False):
         F.lit("").alias("weekly_active_state"), F.array("date").alias("dates_active"), "date")
     snaps = fold_periods(empty, days(lo, hi), lambda prev, d: gr.growth_step(
         prev, src.where(F.col("date") == F.lit(d)).select("user_id", F.col("date").alias("today_date")),
-        churn_first=churn_first), key="user_id")
+        churn_first=churn_first))
     return _render(snaps)
 
 
@@ -93,7 +93,7 @@ FROM growth""")
 
 @query("growth_by_date")
 def growth_by_date(spark, sf_dir):
-    return gr.growth_by_date(growth_table(spark, sf_dir))
+    return gr.growth_by_date(growth_table(spark, sf_dir)).orderBy(F.asc_nulls_last("date"), "daily_active_state")
 
 
 oracle("growth_by_date", GROWTH_SQL + """SELECT CAST(date AS TIMESTAMP) AS date, daily_active_state,

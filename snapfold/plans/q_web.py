@@ -25,17 +25,17 @@ def hourly(spark, sf_dir, keys=("host",)):
     return web.hourly_counts(fx.fx_events(spark, sf_dir), list(keys))
 
 
-def session_events(spark, sf_dir):
+def session_events(spark, sf_dir, hosts):
     """The narrow event columns the session jobs read, stored once: the
-    bucketed sessionisation reads its input several times."""
-    return cut_lineage(fx.fx_events(spark, sf_dir).select(*SESSION_SOURCE_KEYS, "event_time"))
+    bucketed sessionisation reads its input several times. The host is part of
+    every session key, so the condition on it holds before sessions are built."""
+    return cut_lineage(fx.fx_events(spark, sf_dir).where(hosts).select(*SESSION_SOURCE_KEYS, "event_time"))
 
 
-def session_table(spark, sf_dir, keys=SESSION_KEYS, events=None):
+def session_table(events, keys=SESSION_KEYS):
     """Batch sessions (bucketed: a busy ip/host is spread over many tasks);
     the stream uses ``session_window`` with the same result."""
-    ev = events if events is not None else session_events(spark, sf_dir)
-    return web.sessions_bucketed(ev, list(keys), GAP_MINUTES)
+    return web.sessions_bucketed(events, list(keys), GAP_MINUTES)
 
 
 @query("inspection_scans")
@@ -65,11 +65,10 @@ def host_share(spark, sf_dir):
     return web.share_of_total(hourly(spark, sf_dir), HOST_LIKE, LISTED_HOSTS)
 
 
-oracle("host_share", HOURLY_SQL + f""", conteo AS (
-  SELECT COUNT(event_hour) AS count_event, host FROM hourly WHERE host LIKE '{HOST_LIKE}' GROUP BY host),
-total AS (SELECT SUM(count_event) AS total_events FROM conteo)
-SELECT c.host, c.count_event, CAST(c.count_event AS DOUBLE) / t.total_events AS pct_event
-FROM conteo c CROSS JOIN total t WHERE host IN ({_hosts_sql()})""")
+oracle("host_share", HOURLY_SQL + f"""SELECT host, hours_seen, hours_seen / all_hours::DOUBLE AS share_of_hours
+FROM (SELECT host, count(*) AS hours_seen, sum(count(*)) OVER () AS all_hours
+      FROM hourly WHERE host LIKE '{HOST_LIKE}' GROUP BY host) shares
+WHERE host IN ({_hosts_sql()})""")
 
 
 @query("host_avg_filtered")
@@ -98,8 +97,8 @@ s1 AS (SELECT *, CASE WHEN lag(event_time) OVER w IS NULL
        FROM ev WINDOW w AS (PARTITION BY {k} ORDER BY event_time)),
 s2 AS (SELECT *, SUM(new_session) OVER (PARTITION BY {k} ORDER BY event_time ROWS UNBOUNDED PRECEDING) AS sid
        FROM s1),
-sessions AS (SELECT min(event_time) AS session_start,
-                    max(event_time) + INTERVAL {GAP_MINUTES} MINUTE AS session_end,
+sessions AS (SELECT date_trunc('milliseconds', min(event_time)) AS session_start,
+                    date_trunc('milliseconds', max(event_time) + INTERVAL {GAP_MINUTES} MINUTE) AS session_end,
                     {k}, count(*) AS num_hits
              FROM s2 GROUP BY {k}, sid)
 """
@@ -107,7 +106,8 @@ sessions AS (SELECT min(event_time) AS session_start,
 
 @query("session_avg")
 def session_avg(spark, sf_dir):
-    return web.avg_per_session(session_table(spark, sf_dir), like=HOST_LIKE)
+    return web.avg_per_session(session_table(session_events(spark, sf_dir, F.col("host").like(HOST_LIKE))),
+                               one_row=True)
 
 
 oracle("session_avg", sessions_sql(SESSION_KEYS) + f"""SELECT AVG(n) AS average_events_per_session
@@ -117,7 +117,8 @@ FROM (SELECT session_start, ip, host, SUM(num_hits) AS n FROM sessions WHERE hos
 
 @query("session_avg_by_host")
 def session_avg_by_host(spark, sf_dir):
-    return web.avg_per_session(session_table(spark, sf_dir), listed=LISTED_HOSTS, by="host")
+    return web.avg_per_session(session_table(session_events(spark, sf_dir, F.col("host").isin(*LISTED_HOSTS))),
+                               by="host", one_row=True).orderBy(F.desc_nulls_first("average_events_per_session"), "host")
 
 
 oracle("session_avg_by_host", sessions_sql(SESSION_KEYS) + f"""SELECT host, AVG(n) AS average_events_per_session
@@ -128,12 +129,9 @@ GROUP BY host""")
 
 @query("session_filter")
 def session_filter(spark, sf_dir):
-    ev = session_events(spark, sf_dir)
-    a = (session_table(spark, sf_dir, events=ev).where(F.col("host").like(HOST_LIKE))
-         .withColumn("referrer", F.lit(None).cast("string")).withColumn("sink", F.lit("ip_host")))
-    b = (session_table(spark, sf_dir, SESSION_SOURCE_KEYS, events=ev).where(F.col("host").like(HOST_LIKE))
-         .withColumn("sink", F.lit("ip_host_referrer")))
-    return a.unionByName(b)
+    ev = session_events(spark, sf_dir, F.col("host").like(HOST_LIKE))
+    a = (session_table(ev).withColumn("referrer", F.lit(None).cast("string")).withColumn("sink", F.lit("ip_host")))
+    return a.unionByName(session_table(ev, SESSION_SOURCE_KEYS).withColumn("sink", F.lit("ip_host_referrer")))
 
 
 oracle("session_filter", f"""SELECT session_start, session_end, ip, host, CAST(NULL AS VARCHAR) AS referrer,

@@ -63,11 +63,33 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path inside the shared folder for written tables and
-    streaming checkpoints."""
+    streaming checkpoints; ``clear_scratch`` removes them."""
     base = shared_dir(spark)
-    return os.path.join(base, "snapfold", f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(base, "snapfold", f"{name}-{uuid.uuid4().hex[:12]}")
+    _SCRATCH.append(path)
+    return path
+
+
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop FileSystem, Path) that ``path`` belongs to, default file system
+    included: what Spark's readers and writers see, not the driver's disk."""
+    hp = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hp.getFileSystem(spark._jsc.hadoopConfiguration()), hp
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Removes what this driver wrote with ``scratch_path`` so far. To be called
+    once the DataFrames that read it are no longer needed."""
+    while _SCRATCH:
+        path = _SCRATCH.pop()
+        for p in (path, path + "-checkpoint"):
+            fs, hp = file_system(spark, p)
+            fs.delete(hp, True)
 
 
 def cut_lineage(df, how: str = "checkpoint"):
@@ -90,22 +112,10 @@ def cut_lineage(df, how: str = "checkpoint"):
 def stage_by_period(df, period: str):
     """Write ``df`` once into the shared folder as Parquet partitioned by
     ``period`` and read it back: a step that filters one period then reads
-    only that partition (partition pruning) instead of the whole source."""
+    only that partition (partition pruning) instead of the whole source. Rows
+    are rebalanced by period first, so a period has a file per some 64 MB, not
+    one per task."""
     spark = df.sparkSession
     path = scratch_path(spark, f"by-{period}")
-    df.write.mode("overwrite").partitionBy(period).parquet(path)
+    df.hint("rebalance", period).write.mode("overwrite").partitionBy(period).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def store_bucketed(df, key: str, buckets: int | None = None):
-    """Write ``df`` as a Parquet table bucketed by ``key`` in the shared folder
-    and read it back. A later join on ``key`` sees the table as already
-    hash-partitioned, so only the other side is shuffled. The rows of a join
-    output partition on ``key`` all fall into one bucket (same hash), so each
-    task writes one file."""
-    spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = "snapfold_state_" + uuid.uuid4().hex[:12]
-    (df.write.mode("overwrite").bucketBy(n, key)
-       .option("path", scratch_path(spark, name)).saveAsTable(name))
-    return spark.table(name)

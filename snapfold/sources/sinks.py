@@ -2,21 +2,24 @@
 primary-key / not-null / enum checks.
 
 Parquet has neither ``MERGE`` nor constraints, so an upsert is "new rows +
-old rows whose key is not among them", materialised in the shared checkpoint
-folder before the target is overwritten (a job never reads and overwrites the
-same path). It is not atomic for concurrent readers; a table format with
-row-level ``MERGE INTO`` is the place for that.
+old rows whose key is not among them". It never writes over what it reads: a
+partitioned table has its touched partitions replaced from a stored copy of the
+merged rows, any other table is written beside the old one and swapped in by
+renaming, so a failed write leaves the old table. Whether a table exists is asked
+of the path's own file system, and any other error is raised. It is not atomic for
+concurrent readers; a table format with row-level ``MERGE INTO`` is the place
+for that.
 """
 
 from __future__ import annotations
 
-import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from snapfold.session import cut_lineage
+from snapfold.session import cut_lineage, file_system
 
 
 def upsert_frames(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -25,14 +28,10 @@ def upsert_frames(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return new.unionByName(old.join(new.select(*keys), keys, "left_anti"))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    if path.startswith("file:") or "://" not in path:
-        return os.path.exists(path.replace("file:", "", 1)) and bool(os.listdir(path.replace("file:", "", 1)))
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - touch the footer
-        return True
-    except Exception:  # missing path
-        return False
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the folder is there, on whatever file system ``path`` names."""
+    fs, hp = file_system(spark, path)
+    return bool(fs.exists(hp))
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -46,18 +45,46 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
 def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Replace only the partitions present in ``df`` (one period of a
     snapshot table): re-running a period is idempotent."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*partition_by).parquet(path))
-
-
-def upsert(spark: SparkSession, new: DataFrame, path: str, keys: list[str]) -> DataFrame:
-    """Upsert ``new`` into the Parquet table at ``path``; returns the new table."""
-    if _exists(spark, path):
-        merged = cut_lineage(upsert_frames(spark.read.parquet(path), new, keys))
+    (df.hint("rebalance", *partition_by).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
+
+
+def _swap(spark: SparkSession, new_path: str, path: str) -> None:
+    """Puts the table at ``new_path`` in the place of that at ``path``."""
+    fs, new = file_system(spark, new_path)
+    _, live = file_system(spark, path)
+    _, aside = file_system(spark, f"{new_path}.replaced")
+    if not fs.rename(live, aside):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(new, live):
+        fs.rename(aside, live)
+        raise OSError(f"cannot move {new_path} to {path}")
+    fs.delete(aside, True)
+
+
+def upsert(spark: SparkSession, new: DataFrame, path: str, keys: list[str],
+           partition_by: list[str] | None = None) -> DataFrame:
+    """Upsert ``new`` into the Parquet table at ``path``; returns the new table.
+
+    With ``partition_by`` (columns among ``keys``, so a row never changes its
+    partition) only the partitions that ``new`` touches are read and replaced."""
+    if partition_by and not set(partition_by) <= set(keys):
+        raise ValueError("partition columns must be part of the key")
+    if not table_exists(spark, path):
+        if partition_by:
+            new.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(path)
+        else:
+            new.write.parquet(path)
+    elif partition_by:
+        old = spark.read.schema(new.schema).parquet(path)
+        touched = new.select(*partition_by).distinct()
+        merged = upsert_frames(old.join(touched, partition_by, "left_semi"), new, keys)
+        overwrite_partitions(cut_lineage(merged, "parquet"), path, partition_by)
     else:
-        merged = new
-    merged.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+        beside = f"{path.rstrip('/')}._{uuid.uuid4().hex[:12]}"
+        upsert_frames(spark.read.schema(new.schema).parquet(path), new, keys).write.parquet(beside)
+        _swap(spark, beside, path)
+    return spark.read.schema(new.schema).parquet(path)
 
 
 def delete_all(spark: SparkSession, schema: StructType, path: str) -> None:

@@ -23,11 +23,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    for name in names:
-        read_table(spark, sf_dir, name).createOrReplaceTempView(name)
-
-
 def event_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """``events`` as a streaming source. All tables share one folder, so the
     file source is narrowed with ``pathGlobFilter``."""

@@ -10,7 +10,10 @@ checkpoint in the shared folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapfold.operators import web
@@ -50,13 +53,25 @@ def run_to_parquet(spark: SparkSession, stream: DataFrame, name: str, available_
     return q, path
 
 
-def run_batch_result(spark: SparkSession, stream: DataFrame, name: str, schema_from: DataFrame) -> DataFrame:
-    """Run to completion and read the sink back as a batch DataFrame."""
-    _, path = run_to_parquet(spark, stream, name)
-    return spark.read.schema(schema_from.schema).parquet(path)
-
-
 def watermark_cutoff(events: DataFrame, delay: str = web.WATERMARK_DELAY):
-    """Final watermark of a run over ``events``: windows ending at or before it
-    have been emitted in append mode."""
-    return events.select(F.max("event_time") - F.expr(f"INTERVAL {delay}")).scalar()
+    """Final watermark of a run over ``events``, as a wall-clock datetime:
+    windows ending at or before it have been emitted in append mode."""
+    last = F.max("event_time")
+    return events.agg((last - F.expr(f"INTERVAL {delay}")).alias("t")).first()["t"]
+
+
+def with_open_windows(closed: DataFrame, events: DataFrame, windows: Callable[[DataFrame], DataFrame],
+                      end: Column, delay: str = web.WATERMARK_DELAY) -> DataFrame:
+    """The sink's rows and the windows still open when a bounded run ended.
+
+    A stream in append mode holds back every window that may still change. Once
+    the source is known to be complete they are final too: the same windows are
+    taken from a batch pass over ``events``, of which those past the final
+    watermark are added. The watermark is kept in milliseconds, so windows within
+    a second of it are compared with what the sink holds."""
+    cutoff = watermark_cutoff(events, delay)
+    if cutoff is None:
+        return closed
+    late = F.lit((cutoff - dt.timedelta(seconds=1)).isoformat()).cast("timestamp_ntz")
+    still_open = windows(events).where(end > late).select(*closed.columns)
+    return closed.unionByName(still_open.exceptAll(closed))

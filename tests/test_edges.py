@@ -5,6 +5,7 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from snapfold.functions import pgcompat as pg
@@ -40,11 +41,7 @@ def test_player_step_yesterday_today_both(spark):
     assert all(r["is_active"] is None for r in asw)
 
 
-@pytest.mark.parametrize("bucketed", [False, True])
-def test_backfill_equals_fold(spark, monkeypatch, bucketed):
-    if bucketed:  # store every state bucketed by the key, 1 row per bucket
-        monkeypatch.setattr(cu, "BUCKET_MIN_ROWS", 1)
-        monkeypatch.setattr(cu, "ROWS_PER_BUCKET", 1)
+def test_backfill_equals_fold(spark):
     seasons = seasons_df(spark, [("a", 1996, 21), ("a", 1998, 11), ("b", 1997, 16), ("b", 1998, 3)])
     cols = ["player_name", "current_season", "scoring_class", "years_since_last_season", "is_active"]
     fold = cu.fold_players(seasons, 1996, 1998, fixed=True).select(*cols, "season_stats")
@@ -184,9 +181,30 @@ def test_rolling_top1_tie_break(spark):
     r = sequences.rolling_sum_top(df, "team_abbreviation", ["game_id", "player_id", "plus_minus"], win, n=2,
                                   bucket_size=2).collect()
     assert [tuple(x) for x in r] == [("T1", 2)]
-    w = sequences.rolling_sum_top_window(df, "team_abbreviation", ["game_id", "player_id", "plus_minus"], win,
-                                         n=2).collect()
-    assert [tuple(x) for x in w] == [("T1", 2)]
+
+
+def test_longest_streak_without_game_ids(spark):
+    """NULL game ids come last, join a run and are not counted; one key, top one."""
+    rows = [("p", g, pts) for g, pts in [(1, 20), (2, 20), (3, 5), (4, 20), (None, 20)]] + [("q", 1, 50)]
+    df = spark.createDataFrame(rows, "player_name string, game_id long, pts int")
+    out = "longest_streak_with_10_or_more_pts"
+    for size in (1, 2, 4096):
+        streak = lambda **k: sequences.longest_streak(df, "player_name", ["game_id", "pts"], F.col("pts") > 10,
+                                                      bucket_size=size, **k).collect()
+        assert {r["player_name"]: r[out] for r in streak()} == {"p": 2, "q": 1}
+        assert [(r["player_name"], r[out]) for r in streak(top=1)] == [("p", 2)]
+        assert [(r["player_name"], r[out]) for r in streak(only="q")] == [("q", 1)]
+
+
+def test_points_ranks_as_written_with_null_totals(spark):
+    details = spark.createDataFrame([("a", "T1", 10), ("b", "T1", None), ("c", "T1", 30), ("d", None, 4), ("e", None, None)],
+                                    "player_name string, team_abbreviation string, pts int")
+    seasons = spark.createDataFrame([(p, s) for p in "abcde" for s in (1, 2)], "player_name string, season int")
+    out = cubes.points_sets(details, seasons)
+    rows = out.withColumn("want", F.rank().over(Window.partitionBy("season", "team_abbreviation")
+                                                .orderBy(F.col("total_points").desc_nulls_first()))).collect()
+    teams = [r for r in rows if r.player_name is None and r.team_abbreviation and r.season]
+    assert len(teams) == 2 and all(r.rank_in_group == r.want == 2 for r in teams)   # after the NULL total of b
 
 
 def test_longest_streak_null_breaks(spark):
@@ -264,7 +282,10 @@ def test_bucketed_moving_sum_equals_window(spark, bucket_size):
     order = ["game_id", "player_id", "plus_minus"]
     for n in (1, 7, 90):
         a = sequences.rolling_sum_top(df, "team_abbreviation", order, win, n=n, bucket_size=bucket_size).collect()
-        b = sequences.rolling_sum_top_window(df, "team_abbreviation", order, win, n=n).collect()
+        w = (Window.partitionBy("team_abbreviation").orderBy(*[F.col(c).asc_nulls_last() for c in order])
+                   .rowsBetween(-(n - 1), 0))
+        b = (df.select("team_abbreviation", F.sum(win).over(w).alias("max_wins_in_90_game_stretch"))
+               .orderBy(F.desc("max_wins_in_90_game_stretch"), "team_abbreviation").limit(1).collect())
         assert a == b
 
 
@@ -279,10 +300,10 @@ def test_bucketed_streak_equals_brute_force(spark, bucket_size):
                                                            bucket_size=bucket_size).collect()}
     exp = {}
     for p in ("p", "q"):
-        seq = sorted([(g, -1 if v is None else v) for n, g, v in rows if n == p])
+        seq = sorted([(g, v is None, v or 0) for n, g, v in rows if n == p])  # NULLs last
         best = cur = 0
-        for _, v in seq:
-            cur = cur + 1 if v > 10 else 0
+        for _, missing, v in seq:
+            cur = cur + 1 if not missing and v > 10 else 0
             best = max(best, cur)
         if best:
             exp[p] = best
@@ -324,8 +345,8 @@ def test_metric_array_rerun_and_skip(spark):
     assert run([1, 3], True) == [10.0, 0.0, 30.0]
 
 
-def test_upsert_month_equals_keyed_upsert(spark):
-    from snapfold.sources.sinks import upsert_frames
+def test_partition_load_equals_keyed_upsert(spark, tmp_path):
+    from snapfold.sources.sinks import overwrite_partitions, upsert_frames
     keys = ["user_id", "month_start", "metric_name"]
     state = spark.createDataFrame(
         [(1, D(2023, 1, 1), "site_hits", [1.0]), (2, D(2023, 1, 1), "site_hits", [2.0]),
@@ -333,16 +354,26 @@ def test_upsert_month_equals_keyed_upsert(spark):
         "user_id int, month_start date, metric_name string, metric_array array<double>")
     today = spark.createDataFrame([(2, D(2023, 1, 2), 4), (3, D(2023, 1, 2), 6)], "user_id int, date date, hits bigint")
     for positional in (False, True):
+        path = str(tmp_path / str(positional))
         rows = dl.append_metric(state, today, D(2023, 1, 2), positional=positional)
-        a = sorted(map(tuple, dl.upsert_month(state, rows, D(2023, 1, 2)).collect()))
-        b = sorted(map(tuple, upsert_frames(state, rows, keys).collect()))
-        assert a == b
+        overwrite_partitions(state, path, keys[1:])
+        overwrite_partitions(rows, path, keys[1:])
+        a = sorted(map(tuple, spark.read.schema(state.schema).parquet(path).collect()))
+        assert a == sorted(map(tuple, upsert_frames(state, rows, keys).collect()))
+
 
+def test_daily_load_of_reduced_arrays(spark):
+    rows = lambda *r: spark.createDataFrame(r, "host string, date date, hits bigint, unique_visitors bigint")
+    day1 = dl.append_reduced(None, rows(("a", D(2023, 1, 1), 5, 2), ("b", D(2023, 1, 1), 1, 1)), D(2023, 1, 1))
+    day2 = dl.append_reduced(day1, rows(("a", D(2023, 1, 2), 7, 3), ("c", D(2023, 1, 2), 2, 2)), D(2023, 1, 2))
+    assert sorted((r.host, r.hit_array, r.unique_visitors_array) for r in day2.collect()) == [
+        ("a", [5, 7], [2, 3]), ("c", [2], [2])]                          # the rows to upsert: b is left alone
+    feb = dl.append_reduced(day1, rows(("a", D(2023, 2, 1), 9, 9)), D(2023, 2, 1))
+    assert [(r.month, r.hit_array) for r in feb.collect()] == [(D(2023, 2, 1), [9])]
 
 
 def test_rank_by_counts_equals_rank(spark):
     import random
-    from pyspark.sql import Window
     from snapfold.functions.ordinals import rank_by_counts
     rnd = random.Random(3)
     rows = [(rnd.choice(["a", "b", None]), rnd.choice([None, 1, 2, 2, 3, 5, 8])) for _ in range(200)]
@@ -350,3 +381,9 @@ def test_rank_by_counts_equals_rank(spark):
     got = rank_by_counts(df, ["k"], "v", "r").select("id", "r")
     exp = df.select("id", F.rank().over(Window.partitionBy("k").orderBy(F.col("v").desc_nulls_first())).alias("r"))
     assert sorted(got.collect()) == sorted(exp.collect())
+
+
+def test_bitmask_of_an_early_start(spark):
+    users = spark.createDataFrame([(1, [D(2023, 1, 31), D(2022, 11, 1), D(2022, 12, 31)])], "user_id int, dates_active array<date>")
+    mask = lambda fixed: dl.date_bitmask(users, F.lit(D(2023, 1, 31)), F.lit(D(2022, 1, 1)), fixed=fixed).first()
+    assert mask(True).bits_sum == 2 ** 31 + 2 ** 0 and mask(False).bits_sum == 2 ** 32 + 2 ** 1

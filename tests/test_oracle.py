@@ -4,10 +4,11 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from snapfold.plans import oracle, registry
 from tools.oracle_check import compare, duck
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = registry.load_all()
+ORACLE = oracle.load_all()
 
 
 def test_every_query_has_an_oracle():
@@ -25,6 +26,25 @@ def test_matches_oracle(spark, sf_dir, con, name):
     assert ok, msg
 
 
+def test_entry_has_them_all():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
+
+
+def test_entry_without_the_training_data_package(tmp_path):
+    """The driver removes llm folders and the pipeline: the rest still imports."""
+    import os
+    import shutil
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    shutil.copytree(root, tmp_path / "repo", ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py"))
+    code = ("import __spark_entry__ as e; q, o = e.queries(), e.oracle_sql(); "
+            "assert set(q) == set(o) and not any(k.startswith('op') or k == 'pipeline' for k in q); print(len(q))")
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "repo", capture_output=True, text=True,
+                         env=os.environ | {"PYTHONPATH": str(tmp_path / "repo")})
+    assert out.returncode == 0 and int(out.stdout) == len(QUERIES), out.stderr
+
+
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     rows = df.collect()

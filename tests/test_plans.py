@@ -8,14 +8,15 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from snapfold.operators import datelists as dl
+from snapfold.plans.registry import load_all
 from snapfold.sources import fixtures as fx
 from snapfold.sources.tables import read_table
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas")
-BATCH = sorted(n for n in entry.queries() if not n.startswith("stream_"))
+QUERIES = load_all()
+BATCH = sorted(n for n in QUERIES if not n.startswith("stream_"))
 
 
 def plan_text(df) -> str:
@@ -27,7 +28,7 @@ def plan_text(df) -> str:
 
 @pytest.mark.parametrize("name", BATCH)
 def test_no_cartesian_or_python(spark, sf_dir, name):
-    text = plan_text(entry.queries()[name](spark, sf_dir))
+    text = plan_text(QUERIES[name](spark, sf_dir))
     for op in FORBIDDEN:
         assert op not in text, f"{name}: {op} in plan"
 
@@ -56,3 +57,41 @@ def test_bitmask_has_no_shuffle_beyond_the_list(spark, sf_dir):
     users = daily(spark, sf_dir).groupBy("user_id").agg(F.collect_set("date").alias("dates_active"))
     text = plan_text(dl.date_bitmask(users, F.lit(dt.date(2024, 1, 30)), F.lit(dt.date(2024, 1, 1))))
     assert "Expand" not in text and "Generate" not in text   # no users x days expansion
+
+
+def shuffles(df) -> int:
+    """Shuffles that the query ran; what one reuses is not counted again."""
+    df.collect()
+    ran = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return sum("Exchange" in line and "Reused" not in line and "Broadcast" not in line for line in ran.splitlines())
+
+
+@pytest.mark.parametrize("name, most", [("session_avg", 8), ("session_avg_by_host", 9), ("session_filter", 14),
+                                        ("page_transitions", 8), ("rolling_wins", 5)])
+def test_shuffles_of_bucketed_windows(spark, sf_dir, name, most):
+    assert shuffles(QUERIES[name](spark, sf_dir)) <= most
+
+
+def test_moving_sum_has_no_self_join(spark, sf_dir):
+    text = plan_text(QUERIES["rolling_wins"](spark, sf_dir))
+    tree = text.split("== Physical Plan ==")[1].split("\n\n")[0]
+    assert sum("Join" in line for line in tree.splitlines()) == 1      # the bucket offsets
+
+
+def test_host_condition_is_below_the_sessions(spark, sf_dir):
+    from snapfold.plans import q_web
+    seen = []
+    old = q_web.cut_lineage
+    q_web.cut_lineage = lambda df, *a: seen.append(df) or old(df, *a)
+    try:
+        QUERIES["session_avg"](spark, sf_dir)
+    finally:
+        q_web.cut_lineage = old
+    assert {r.host for r in seen[0].select("host").distinct().collect()} == {
+        r.host for r in seen[0].where(F.col("host").like(q_web.HOST_LIKE)).select("host").distinct().collect()}
+
+
+def test_hosts_filter_is_pushed(spark, sf_dir):
+    ev = fx.fx_events(spark, sf_dir)
+    text = plan_text(ev.where(dl.before_day("event_time", dt.date(2024, 1, 3))).select("host"))
+    assert "LessThan(ts," in text
