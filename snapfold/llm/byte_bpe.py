@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapfold.llm.common import RunCache, batch_of, id_text, map_slices
+from snapfold.llm.common import batch_of, id_text, map_slices
 
 # white space as the pattern's engine has it (fixed value); Python's has more
 _W = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -32,6 +32,7 @@ WORD_BITS = 256
 BIT = [1 << k for k in range(WORD_BITS)]
 # units and pre-tokens that a worker remembers, in each of two generations
 CACHED = 350_000
+LONGEST = 48             # characters of one, at most
 
 
 class Ranks:
@@ -45,7 +46,6 @@ class Ranks:
         self.token: list[bytes | None] = [None] * size
         for tok, r in self.rank.items():
             self.token[r] = tok
-        self.of_byte = [self.rank[bytes([c])] for c in range(256)]
         self._pairs: dict[int, int] = {}
 
     @property
@@ -69,51 +69,50 @@ class Merger:
 
     def __init__(self, ranks: Ranks):
         self.rank, self.size = ranks.rank, ranks.size
-        self.pairs, self.of_byte = ranks.pairs, ranks.of_byte
+        self.pairs = ranks.pairs
+        self.of_byte = np.array([self.rank[bytes([c])] for c in range(256)])
+        self.byte_pairs = np.array([[self.rank.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)])
 
     def ids(self, pieces: list[bytes]) -> list[bytes]:
         """Each pre-token's ids as little-endian 32-bit integers."""
         known = self.rank.get
-        node: list[int] = []                           # token at a position, -1: merged away
-        starts: list[int] = []
-        for piece in pieces:
-            starts.append(len(node))
-            whole = known(piece)
-            if whole is None:
-                node += [self.of_byte[c] for c in piece]
-            else:
-                node.append(whole)
-        n = len(node)
-        starts.append(n)
-        self._merge(node, starts)
-        alive = np.array(node, dtype="<i4")
-        keep = alive >= 0
-        ids = alive[keep].tobytes()
-        ends = np.concatenate([[0], np.cumsum(keep)])[starts] * 4
-        at = ends.tolist()
-        return [ids[i:j] for i, j in zip(at, at[1:])]
-
-    def _merge(self, node: list[int], starts: list[int]) -> None:
-        size, rank_of, n = self.size, self.pairs.get, len(node)
-        left, right = list(range(-1, n - 1)), list(range(1, n + 1))
-        pair = [rank_of(a * size + b, -1) for a, b in zip(node, node[1:])]
-        pair.append(-1)                                # rank of a position and its right
-        for s in starts:                               # cut the links between pre-tokens
-            if s < n:
-                left[s] = -1
-            if s:
-                right[s - 1] = pair[s - 1] = -1
+        whole = [known(p, -1) for p in pieces]
+        parts = [p if r < 0 else b"" for p, r in zip(pieces, whole)]
+        ends = np.cumsum([len(p) for p in parts], dtype=np.int64)
+        node = np.array(self._merge(np.frombuffer(b"".join(parts), dtype=np.uint8), ends), dtype="<i4")
+        keep = node >= 0
+        merged = node[keep].tobytes()
+        cuts = (np.concatenate([[0], np.cumsum(keep)])[np.concatenate([[0], ends])] * 4).tolist()
+        return [merged[i:j] if r < 0 else r.to_bytes(4, "little") for i, j, r in zip(cuts, cuts[1:], whole)]
+
+    def _merge(self, data: np.ndarray, ends: np.ndarray) -> list[int]:
+        """The token at each position after all merges, -1 where it went into its left.
+        ``ends``: where pre-tokens end."""
+        size, rank_of, n = self.size, self.pairs.get, len(data)
+        node = self.of_byte[data].tolist()
+        if not n:
+            return node
+        last = np.unique(ends[ends > 0]) - 1
+        first = np.full(n, -1, dtype=np.int64)             # rank of a position and its right
+        first[:-1] = self.byte_pairs[data[:-1], data[1:]]
+        first[last] = -1
+        pair = first.tolist()
+        right = np.arange(1, n + 1)
+        right[last] = -1                                   # no links between pre-tokens
+        left = np.arange(-1, n - 1)
+        left[last[:-1] + 1] = -1
+        right, left = right.tolist(), left.tolist()
         words = [0] * (size // WORD_BITS + 1)
         top = 0
+        live = np.flatnonzero(first >= 0)
+        live = live[np.argsort(first[live], kind="stable")]
+        ranks, at = np.unique(first[live], return_index=True)
+        at, live = [*at.tolist(), len(live)], live.tolist()
         buckets: dict[int, list[int]] = {}
-        for i, r in enumerate(pair):
-            if r >= 0:
-                if r in buckets:
-                    buckets[r].append(i)
-                else:
-                    buckets[r] = [i]
-                    words[r >> 8] |= BIT[r & 255]
-                    top |= 1 << (r >> 8)
+        for r, i, j in zip(ranks.tolist(), at, at[1:]):
+            buckets[r] = live[i:j]
+            words[r >> 8] |= BIT[r & 255]
+            top |= 1 << (r >> 8)
         while top:
             w = (top & -top).bit_length() - 1          # find first set, level by level
             word = words[w]
@@ -164,6 +163,7 @@ class Merger:
                 words[w] ^= low
                 if not words[w]:
                     top ^= 1 << w
+        return node
 
 
 @lru_cache(maxsize=4)
@@ -187,29 +187,37 @@ class Encoder:
         self.merge = Merger(load_ranks(path)).ids
         self.matches = regex.compile(pattern).findall
         self.units = re.compile(UNIT).findall
-        self.known = RunCache(lambda unit: self.encode_new([unit])[0], CACHED)
+        self.now: dict[str, bytes] = {}         # ids of units and pre-tokens met lately,
+        self.old: dict[str, bytes] = {}         # and before: two generations
 
-    def encode_new(self, units: list[str]) -> list[bytes]:
+    def encode_new(self, units: list[str]) -> dict[str, bytes]:
         """Ids of units; their pre-tokens not known yet are merged in one queue. A
         match of the pattern is also matched whole when it stands alone."""
-        known = self.known
+        now, old = self.now, self.old
         cut = [self.matches(unit) for unit in units]
-        new = list({m for ms in cut for m in ms if not known.knows(m)})
+        new = list(set().union(*cut).difference(now).difference(old))
         got = dict(zip(new, self.merge([m.encode() for m in new])))
-        known.update_all(got)
-        return [b"".join([got[m] if m in got else known[m] for m in ms]) for ms in cut]
+        now.update(got)
+        for unit, ms in zip(units, cut):
+            if len(ms) > 1:
+                got[unit] = b"".join([now[m] if m in now else old[m] for m in ms])
+        return got
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of texts as little-endian 32-bit integers."""
-        known = self.known
+        now, old = self.now, self.old
         cut = [self.units(text) for text in texts]
-        new = [u for u in set().union(*cut) if not known.knows(u)]
-        once = dict(zip(new, self.encode_new(new)))
-        known.update_all(once)
-        try:
-            return [b"".join(map(known.__getitem__, units)) for units in cut]
-        finally:
-            known.turn()
+        missing = set().union(*cut).difference(now)
+        new = missing.difference(old)
+        now.update([(u, old[u]) for u in missing - new])
+        got = self.encode_new(list(new))
+        now.update(got)
+        out = [b"".join(map(now.__getitem__, units)) for units in cut]
+        for u in [u for u in got if len(u) > LONGEST]:      # not worth remembering
+            del now[u]
+        if len(now) > CACHED:
+            self.old, self.now = now, {}
+        return out
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
@@ -232,18 +240,15 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
     """(doc_id, ids, decoded binary): the bytes that the ids stand for."""
     def make():
-        token = load_ranks(ranks_path).token
+        token = np.array(load_ranks(ranks_path).token, dtype=object)
 
         def run(batch):
             ids = batch.column("ids")
-            values = ids.values.to_pylist() if ids.offset == 0 and ids.null_count == 0 else None
-            if values is None:
-                done = [b"".join([token[i] for i in x or ()]) for x in ids.to_pylist()]
-            else:
-                at = ids.offsets.to_pylist()
-                done = [b"".join([token[i] for i in values[a:b]]) for a, b in zip(at, at[1:])]
-            return batch_of({"doc_id": batch.column("doc_id"), "ids": ids,
-                             "decoded": (done, pa.binary())})
+            of_row = ids.value_lengths().fill_null(0).to_numpy()
+            parts = token[ids.flatten().to_numpy()].tolist()
+            ends = np.cumsum(of_row).tolist()
+            done = [b"".join(parts[end - n:end]) for n, end in zip(of_row.tolist(), ends)]
+            return batch_of({"doc_id": batch.column("doc_id"), "ids": ids, "decoded": (done, pa.binary())})
         return run
     narrow = encoded.select("doc_id", F.col(ids_col).alias("ids"))
     return map_slices(narrow, make, "doc_id long, ids array<int>, decoded binary")
