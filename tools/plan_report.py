@@ -38,10 +38,10 @@ def summarise(df) -> dict:
 
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    import __spark_entry__ as entry
+    from snapfold.plans.registry import load_all
     from snapfold.session import get_spark
     spark = get_spark("plan-report", master="local[8]", shuffle_partitions=16)
-    qs = entry.queries()
+    qs = load_all()
     cols = ["Exchange hashpartitioning", "BroadcastExchange", "SortMergeJoin", "BroadcastHashJoin",
             "HashAggregate", "SortAggregate", "ObjectHashAggregate", "Window", "Expand", "Generate"]
     short = ["shuffle", "bcast", "SMJ", "BHJ", "HashAgg", "SortAgg", "ObjAgg", "Window", "Expand", "Generate"]
@@ -49,7 +49,7 @@ def main():
              "Operator counts per registered batch query; AQE may still turn a sort-merge join",
              "into a broadcast join or coalesce shuffle partitions at run time. `shuffle` counts",
              "hash-partitioning exchanges (one per shuffle). Fold queries (`*_step`) show the",
-             "plan after their steps were materialised, i.e. the final union over stored states.",
+             "plan after their steps were stored, i.e. one scan of the fold's table.",
              "", "| query | " + " | ".join(short) + " | filters pushed to Parquet |",
              "| --- | " + " | ".join("---" for _ in short) + " | --- |"]
     for name in sorted(qs):
