@@ -3,8 +3,9 @@
 1. ``learn_lexicon``: terms (words and word beginnings) that are far commoner in toxic
    than in other labelled training rows, counted in Spark over a bounded sample of rows.
 2. Many voters label each sampled text toxic, clean or abstain: lexicon voters (the
-   learned words and beginnings dealt into several each, and a fixed list) and pattern
-   voters (insults by form, shouting, exclamation marks, no known term).
+   learned words and beginnings dealt into several each, and a fixed list), pattern
+   voters (insults by form, shouting, exclamation marks, no known term) and, on training
+   rows, the annotator.
 3. ``LabelModel``, generative: voters' accuracies given the hidden class, and their
    correlations as a tree of dependencies (the maximum spanning tree of the voters'
    mutual information given the class), estimated by EM over the votes.
@@ -34,8 +35,8 @@ from snapfold.llm.labelled import TRAIN_ROWS, chosen, fold
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
 LONGEST = 40            # characters of a word that terms are learned from
 LEAST_DOCS = 4          # toxic training rows that a learned term is in, at least
-SURPRISE = 4.0          # standard deviations over chance, at least
-RATIO = 4.0             # commoner in toxic rows by this factor, at least
+SURPRISE = 6.0          # standard deviations over chance, at least
+RATIO = 16.0            # commoner in toxic rows by this factor, at least
 MOST_TERMS = 6000       # learned terms, at most
 LEXICONS = 8            # voters that the learned words, and the beginnings, are dealt into
 EM_ROUNDS = 15
@@ -193,7 +194,7 @@ class LabelModel:
         return 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -60, 60)))
 
 
-def fit_linear(rows: list[list[int]], p: np.ndarray, size: int, steps: int = 300, decay: float = 1e-3) -> tuple[float, np.ndarray]:
+def fit_linear(rows: list[list[int]], p: np.ndarray, size: int, steps: int = 500, decay: float = 1e-4) -> tuple[float, np.ndarray]:
     """(intercept, weights) of logistic regression on sets of features, for posterior
     labels ``p``, by gradient descent with momentum scaled by each feature's curvature."""
     n = len(rows)
@@ -263,10 +264,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: in
         p = min(max(p, 1e-6), 1 - 1e-6)
         return Model({}, math.log(p / (1 - p)), np.zeros(len(PATTERNS)))
     votes = np.array(got.column("votes").to_pylist(), dtype=np.int64)[order]
-    # the hidden class starts from the share of toxic rows for each number of toxic votes
+    # the hidden class starts from the share of toxic rows for each number of toxic votes;
+    # the annotator who gave the labels is one more voter, whose accuracy is estimated too
     some = np.minimum((votes == 2).sum(axis=1), 3)
     share = np.array([y[some == k].mean() if (some == k).any() else p for k in range(4)])
-    posterior = LabelModel(votes, share[some]).p
+    posterior = LabelModel(np.column_stack([votes, y.astype(np.int64) + 1]), share[some]).p
     features = got.column("features").to_pylist()
     b, w = fit_linear([features[k] for k in order], posterior, size)
     return Model(lexicon, b, w)
