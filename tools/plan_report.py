@@ -45,7 +45,7 @@ def main():
     cols = ["Exchange hashpartitioning", "BroadcastExchange", "SortMergeJoin", "BroadcastHashJoin",
             "HashAggregate", "SortAggregate", "ObjectHashAggregate", "Window", "Expand", "Generate"]
     short = ["shuffle", "bcast", "SMJ", "BHJ", "HashAgg", "SortAgg", "ObjAgg", "Window", "Expand", "Generate"]
-    lines = ["# Physical plans (initial AQE plan, sf0.1, `tools/plan_report.py`)", "",
+    lines = ["# Physical plans (initial AQE plan, sf0.01, `tools/plan_report.py`)", "",
              "Operator counts per registered batch query; AQE may still turn a sort-merge join",
              "into a broadcast join or coalesce shuffle partitions at run time. `shuffle` counts",
              "hash-partitioning exchanges (one per shuffle). Fold queries (`*_step`) show the",
