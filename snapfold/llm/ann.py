@@ -33,7 +33,7 @@ CONFIDENCE = 0.99
 SAMPLE = 20_000         # projected vectors, at most, on which the upper splits are fitted
 CELL_ROWS = 4096        # vectors of a shard and its kd-tree, on average
 MAX_CELLS = 2048
-LEAF = 32
+LEAF = 512              # vectors of a kd-tree's leaf, verified together
 
 
 def chi2_quantile(p: float, m: int = PROJECTED) -> float:
@@ -115,10 +115,11 @@ class Shard:
     """The vectors of one shard with a kd-tree over their projections."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, matrix: np.ndarray):
-        self.ids, self.vectors = ids, vectors
-        self.norms = np.sqrt((vectors * vectors).sum(axis=1))
-        self.points = (vectors / self.norms[:, None]) @ matrix
-        self.tree = KDTree(self.points, LEAF)
+        norms = np.sqrt((vectors * vectors).sum(axis=1))
+        self.tree = KDTree((vectors / norms[:, None]) @ matrix, LEAF)
+        order = np.concatenate(self.tree.members)            # a leaf's vectors side by side
+        self.ids, self.vectors, self.norms = ids[order], np.ascontiguousarray(vectors[order]), norms[order]
+        self.ends = np.cumsum([len(m) for m in self.tree.members]).tolist()
 
     def search(self, vector: np.ndarray, matrix: np.ndarray, k: int, bound: float, limit: float):
         """The k best (score, id) here; ``bound``: squared distance of a k-th known already."""
@@ -127,15 +128,17 @@ class Shard:
         best: list[tuple[float, int]] = []
         reach = bound
         for far, leaf in self.tree.nearest_leaves(point):
-            if far > reach * limit + 1e-9:               # the chi-square test
+            if far > reach * limit + 1e-9:                   # the chi-square test
                 break
-            who = self.tree.members[leaf]
-            off = ((self.points[who] - point) ** 2).sum(axis=1)
-            who = who[off <= reach * limit + 1e-9]
-            if not len(who):
+            end = self.ends[leaf]
+            at = end - len(self.tree.members[leaf])
+            scores = (self.vectors[at:end] @ vector) / (self.norms[at:end] * norm)
+            # what cannot be among the k best is left before it is sorted
+            enough = best[-1][0] if len(best) == k else (np.partition(scores, -k)[-k] if len(scores) > k else -2.0)
+            better = np.flatnonzero(scores >= enough)
+            if not len(better):
                 continue
-            scores = (self.vectors[who] @ vector) / (self.norms[who] * norm)
-            best += zip(scores.tolist(), self.ids[who].tolist())
+            best += zip(scores[better].tolist(), self.ids[at:end][better].tolist())
             best.sort(key=lambda x: (-x[0], x[1]))
             del best[k:]
             if len(best) == k:
@@ -143,12 +146,6 @@ class Shard:
         return best
 
 
-def _matrix_of(column: pa.Array) -> np.ndarray:
-    """A list column of equal lengths as a matrix of doubles."""
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1)
-
-
 def _usable(vec: Column) -> Column:
     fine = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     return vec.isNotNull() & (F.size(vec) > 0) & F.coalesce(fine, F.lit(False)) & F.exists(vec, lambda x: x != 0)
