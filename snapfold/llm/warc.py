@@ -25,6 +25,7 @@ SILENT = ("head", "script", "style", "noscript", "template")
 LINE_TAGS = r"(?i)</?(?:br|p|h[1-6]|li|ul|ol|div|article|section|nav|header|footer|tr|table|title|main|hr|pre|blockquote)(?:[ \t\r\n/][^>]*)?>"
 ENTITIES = [("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"),
             ("&gt;", ">"), ("&amp;", "&")]
+SILENT_ELEMENT = rf"(?is)<({'|'.join(SILENT)})(?:[ \t\r\n][^>]*)?>.*?</\1[ \t\r\n]*>"
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
 LANGUAGE = r'(?is)<html[^>]*[ \t\r\n]lang="([^"]*)"'
 LINK = r'(?is)<a[ \t\r\n][^>]*?href="([^"]*)"'
@@ -53,11 +54,9 @@ def one_line(text: Column) -> Column:
 
 def plain_text(html: Column) -> Column:
     """The page's text, a line for each block, single spaces within."""
-    t = html
-    for tag in SILENT:
-        t = F.regexp_replace(t, f"(?is)<{tag}(?:[ \t\r\n][^>]*)?>.*?</{tag}[ \t\r\n]*>", "")
+    t = F.regexp_replace(html, SILENT_ELEMENT, "")
     t = F.regexp_replace(t, "(?s)<!--.*?-->", "")
-    t = F.regexp_replace(t, "[ \t\r\n]+", " ")
+    t = F.regexp_replace(t, "[ \t\r\n]{2,}|[\t\r\n]", " ")     # single spaces stay as they are
     t = F.regexp_replace(F.regexp_replace(t, LINE_TAGS, "\n"), "<[^>]*>", "")
     t = F.regexp_replace(unescape(t), " *\n[ \n]*", "\n")
     return F.btrim(t, F.lit(" \n"))
