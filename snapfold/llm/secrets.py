@@ -116,8 +116,8 @@ def _named(docs: DataFrame, row, id_col: str, text_col: str, owner_col: str, rep
                        text(repo_col).alias("repo"), text(text_col).alias("text"))
 
 
-def _exploded(some: DataFrame, *cols: str) -> DataFrame:
-    found = store(_searched(_named(some, F.col(ROW), *cols)), "secret-spans")
+def _exploded(some: DataFrame, row, name: str, *cols: str) -> DataFrame:
+    found = store(_searched(_named(some, row, *cols)), name)
     return found.select("row", "owner", "repo", F.explode("found").alias("s")).select("row", "owner", "repo", "s.*")
 
 
@@ -176,14 +176,17 @@ def masked_text(text: str, more: list[tuple[int, int]]) -> str:
 def mask(docs: DataFrame, max_owners: int = MAX_OWNERS, id_col: str = "doc_id", text_col: str = "text",
          owner_col: str = "source", repo_col: str = "doc_id") -> DataFrame:
     """All rows with secrets masked: every base span, and those of the further kinds whose
-    value looks live. Only rows that may hold a further kind are stored and joined with
-    what the corpus says of its values; the others are masked as they are read."""
+    value looks live. Owners are counted as in ``scan``, over the values of all kinds in all
+    rows. Only the texts of rows that may hold a further kind are stored and joined with what
+    the corpus says of its values; the others give their values and are masked as they are read."""
     columns = docs.columns
     may = F.coalesce(F.col(text_col).rlike(MORE_RLIKE), F.lit(False))
     some = store(docs.filter(may).withColumn(ROW, F.monotonically_increasing_id()), "secret-rows")
-    each = _exploded(some, id_col, text_col, owner_col, repo_col).filter(F.col("kind") >= 3)
-    live = ownership(each).filter(F.col("n_owners") <= max_owners).select("hash")
-    spans = each.join(live, "hash").groupBy("row").agg(
+    cols = (id_col, text_col, owner_col, repo_col)
+    each = _exploded(some, F.col(ROW), "secret-spans", *cols)
+    rest = _exploded(docs.filter(~may), F.lit(None).cast("long"), "secret-values", *cols)
+    live = ownership(each.unionByName(rest)).filter(F.col("n_owners") <= max_owners).select("hash")
+    spans = each.filter(F.col("kind") >= 3).join(live, "hash").groupBy("row").agg(
         F.collect_list(F.struct("start", "end")).alias(SPANS)).withColumnRenamed("row", ROW)
 
     def masker(with_spans: bool):

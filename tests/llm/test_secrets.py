@@ -88,3 +88,14 @@ def test_mask_keeps_rows_and_columns(spark):
 def test_empty_table(spark):
     assert secrets.scan(cases.empty(spark)).count() == 0
     assert secrets.mask(cases.empty(spark)).count() == 0
+
+
+def test_mask_counts_owners_of_all_kinds(spark):
+    rows = [(k, f'token = "{EXAMPLE}"', f"src{k}") for k in range(20)] + [(20, f"see {EXAMPLE} here", "src3"),
+                                                                          (21, f"key {LIVE} here", "src3")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    judged = {r.doc_id: r.judged for r in secrets.scan(docs).collect()}
+    assert judged[20][0].n_owners == 20 and not judged[20][0].live
+    got = {r.doc_id: r.text for r in secrets.mask(docs).collect()}
+    assert got[20] == f"see {EXAMPLE} here" and got[21] == "key [SECRET] here"
+    assert got[0] == '[SECRET]"'
