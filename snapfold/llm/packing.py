@@ -81,15 +81,19 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 class RunTokenizer:
     """Ids of texts as little-endian 32-bit integers. The vocabulary's words never cross
     white space, so runs between spaces, tabs and line ends are encoded, and remembered,
-    on their own: simple ones word by word by the library's model, others by its whole
-    chain of normalizer, pre-tokenizer and model."""
+    on their own: simple ones word by word by the library's model, others, and those that
+    hold an added token, by its whole chain of added tokens, normalizer, pre-tokenizer and
+    model."""
 
     def __init__(self, path: str):
         import regex
         from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if any(re.search(r"\s", t.content) or t.lstrip or t.rstrip for t in added):
+            raise ValueError("an added token of the vocabulary reaches over white space")
+        self.added = re.compile("|".join(re.escape(t.content) for t in added) or "(?!)", re.IGNORECASE)
         self.findall = regex.compile(WORD_PATTERN).findall
         letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.letter = {}                       # the model's letter for each byte
@@ -104,7 +108,7 @@ class RunTokenizer:
         return array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
 
     def encode_run(self, run: str) -> bytes:
-        if not SIMPLE_RUN.fullmatch(run):
+        if not SIMPLE_RUN.fullmatch(run) or self.added.search(run):
             ids = self.tokenizer.encode(run, add_special_tokens=False).ids
             return np.array(ids, dtype="<u4").tobytes()
         run = run.lower()

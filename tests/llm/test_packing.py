@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import zlib
 from collections import defaultdict
+from functools import lru_cache
 
 import numpy as np
 import pytest
@@ -28,6 +29,25 @@ def test_ids_as_the_library(library, text):
     assert got == library.encode(text, add_special_tokens=False).ids
 
 
+@lru_cache
+def default_library():
+    return Tokenizer.from_file(WORD_TOKENIZER)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|endoftext", "|>", "<", " ", "\n",
+                                 "\u3000", "x", "Hello", "é", "中", "\u0338", ".", "1"]), max_size=12).map("".join))
+def test_added_tokens_as_the_library_by_default(text):
+    got = np.frombuffer(packing.load_tokenizer(WORD_TOKENIZER).encode(text), dtype="<u4").tolist()
+    assert got == default_library().encode(text, add_special_tokens=False).ids
+
+
+def test_added_tokens_in_rows(spark):
+    text = "hello <|endoftext|> x<|endoftext|>y world"
+    rows = packing.pack(spark.createDataFrame([(1, text)], "doc_id long, text string"), WORD_TOKENIZER, with_ids=True)
+    assert rows.first().ids == [3306, 49407, 343, 49407, 344, 1002, 1]
+
+
 @given(st.lists(st.integers(1, 50), max_size=60))
 def test_first_fit_decreasing(lengths):
     lengths = sorted(lengths, reverse=True)
