@@ -4,7 +4,7 @@ Every whole text is searched for credentials of three base kinds and of further
 that are only candidates. The hash of each value found is counted over the corpus by
 distinct repositories and owners: a value that more than ``max_owners`` owners hold is a
 widely copied example, one that few hold looks live. Base spans are always reported;
-the other kinds only where the value looks live and no base span covers them.
+the other kinds only where the value looks live and base spans do not cover them whole.
 
 Counts are partial aggregates over (value, owner, repository); what a document holds is
 gathered per row, never per value. No text is shuffled.
@@ -17,6 +17,7 @@ other columns are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from math import log2
 
@@ -43,7 +44,8 @@ MORE = [
     ("slack", "xox", re.compile(r"\bxox[abeoprs]-[A-Za-z0-9-]{10,}")),
     ("stripe", "k_live_", re.compile(r"\b[sr]k_live_[A-Za-z0-9]{16,}")),
     ("jwt", "eyJ", re.compile(r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")),
-    ("pem", "-----BEGIN", re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]*(?:-----END [A-Z ]*PRIVATE KEY-----)?")),
+    ("pem", "-----BEGIN", re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?:(?!-----BEGIN ).)*?-----END [A-Z ]*PRIVATE KEY-----"
+                                     r"|(?:\s*[A-Z][A-Za-z]*-[A-Za-z]+: [^\r\n]*)*[^-]*)", re.DOTALL)),
     ("url", "://", re.compile(r"(?<=://)[^\s:/@]+:[^\s/@]+(?=@)")),
     ("token", "", re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}={0,2}")),
 ]
@@ -75,8 +77,15 @@ def _random_looking(value: str) -> bool:
 
 
 def more_spans(text: str, base: list[Span]) -> list[Span]:
-    """Candidates of the further kinds; the first kind to cover a place has it."""
-    taken = [(s, e) for _, s, e, _ in base]
+    """Candidates of the further kinds that base spans leave at least a character of; the
+    first kind to cover a place has it."""
+    united: list[list[int]] = []            # the places of base spans, by start
+    for _, s, e, _ in base:
+        if united and s <= united[-1][1]:
+            united[-1][1] = max(united[-1][1], e)
+        else:
+            united.append([s, e])
+    starts = [s for s, _ in united]
     found: list[Span] = []
     for k, (kind, needs, pattern) in enumerate(MORE, start=3):
         if needs not in text:
@@ -84,8 +93,10 @@ def more_spans(text: str, base: list[Span]) -> list[Span]:
         for m in pattern.finditer(text):
             if kind == "token" and not _random_looking(m[0]):
                 continue
-            if all(m.end() <= s or m.start() >= e for s, e in taken):
-                taken.append((m.start(), m.end()))
+            at = bisect_right(starts, m.start()) - 1
+            if at >= 0 and m.end() <= united[at][1]:
+                continue
+            if all(m.end() <= s or m.start() >= e for _, s, e, _ in found):
                 found.append((k, m.start(), m.end(), m[0]))
     return found
 

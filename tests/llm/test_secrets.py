@@ -99,3 +99,20 @@ def test_mask_counts_owners_of_all_kinds(spark):
     got = {r.doc_id: r.text for r in secrets.mask(docs).collect()}
     assert got[20] == f"see {EXAMPLE} here" and got[21] == "key [SECRET] here"
     assert got[0] == '[SECRET]"'
+
+
+def masked_whole(text):
+    base = secrets.base_spans(text)
+    return secrets.masked_text(text, [(s, e) for _, s, e, _ in secrets.more_spans(text, base)])
+
+
+def test_candidates_partly_under_base_spans():
+    key = "-----BEGIN RSA PRIVATE KEY-----\nMIIb\nshort==\n"
+    end = "-----END RSA PRIVATE KEY-----"
+    assert masked_whole(f'secret: "{key}{end}" tail') == '[SECRET]" tail'
+    sealed = key.replace("MIIb", "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,01AB\n\nMIIb")
+    assert masked_whole(f"a {sealed}{end} b {key}{end} c") == "a [SECRET] b [SECRET] c"
+    assert masked_whole(f"a {sealed}") == "a [SECRET]" and masked_whole(f"{key}{key}{end} z") == "[SECRET][SECRET] z"
+    assert masked_whole("x://me:token=abcdef,more@host") == "x://[SECRET]@host"
+    base = secrets.base_spans(f"token={LIVE}")
+    assert base and not secrets.more_spans(f"token={LIVE}", base)          # covered whole
