@@ -62,16 +62,20 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Secrets in every document, and how many of their values look live or copied."""
+    """Secrets in every document, and how many of their values look live or copied.
+    ``frequencies`` has repositories:owners that hold the value, for each of ``spans``."""
     found = secrets.scan(table(spark, sf_dir, "documents"))
     spans = F.coalesce("judged", F.array().cast("array<struct<start:int,kind:int,end:int,live:boolean,"
                                                 "n_repos:bigint,n_owners:bigint>>"))
     base = F.filter(spans, lambda s: s["kind"] < 3)
     of_kind = lambda k: F.size(F.filter(spans, lambda s: s["kind"] == k)).cast("long")
+    shown = F.filter(spans, lambda s: (s["kind"] < 3) | s["live"])
     return found.select(
         "doc_id", of_kind(0).alias("n_assign"), of_kind(1).alias("n_access"), of_kind(2).alias("n_hex"),
         F.sha2(secrets.spans_text(base), 256).alias("base_sha256"),
-        secrets.spans_text(F.filter(spans, lambda s: (s["kind"] < 3) | s["live"])).alias("spans"),
+        secrets.spans_text(shown).alias("spans"),
+        F.array_join(F.transform(shown, lambda s: F.concat_ws(
+            ":", s["n_repos"].cast("string"), s["n_owners"].cast("string"))), ",").alias("frequencies"),
         F.size(F.filter(spans, lambda s: s["live"])).cast("long").alias("n_live"),
         F.size(F.filter(spans, lambda s: ~s["live"])).cast("long").alias("n_copied"))
 

@@ -3,7 +3,8 @@
 Every whole text is searched for credentials of three base kinds and of further kinds
 that are only candidates. The hash of each value found is counted over the corpus by
 distinct repositories and owners: a value that more than ``max_owners`` owners hold is a
-widely copied example, one that few hold looks live. Base spans are always reported;
+widely copied example, one that few hold looks live, in however many of their
+repositories it stands (``n_repos`` is returned, and decides nothing). Base spans are always reported;
 the other kinds only where the value looks live and base spans do not cover them whole.
 
 Counts are partial aggregates over (value, owner, repository); what a document holds is

@@ -116,3 +116,10 @@ def test_candidates_partly_under_base_spans():
     assert masked_whole("x://me:token=abcdef,more@host") == "x://[SECRET]@host"
     base = secrets.base_spans(f"token={LIVE}")
     assert base and not secrets.more_spans(f"token={LIVE}", base)          # covered whole
+
+
+def test_query_returns_both_frequencies(spark, sf_dir, monkeypatch):
+    from snapfold.llm import queries
+    monkeypatch.setattr(queries, "table", lambda *_: corpus(spark))
+    got = {r.doc_id: (r.spans.count(","), r.frequencies) for r in op7_secret_scan(spark, sf_dir).collect()}
+    assert got[1] == got[2] == (0, "2:1") and got[10] == (0, "6:6") and got[3][1] == got[4][1] == ""
