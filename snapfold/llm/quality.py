@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from snapfold.llm.common import batch_of, id_text, map_slices
-from snapfold.llm.labelled import TRAIN_ROWS, chosen, fold
+from snapfold.llm.labelled import TRAIN_ROWS, chosen, fold, training_rows
 
 TREES = 40
 DEPTH = 3
@@ -195,11 +195,11 @@ class RuleEnsemble:
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, rows: int = TRAIN_ROWS,
         id_col: str = "doc_id", text_col: str = "text") -> RuleEnsemble:
-    """Fitted on at most ``rows`` labelled rows outside the held-out fold."""
+    """Fitted on at most ``rows`` labelled ids outside the held-out fold, a row for each."""
     train = chosen(labels, label, fold(F.col("doc_id"), folds) != held_out, rows)
-    texts = id_text(docs, id_col, text_col).join(F.broadcast(train), "doc_id")
+    texts = training_rows(docs, train, id_col, text_col)
     got = with_statistics(texts, columns=["doc_id", "y"]).toArrow()
-    order = np.argsort(got.column("doc_id").to_numpy(), kind="stable")[:rows]
+    order = np.argsort(got.column("doc_id").to_numpy(), kind="stable")
     x = np.stack([got.column(STAT_PREFIX + s).to_numpy()[order] for s in STATS], axis=1)
     y = got.column("y").to_numpy()[order].astype(float)
     p = float(y.mean()) if len(y) else 0.5

@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from snapfold.llm.common import RunCache, batch_of, id_text, map_slices
-from snapfold.llm.labelled import TRAIN_ROWS, chosen, fold
+from snapfold.llm.common import RunCache, batch_of, id_text, map_slices, store
+from snapfold.llm.labelled import TRAIN_ROWS, chosen, fold, training_rows
 
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
 LONGEST = 40            # characters of a word that terms are learned from
@@ -62,9 +62,9 @@ def terms_of(word: str) -> list[str]:
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, rows: int = TRAIN_ROWS,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text, y) of at most ``rows`` labelled ids outside the held-out fold."""
+    """(doc_id, text, y) of at most ``rows`` labelled ids outside the held-out fold, a row for each."""
     train = chosen(labels, label, fold(F.col("doc_id"), folds) != held_out, rows)
-    return id_text(docs, id_col, text_col).join(F.broadcast(train), "doc_id").select("doc_id", "text", "y")
+    return training_rows(docs, train, id_col, text_col)
 
 
 def learn_lexicon(train: DataFrame, most: int = MOST_TERMS) -> dict[str, float]:
@@ -242,7 +242,7 @@ def _beginnings(lexicon: dict[str, float]) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, rows: int = TRAIN_ROWS,
         id_col: str = "doc_id", text_col: str = "text") -> Model:
-    train = sample(docs, labels, label, folds, held_out, rows, id_col, text_col)
+    train = store(sample(docs, labels, label, folds, held_out, rows, id_col, text_col), "toxicity-rows")
     lexicon = learn_lexicon(train)
     beginning = _beginnings(lexicon)
 
@@ -256,7 +256,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: in
                              "features": ([f for _, f in got], pa.list_(pa.int32()))})
         return run
     got = map_slices(train, make, "doc_id long, y int, votes array<int>, features array<int>").toArrow()
-    order = np.argsort(got.column("doc_id").to_numpy(), kind="stable")[:rows]
+    order = np.argsort(got.column("doc_id").to_numpy(), kind="stable")
     size = len(lexicon) + len(PATTERNS)
     y = got.column("y").to_numpy()[order].astype(float)
     p = float(y.mean()) if len(y) else 0.0

@@ -75,3 +75,12 @@ def test_without_labels(spark):
         model = quality.fit(docs, cases.labels(spark, rows), "quality", 4, 2)
         assert all(abs(r.score - want) < 1e-3 for r in quality.classify(docs, model).collect())
     assert quality.fit(cases.empty(spark), cases.labels(spark, []), "quality", 4, 2).rules == []
+
+
+def test_one_training_row_an_id(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    seen = [r.doc_id for r in labels.filter("quality = 0").orderBy("doc_id").limit(5).collect()]
+    hot = docs.filter(docs.doc_id.isin(seen)).crossJoin(spark.range(400)).select(docs.columns)
+    a, b = (quality.fit(d, labels, "quality", 4, 2) for d in (docs, docs.unionByName(hot)))
+    assert a.rules and a.rules == b.rules and a.intercept == b.intercept

@@ -91,3 +91,14 @@ def test_without_labels(spark):
     for rows, want in (([], 0.0), ([(0, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1)], 1.0)):
         model = toxicity.fit(docs, cases.labels(spark, rows), "toxic", 5, 0)
         assert all(abs(r.score - want) < 1e-3 for r in toxicity.classify(docs, model).collect())
+
+
+def test_one_training_row_an_id(spark):
+    rows = corpus(200)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    hot = spark.createDataFrame([rows[k][:2] for k in (1, 2)] * 150, "doc_id long, text string")
+    labels = cases.labels(spark, [(i, 1, y) for i, _, y in rows])
+    once, more = (toxicity.sample(d, labels, "toxic", 5, 0) for d in (docs, docs.unionByName(hot)))
+    assert sorted(map(tuple, more.collect())) == sorted(map(tuple, once.collect()))
+    a, b = (toxicity.fit(d, labels, "toxic", 5, 0) for d in (docs, docs.unionByName(hot)))
+    assert a.lexicon == b.lexicon and (a.weights == b.weights).all()
