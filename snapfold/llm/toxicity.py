@@ -1,7 +1,9 @@
 """Toxicity classifier by weak supervision.
 
-1. ``learn_lexicon``: terms (words and word beginnings) that are far commoner in toxic
-   than in other labelled training rows, counted in Spark over a bounded sample of rows.
+1. ``learn_lexicon``: terms (words, their parts between other characters than letters,
+   the beginnings of both, and character n-grams of scripts written without spaces) that
+   are far commoner in toxic than in other labelled training rows, counted in Spark over a
+   bounded sample of rows.
 2. Many voters label each sampled text toxic, clean or abstain: lexicon voters (the
    learned words and beginnings dealt into several each, and a fixed list), pattern
    voters (insults by form, shouting, exclamation marks, no known term) and, on training
@@ -25,6 +27,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -33,7 +36,8 @@ from snapfold.llm.common import RunCache, batch_of, id_text, map_slices, store
 from snapfold.llm.labelled import TRAIN_ROWS, chosen, fold, training_rows
 
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
-LONGEST = 40            # characters of a word that terms are learned from
+GRAMS = (1, 2, 3, 4)    # characters of n-grams of unspaced scripts
+LONGEST = 40            # characters of a term; of longer words there are beginnings and parts
 LEAST_DOCS = 4          # toxic training rows that a learned term is in, at least
 SURPRISE = 6.0          # standard deviations over chance, at least
 RATIO = 16.0            # commoner in toxic rows by this factor, at least
@@ -48,6 +52,10 @@ INSULTS = frozenset("idiot moron loser stupid pathetic worthless disgusting scum
 YOU_ARE = re.compile(r"\b(?:you|you're|u)\b(?: are)? (?:such )?(?:a|an|so)\b")
 UPPER, LOWER = bytes(range(65, 91)), bytes(range(97, 123))
 EDGES = ".,;:!?\"'()[]{}<>*#%&$|-_"
+PARTS = regex.compile(r"[\p{L}\p{M}]+")
+# runs of scripts written without spaces between words
+UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\u30fc]"
+                         r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{M}\u30fc]*")
 
 
 def words_of(text: str) -> set[str]:
@@ -55,9 +63,16 @@ def words_of(text: str) -> set[str]:
     return {w.strip(EDGES) for w in set(text.lower().split())} - {""}
 
 
-def terms_of(word: str) -> list[str]:
-    """A word, and its beginnings marked by a star."""
-    return [word] + [word[:n] + "*" for n in BEGINNINGS if len(word) > n]
+def terms_of(word: str) -> set[str]:
+    """A word and its parts between other characters than letters, all with their
+    beginnings, marked by a star; and the n-grams of runs of unspaced scripts."""
+    parts = {word} if word.isalpha() else {word, *PARTS.findall(word)}
+    got = {p for p in parts if len(p) <= LONGEST}
+    got.update(p[:n] + "*" for p in parts for n in BEGINNINGS if len(p) > n)
+    if not word.isascii():
+        for run in UNSPACED.findall(word):
+            got.update(run[k:k + n] for n in GRAMS for k in range(len(run) - n + 1))
+    return got
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, rows: int = TRAIN_ROWS,
@@ -82,7 +97,7 @@ def learn_lexicon(train: DataFrame, most: int = MOST_TERMS) -> dict[str, float]:
             for at in range(0, batch.num_rows, 64):
                 some = batch.slice(at, 64)
                 for y, text in zip(some.column("y").to_pylist(), some.column("text").to_pylist()):
-                    for t in {t for w in words_of(text) if len(w) <= LONGEST for t in terms_of(w)}:
+                    for t in {t for w in words_of(text) for t in terms_of(w)}:
                         x = held.setdefault(t, [0, 0])
                         x[0] += y
                         x[1] += 1

@@ -102,3 +102,25 @@ def test_one_training_row_an_id(spark):
     assert sorted(map(tuple, more.collect())) == sorted(map(tuple, once.collect()))
     a, b = (toxicity.fit(d, labels, "toxic", 5, 0) for d in (docs, docs.unionByName(hot)))
     assert a.lexicon == b.lexicon and (a.weights == b.weights).all()
+
+
+def learned(spark, clean, toxic):
+    docs = [(k, toxic(k) if k % 5 == 0 else clean(k)) for k in range(300)]
+    labels = cases.labels(spark, [(k, 1, int(k % 5 == 0)) for k, _ in docs])
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    model = toxicity.fit(frame, labels, "toxic", 5, 0)
+    score = {r.doc_id: r.score for r in toxicity.classify(frame, model).collect()}
+    held = [k for k, _ in docs if zlib.crc32(str(k).encode()) % 5 == 0]
+    return model.lexicon, sum((score[k] >= 0.5) == (k % 5 == 0) for k in held) / len(held)
+
+
+def test_terms_within_punctuation_and_unspaced_runs(spark):
+    rnd = random.Random(9)
+    glue = lambda *_: "".join(rnd.choices("aeioulmn", k=4))
+    han = lambda n: "".join(chr(0x5000 + rnd.randrange(900)) for _ in range(n))
+    lexicon, right = learned(spark, lambda k: f"{glue()},{glue()},{glue()}", lambda k: f"{glue()},zifwort,{glue()}")
+    assert "zifwort" in lexicon and right > 0.95
+    lexicon, right = learned(spark, lambda k: han(60), lambda k: han(30) + "\u8822\u8d27" + han(30))
+    assert "\u8822\u8d27" in lexicon and right > 0.95
+    lexicon, right = learned(spark, lambda k: glue() * 15, lambda k: "grubnak" + glue() * 15)
+    assert "grubnak*" in lexicon and right > 0.95
