@@ -10,17 +10,22 @@ is no shuffle.
 
 Defined results: a null page or url is empty text, a null id has the text ``null`` in
 the identifier; repeated rows give repeated records with equal identifiers; an element
-that is never closed is kept as text; other columns are ignored.
+that is never closed is kept as text; attribute values are read with double, single or no
+quotes; named (HTML's list) and numeric references are replaced where a semicolon ends
+them, and no-break spaces so written become spaces; other columns are ignored.
 """
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DATE = "2024-01-01T00:00:00Z"      # of the fetch, where the pages hold none
 
-# Elements without text, tags that end a line, and entities.
+# Elements without text, tags that end a line. ENTITIES, LANGUAGE and LINK are
+# the usual forms alone, for the SQL oracle; pages are read by NAMED, REFERENCE and attribute().
 SILENT = ("head", "script", "style", "noscript", "template")
 LINE_TAGS = r"(?i)</?(?:br|p|h[1-6]|li|ul|ol|div|article|section|nav|header|footer|tr|table|title|main|hr|pre|blockquote)(?:[ \t\r\n/][^>]*)?>"
 ENTITIES = [("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"),
@@ -29,6 +34,12 @@ SILENT_ELEMENT = rf"(?is)<({'|'.join(SILENT)})(?:[ \t\r\n][^>]*)?>.*?</\1[ \t\r\
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
 LANGUAGE = r'(?is)<html[^>]*[ \t\r\n]lang="([^"]*)"'
 LINK = r'(?is)<a[ \t\r\n][^>]*?href="([^"]*)"'
+# HTML's named references, commonest first as a map is searched in order; a no-break space is a space
+NAMED = {n[1:-1]: c for n, c in ENTITIES if n[1] != "#"}
+NAMED |= {n[:-1]: c for n, c in html5.items() if n.endswith(";") and n[:-1] not in NAMED} | {"NonBreakingSpace": " "}
+REFERENCE = "&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
+# numeric references to C1 controls mean characters of windows-1252
+CONTROLS = {f"{b:X}": bytes([b]).decode("cp1252") for b in range(128, 160) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
 
 
 def record_id(*parts: Column) -> Column:
@@ -42,10 +53,40 @@ def digest(block: Column) -> Column:
     return F.concat(F.lit("sha256:"), F.sha2(block, 256))
 
 
+def _map(of: dict[str, str]) -> Column:
+    """A map literal."""
+    return F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in of.items())), F.lit("\x01"), F.lit("\x02"))
+
+
+def _character(ref: Column) -> Column:
+    """What a reference stands for; an unknown name stays as it is."""
+    dec, hexa = (F.regexp_extract(ref, p, 1) for p in ("#0*([0-9]+);", "[xX]0*([0-9a-fA-F]+);"))
+    code = F.when(dec == "", F.upper(hexa)).when(F.length(dec) <= 7, F.conv(dec, 10, 16)).otherwise(F.lit("FFFFFFF"))
+    padded = F.lpad(code, 8, "0")
+    wrong = (F.length(code) > 6) | (padded > "0010FFFF") | padded.between("0000D800", "0000DFFF") | (padded == "00000000")
+    number = F.when(wrong, F.lit("\ufffd")).when(code == "A0", F.lit(" ")).otherwise(
+        F.coalesce(F.element_at(_map(CONTROLS), code), F.decode(F.unhex(F.when(~wrong, padded)), "UTF-32")))
+    return F.when(F.substring(ref, 2, 1) == "#", number).otherwise(
+        F.coalesce(F.element_at(_map(NAMED), ref.substr(F.lit(2), F.length(ref) - 2)), ref))
+
+
 def unescape(text: Column) -> Column:
-    for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    """``text`` with its references replaced, each once."""
+    refs = F.transform(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0)), _character)
+    both = F.zip_with(F.split(text, REFERENCE, -1), refs, lambda t, c: F.concat(t, F.coalesce(c, F.lit(""))))
+    return F.when(F.contains(text, F.lit("&")), F.array_join(both, "")).otherwise(text)
+
+
+def attribute(tag: str, name: str) -> str:
+    """A pattern of a tag up to the value of its first attribute ``name``, which is group 1
+    with its quotes, if any. Other attributes are stepped over with their values."""
+    ws, value = r"[ \t\r\n\f]", r"""(?:"[^"]*"|'[^']*'|[^ \t\r\n\f>"'][^ \t\r\n\f>]*+)"""
+    other = rf"(?:[ \t\r\n\f/]*+(?!{name}{ws}*+=)[^ \t\r\n\f/>][^ \t\r\n\f/>=]*+(?:{ws}*+={ws}*+{value})?+)*+"
+    return rf"(?is)<{tag}(?=[ \t\r\n\f/]){other}[ \t\r\n\f/]*+{name}{ws}*+={ws}*+({value})"
+
+
+def unquoted(value: Column) -> Column:
+    return F.when(F.substring(value, 1, 1).isin('"', "'"), value.substr(F.lit(2), F.length(value) - 2)).otherwise(value)
 
 
 def one_line(text: Column) -> Column:
@@ -80,12 +121,12 @@ def derive(resp: DataFrame) -> DataFrame:
     """Two rows per response: (source_id, record_type, record_id, refers_to, related_to,
     target_uri, warc_date, content_type, source_digest, block, block_digest, n_links)."""
     html = F.col("payload")
-    links = F.transform(F.regexp_extract_all(html, F.lit(LINK), F.lit(1)), unescape)
+    links = F.transform(F.regexp_extract_all(html, F.lit(attribute("a", "href")), F.lit(1)), lambda x: unescape(unquoted(x)))
     source_lines = F.transform(F.filter(F.split("http_headers", "\r\n"), lambda x: x != ""),
                                lambda x: F.concat(F.lit("source-header: "), x))
     fields = F.concat(
         F.array(F.concat(F.lit("title: "), one_line(unescape(F.regexp_extract(html, TITLE, 1)))),
-                F.concat(F.lit("language: "), F.regexp_extract(html, LANGUAGE, 1)),
+                F.concat(F.lit("language: "), unquoted(F.regexp_extract(html, attribute("html", "lang"), 1))),
                 F.concat(F.lit("payload-digest: "), F.col("payload_digest"))),
         source_lines, F.transform("links", lambda x: F.concat(F.lit("outlink: "), one_line(x))))
     read = resp.withColumn("links", links) \

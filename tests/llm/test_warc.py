@@ -60,3 +60,25 @@ def test_query_as_sql(spark, sf_dir):
     from snapfold.llm.queries import ORACLE, op8_warc_derivatives
     got = rows_of(op8_warc_derivatives(spark, sf_dir).toPandas())
     assert got == rows_of(duck(sf_dir).execute(ORACLE["op8_warc_derivatives"]).df())
+
+
+def test_quotes_and_references(spark):
+    page = ("<html class=x xml:lang=no lang='fr'><title>L&#8217;&eacute;t&#xE9; &mdash; &amp;lt; &#128; &#0; &#x1F600;</title>"
+            "<a href='/a?x=1&amp;y=2'>1</a><a class=q href=/b>2</a><a title=\"x > href=no\" href = \"/c\">3</a>"
+            "<a data-href='no' href=\"/d&#39;\">4</a><A HREF=/e/>5</A><a name=z>6</a><article href=no>7</article>"
+            "&hellip;&NotEqualTilde;&nbsp;&#160;&nosuch; &copy &#99999999999999999999; AT&T &")
+    rows = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+    by = {r.record_type: r for r in warc.derive(warc.responses(rows)).collect()}
+    lines = by["metadata"].block.split("\r\n")
+    assert lines[:2] == ["title: L\u2019\u00e9t\u00e9 \u2014 &lt; \u20ac \ufffd \U0001f600", "language: fr"]
+    assert [x[9:] for x in lines if x.startswith("outlink: ")] == ["/a?x=1&y=2", "/b", "/c", "/d'", "/e/"]
+    assert by["metadata"].n_links == 5
+    assert by["conversion"].block.endswith("\u2026\u2242\u0338  &nosuch; &copy \ufffd AT&T &")
+
+
+def test_every_named_reference(spark):
+    from html.entities import html5
+    names = [n for n in html5 if n.endswith(";")]
+    rows = spark.createDataFrame([(k, f"[&{n}]") for k, n in enumerate(names)], "k int, t string")
+    got = {r.k: r.c for r in rows.select("k", warc.unescape(rows.t).alias("c")).collect()}
+    assert all(got[k] == f"[{' ' if n in ('nbsp;', 'NonBreakingSpace;') else html5[n]}]" for k, n in enumerate(names))
