@@ -1,17 +1,16 @@
 """Streaming jobs run to completion (``availableNow``) into Parquet sinks and
 read back. Append mode emits a window once the watermark passes its end; the
-windows still open at the end of the bounded source are added from a batch pass,
-so each report equals the full batch result."""
+windows still open at the end of the bounded source are added from the run's
+state, so each report equals the full batch result. The keyed sink needs none: its
+table has every window, upserted batch by batch."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from snapfold.operators import web
 from snapfold.plans.oracle import oracle
 from snapfold.plans.q_web import GAP_MINUTES, SESSION_KEYS, SESSION_SOURCE_KEYS, sessions_sql
 from snapfold.plans.registry import query
-from snapfold.sources.fixtures import fx_events
 from snapfold.sources.tables import event_stream, read_table
 from snapfold.streaming import jobs
 
@@ -40,9 +39,7 @@ def _hourly(keys, name):
     def run(spark, sf_dir):
         stream = jobs.hourly_counts(_fx_stream(spark, sf_dir), keys, DELAY)
         _, path = jobs.run_to_parquet(spark, stream, name)
-        return jobs.with_open_windows(
-            spark.read.schema(stream.schema).parquet(path), fx_events(spark, sf_dir),
-            lambda ev: web.hourly_counts(ev, keys), F.col("event_hour") + F.expr("INTERVAL 1 HOUR"), DELAY)
+        return jobs.complete(spark, stream, path, lambda state: jobs.open_hours(state, keys))
     return run
 
 
@@ -50,6 +47,15 @@ query("stream_hourly")(_hourly(["host"], "processed_events_aggregated"))
 query("stream_hourly_source")(_hourly(["host", "referrer"], "processed_events_aggregated_source"))
 
 
+@query("stream_hourly_upsert")
+def stream_hourly_upsert(spark, sf_dir):
+    """The hourly table of a keyed sink: (event_hour, host) is its key, a day a partition."""
+    stream = jobs.hourly_counts(_fx_stream(spark, sf_dir), ["host"], DELAY) \
+        .withColumn("event_date", F.to_date("event_hour"))
+    _, path = jobs.run_keyed(spark, stream, "hourly_upsert", ["event_date", "event_hour", "host"], ["event_date"])
+    return spark.read.schema(stream.schema).parquet(path).select("event_hour", "host", "num_hits")
+
+
 def _hourly_sql(keys):
     k = ", ".join(keys)
     return f"""SELECT date_trunc('hour', event_time) AS event_hour, {k}, COUNT(*) AS num_hits
@@ -57,6 +63,7 @@ FROM fx_events WHERE event_time IS NOT NULL GROUP BY date_trunc('hour', event_ti
 
 
 oracle("stream_hourly", _hourly_sql(["host"]))
+oracle("stream_hourly_upsert", _hourly_sql(["host"]))
 oracle("stream_hourly_source", _hourly_sql(["host", "referrer"]))
 
 
@@ -64,9 +71,7 @@ def _sessions(keys, name):
     def run(spark, sf_dir):
         stream = jobs.session_counts(_fx_stream(spark, sf_dir), keys, f"{GAP_MINUTES} minutes", DELAY)
         _, path = jobs.run_to_parquet(spark, stream, name)
-        return jobs.with_open_windows(
-            spark.read.schema(stream.schema).parquet(path), fx_events(spark, sf_dir),
-            lambda ev: web.sessions_bucketed(ev, keys, GAP_MINUTES), F.col("session_end"), DELAY)
+        return jobs.complete(spark, stream, path, lambda state: jobs.open_sessions(state, keys))
     return run
 
 

@@ -82,12 +82,17 @@ def file_system(spark: SparkSession, path: str):
     return hp.getFileSystem(spark._jsc.hadoopConfiguration()), hp
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, hp = file_system(spark, path)
+    return bool(fs.getFileStatus(hp).isDirectory())
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Removes what this driver wrote with ``scratch_path`` so far. To be called
     once the DataFrames that read it are no longer needed."""
     while _SCRATCH:
         path = _SCRATCH.pop()
-        for p in (path, path + "-checkpoint"):
+        for p in (path, path + "-checkpoint", path + "-batches"):
             fs, hp = file_system(spark, p)
             fs.delete(hp, True)
 
@@ -114,8 +119,9 @@ def stage_by_period(df, period: str):
     ``period`` and read it back: a step that filters one period then reads
     only that partition (partition pruning) instead of the whole source. Rows
     are rebalanced by period first, so a period has a file per some 64 MB, not
-    one per task."""
+    one per task. The columns keep their order (Parquet puts partition columns
+    last)."""
     spark = df.sparkSession
     path = scratch_path(spark, f"by-{period}")
     df.hint("rebalance", period).write.mode("overwrite").partitionBy(period).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -10,6 +10,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from snapfold.session import is_folder
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
@@ -24,14 +26,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """``events`` as a streaming source. All tables share one folder, so the
-    file source is narrowed with ``pathGlobFilter``."""
-    schema = read_table(spark, sf_dir, "events").schema
-    reader = (spark.readStream.schema(schema)
-              .option("pathGlobFilter", "events.parquet"))
+    """``events`` as a streaming source. A table that is a folder of part files is
+    streamed itself; one that is a single file lies in the folder that all tables
+    share, so the file source is narrowed to it with ``pathGlobFilter``."""
+    path = table_path(sf_dir, "events")
+    reader = spark.readStream.schema(read_table(spark, sf_dir, "events").schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.parquet(sf_dir)
+    if is_folder(spark, path):
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", os.path.basename(path)).parquet(sf_dir)
 
 
 def kafka_event_stream(spark: SparkSession, servers: str, topic: str, schema,
