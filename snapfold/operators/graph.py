@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from snapfold.functions.hot import BLOCK, grid_join
 from snapfold.functions.pgcompat import safe_divisor
 from snapfold.operators.facts import dedup
 
@@ -70,20 +71,19 @@ def plays_in_edges(lines: DataFrame) -> DataFrame:
                     F.col("team_abbreviation")).alias("properties"))
 
 
-def player_edges(lines: DataFrame) -> DataFrame:
+def player_edges(lines: DataFrame, block: int = BLOCK) -> DataFrame:
     """Player-player edges: per ordered pair (subject id > object id) of
     players in the same game, ``shares_team`` or ``plays_against``, with games
     and both players' points.
 
     The pairs are the output itself, so the game self-join stays: ``lines`` is
-    one narrow row per (player, game) (``player_game_rows``), and AQE's skew-join
-    split spreads a crowded game over several tasks."""
+    one narrow stored row per (player, game) (``player_game_rows``). A game with
+    over ``block`` rows is cut into a grid (``hot.grid_join``), so that a task holds
+    a block of its pairs, not the game."""
     f = lines.select("player_id", "game_id", "player_name", "team_abbreviation", "pts")
-    a = f.select(*[F.col(c).alias("a_" + c) for c in f.columns])
-    b = f.select(*[F.col(c).alias("b_" + c) for c in f.columns])
-    pairs = a.join(b, (F.col("a_game_id") == F.col("b_game_id"))
-                   & (F.col("a_player_name") != F.col("b_player_name"))
-                   & (F.col("a_player_id") > F.col("b_player_id")))
+    side = lambda x: f.select("game_id", *[F.col(c).alias(f"{x}_{c}") for c in f.columns if c != "game_id"])
+    pairs = grid_join(side("a"), side("b"), ["game_id"], [F.col("a_player_id")], [F.col("b_player_id")], block).where(
+        (F.col("a_player_name") != F.col("b_player_name")) & (F.col("a_player_id") > F.col("b_player_id")))
     etype = (F.when(F.col("a_team_abbreviation") == F.col("b_team_abbreviation"), F.lit("shares_team"))
               .otherwise(F.lit("plays_against")))
     agg = pairs.groupBy(F.col("a_player_id").alias("s"), F.col("b_player_id").alias("o"),
