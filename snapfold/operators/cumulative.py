@@ -2,10 +2,11 @@
 
 Two ways to build the same table:
 
-* ``*_step(prev, today)`` - one period: full outer join of yesterday's
+* ``cumulate_*(prev, today)`` - one period: full outer join of yesterday's
   snapshot with today's rows (the incremental job that runs once a period);
-  ``fold_periods`` runs it over a range of periods and cuts the lineage after
-  every step with a reliable checkpoint in the shared folder.
+  ``fold_changes`` runs it over a range of periods and writes, for each, the
+  entities that the period saw and no others. ``fold_periods`` writes whole
+  snapshots.
 * ``backfill_*`` - every period in one pass: one aggregation per entity to a
   sorted history array, then ``explode(sequence(first, last))`` and a
   ``filter`` of the history - no theta join and no O(n^2) running window.
@@ -13,10 +14,12 @@ Two ways to build the same table:
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from snapfold.functions.pgcompat import first_elem, last_elem, safe_divisor, score_class
 from snapfold.session import scratch_path, stage_by_period
@@ -55,6 +58,73 @@ def fold_periods(initial: DataFrame, periods: Iterable, step: Callable[[DataFram
     return spark.read.schema(state.schema).parquet(base).select(*state.columns)
 
 
+PERIOD = "_period"      # number of the period, from 1, in which a row of a history was written
+BASE_EVERY = 8          # periods between two bases of a history
+# a row's field by name, and the period it is to be brought to -> the fields that time alone changes
+Aged = Callable[[Callable[[str], Column], Column], dict[str, Column]]
+
+
+def fold_changes(initial: DataFrame, periods: Iterable, key: str, at: str, today: Callable[[object], DataFrame],
+                 row: list[Column], aged: Aged, base_every: int = BASE_EVERY) -> DataFrame:
+    """All snapshots of a cumulative table, folded period by period from a history that
+    holds changes only.
+
+    ``today(p)`` has the rows of one period, one per entity, with p in column ``at`` (taken
+    from there, so that all steps run the same generated code). A period writes the entities
+    that it saw, whatever the table holds besides: their state before (the newest of the
+    last base and the changes since) and their row of today meet in one aggregation by
+    key, and ``row`` is the new state in terms of today's columns (``t_*``) and the state as
+    of the period before (``y_*``, null for a new entity). Every ``base_every`` periods the
+    newest row of each entity is written as a base, which bounds what a step reads.
+    A snapshot is derived when it is read: an entity's newest row, with the fields that
+    ``aged`` names brought to the snapshot's period. Periods are consecutive integers or
+    days. Everything lies in the shared folder, so a lost executor re-reads one step."""
+    spark, periods = initial.sparkSession, list(periods)
+    if not periods:
+        return initial
+    root, columns = scratch_path(spark, "history"), initial.columns
+    first, days = F.lit(periods[0]), isinstance(periods[0], dt.date)
+    stored = StructType([*initial.schema.fields, StructField(PERIOD, IntegerType())])
+
+    def brought(c: Callable[[str], Column], to: Column) -> list[Column]:
+        new = aged(c, to)
+        return [new.get(name, c(name)) for name in columns]
+
+    # the step's expressions, made once: they name columns, not tables
+    given = today(periods[0]).columns
+    seen = [F.col(key).cast(stored[key].dataType).alias(key), F.struct(*given).alias("t")]
+    past = [F.col(key), F.struct(*columns, PERIOD).alias("y")]
+    newest_of = F.max_by("y", F.col("y")[PERIOD]).alias("y")
+    both = [F.any_value("t", True).alias("t"), newest_of]
+    now, known = F.col("t")[at], F.col("y").isNotNull()
+    before = F.date_sub(now, 1) if days else (now - 1).cast("int")
+    joined = [*[F.col("t")[c].alias("t_" + c) for c in given],
+              *[F.when(known, x).alias("y_" + c) for c, x in zip(columns, brought(lambda c: F.col("y")[c], before))],
+              ((F.datediff(now, first) if days else now - first) + 1).cast("int").alias(PERIOD)]
+    row = [*row, F.col(PERIOD)]
+    newest: list[str] = []                          # the last base, and the changes since
+    for n, p in enumerate(periods, start=1):
+        rows = today(p).select(*seen)
+        if newest:
+            old = spark.read.schema(stored).parquet(*newest).select(*past)
+            rows = rows.unionByName(old, allowMissingColumns=True).groupBy(key).agg(*both).where("t IS NOT NULL")
+        else:
+            rows = rows.withColumn("y", F.lit(None).cast(stored))
+        path = f"{root}/changes/{n}"
+        rows.select(*joined).select(*row).write.parquet(path)
+        newest.append(path)
+        if n % base_every == 0 and n < len(periods):
+            base = f"{root}/base/{n}"
+            spark.read.schema(stored).parquet(*newest).select(*past).groupBy(key).agg(newest_of).select("y.*").write.parquet(base)
+            newest = [base]
+    changes = spark.read.schema(stored).option("recursiveFileLookup", "true").parquet(f"{root}/changes")
+    until = F.lead(PERIOD).over(Window.partitionBy(key).orderBy(PERIOD)) - 1
+    each = changes.withColumn("_until", F.coalesce(until, F.lit(len(periods)))) \
+        .withColumn("_at", F.explode(F.sequence(PERIOD, "_until")))
+    to = F.date_add(first, F.col("_at") - 1) if days else (first + F.col("_at") - 1).cast("int")
+    return each.select(*[x.alias(c) for c, x in zip(columns, brought(F.col, to))])
+
+
 # --------------------------------------------------------------------------- players
 def player_stats_struct(prefix: str = "") -> Column:
     return F.struct(*[F.col(prefix + f).alias(f) for f in STAT_FIELDS])
@@ -68,10 +138,14 @@ def cumulate_players(prev: DataFrame, today: DataFrame, fixed: bool = False) ->
     so ``is_active`` is NULL; ``fixed`` fills it with "played this season"."""
     t = _prefixed(today, "t_")
     y = _prefixed(prev.select(*PLAYER_COLUMNS), "y_")
-    j = t.join(y, F.col("t_player_name") == F.col("y_player_name"), "full_outer")
+    return t.join(y, F.col("t_player_name") == F.col("y_player_name"), "full_outer").select(*_players_row(fixed))
+
+
+def _players_row(fixed: bool) -> list[Column]:
+    """The new state from today's columns (t_*) and the snapshot of the season before (y_*)."""
     played = F.col("t_season").isNotNull()
     stat = F.array(player_stats_struct("t_"))
-    return j.select(
+    return [
         F.coalesce("t_player_name", "y_player_name").alias("player_name"),
         *[F.coalesce("t_" + c, "y_" + c).alias(c) for c in PLAYER_STATIC],
         F.when(F.col("y_season_stats").isNull(), stat)
@@ -81,8 +155,7 @@ def cumulate_players(prev: DataFrame, today: DataFrame, fixed: bool = False) ->
         F.when(played, F.lit(0)).otherwise(F.col("y_years_since_last_season") + 1)
          .cast("int").alias("years_since_last_season"),
         F.coalesce("t_season", F.col("y_current_season") + 1).cast("int").alias("current_season"),
-        (played if fixed else F.lit(None).cast("boolean")).alias("is_active"),
-    )
+        (played if fixed else F.lit(None).cast("boolean")).alias("is_active")]
 
 
 def _empty_players(seasons: DataFrame) -> DataFrame:
@@ -96,11 +169,20 @@ def _empty_players(seasons: DataFrame) -> DataFrame:
         F.lit(None).cast("boolean").alias("is_active"))
 
 
+def _players_aged(fixed: bool) -> Aged:
+    """Seasons that a player sits out."""
+    def aged(c, at):
+        missed = at - c("current_season")
+        return {"years_since_last_season": (c("years_since_last_season") + missed).cast("int"), "current_season": at,
+                "is_active": F.when(missed == 0, c("is_active")).otherwise(F.lit(False if fixed else None).cast("boolean"))}
+    return aged
+
+
 def fold_players(seasons: DataFrame, first: int, last: int, fixed: bool = False) -> DataFrame:
-    """All snapshots first..last built season by season."""
+    """All snapshots first..last built season by season; a season writes its own players."""
     src = stage_by_period(seasons, "season")  # built once; each step reads one partition
-    return fold_periods(_empty_players(src), range(first, last + 1),
-                        lambda prev, s: cumulate_players(prev, src.where(F.col("season") == s), fixed))
+    return fold_changes(_empty_players(src), range(first, last + 1), "player_name", "season",
+                        lambda s: src.where(F.col("season") == s), _players_row(fixed), _players_aged(fixed))
 
 
 def backfill_players(seasons: DataFrame, lo: Column | int | None = None,
@@ -177,24 +259,31 @@ def cumulate_actors(prev: DataFrame, films: DataFrame, carry_class: bool = False
 
     As written an actor without films this year gets class 'bad' (the average
     is NULL); ``carry_class`` keeps the previous class instead."""
-    nya = films.groupBy("actor", "year").agg(
+    n = _prefixed(_films_of_year(films), "t_")
+    y = _prefixed(prev.select(*ACTOR_COLUMNS), "y_")
+    return n.join(y, F.col("t_actor") == F.col("y_actor"), "full_outer").select(*_actors_row(carry_class))
+
+
+def _films_of_year(films: DataFrame) -> DataFrame:
+    return films.groupBy("actor", "year").agg(
         F.array_sort(F.collect_list(film_struct())).alias("new_films"),
         exact_avg("rating").alias("avg_rating"))
-    n = _prefixed(nya, "n_")
-    y = _prefixed(prev.select(*ACTOR_COLUMNS), "y_")
-    j = n.join(y, F.col("n_actor") == F.col("y_actor"), "full_outer")
-    year = F.coalesce("n_year", F.col("y_year") + 1).cast("int")
-    return j.select(
-        F.coalesce("n_actor", "y_actor").alias("actor"),
+
+
+def _actors_row(carry_class: bool) -> list[Column]:
+    """The new state from the year's films (t_*) and the snapshot of the year before (y_*)."""
+    year = F.coalesce("t_year", F.col("y_year") + 1).cast("int")
+    return [
+        F.coalesce("t_actor", "y_actor").alias("actor"),
         year.alias("year"),
-        F.when(F.col("y_films").isNull(), F.col("n_new_films"))
-         .when(F.col("n_new_films").isNull(), F.col("y_films"))
-         .otherwise(F.concat("y_films", "n_new_films")).alias("films"),
-        (F.when(F.col("n_avg_rating").isNotNull(), quality_class(F.col("n_avg_rating")))
+        F.when(F.col("y_films").isNull(), F.col("t_new_films"))
+         .when(F.col("t_new_films").isNull(), F.col("y_films"))
+         .otherwise(F.concat("y_films", "t_new_films")).alias("films"),
+        (F.when(F.col("t_avg_rating").isNotNull(), quality_class(F.col("t_avg_rating")))
           .otherwise(F.col("y_quality_class")) if carry_class
-         else quality_class(F.col("n_avg_rating"))).alias("quality_class"),
+         else quality_class(F.col("t_avg_rating"))).alias("quality_class"),
         year.alias("current_year"),
-        F.col("n_new_films").isNotNull().alias("is_active"))
+        F.col("t_new_films").isNotNull().alias("is_active")]
 
 
 def _empty_actors(films: DataFrame) -> DataFrame:
@@ -204,10 +293,22 @@ def _empty_actors(films: DataFrame) -> DataFrame:
         F.lit(None).cast("boolean").alias("is_active"))
 
 
+def _actors_aged(carry_class: bool) -> Aged:
+    """Years without a film of the actor."""
+    def aged(c, at):
+        idle = at > c("current_year")
+        none = c("quality_class") if carry_class else quality_class(F.lit(None).cast("double"))
+        return {"year": at, "current_year": at, "is_active": c("is_active") & ~idle,
+                "quality_class": F.when(idle, none).otherwise(c("quality_class"))}
+    return aged
+
+
 def fold_actors(films: DataFrame, first: int, last: int, carry_class: bool = False) -> DataFrame:
+    """All snapshots first..last built year by year; a year writes its own actors."""
     src = stage_by_period(films, "year")
-    return fold_periods(_empty_actors(src), range(first, last + 1),
-                        lambda prev, yr: cumulate_actors(prev, src.where(F.col("year") == yr), carry_class))
+    return fold_changes(_empty_actors(src), range(first, last + 1), "actor", "year",
+                        lambda yr: _films_of_year(src.where(F.col("year") == yr)),
+                        _actors_row(carry_class), _actors_aged(carry_class))
 
 
 def backfill_actors(films: DataFrame, hi: Column | int | None = None) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapfold.functions.pgcompat import DAY_MASK, MASK_32, WEEK_MASK, bit32, bit32_text, has_any_bit
+from snapfold.operators.cumulative import fold_changes
 
 
 def day_range(c: str, day: dt.date) -> Column:
@@ -46,17 +47,33 @@ def cumulate_dates(prev: DataFrame, today: DataFrame, key: str = "user_id") -> D
     """One day of ``users_cumulated``: today's date is prepended to the list;
     absent users are carried forward with date = yesterday + 1.
     ``today`` = (key, date_active) rows of one day."""
-    t = today.select(F.col(key).alias("t_key"), F.col("date_active"))
-    y = prev.select(F.col(key).alias("y_key"), F.col("dates_active").alias("y_dates"),
-                    F.col("date").alias("y_date"))
-    j = t.join(y, F.col("t_key") == F.col("y_key"), "full_outer")
-    today_arr = F.array(F.col("date_active"))
-    return j.select(
-        F.coalesce("t_key", "y_key").alias(key),
-        F.when(F.col("y_dates").isNull(), today_arr)
-         .when(F.col("date_active").isNull(), F.col("y_dates"))
-         .otherwise(F.concat(today_arr, F.col("y_dates"))).alias("dates_active"),
-        F.coalesce(F.col("date_active"), F.date_add("y_date", 1)).alias("date"))
+    t = today.select(F.col(key).alias("t_" + key), F.col("date_active").alias("t_date_active"))
+    y = prev.select(*[F.col(c).alias("y_" + c) for c in (key, "dates_active", "date")])
+    return t.join(y, F.col("t_" + key) == F.col("y_" + key), "full_outer").select(*_dates_row(key))
+
+
+def _dates_row(key: str) -> list[Column]:
+    """The new state from today's columns (t_*) and the snapshot of the day before (y_*)."""
+    today_arr = F.array("t_date_active")
+    return [
+        F.coalesce("t_" + key, "y_" + key).alias(key),
+        F.when(F.col("y_dates_active").isNull(), today_arr)
+         .when(F.col("t_date_active").isNull(), F.col("y_dates_active"))
+         .otherwise(F.concat(today_arr, F.col("y_dates_active"))).alias("dates_active"),
+        F.coalesce(F.col("t_date_active"), F.date_add("y_date", 1)).alias("date")]
+
+
+def fold_dates(daily: DataFrame, first: dt.date, last: dt.date, key: str = "user_id") -> DataFrame:
+    """All snapshots of ``users_cumulated`` first..last, day by day; a day writes the users
+    that it saw. ``daily`` = (key, date) rows, staged by date."""
+    empty = daily.limit(0).select(key, F.array(F.col("date")).alias("dates_active"), "date")
+    today = lambda d: daily.where(F.col("date") == F.lit(d)).select(key, F.col("date").alias("date_active"))
+    return fold_changes(empty, each_day(first, last), key, "date_active", today,
+                        _dates_row(key), lambda c, at: {"date": at})
+
+
+def each_day(lo: dt.date, hi: dt.date) -> list[dt.date]:
+    return [lo + dt.timedelta(days=i) for i in range((hi - lo).days + 1)]
 
 
 def backfill_dates(daily: DataFrame, end: Column, key: str = "user_id") -> DataFrame:
@@ -193,6 +210,38 @@ def append_reduced(stored: DataFrame | None, today: DataFrame, day: dt.date, key
                                      for c, v in new.items()])
 
 
+def fold_reduced(log: DataFrame, key: str = "host", run: str = "date") -> DataFrame:
+    """The monthly arrays from a log of daily loads (key, date, hits, unique_visitors), a
+    partition a day: what ``append_reduced`` gives run after run, in the order of ``run``.
+    A day's load writes that day; the month is folded when it is read."""
+    per = log.groupBy(F.trunc("date", "month").alias("month"), key).agg(
+        F.sort_array(F.collect_list(F.struct(run, "hits", "unique_visitors"))).alias("days"))
+    return per.select("month", key, F.transform("days", lambda x: x["hits"]).alias("hit_array"),
+                      F.transform("days", lambda x: x["unique_visitors"]).alias("unique_visitors_array"))
+
+
+# --------------------------------------------------------------------------- distinct visitors of any span
+def visitor_bitmaps(events: DataFrame, key: str = "host", ts: str = "event_time",
+                    visitor: str = "user_id") -> DataFrame:
+    """(key, date, bucket, visitors): mergeable exact state of distinct integer visitors, a
+    bitmap of 32768 ids for each (key, day) and bucket of ids that has any. Built in partial
+    aggregates; a state is as large as the buckets that the day's visitors fall into."""
+    e = events.where(F.col(ts).isNotNull() & F.col(key).isNotNull() & F.col(visitor).isNotNull())
+    return e.groupBy(key, F.to_date(ts).alias("date"), F.bitmap_bucket_number(visitor).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(visitor)).alias("visitors"))
+
+
+def distinct_of_spans(state: DataFrame, spans: dict[str, Column], key: str = "host") -> DataFrame:
+    """(key, span, span_start, unique_visitors) for spans of days, each a name and the
+    start of a day's span: the days' bitmaps united, so a visitor of several days counts
+    once. No visitor is read again."""
+    starts = F.array(*[F.struct(F.lit(name).alias("span"), start.alias("span_start")) for name, start in spans.items()])
+    united = (state.select(key, "bucket", "visitors", F.explode(starts).alias("s"))
+              .groupBy(key, "s.span", "s.span_start", "bucket").agg(F.bitmap_or_agg("visitors").alias("visitors")))
+    return united.groupBy(key, "span", "span_start").agg(
+        F.sum(F.bitmap_count("visitors")).cast("bigint").alias("unique_visitors"))
+
+
 # --------------------------------------------------------------------------- array_metrics
 METRIC = "site_hits"
 
@@ -243,6 +292,55 @@ def append_metric(state: DataFrame | None, today: DataFrame, day: dt.date, metri
         arr.alias("metric_array"))
 
 
+def load_run(today: DataFrame, day: dt.date, run: int) -> DataFrame:
+    """What one run of the daily load writes to the log, its own partition: a row without a
+    user that says which day it loaded, and the day's users. ``today`` as in ``append_metric``."""
+    rows = today.select("user_id", "date", "hits")
+    nulls = [F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in ("user_id", "hits")]
+    head = today.sparkSession.range(1).select(nulls[0], F.lit(day).alias("date"), nulls[1])
+    return head.unionByName(rows).withColumn("run", F.lit(run))
+
+
+def backfill_log(daily: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+    """The log of one run for each day first..last, all in one pass."""
+    spark = daily.sparkSession
+    number = lambda df: df.withColumn("run", F.datediff("date", F.lit(first)) + 1)
+    rows = daily.select("user_id", "date", "hits")
+    heads = spark.range(1).select(F.lit(None).cast(rows.schema["user_id"].dataType).alias("user_id"),
+                                  F.explode(F.sequence(F.lit(first), F.lit(last))).alias("date"),
+                                  F.lit(None).cast(rows.schema["hits"].dataType).alias("hits"))
+    return number(heads.unionByName(rows))
+
+
+def fold_metric_log(log: DataFrame, metric: str = METRIC, positional: bool = False) -> DataFrame:
+    """``array_metrics`` from a log of daily runs, a partition each (``load_run``): the arrays
+    that ``append_metric`` gives run after run. A run writes its day and reads nothing; the
+    month is folded when it is read, in one aggregation by user and month.
+
+    A user's array starts with the first run that saw them in the month. As written, zeros
+    for the days before it and then a count for each run from it on, so a repeated or
+    skipped day shifts what follows. ``positional``: each day's place holds the count of the
+    last run of that day. The runs of a month, at most a few a day, are broadcast."""
+    month = F.trunc("date", "month")
+    runs = log.where(F.col("user_id").isNull()).groupBy(month.alias("month_start")).agg(
+        F.sort_array(F.collect_list(F.struct("run", F.datediff("date", F.trunc("date", "month")).alias("slot")))).alias("runs"))
+    per = log.where(F.col("user_id").isNotNull()).groupBy("user_id", month.alias("month_start")).agg(
+        F.min(F.struct("run", "date")).alias("first"),
+        F.map_from_entries(F.collect_list(F.struct("run", "hits"))).alias("by_run"))
+    own = per.join(F.broadcast(runs), "month_start").withColumn(
+        "runs", F.filter("runs", lambda r: r["run"] >= F.col("first.run")))
+    count = lambda run: F.coalesce(F.try_element_at("by_run", run), F.lit(0)).cast("double")
+    if positional:
+        slots = F.transform("runs", lambda r: r["slot"])
+        of_slot = lambda i: F.array_max(F.transform(F.filter("runs", lambda r: r["slot"] == i), lambda r: r["run"]))
+        arr = F.transform(F.sequence(F.lit(0), F.array_max(slots)),
+                          lambda i: F.when(F.array_contains(slots, i), count(of_slot(i))).otherwise(F.lit(0.0)))
+    else:
+        lead = F.datediff("first.date", "month_start")
+        arr = F.concat(F.array_repeat(F.lit(0.0), lead), F.transform("runs", lambda r: count(r["run"])))
+    return own.select("user_id", "month_start", F.lit(metric).alias("metric_name"), arr.alias("metric_array"))
+
+
 def backfill_metric_arrays(daily: DataFrame, end: Column, metric: str = METRIC) -> DataFrame:
     """The folded ``array_metrics`` of a month in one pass: per user the
     zero-filled daily counts from the month start to ``end``."""

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapfold.functions.pgcompat import days_between, pg_dow
+from snapfold.operators.cumulative import fold_changes
+from snapfold.operators.datelists import each_day
 
 # Growth states.
 NEW, RETAINED, RESURRECTED, CHURNED, STALE = "New", "Retained", "Resurrected", "Churned", "Stale"
@@ -25,11 +29,15 @@ def growth_step(prev: DataFrame, today: DataFrame, churn_first: bool = False) ->
     Stale. ``churn_first`` tests weekly Churned before Retained, so it can
     be reached.
     ``today`` = (user_id, today_date) of the day's active users."""
-    t = today.select(F.col("user_id").cast("string").alias("t_user"), F.col("today_date"))
+    t = today.select(F.col("user_id").cast("string").alias("t_user_id"), F.col("today_date").alias("t_today_date"))
     y = prev.select(*[F.col(c).alias("y_" + c) for c in GROWTH_COLUMNS])
-    j = t.join(y, F.col("t_user") == F.col("y_user_id"), "full_outer")
-    td, ylast, ydate = F.col("today_date"), F.col("y_last_active_date"), F.col("y_date")
-    no_prev, active = F.col("y_user_id").isNull(), F.col("t_user").isNotNull()
+    return t.join(y, F.col("t_user_id") == F.col("y_user_id"), "full_outer").select(*_growth_row(churn_first))
+
+
+def _growth_row(churn_first: bool) -> list[Column]:
+    """The new state from today's columns (t_*) and the snapshot of the day before (y_*)."""
+    td, ylast, ydate = F.col("t_today_date"), F.col("y_last_active_date"), F.col("y_date")
+    no_prev, active = F.col("y_user_id").isNull(), F.col("t_user_id").isNotNull()
     daily = (F.when(no_prev & active, NEW)
               .when(ylast == F.date_sub(td, 1), RETAINED)
               .when(ylast < F.date_sub(td, 1), RESURRECTED)
@@ -43,15 +51,41 @@ def growth_step(prev: DataFrame, today: DataFrame, churn_first: bool = False) ->
         weekly = (F.when(no_prev, NEW).when(ylast >= F.date_sub(ydate, 7), RETAINED)
                    .when(ylast < F.date_sub(td, 7), RESURRECTED).when(churned, CHURNED).otherwise(STALE))
     empty = F.array().cast("array<date>")
-    return j.select(
-        F.coalesce("t_user", "y_user_id").alias("user_id"),
-        F.coalesce("y_first_active_date", "today_date").alias("first_active_date"),
-        F.coalesce("today_date", "y_last_active_date").alias("last_active_date"),
+    return [
+        F.coalesce("t_user_id", "y_user_id").alias("user_id"),
+        F.coalesce("y_first_active_date", td).alias("first_active_date"),
+        F.coalesce(td, "y_last_active_date").alias("last_active_date"),
         daily.alias("daily_active_state"),
         weekly.alias("weekly_active_state"),
         F.concat(F.coalesce("y_dates_active", empty),
-                 F.when(active, F.array("today_date")).otherwise(empty)).alias("dates_active"),
-        F.coalesce("today_date", F.date_add("y_date", 1)).alias("date"))
+                 F.when(active, F.array(td)).otherwise(empty)).alias("dates_active"),
+        F.coalesce(td, F.date_add("y_date", 1)).alias("date")]
+
+
+def _growth_aged(churn_first: bool):
+    """Days on which a user is absent: what ``growth_step`` says of them follows from the
+    day and the last active one."""
+    def aged(c, at):
+        last, here = c("last_active_date"), at == c("date")
+        left = last == F.date_sub(at, 1)
+        weekly = F.when(here, c("weekly_active_state"))
+        weekly = (weekly.when(left, CHURNED) if churn_first else weekly).when(last >= F.date_sub(at, 8), RETAINED)
+        return {"date": at, "weekly_active_state": weekly.otherwise(STALE),
+                "daily_active_state": F.when(here, c("daily_active_state")).when(left, CHURNED).otherwise(STALE)}
+    return aged
+
+
+def fold_growth(daily: DataFrame, first: dt.date, last: dt.date, churn_first: bool = False) -> DataFrame:
+    """All snapshots first..last, day by day; a day writes the users that it saw.
+    ``daily`` = (user_id, date) rows, staged by date."""
+    empty = daily.limit(0).select(
+        F.col("user_id").cast("string").alias("user_id"), F.col("date").alias("first_active_date"),
+        F.col("date").alias("last_active_date"), F.lit("").alias("daily_active_state"),
+        F.lit("").alias("weekly_active_state"), F.array("date").alias("dates_active"), "date")
+    today = lambda d: daily.where(F.col("date") == F.lit(d)).select(
+        F.col("user_id").cast("string").alias("user_id"), F.col("date").alias("today_date"))
+    return fold_changes(empty, each_day(first, last), "user_id", "today_date", today,
+                        _growth_row(churn_first), _growth_aged(churn_first))
 
 
 def growth_backfill(daily: DataFrame, end: Column, churn_first: bool = False) -> DataFrame:

@@ -50,7 +50,7 @@ def players_backfill(spark, sf_dir):
     return _explode_players(players_table(spark, sf_dir))
 
 
-def _players_closed_form(is_active_sql: str) -> str:
+def players_closed_form(is_active_sql: str) -> str:
     static = ", ".join(f"max({c}) AS {c}" for c in cu.PLAYER_STATIC)
     static_g = ", ".join(f"g.{c}" for c in cu.PLAYER_STATIC)
     static_o = ", ".join(cu.PLAYER_STATIC)
@@ -74,9 +74,9 @@ SELECT player_name, {static_o},
 FROM hist"""
 
 
-oracle("players_step", _players_closed_form("CAST(NULL AS BOOLEAN)"))
-oracle("players_step_fixed", _players_closed_form("last_season = current_season"))
-oracle("players_backfill", _players_closed_form("last_season = current_season"))
+oracle("players_step", players_closed_form("CAST(NULL AS BOOLEAN)"))
+oracle("players_step_fixed", players_closed_form("last_season = current_season"))
+oracle("players_backfill", players_closed_form("last_season = current_season"))
 
 
 @query("players_first_last")

@@ -4,9 +4,8 @@ from pyspark.sql import functions as F
 
 from snapfold.functions.pgcompat import render_list
 from snapfold.operators import growth as gr
-from snapfold.operators.cumulative import fold_periods
 from snapfold.plans.oracle import oracle
-from snapfold.plans.q_datelists import DAILY_SQL, DAY_FMT, daily, day_bounds, days
+from snapfold.plans.q_datelists import DAILY_SQL, DAY_FMT, daily, day_bounds
 from snapfold.plans.registry import query
 from snapfold.session import stage_by_period
 
@@ -25,15 +24,7 @@ def _growth_step(churn_first):
 def growth_fold(spark, sf_dir, churn_first=False):
     """Day-by-day fold over every day of the data."""
     src = stage_by_period(daily(spark, sf_dir), "date")
-    lo, hi = day_bounds(src)
-    empty = src.limit(0).select(
-        F.col("user_id").cast("string").alias("user_id"), F.col("date").alias("first_active_date"),
-        F.col("date").alias("last_active_date"), F.lit("").alias("daily_active_state"),
-        F.lit("").alias("weekly_active_state"), F.array("date").alias("dates_active"), "date")
-    snaps = fold_periods(empty, days(lo, hi), lambda prev, d: gr.growth_step(
-        prev, src.where(F.col("date") == F.lit(d)).select("user_id", F.col("date").alias("today_date")),
-        churn_first=churn_first))
-    return _render(snaps)
+    return _render(gr.fold_growth(src, *day_bounds(src), churn_first=churn_first))
 
 
 query("growth_step")(_growth_step(False))
