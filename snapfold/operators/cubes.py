@@ -3,16 +3,21 @@ the points report with ``GROUPING()`` and per-set ranks.
 
 One Expand + one partial/final HashAggregate per report: the low-cardinality
 dimensions are combined map-side before the shuffle, so hot keys never reach a
-single task as raw rows.
+single task as raw rows. ``lattice`` serves several reports at once: the raw rows
+are grouped once, to the finest cuboid, and every further set comes from a smaller
+cuboid that is there already.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapfold.functions.ordinals import rank_by_counts
 from snapfold.functions.pgcompat import REFERRER_RULES, referrer_class
+from snapfold.session import cut_lineage
 
 OVERALL = "(overall)"
 DASHBOARD_DIMS = ("referrer_mapped", "browser_type", "os_type")
@@ -30,14 +35,18 @@ def web_events_combined(events: DataFrame, devices: DataFrame, rules=REFERRER_RU
                     referrer_class("referrer", rules).alias("referrer_mapped")))
 
 
-def _dashboard_metrics():
-    hits = F.count(F.lit(1))
-    signup = F.count(F.when(F.col("url") == "/signup", 1))
-    return [hits.alias("number_of_site_hits"),
-            signup.alias("number_of_signup_visits"),
-            F.count(F.when(F.col("url") == "/contact", 1)).alias("number_of_contact_visits"),
-            F.count(F.when(F.col("url") == "/login", 1)).alias("number_of_login_visits"),
-            (signup.cast("double") / hits).alias("pct_visited_signup")]
+# Counts of the dashboards, each a sum over any finer grouping: the url counted, None for all.
+VISITS = {"number_of_site_hits": None, "number_of_signup_visits": "/signup", "number_of_contact_visits": "/contact",
+          "number_of_login_visits": "/login"}
+
+
+def _visits() -> list:
+    return [F.count(F.lit(1) if url is None else F.when(F.col("url") == url, 1)).alias(name)
+            for name, url in VISITS.items()]
+
+
+def _signup_share():
+    return (F.col("number_of_signup_visits").cast("double") / F.col("number_of_site_hits")).alias("pct_visited_signup")
 
 
 # The sets of the grouping-sets dashboard.
@@ -61,16 +70,96 @@ def web_dashboard(events: DataFrame, devices: DataFrame, mode: str = "sets",
         grouped = combined.cube(*cols)
     else:
         raise ValueError(mode)
-    out = grouped.agg(*_dashboard_metrics())
+    out = grouped.agg(*_visits())
     if min_hits is not None:
         out = out.where(F.col("number_of_site_hits") > min_hits)
-    return out.select(
-        F.coalesce("referrer_mapped", F.lit(OVERALL)).alias("referrer"),
-        F.coalesce("browser_type", F.lit(OVERALL)).alias("browser_type"),
-        F.coalesce("os_type", F.lit(OVERALL)).alias("os_type"),
-        "number_of_site_hits", "number_of_signup_visits", "number_of_contact_visits",
-        "number_of_login_visits", "pct_visited_signup",
-    )
+    return out.select(*_labelled(), *VISITS, _signup_share())
+
+
+def _labelled() -> list:
+    names = dict(zip(DASHBOARD_DIMS, ("referrer", "browser_type", "os_type")))
+    return [F.coalesce(c, F.lit(OVERALL)).alias(name) for c, name in names.items()]
+
+
+SET = "_set"        # bits of the dimensions that a cuboid has summed away, the first one highest
+
+
+def set_number(dims: list[str], kept) -> int:
+    return sum(1 << k for k, d in enumerate(reversed(dims)) if d not in kept)
+
+
+def lattice(finest: DataFrame, dims: list[str], sets: list[tuple[str, ...]], sums: list[str]) -> DataFrame:
+    """(dims, sums, SET) of every set in ``sets``: ``finest`` is a stored table with a row per
+    combination of ``dims``, whose ``sums`` add up over any coarser grouping.
+
+    Level by level, most dimensions first, a set is summed from the smallest cuboid that
+    holds its dimensions, by rows counted: an Expand never sees more than that cuboid, and
+    the raw rows not at all. Sets of one parent share an Expand. Each level is stored."""
+    finest = finest.select(*dims, *sums).withColumn(SET, F.lit(0).cast("bigint"))
+    built = {tuple(dims): (finest, finest.count())}
+    out = [finest] if any(set(s) == set(dims) for s in sets) else []
+    for size in range(len(dims) - 1, -1, -1):
+        level = sorted({tuple(d for d in dims if d in s) for s in sets if len(set(s)) == size})
+        children: dict[tuple[str, ...], list[tuple[str, ...]]] = {}
+        for s in level:
+            parent = min((p for p in built if set(s) < set(p)), key=lambda p: (built[p][1], p))
+            children.setdefault(parent, []).append(s)
+        made = None
+        for parent, of in children.items():
+            cols, df = list(parent), built[parent][0]
+            total = [F.sum(m).cast(df.schema[m].dataType).alias(m) for m in sums]
+            grouped = df.groupingSets([[F.col(c) for c in s] for s in of], *cols).agg(
+                *total, *[F.grouping(c).alias(f"_{c}_gone") for c in cols])
+            gone = [F.col(f"_{c}_gone").cast("bigint") if c in cols else F.lit(1).cast("bigint") for c in dims]
+            number = sum((g * F.lit(1 << k) for k, g in enumerate(reversed(gone))), F.lit(0).cast("bigint"))
+            part = grouped.select(*[F.col(c) if c in cols else F.lit(None).cast(df.schema[c].dataType).alias(c) for c in dims],
+                                  *sums, number.alias(SET))
+            made = part if made is None else made.unionByName(part)
+        if made is None:
+            continue
+        made = cut_lineage(made, "parquet")
+        rows = {r[SET]: r["count"] for r in made.groupBy(SET).count().collect()}
+        for s in level:
+            n = set_number(dims, s)
+            built[s] = (made.where(F.col(SET) == n), rows.get(n, 0))
+        out.append(made)
+    whole = out[0]
+    for more in out[1:]:
+        whole = whole.unionByName(more)
+    return whole
+
+
+ROLLUP_SETS = tuple(DASHBOARD_DIMS[:n] for n in range(len(DASHBOARD_DIMS), -1, -1))
+CUBE_SETS = tuple(tuple(c) for n in range(len(DASHBOARD_DIMS), -1, -1) for c in combinations(DASHBOARD_DIMS, n))
+# report: its sets, and whether its HAVING threshold applies
+DASHBOARDS = {"grouping sets": (DASHBOARD_SETS, True), "rollup": (ROLLUP_SETS, True), "cube": (CUBE_SETS, False)}
+
+
+def finest_visits(events: DataFrame, devices: DataFrame, rules=REFERRER_RULES) -> DataFrame:
+    """The dashboards' finest cuboid, stored: the one pass over the events."""
+    return cut_lineage(web_events_combined(events, devices, rules).groupBy(*DASHBOARD_DIMS).agg(*_visits()), "parquet")
+
+
+def dashboards(finest: DataFrame, min_hits: int = 100) -> DataFrame:
+    """All three dashboards, named in ``report``, from one stored finest cuboid."""
+    dims = list(DASHBOARD_DIMS)
+    every = lattice(finest, dims, sorted({s for sets, _ in DASHBOARDS.values() for s in sets}), list(VISITS))
+    reports = [F.when(F.col(SET).isin([set_number(dims, s) for s in sets])
+                      & ((F.col("number_of_site_hits") > min_hits) if having else F.lit(True)), F.lit(name))
+               for name, (sets, having) in DASHBOARDS.items()]
+    return every.withColumn("report", F.explode(F.array_compact(F.array(*reports)))).select(
+        "report", *_labelled(), *VISITS, _signup_share())
+
+
+def team_wins(lines: DataFrame) -> DataFrame:
+    """Games and wins of each team and of all together: the sets (team) and () over one row
+    per team and game, of which a team has won those where its players' plus-minus sums
+    above zero. ``lines``: one row per player and game."""
+    games = lines.groupBy("team_abbreviation", "game_id").agg(
+        F.when(F.sum("plus_minus") > 0, 1).otherwise(0).alias("win"))
+    return games.groupingSets([[F.col("team_abbreviation")], []], "team_abbreviation").agg(
+        F.grouping("team_abbreviation").alias("is_team_agg"), F.count(F.lit(1)).alias("games_played"),
+        F.sum("win").alias("games_won"))
 
 
 def points_sets(details: DataFrame, player_seasons: DataFrame, fixed: bool = False) -> DataFrame:

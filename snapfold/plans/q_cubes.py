@@ -2,8 +2,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from snapfold.operators import cubes
+from snapfold.operators import cubes, facts
 from snapfold.plans.oracle import REFERRER_CASE_SQL, oracle
+from snapfold.plans.q_facts import _order_sql
 from snapfold.plans.registry import query
 from snapfold.sources import fixtures as fx
 
@@ -49,6 +50,48 @@ oracle("dashboard_rollup", dashboard_sql([(R, B, O), (R, B), (R,), ()], MIN_HITS
 oracle("dashboard_cube", dashboard_sql([(R, B, O), (R, B), (R, O), (B, O), (R,), (B,), (O,), ()]))
 
 
+@query("dashboard_lattice")
+def dashboard_lattice(spark, sf_dir):
+    """The three dashboards at once, from one finest cuboid."""
+    return cubes.dashboards(cubes.finest_visits(fx.fx_events(spark, sf_dir), fx.fx_devices(spark, sf_dir)), MIN_HITS)
+
+
+_REPORTS = {"grouping sets": ([(R, B, O), (O,), (B,), (R,), ()], MIN_HITS), "rollup": ([(R, B, O), (R, B), (R,), ()], MIN_HITS),
+            "cube": ([(R, B, O), (R, B), (R, O), (B, O), (R,), (B,), (O,), ()], None)}
+oracle("dashboard_lattice", VISITS_SQL + "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS report, * FROM ({dashboard_sql(*of).removeprefix(VISITS_SQL)}) r" for name, of in _REPORTS.items()))
+
+
+def _team_wins(spark, sf_dir):
+    lines = facts.dedup(fx.fx_game_details(spark, sf_dir), ["game_id", "team_id", "player_id"])
+    return cubes.team_wins(lines)
+
+
+@query("team_wins")
+def team_wins(spark, sf_dir):
+    """The grouping-sets report's third question: games and wins by team and in all."""
+    return _team_wins(spark, sf_dir).orderBy(F.desc("games_won"), F.asc_nulls_last("team_abbreviation"))
+
+
+@query("team_most_wins")
+def team_most_wins(spark, sf_dir):
+    """Which team has won the most games (ties: the first by name)."""
+    return _team_wins(spark, sf_dir).where("is_team_agg = 0").select("team_abbreviation", "games_won") \
+        .orderBy(F.desc("games_won"), F.asc_nulls_last("team_abbreviation")).limit(1)
+
+
+TEAM_WINS_SQL = f"""WITH line AS (
+  SELECT DISTINCT ON (game_id, team_id, player_id) * FROM fx_game_details
+  ORDER BY game_id, team_id, player_id, {_order_sql(["game_id", "team_id", "player_id"])}),
+game AS (SELECT team_abbreviation AS team, (sum(plus_minus) > 0)::INT AS won FROM line GROUP BY team_abbreviation, game_id)
+"""
+oracle("team_wins", TEAM_WINS_SQL + """SELECT team AS team_abbreviation, 0 AS is_team_agg, count(*) AS games_played,
+       sum(won)::BIGINT AS games_won FROM game GROUP BY team
+UNION ALL SELECT NULL, 1, count(*), sum(won)::BIGINT FROM game""")
+oracle("team_most_wins", TEAM_WINS_SQL + """SELECT team AS team_abbreviation, sum(won)::BIGINT AS games_won FROM game
+GROUP BY team ORDER BY games_won DESC, team NULLS LAST LIMIT 1""")
+
+
 def in_order(points):
     return points.orderBy(F.asc_nulls_last("season"), F.desc_nulls_first("total_points"),
                           F.asc_nulls_last("player_name"), F.asc_nulls_last("team_abbreviation"))

@@ -41,7 +41,7 @@ def query(name: str):
 
 
 MODULES = ("q_cubes", "q_facts", "q_sequences", "q_cumulative", "q_scd", "q_graph",
-           "q_datelists", "q_growth", "q_web", "q_streaming", "q_sinks")
+           "q_datelists", "q_growth", "q_web", "q_streaming", "q_sinks", "q_tables")
 
 
 def load_all() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -8,11 +8,15 @@ counts become bigint, ``JSON`` a JSON string.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
-from pyspark.sql.types import (ArrayType, BooleanType, DateType, DoubleType, IntegerType, LongType, MapType,
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import (ArrayType, BooleanType, DataType, DateType, DoubleType, IntegerType, LongType, MapType,
                                StringType, StructField, StructType, TimestampNTZType)
 
 from snapfold.functions.pgcompat import EDGE_TYPES, SCORING_CLASSES, VERTEX_TYPES
+from snapfold.sources import sinks
 
 
 def _s(*fields) -> StructType:
@@ -97,6 +101,68 @@ PRIMARY_KEYS = {
 }
 
 
+# Columns whose values are of an enum: table -> column -> enum.
+ENUM_COLUMNS = {
+    "players": {"scoring_class": "scoring_class"},
+    "players_scd": {"scoring_class": "scoring_class"},
+    "actors": {"quality_class": "quality_class"},
+    "actors_history_scd": {"quality_class": "quality_class"},
+    "vertices": {"type": "vertex_type"},
+    "edges": {"subject_type": "vertex_type", "object_type": "vertex_type", "edge_type": "edge_type"},
+}
+
+
+def declare(spark: SparkSession, name: str, schema: StructType, path: str, defaults: dict[str, str] | None = None) -> None:
+    """``CREATE TABLE name (column type [DEFAULT expression], ...)`` over Parquet at ``path``.
+    ``defaults``: SQL of what a column holds where an insert leaves it out, else NULL."""
+    defaults = defaults or {}
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
+                        + (f" DEFAULT {defaults[f.name]}" if f.name in defaults else "") for f in schema.fields)
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{path}'")
+
+
+def by_name(c: Column, have: DataType, want: DataType) -> Column:
+    """``c`` with the fields of its structs, however deep, in the order of ``want``, found by
+    name; everything else as it is. A field that is missing or left over is an error."""
+    if isinstance(want, StructType) and isinstance(have, StructType):
+        if sorted(have.names) != sorted(want.names):
+            raise ValueError(f"fields {have.names} given for {want.names}")
+        fields = [by_name(c[f.name], have[f.name].dataType, f.dataType).alias(f.name) for f in want.fields]
+        return F.when(c.isNotNull(), F.struct(*fields))
+    if isinstance(want, ArrayType) and isinstance(have, ArrayType):
+        return F.transform(c, lambda x: by_name(x, have.elementType, want.elementType))
+    if isinstance(want, MapType) and isinstance(have, MapType):
+        return F.transform_values(c, lambda _, v: by_name(v, have.valueType, want.valueType))
+    return c
+
+
+def insert_columns(df: DataFrame, name: str, columns: list[str] | None = None,
+                   enums: dict[str, tuple[str, ...]] | None = None, required: list[str] | None = None) -> None:
+    """``INSERT INTO name (columns) SELECT columns FROM df``: columns in any order, by name;
+    those left out take the table's default. Struct fields are matched by name, values are
+    stored by Spark's ANSI store assignment (a value that does not fit is an error). Values
+    of ``enums`` and nulls in ``required`` are checked before anything is written; a
+    required column without a default cannot be left out. ``df`` is read twice."""
+    spark = df.sparkSession
+    table = spark.table(name)
+    columns = columns or df.columns
+    unknown = [c for c in columns if c not in table.columns]
+    if unknown or len(set(columns)) < len(columns):
+        raise ValueError(f"columns {columns}: {unknown or 'one'} not in {name} or given twice")
+    left_out = [c for c in required or [] if c not in columns and "CURRENT_DEFAULT" not in table.schema[c].metadata]
+    if left_out:
+        raise sinks.ConstraintError(f"no value for {left_out}")
+    sinks.assert_valid(df, {c: v for c, v in (enums or {}).items() if c in columns},
+                       [c for c in required or [] if c in columns])
+    view = f"insert_{uuid.uuid4().hex}"
+    df.select(*[by_name(F.col(f"`{c}`"), df.schema[c].dataType, table.schema[c].dataType).alias(c) for c in columns]) \
+        .createOrReplaceTempView(view)
+    try:
+        spark.sql(f"INSERT INTO {name} ({', '.join(f'`{c}`' for c in columns)}) SELECT * FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 def create_table(spark: SparkSession, name: str, path: str):
     """``CREATE TABLE IF NOT EXISTS name (...) USING parquet LOCATION path``."""
     if spark.catalog.tableExists(name):
