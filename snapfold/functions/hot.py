@@ -33,15 +33,24 @@ def heavy_keys(df: DataFrame, keys: list[str], least: int = LEAST, share: int =
     return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
 
 
+def heavy_of(counts: DataFrame, keys: list[str], n: str, least: int = LEAST, share: int = SHARE) -> DataFrame | None:
+    """``heavy_keys`` from a stored table (keys, n) of the rows of every key."""
+    total = counts.agg(F.sum(n)).first()[0] or 0
+    found = counts.where(F.col(n) > max(least, total // share)).select(*keys, F.col(n).alias(_N))
+    rows = found.collect()
+    return counts.sparkSession.createDataFrame(rows, found.schema) if rows else None
+
+
 def join_unique(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner",
-                least: int = LEAST, share: int = SHARE) -> DataFrame:
+                least: int = LEAST, share: int = SHARE, counts: DataFrame | None = None) -> DataFrame:
     """``big`` joined (inner or left) with the narrow table ``small``, in which ``keys`` are
     unique. The rows of heavy keys of ``big`` stay where they are and meet the at most
     ``share`` rows of ``small`` by broadcast; all others are joined by Spark's own choice.
-    ``big`` is read more than once: store it first."""
+    ``big`` is read more than once: store it first. ``counts``: a stored table (keys, n) with
+    the rows of each key, where there is one already."""
     if how not in ("inner", "left"):
         raise ValueError(how)
-    heavy = heavy_keys(big, keys, least, share)
+    heavy = heavy_keys(big, keys, least, share) if counts is None else heavy_of(counts, keys, "n", least, share)
     if heavy is None:
         return big.join(small, keys, how)
     named = F.broadcast(heavy.select(*keys))

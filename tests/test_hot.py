@@ -24,8 +24,11 @@ def test_join_unique_equals_a_join(spark, how):
     rows = [(3 if i % 3 else i % 40, i) for i in range(900)] + [(None, 1), (None, 2)]
     big = spark.createDataFrame(rows, "k int, v int")
     small = spark.createDataFrame([(k, f"s{k}") for k in range(0, 40, 2)] + [(3, "three")], "k int, s string")
-    got = hot.join_unique(big, small, ["k"], how, least=50, share=20)
-    assert sorted(got.collect(), key=str) == sorted(big.join(small, ["k"], how).collect(), key=str)
+    want = sorted(big.join(small, ["k"], how).collect(), key=str)
+    counts = big.dropna().groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    for given in (None, counts):
+        got = hot.join_unique(big, small, ["k"], how, least=50, share=20, counts=given)
+        assert sorted(got.collect(), key=str) == want
 
 
 def test_grid_join_makes_each_pair_once(spark):
