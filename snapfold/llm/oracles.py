@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from snapfold.llm import license_scan, warc
+from snapfold.llm import decontamination, license_scan, vector_codes, warc
 
 
 def quoted(text: str) -> str:
@@ -109,7 +109,77 @@ FROM records
 """
 
 
+def vector_codes_sql(dim: int = 64) -> str:
+    """Each round spelled out over (row, part, component) columns, for vectors of ``dim``."""
+    parts, entries = vector_codes.PARTS, vector_codes.ENTRIES
+    width = dim // parts
+    comps = [f"c{k}" for k in range(width)]
+    listed = ", ".join(comps)
+
+    def assigned(book: str) -> str:
+        far = " + ".join(f"(t.{c} - b.{c}) * (t.{c} - b.{c})" for c in comps)
+        return (f"SELECT t.line, t.p, any_value(t.label) AS label, {', '.join(f'any_value(t.{c}) AS {c}' for c in comps)}, "
+                f"min(({far}) * {entries} + b.e) AS best FROM part t JOIN {book} b USING (p) GROUP BY t.line, t.p")
+
+    def moved(near: str, book: str) -> str:
+        floors = ", ".join(f"((sum({c}) - ((sum({c}) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS {c}" for c in comps)
+        return (f"SELECT b.p, b.e, {', '.join(f'coalesce(m.{c}, b.{c}) AS {c}' for c in comps)} FROM {book} b LEFT JOIN "
+                f"(SELECT p, best % {entries} AS e, {floors} FROM {near} GROUP BY ALL) m USING (p, e)")
+    steps, book = [], "book0"
+    for k in range(vector_codes.ROUNDS):
+        steps += [f"near{k} AS ({assigned(book)})", f"book{k + 1} AS ({moved(f'near{k}', book)})"]
+        book = f"book{k + 1}"
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS line, vec_id, label,
+         list_transform(embedding, lambda x: floor(x::DOUBLE * {vector_codes.SCALE})::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+part AS (
+  SELECT line, label, p, {', '.join(f'v[{width} * p + {k + 1}] AS {c}' for k, c in enumerate(comps))}
+  FROM kept, range({parts}) r(p)),
+book0 AS (SELECT p, line - 1 AS e, {listed} FROM part WHERE line <= {entries}),
+{', '.join(steps)},
+last AS ({assigned(book)}),
+coded AS (
+  SELECT line, any_value(label) AS label, string_agg(format('{{:02x}}', best % {entries}), '' ORDER BY p) AS code,
+         sum(best // {entries})::BIGINT AS error FROM last GROUP BY line)
+SELECT kept.vec_id, code, error, (sum(error) OVER (PARTITION BY coded.label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(concat_ws(',', {listed}), ',' ORDER BY p, e)) FROM {book}) AS codebooks_sha256
+FROM coded JOIN kept USING (line)
+"""
+
+
+def decontamination_sql() -> str:
+    window = decontamination.WINDOW
+    cut = (f"regexp_extract_all(translate(coalesce(text, ''), '{license_scan.UPPER}', '{license_scan.LOWER}'), "
+           f"'{license_scan.WORD}')")
+    return rf"""
+WITH doc AS (SELECT row_number() OVER () AS line, doc_id, {cut} AS ws FROM documents),
+item AS (SELECT coalesce(item_id::VARCHAR, 'null') AS item, {cut} AS ws FROM benchmark),
+phrase AS (
+  SELECT DISTINCT item, n, array_to_string(ws[p + 1:p + n], ' ') AS words
+  FROM (SELECT item, ws, least(len(ws), {window}) AS n, unnest(range(greatest(len(ws) - {window - 1}, 1))) AS p
+        FROM item WHERE len(ws) > 0)),
+place AS (
+  SELECT line, n, p, array_to_string(ws[p + 1:p + n], ' ') AS words
+  FROM (SELECT line, ws, n, unnest(range(len(ws) - n + 1)) AS p FROM doc, (SELECT DISTINCT n FROM phrase) sizes
+        WHERE len(ws) >= n)),
+hit AS (SELECT line, n, p, item FROM place JOIN phrase USING (n, words)),
+words AS (
+  SELECT line, count(DISTINCT w) AS n_hit FROM (SELECT DISTINCT line, unnest(range(p, p + n)) AS w FROM hit) GROUP BY line),
+items AS (
+  SELECT line, count(DISTINCT item) AS n_items, sha256(array_to_string(list_sort(list(DISTINCT item)), ',')) AS items_sha256
+  FROM hit GROUP BY line)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM doc LEFT JOIN words USING (line) LEFT JOIN items USING (line)
+"""
+
+
 ORACLE: dict[str, str] = {
     "op1_license_scan": license_sql(),
     "op8_warc_derivatives": warc_sql(),
+    "op11_vector_codes": vector_codes_sql(),
+    "op13_decontamination": decontamination_sql(),
 }
