@@ -71,7 +71,8 @@ def _character(ref: Column) -> Column:
 
 
 def unescape(text: Column) -> Column:
-    """``text`` with its references replaced, each once."""
+    """``text`` with its references replaced, each once. The argument stands in the result
+    several times: give a column that is there already, or a short expression."""
     refs = F.transform(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0)), _character)
     both = F.zip_with(F.split(text, REFERENCE, -1), refs, lambda t, c: F.concat(t, F.coalesce(c, F.lit(""))))
     return F.when(F.contains(text, F.lit("&")), F.array_join(both, "")).otherwise(text)
@@ -93,14 +94,16 @@ def one_line(text: Column) -> Column:
     return F.btrim(F.regexp_replace(text, "[ \t\r\n]+", " "), F.lit(" "))
 
 
-def plain_text(html: Column) -> Column:
-    """The page's text, a line for each block, single spaces within."""
-    t = F.regexp_replace(html, SILENT_ELEMENT, "")
+def with_plain_text(df: DataFrame, html_col: str, name: str) -> DataFrame:
+    """Adds ``name``: the page's text, a line for each block, single spaces within. What a
+    step refers to more than once is a column of its own before it, so that each regular
+    expression runs once over a page."""
+    t = F.regexp_replace(html_col, SILENT_ELEMENT, "")
     t = F.regexp_replace(t, "(?s)<!--.*?-->", "")
     t = F.regexp_replace(t, "[ \t\r\n]{2,}|[\t\r\n]", " ")     # single spaces stay as they are
     t = F.regexp_replace(F.regexp_replace(t, LINE_TAGS, "\n"), "<[^>]*>", "")
-    t = F.regexp_replace(unescape(t), " *\n[ \n]*", "\n")
-    return F.btrim(t, F.lit(" \n"))
+    df = df.withColumn(name, t).withColumn(name, unescape(F.col(name)))
+    return df.withColumn(name, F.btrim(F.regexp_replace(name, " *\n[ \n]*", "\n"), F.lit(" \n")))
 
 
 def responses(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -121,17 +124,19 @@ def derive(resp: DataFrame) -> DataFrame:
     """Two rows per response: (source_id, record_type, record_id, refers_to, related_to,
     target_uri, warc_date, content_type, source_digest, block, block_digest, n_links)."""
     html = F.col("payload")
-    links = F.transform(F.regexp_extract_all(html, F.lit(attribute("a", "href")), F.lit(1)), lambda x: unescape(unquoted(x)))
+    links = F.transform(F.regexp_extract_all(html, F.lit(attribute("a", "href")), F.lit(1)), unquoted)
     source_lines = F.transform(F.filter(F.split("http_headers", "\r\n"), lambda x: x != ""),
                                lambda x: F.concat(F.lit("source-header: "), x))
     fields = F.concat(
-        F.array(F.concat(F.lit("title: "), one_line(unescape(F.regexp_extract(html, TITLE, 1)))),
-                F.concat(F.lit("language: "), unquoted(F.regexp_extract(html, attribute("html", "lang"), 1))),
+        F.array(F.concat(F.lit("title: "), one_line(unescape(F.col("title")))),
+                F.concat(F.lit("language: "), unquoted(F.col("language"))),
                 F.concat(F.lit("payload-digest: "), F.col("payload_digest"))),
         source_lines, F.transform("links", lambda x: F.concat(F.lit("outlink: "), one_line(x))))
-    read = resp.withColumn("links", links) \
+    read = resp.withColumn("title", F.regexp_extract(html, TITLE, 1)) \
+        .withColumn("language", F.regexp_extract(html, attribute("html", "lang"), 1)) \
+        .withColumn("links", links).withColumn("links", F.transform("links", unescape))
+    read = with_plain_text(read, "payload", "text") \
         .withColumn("metadata", F.concat(F.array_join(fields, "\r\n"), F.lit("\r\n"))) \
-        .withColumn("text", plain_text(html)) \
         .withColumn("meta_id", record_id(F.col("record_id"), F.lit("metadata"))) \
         .withColumn("text_id", record_id(F.col("record_id"), F.lit("conversion")))
     record = lambda kind, rid, other, mime, block: F.struct(
