@@ -4,6 +4,7 @@ Of ``blocks`` blocks of bits, two values within a radius agree on all but ``radi
 them. A shard is one choice of agreeing blocks and their bits, so each close pair meets
 in some shard. A shard over ``most`` values is cut by hash into parts of about that many,
 and each pair of parts is a shard of its own: memory is bounded whatever a shard holds.
+The values of the largest shards aren't gathered before they are cut (``join_unique``).
 """
 
 from __future__ import annotations
@@ -15,6 +16,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from snapfold.functions.hot import join_unique
+from snapfold.llm.common import store
+
 
 def block_masks(radius: int, blocks: int) -> list[int]:
     """For each choice of ``blocks - radius`` blocks, the mask of their bits (unsigned)."""
@@ -34,9 +38,9 @@ def deal_shards(distinct: DataFrame, masks: list[int], most: int) -> DataFrame:
     shards = distinct.select("fp", F.explode(F.array(*[
         F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("v"))
         for t, m in enumerate(masks)])).alias("s")).select("fp", "s.t", "s.v")
-    sizes = shards.groupBy("t", "v").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    sizes = store(shards.groupBy("t", "v").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "shard-sizes")
     parts = sizes.select("t", "v", F.ceil(F.col("n") / F.lit(most)).cast("int").alias("c"))
-    return (shards.join(parts, ["t", "v"])
+    return (join_unique(shards, parts, ["t", "v"], counts=sizes)
             .withColumn("p", F.pmod(F.xxhash64("fp"), F.col("c")).cast("int"))
             .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("c") - 1)))
             .select("t", "v", F.least("i", "p").alias("tree"), F.greatest("i", "p").alias("part"),

@@ -15,7 +15,8 @@ Equal texts meet as one fingerprint before any of this, in partial aggregates.
 
 Defined results: null and empty texts have fingerprint zero and are linked like any
 other; repeated rows give repeated rows; rows with null doc_id take part, and a
-component with no doc_id at all has component_id null; other columns are ignored.
+component with no doc_id at all has component_id null; other columns are ignored, or, by
+``deduplicate``, kept as they are, whatever their names and types.
 """
 
 from __future__ import annotations
@@ -29,7 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 from xxhash import xxh64_intdigest
 
-from snapfold.llm.common import batch_of, id_text, map_slices, store
+from snapfold.functions.hot import join_unique
+from snapfold.llm.common import OWN, batch_of, boxed, hashable, id_text, map_slices, named, store, unboxed
 from snapfold.llm.shards import block_masks, deal_shards, map_shards
 
 SHINGLE_WORDS = 4
@@ -185,22 +187,30 @@ def links(distinct: DataFrame, radius: int = RADIUS, tree_nodes: int = TREE_NODE
 
 # ---- components
 
+def _with_least(rows: DataFrame, vertex: str, other: str) -> tuple[DataFrame, DataFrame]:
+    """The stored (vertex, m, n) with each vertex's smallest ``other`` and number of rows, and
+    a join of any rows that are part of ``rows`` with m, in which a star's centre, whatever
+    share of the edges it holds, isn't one task's."""
+    least = store(rows.groupBy(vertex).agg(F.min(other).alias("m"), F.count(F.lit(1)).alias("n")), "least")
+    return least, lambda part: join_unique(part, least.select(vertex, "m"), [vertex], counts=least)
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(v, root) for every vertex of ``edges`` (a, b): the smallest vertex reachable.
-    Large-star and small-star rounds; a star's centre may hold any share of the edges,
-    since its smallest neighbour is found in partial aggregates and joined back."""
+    Large-star and small-star rounds; a star's centre may hold any share of the edges:
+    its smallest neighbour is found in partial aggregates and broadcast to its edges."""
     e = store(edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u"))
               .filter("u <> v").distinct(), "links")
     before = None
     for _ in range(max_rounds):
         # large star: larger neighbours of a vertex go to the smallest around it
         both = e.select(F.col("u").alias("x"), F.col("v").alias("y")).union(e.select("v", "u"))
-        low = both.groupBy("x").agg(F.min("y").alias("m")).withColumn("m", F.least("x", "m"))
-        large = (both.filter("y > x").join(low, "x").select(F.col("y").alias("v"), F.col("m").alias("u"))
-                 .filter("u <> v").distinct())
+        _, with_low = _with_least(both, "x", "y")
+        large = store(with_low(both.filter("y > x")).select(F.col("y").alias("v"), F.least("x", "m").alias("u"))
+                      .filter("u <> v").distinct(), "links")
         # small star: a vertex and its smaller neighbours go to the smallest of them
-        least = large.groupBy("v").agg(F.min("u").alias("m"))
-        small = (large.join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u"))
+        least, with_least = _with_least(large, "v", "u")
+        small = (with_least(large).select(F.col("u").alias("v"), F.col("m").alias("u"))
                  .union(least.select("v", F.col("m").alias("u"))).filter("u <> v").distinct())
         e = store(small, "links")
         now = tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
@@ -213,21 +223,22 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 
 def grouped(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(fp, first_id, root, component_id) for every distinct fingerprint in ``prints``
-    (doc_id, fp): its smallest doc_id, its component, and the smallest doc_id there."""
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    """(fp, first_id, n, root, component_id) for every distinct fingerprint in ``prints``
+    (doc_id, fp): its smallest doc_id, its rows, its component, and the smallest doc_id there."""
+    distinct = store(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")), "distinct")
     roots = components(links(distinct.select("fp"), radius))
-    rooted = distinct.join(roots.withColumnRenamed("v", "fp"), "fp", "left") \
-        .withColumn("root", F.coalesce("root", "fp"))
+    rooted = store(distinct.join(roots.withColumnRenamed("v", "fp"), "fp", "left")
+                   .withColumn("root", F.coalesce("root", "fp")), "rooted")
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return rooted.join(ids, "root")
+    return join_unique(rooted, ids, ["root"])
 
 
 def near_duplicates(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS, radius: int = RADIUS,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp, component_id): one row per row of ``docs``."""
     prints = store(fingerprints(docs, words_per_shingle, id_col, text_col), "fingerprints")
-    return prints.join(grouped(prints, radius).select("fp", "component_id"), "fp") \
+    groups = store(grouped(prints, radius).select("fp", "n", "component_id"), "groups")
+    return join_unique(prints, groups.select("fp", "component_id"), ["fp"], counts=groups.select("fp", "n")) \
         .select("doc_id", "fp", "component_id")
 
 
@@ -235,19 +246,21 @@ def deduplicate(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS, radius:
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row, whole, of each component: that with its smallest doc_id, null last. Rows
     that share the id are told apart by a hash of all their columns; of equal rows one
-    stays. Groups are found on ids, hashes and fingerprints alone."""
-    parts = [x for c in docs.columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    stays (maps are compared by their entries). Groups are found on ids, hashes and
+    fingerprints alone; the columns travel in one struct, so none can clash."""
+    parts = [x for f in docs.schema.fields for x in (named(f.name).isNull(), hashable(named(f.name), f.dataType))]
     row = F.struct(F.col(id_col).isNull().alias("none"), F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"),
-                   F.xxhash64(*parts).alias("hash"))
-    prints = store(fingerprints_of(docs.withColumn(ROW, row), words_per_shingle, text_col), "fingerprints")
+                   F.xxhash64(*parts).alias("hash")).alias(ROW)
+    marked = docs.select(row, boxed(docs))
+    prints = store(fingerprints_of(docs.select(row, F.col(text_col).alias("text")), words_per_shingle, "text"), "fingerprints")
     first = prints.groupBy("fp").agg(F.min(ROW).alias(ROW))
     roots = components(links(first.select("fp"), radius)).withColumnRenamed("v", "fp")
     kept = first.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min(ROW).alias(ROW))
     times = prints.groupBy(ROW).agg(F.count(F.lit(1)).alias("times"))
     kept = store(kept.select(ROW).join(times, ROW), "kept-rows")
-    marked = docs.withColumn(ROW, row)
-    once = marked.join(kept.filter("times = 1").select(ROW), ROW, "left_semi").select(docs.columns)
+    once = marked.join(kept.filter("times = 1").select(ROW), ROW, "left_semi")
     repeated = kept.filter("times > 1").select(ROW)
-    if repeated.isEmpty():
-        return once
-    return once.union(marked.join(repeated, ROW, "left_semi").dropDuplicates([ROW]).select(docs.columns))
+    if not repeated.isEmpty():
+        same = marked.join(repeated, ROW, "left_semi").groupBy(ROW).agg(F.any_value(OWN).alias(OWN))
+        once = once.unionByName(same)
+    return unboxed(once, docs.columns)
