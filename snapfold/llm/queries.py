@@ -9,9 +9,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapfold.llm import (ann, byte_bpe, fingerprints, license_scan, packing, quality, secrets, simhash_dedup,
-                          toxicity, warc)
-from snapfold.llm.common import table
+from snapfold.functions.hot import join_unique
+from snapfold.llm import (ann, byte_bpe, decontamination, fingerprints, license_scan, packing, quality, secrets,
+                          simhash_dedup, toxicity, vector_codes, warc, whitening)
+from snapfold.llm.common import store, table
 from snapfold.llm.labelled import fold
 from snapfold.llm.oracles import ORACLE  # noqa: F401
 
@@ -55,7 +56,7 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     fingerprints of the corpus lie within three bits."""
     tested = fingerprints.edit_test(table(spark, sf_dir, "documents"))
     near = fingerprints.near_counts(tested.select("fp").distinct())
-    return tested.join(near, "fp", "left").select(
+    return join_unique(tested, store(near, "near"), ["fp"], "left").select(
         "doc_id", "n_chars", "edited_sha256", simhash_dedup.hex_fingerprint(F.col("fp")).alias("fingerprint"),
         simhash_dedup.hex_fingerprint(F.col("edited_fp")).alias("edited_fingerprint"), "near_edited", "near_next",
         F.coalesce("n_near", F.lit(0)).alias("n_near"))
@@ -103,6 +104,27 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector as 16 codes of 64 entries, after two rounds."""
+    found, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "code", "error", "label_error",
+                        F.lit(vector_codes.books_sha256(books)).alias("codebooks_sha256"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the first 16 whitened components."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark phrases of ten words in every document."""
+    found = decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.size("spans") > 0).alias("contaminated"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_byte_bpe": op2_byte_bpe,
@@ -114,4 +136,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_derivatives": op8_warc_derivatives,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_whitening": op12_whitening,
+    "op13_decontamination": op13_decontamination,
 }

@@ -25,9 +25,11 @@ from math import log2
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 from xxhash import xxh64_intdigest
 
-from snapfold.llm.common import batch_of, map_slices, store
+from snapfold.functions.hot import join_unique
+from snapfold.llm.common import OWN, batch_of, boxed, map_slices, store, unboxed
 
 MAX_OWNERS = 2
 TOKEN_BITS = 3.5        # bits a character that a bare token has at least
@@ -51,10 +53,6 @@ MORE = [
     ("token", "", re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}={0,2}")),
 ]
 KINDS = ["assign", "access", "hex"] + [k for k, _, _ in MORE]
-# what a text with a candidate of a further kind matches, for Spark's rlike
-MORE_RLIKE = ("gh[pousr]_[A-Za-z0-9]{36}|xox[abeoprs]-|[sr]k_live_|eyJ[A-Za-z0-9_-]{8}|-----BEGIN |"
-              "://[^\\s:/@]+:[^\\s/@]+@|[A-Za-z0-9+/_-]{32}")
-
 Span = tuple[int, int, int, str]      # kind, start, end, value
 
 
@@ -105,8 +103,12 @@ def more_spans(text: str, base: list[Span]) -> list[Span]:
 SPAN = pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("hash", pa.int64())])
 
 
-def _searched(rows: DataFrame) -> DataFrame:
-    """Adds ``found`` to (row, doc_id, owner, repo, text), in place of text."""
+FOUND = ArrayType(StructType([StructField(n, t()) for n, t in (
+    ("kind", IntegerType), ("start", IntegerType), ("end", IntegerType), ("hash", LongType))]))
+
+
+def _searched(rows: DataFrame, *kept: str) -> DataFrame:
+    """Columns ``kept`` of every row, and ``found``: the spans of its column text."""
     def make():
         def run(batch):
             out = []
@@ -115,21 +117,19 @@ def _searched(rows: DataFrame) -> DataFrame:
                 out.append([{"kind": k, "start": s, "end": e,
                              "hash": xxh64_intdigest(v.encode("utf-8", "surrogatepass")) - (1 << 63)}
                             for k, s, e, v in base + more_spans(text, base)])
-            kept = {c: batch.column(c) for c in ("row", "doc_id", "owner", "repo")}
-            return batch_of(kept | {"found": (out, pa.list_(SPAN))})
+            return batch_of({c: batch.column(c) for c in kept} | {"found": (out, pa.list_(SPAN))})
         return run
-    return map_slices(rows, make, "row long, doc_id long, owner string, repo string, "
-                                  "found array<struct<kind:int,start:int,end:int,hash:long>>")
+    return map_slices(rows, make, StructType([rows.schema[c] for c in kept] + [StructField("found", FOUND)]))
 
 
-def _named(docs: DataFrame, row, id_col: str, text_col: str, owner_col: str, repo_col: str) -> DataFrame:
+def _named(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo_col: str, *more) -> DataFrame:
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in docs.columns else F.lit("")
-    return docs.select(row.alias("row"), F.col(id_col).cast("long").alias("doc_id"), text(owner_col).alias("owner"),
-                       text(repo_col).alias("repo"), text(text_col).alias("text"))
+    return docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
+                       text(owner_col).alias("owner"), text(repo_col).alias("repo"), text(text_col).alias("text"), *more)
 
 
-def _exploded(some: DataFrame, row, name: str, *cols: str) -> DataFrame:
-    found = store(_searched(_named(some, row, *cols)), name)
+def _each(found: DataFrame) -> DataFrame:
+    """(row, owner, repo, kind, start, end, hash): a row for every span."""
     return found.select("row", "owner", "repo", F.explode("found").alias("s")).select("row", "owner", "repo", "s.*")
 
 
@@ -137,14 +137,20 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                owner_col: str = "source", repo_col: str = "doc_id") -> DataFrame:
     """(row, doc_id, owner, repo, found): one row per row of ``docs`` with its spans of
     all kinds as array of (kind, start, end, hash of the value)."""
-    return _searched(_named(docs, F.monotonically_increasing_id(), id_col, text_col, owner_col, repo_col))
+    return _searched(_named(docs, id_col, text_col, owner_col, repo_col), "row", "doc_id", "owner", "repo")
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """(hash, n_repos, n_owners) over the corpus, from rows (hash, owner, repo)."""
-    held = found.select("hash", "owner", "repo").distinct()
-    per_owner = held.groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("n"))
-    return per_owner.groupBy("hash").agg(F.sum("n").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"))
+    """(hash, n_repos, n_owners, n) over the corpus, from rows (hash, owner, repo); n: rows."""
+    held = found.groupBy("hash", "owner", "repo").agg(F.count(F.lit(1)).alias("n"))
+    per_owner = held.groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("repos"), F.sum("n").alias("n"))
+    return per_owner.groupBy("hash").agg(F.sum("repos").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"),
+                                         F.sum("n").alias("n"))
+
+
+def _with_owners(each: DataFrame, owners: DataFrame) -> DataFrame:
+    """The spans with what the corpus says of their value, which any share of them may have."""
+    return join_unique(each, owners.drop("n"), ["hash"], counts=owners.select("hash", "n"))
 
 
 def scan(docs: DataFrame, max_owners: int = MAX_OWNERS, id_col: str = "doc_id", text_col: str = "text",
@@ -152,8 +158,8 @@ def scan(docs: DataFrame, max_owners: int = MAX_OWNERS, id_col: str = "doc_id",
     """(row, doc_id, found, judged): ``found`` as of ``candidates``; ``judged`` the same
     spans by start, then kind, as (start, kind, end, live, n_repos, n_owners)."""
     found = store(candidates(docs, id_col, text_col, owner_col, repo_col), "secrets")
-    each = found.select("row", "owner", "repo", F.explode("found").alias("s")).select("row", "owner", "repo", "s.*")
-    judged = (each.join(ownership(each), "hash")
+    each = _each(found)
+    judged = (_with_owners(each, store(ownership(each), "owners"))
               .groupBy("row").agg(F.sort_array(F.collect_list(F.struct(
                   "start", "kind", "end", (F.col("n_owners") <= max_owners).alias("live"),
                   "n_repos", "n_owners"))).alias("judged")))
@@ -169,47 +175,57 @@ def spans_text(spans):
 
 # ---- masking
 
-ROW, SPANS = "__secret_row", "__secret_spans"      # columns added to a table's own
 MASK = "[SECRET]"
 
 
 def masked_text(text: str, more: list[tuple[int, int]]) -> str:
-    """``text`` with its base spans and the spans ``more`` replaced; spans that overlap
-    become one."""
-    cuts = sorted([(s, e) for _, s, e, _ in base_spans(text)] + more)
+    """``text`` with its base spans and the spans ``more`` replaced."""
+    return replaced(text, [(s, e) for _, s, e, _ in base_spans(text)] + more)
+
+
+def replaced(text: str, spans: list[tuple[int, int]]) -> str:
+    """``text`` with the spans replaced; spans that overlap become one."""
     out, at = [], 0
-    for k, (start, end) in enumerate(cuts):
+    for k, (start, end) in enumerate(sorted(spans)):
         if start >= at or k == 0:
             out += [text[at:start], MASK]
         at = max(at, end)
     return "".join(out) + text[at:]
 
 
+def _masked(rows: DataFrame, columns: list[str], text_col: str) -> DataFrame:
+    """Column OWN of (own, spans) with the spans of its text replaced."""
+    def make():
+        def run(batch):
+            own = batch.column(OWN)
+            fields = dict(zip(columns, own.flatten()))
+            texts = [None if t is None else replaced(t, [(x["start"], x["end"]) for x in spans])
+                     for t, spans in zip(fields[text_col].to_pylist(), batch.column("spans").to_pylist())]
+            fields[text_col] = pa.array(texts, own.type.field(columns.index(text_col)).type)
+            return batch_of({OWN: pa.StructArray.from_arrays(list(fields.values()), fields=list(own.type))})
+        return run
+    return map_slices(rows, make, StructType([rows.schema[OWN]]))
+
+
 def mask(docs: DataFrame, max_owners: int = MAX_OWNERS, id_col: str = "doc_id", text_col: str = "text",
          owner_col: str = "source", repo_col: str = "doc_id") -> DataFrame:
     """All rows with secrets masked: every base span, and those of the further kinds whose
     value looks live. Owners are counted as in ``scan``, over the values of all kinds in all
-    rows. Only the texts of rows that may hold a further kind are stored and joined with what
-    the corpus says of its values; the others give their values and are masked as they are read."""
+    rows. Texts are searched once, and stored with their spans; rows without a span stay as
+    they are, and only those with a span of a further kind are joined with what the corpus
+    says of its value. The text column is a string."""
     columns = docs.columns
-    may = F.coalesce(F.col(text_col).rlike(MORE_RLIKE), F.lit(False))
-    some = store(docs.filter(may).withColumn(ROW, F.monotonically_increasing_id()), "secret-rows")
-    cols = (id_col, text_col, owner_col, repo_col)
-    each = _exploded(some, F.col(ROW), "secret-spans", *cols)
-    rest = _exploded(docs.filter(~may), F.lit(None).cast("long"), "secret-values", *cols)
-    live = ownership(each.unionByName(rest)).filter(F.col("n_owners") <= max_owners).select("hash")
-    spans = each.filter(F.col("kind") >= 3).join(live, "hash").groupBy("row").agg(
-        F.collect_list(F.struct("start", "end")).alias(SPANS)).withColumnRenamed("row", ROW)
-
-    def masker(with_spans: bool):
-        def make():
-            def run(batch):
-                given = batch.column(SPANS).to_pylist() if with_spans else [None] * batch.num_rows
-                texts = [None if t is None else masked_text(t, [(x["start"], x["end"]) for x in g or ()])
-                         for t, g in zip(batch.column(text_col).to_pylist(), given)]
-                return batch_of({c: batch.column(c) for c in columns} | {text_col: (texts, pa.string())})
-            return run
-        return make
-    quiet = map_slices(docs.filter(~may), masker(False), docs.schema)
-    told = map_slices(some.join(spans, ROW, "left").select(*columns, SPANS), masker(True), docs.schema)
-    return quiet.union(told)
+    found = store(_searched(_named(docs, id_col, text_col, owner_col, repo_col, boxed(docs)),
+                            "row", "owner", "repo", OWN), "secret-rows")
+    each = _each(found)
+    live = store(ownership(each), "owners")
+    kind = lambda test: F.filter("found", lambda x: test(x["kind"]))
+    short = lambda spans: F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
+    found = found.withColumn("base", short(kind(lambda k: k < 3))).withColumn("told", F.exists("found", lambda x: x["kind"] >= 3))
+    more = (_with_owners(each, live).filter((F.col("kind") >= 3) & (F.col("n_owners") <= max_owners))
+            .groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("more")))
+    told = found.filter("told").join(more, "row", "left") \
+        .select(OWN, F.concat("base", F.coalesce("more", F.array().cast("array<struct<start:int,end:int>>"))).alias("spans"))
+    quiet = found.filter("NOT told AND size(found) > 0").select(OWN, F.col("base").alias("spans"))
+    masked = _masked(quiet, columns, text_col).unionByName(_masked(told, columns, text_col))
+    return unboxed(masked.unionByName(found.filter("size(found) = 0").select(OWN)), columns)
