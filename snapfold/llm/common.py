@@ -113,6 +113,11 @@ def unboxed(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*[F.col(OWN)[c].alias(c) for c in columns])
 
 
+def with_score(df: DataFrame, columns: list[str], name: str) -> DataFrame:
+    """The columns of OWN, and column score under ``name``, which should be none of theirs."""
+    return df.select(*[F.col(OWN)[c].alias(c) for c in columns], F.col("score").alias(name))
+
+
 def hashable(c: Column, kind: DataType) -> Column:
     """``c`` in a form that hashes and compares: maps become their entries by key."""
     if isinstance(kind, MapType):

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from snapfold.llm.common import batch_of, id_text, map_slices
+from snapfold.llm.common import OWN, batch_of, boxed, id_text, map_slices, with_score
 from snapfold.llm.labelled import TRAIN_ROWS, chosen, fold, training_rows
 
 TREES = 40
@@ -64,22 +64,17 @@ def statistics_of(text: str) -> list[float]:
             len(URL.findall(raw)) / per]
 
 
-STAT_PREFIX = "__quality_"      # of the columns added to a table's own
-SCORE = STAT_PREFIX + "score"
+SCORE = "__quality_score"       # the column that ``scored`` adds
 
 
-def with_statistics(rows: DataFrame, text_col: str = "text", columns: list[str] | None = None) -> DataFrame:
-    """``columns`` (else all) of every row, and the statistics as STAT_PREFIX columns."""
-    columns = rows.columns if columns is None else columns
-    schema = StructType([rows.schema[c] for c in columns]
-                        + [StructField(STAT_PREFIX + s, DoubleType()) for s in STATS])
+def with_statistics(rows: DataFrame, text: str = "text") -> DataFrame:
+    """Every row's column OWN and the statistics of its column ``text``, one column each."""
+    schema = StructType([rows.schema[OWN]] + [StructField(s, DoubleType()) for s in STATS])
 
     def make():
         def run(batch):
-            texts = batch.column(text_col).to_pylist()
-            got = np.array([statistics_of(t or "") for t in texts]).reshape(-1, len(STATS))
-            return batch_of({c: batch.column(c) for c in columns}
-                            | {STAT_PREFIX + s: pa.array(got[:, j]) for j, s in enumerate(STATS)})
+            got = np.array([statistics_of(t or "") for t in batch.column(text).to_pylist()]).reshape(-1, len(STATS))
+            return batch_of({OWN: batch.column(OWN)} | {s: pa.array(got[:, j]) for j, s in enumerate(STATS)})
         return run
     return map_slices(rows, make, schema)
 
@@ -181,7 +176,7 @@ class RuleEnsemble:
         for rule, weight in self.rules:
             test = None
             for j, low, value in rule:
-                one = F.col(STAT_PREFIX + STATS[j]) <= value if low else F.col(STAT_PREFIX + STATS[j]) > value
+                one = F.col(STATS[j]) <= value if low else F.col(STATS[j]) > value
                 test = one if test is None else test & one
             total = total + F.when(test, F.lit(weight)).otherwise(F.lit(0.0))
         return 1 / (1 + F.exp(-total))
@@ -198,9 +193,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: in
     """Fitted on at most ``rows`` labelled ids outside the held-out fold, a row for each."""
     train = chosen(labels, label, fold(F.col("doc_id"), folds) != held_out, rows)
     texts = training_rows(docs, train, id_col, text_col)
-    got = with_statistics(texts, columns=["doc_id", "y"]).toArrow()
+    got = with_statistics(texts.select(F.struct("doc_id", "y").alias(OWN), "text")) \
+        .select(f"{OWN}.*", *STATS).toArrow()
     order = np.argsort(got.column("doc_id").to_numpy(), kind="stable")
-    x = np.stack([got.column(STAT_PREFIX + s).to_numpy()[order] for s in STATS], axis=1)
+    x = np.stack([got.column(s).to_numpy()[order] for s in STATS], axis=1)
     y = got.column("y").to_numpy()[order].astype(float)
     p = float(y.mean()) if len(y) else 0.5
     if p in (0.0, 1.0) or len(y) < 20:
@@ -211,12 +207,18 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: in
     return RuleEnsemble(b, [(r, float(v)) for r, v in zip(rules, w) if abs(v) > 1e-6])
 
 
+def own_scored(docs: DataFrame, model: RuleEnsemble, text_col: str = "text") -> DataFrame:
+    """(own, score): every row, its columns in the struct OWN (``common.unboxed``)."""
+    rows = docs.select(boxed(docs), F.col(text_col).cast("string").alias("text"))
+    return with_statistics(rows).select(OWN, model.column().alias("score"))
+
+
 def scored(docs: DataFrame, model: RuleEnsemble, text_col: str = "text") -> DataFrame:
-    """Every row with all its columns and its score in column SCORE."""
-    return with_statistics(docs, text_col).withColumn(SCORE, model.column()).select(*docs.columns, SCORE)
+    """Every row with all its columns and its score in column SCORE, a name of its own."""
+    return with_score(own_scored(docs, model, text_col), docs.columns, SCORE)
 
 
 def classify(docs: DataFrame, model: RuleEnsemble, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score) of every row."""
-    rows = with_statistics(id_text(docs, id_col, text_col), columns=["doc_id"])
-    return rows.select("doc_id", model.column().alias("score"))
+    rows = id_text(docs, id_col, text_col).select(F.struct("doc_id").alias(OWN), "text")
+    return with_statistics(rows).select(f"{OWN}.doc_id", model.column().alias("score"))

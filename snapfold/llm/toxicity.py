@@ -3,7 +3,8 @@
 1. ``learn_lexicon``: terms (words, their parts between other characters than letters,
    the beginnings of both, and character n-grams of scripts written without spaces) that
    are far commoner in toxic than in other labelled training rows, counted in Spark over a
-   bounded sample of rows.
+   bounded sample of rows. Of more terms than ``terms`` (a parameter of ``fit``, MOST_TERMS
+   by default) those in the most toxic rows stay: it bounds the model that every task loads.
 2. Many voters label each sampled text toxic, clean or abstain: lexicon voters (the
    learned words and beginnings dealt into several each, and a fixed list), pattern
    voters (insults by form, shouting, exclamation marks, no known term) and, on training
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from snapfold.llm.common import RunCache, batch_of, id_text, map_slices, store
+from snapfold.llm.common import OWN, RunCache, batch_of, boxed, id_text, map_slices, store, with_score
 from snapfold.llm.labelled import TRAIN_ROWS, chosen, fold, training_rows
 
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
@@ -41,7 +42,7 @@ LONGEST = 40            # characters of a term; of longer words there are beginn
 LEAST_DOCS = 4          # toxic training rows that a learned term is in, at least
 SURPRISE = 6.0          # standard deviations over chance, at least
 RATIO = 16.0            # commoner in toxic rows by this factor, at least
-MOST_TERMS = 6000       # learned terms, at most
+MOST_TERMS = 6000       # learned terms, at most: the default of fit's ``terms``
 LEXICONS = 8            # voters that the learned words, and the beginnings, are dealt into
 EM_ROUNDS = 15
 CACHED = 200_000
@@ -256,9 +257,10 @@ def _beginnings(lexicon: dict[str, float]) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, rows: int = TRAIN_ROWS,
-        id_col: str = "doc_id", text_col: str = "text") -> Model:
+        id_col: str = "doc_id", text_col: str = "text", terms: int = MOST_TERMS) -> Model:
+    """A model of at most ``terms`` terms, from at most ``rows`` labelled rows."""
     train = store(sample(docs, labels, label, folds, held_out, rows, id_col, text_col), "toxicity-rows")
-    lexicon = learn_lexicon(train)
+    lexicon = learn_lexicon(train, terms)
     beginning = _beginnings(lexicon)
 
     def make():
@@ -289,12 +291,21 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: in
     return Model(lexicon, b, w)
 
 
-SCORE = "__toxicity_score"      # the column added to a table's own
+SCORE = "__toxicity_score"      # the column that ``scored`` adds
 
 
-def scored(docs: DataFrame, model: Model, text_col: str = "text", columns: list[str] | None = None) -> DataFrame:
-    """``columns`` (else all) of every row and the score of its whole text, in SCORE."""
-    columns = docs.columns if columns is None else columns
+def own_scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """(own, score): every row, its columns in the struct OWN (``common.unboxed``), and the
+    score of its whole text."""
+    return _scored(docs.select(boxed(docs), F.col(text_col).cast("string").alias("text")), model)
+
+
+def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """Every row with all its columns and its score in column SCORE, a name of its own."""
+    return with_score(own_scored(docs, model, text_col), docs.columns, SCORE)
+
+
+def _scored(rows: DataFrame, model: Model) -> DataFrame:
     lexicon, intercept, weights = model.lexicon, model.intercept, model.weights
     beginning = _beginnings(lexicon)
 
@@ -303,16 +314,15 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", columns: list[
 
         def run(batch):
             scores = []
-            for text in batch.column(text_col).to_pylist():
+            for text in batch.column("text").to_pylist():
                 total = intercept + float(weights[_features(voters, beginning, text or "")[1]].sum())
                 scores.append(1 / (1 + math.exp(-max(-40.0, min(40.0, total)))))
-            return batch_of({c: batch.column(c) for c in columns} | {SCORE: (scores, pa.float64())})
+            return batch_of({OWN: batch.column(OWN), "score": (scores, pa.float64())})
         return run
-    schema = StructType([docs.schema[c] for c in columns] + [StructField(SCORE, DoubleType())])
-    return map_slices(docs, make, schema)
+    return map_slices(rows, make, StructType([rows.schema[OWN], StructField("score", DoubleType())]))
 
 
 def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score) of every row."""
-    rows = scored(id_text(docs, id_col, text_col), model, columns=["doc_id"])
-    return rows.withColumnRenamed(SCORE, "score")
+    rows = id_text(docs, id_col, text_col).select(F.struct("doc_id").alias(OWN), "text")
+    return _scored(rows, model).select(f"{OWN}.doc_id", "score")

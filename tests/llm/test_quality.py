@@ -84,3 +84,24 @@ def test_one_training_row_an_id(spark):
     hot = docs.filter(docs.doc_id.isin(seen)).crossJoin(spark.range(400)).select(docs.columns)
     a, b = (quality.fit(d, labels, "quality", 4, 2) for d in (docs, docs.unionByName(hot)))
     assert a.rules and a.rules == b.rules and a.intercept == b.intercept
+
+
+def test_a_small_tree_by_hand():
+    """Every rule, its rows and its value, of a tree that can be worked out on paper."""
+    x = np.array([[a, b] for a in (0.0, 1.0) for b in (0.0, 1.0) for _ in range(10)])
+    y = np.array([0.0] * 20 + [1.0] * 10 + [0.0] * 10)                  # 1 where a > 0 and b <= 0
+    edges = [np.array([0.5]), np.array([0.5])]
+    binned = (x > 0.5).astype(int)
+    p = np.full(40, 0.25)
+    nodes = {rule: (rows.tolist(), value) for rule, rows, value in quality._tree(binned, edges, y - p, p * (1 - p))}
+    low, high = (0, True, 0.5), (0, False, 0.5)
+    leaf = lambda g, n: g / (n * 0.1875 + 1)  # noqa: E731     the sum of y - p over the sum of p (1 - p) plus 1
+    want = {(low,): (list(range(20)), leaf(-5.0, 20)), (high,): (list(range(20, 40)), 0.0),
+            (high, (1, True, 0.5)): (list(range(20, 30)), leaf(7.5, 10)),
+            (high, (1, False, 0.5)): (list(range(30, 40)), leaf(-2.5, 10))}
+    first_b = {((1, True, 0.5),), ((1, False, 0.5),)} & set(nodes)
+    assert not first_b                                                  # equal gains: the first statistic
+    assert set(nodes) == set(want)
+    for rule, (rows, value) in want.items():
+        assert nodes[rule][0] == rows and abs(nodes[rule][1] - value) < 1e-12
+        assert quality.holds(rule, x).nonzero()[0].tolist() == rows

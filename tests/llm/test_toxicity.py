@@ -124,3 +124,32 @@ def test_terms_within_punctuation_and_unspaced_runs(spark):
     assert "\u8822\u8d27" in lexicon and right > 0.95
     lexicon, right = learned(spark, lambda k: glue() * 15, lambda k: "grubnak" + glue() * 15)
     assert "grubnak*" in lexicon and right > 0.95
+
+
+def test_posteriors_by_enumeration():
+    """Four voters: p(class | votes) from the joint probability of every vote and class, with
+    the tables and the tree that the model has."""
+    from itertools import product
+    rng = np.random.default_rng(8)
+    votes = rng.integers(0, 3, (200, 4))
+    votes[:, 3] = np.where(rng.random(200) < 0.8, votes[:, 1], votes[:, 3])
+    model = toxicity.LabelModel(votes, np.where(votes[:, 0] == 2, 0.8, 0.1), rounds=3)
+    assert sorted(model.order) == [0, 1, 2, 3] and model.parent[model.order[0]] == -1
+
+    def joint(c, v):
+        p = model.prior if c else 1 - model.prior
+        for k, j in enumerate(model.parent):
+            p *= model.tables[k][c, v[j] if j >= 0 else 0, v[k]]
+        return p
+    every = {v: (joint(0, v), joint(1, v)) for v in product(range(3), repeat=4)}
+    assert abs(sum(map(sum, every.values())) - 1) < 1e-9                # the tree is a distribution
+    got = model.posterior(np.array(list(every)))
+    assert all(abs(p - b / (a + b)) < 1e-9 for p, (a, b) in zip(got, every.values()))
+
+
+def test_terms_are_bounded_by_a_parameter(spark):
+    rows = corpus(200)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = cases.labels(spark, [(i, 1, y) for i, _, y in rows])
+    whole, few = (toxicity.fit(docs, labels, "toxic", 5, 0, terms=n) for n in (toxicity.MOST_TERMS, 3))
+    assert len(few.lexicon) == 3 < len(whole.lexicon) and set(few.lexicon) <= set(whole.lexicon)
