@@ -33,6 +33,7 @@ CONFIDENCE = 0.99
 SAMPLE = 20_000         # projected vectors, at most, on which the upper splits are fitted
 CELL_ROWS = 4096        # vectors of a shard and its kd-tree, on average
 MAX_CELLS = 2048
+LENGTHS = 64            # of vectors, the commonest, that have a tree of cells each
 LEAF = 512              # vectors of a kd-tree's leaf, verified together
 
 
@@ -169,22 +170,34 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
     queries = store(usable.filter(is_query).join(classes.select("vec", "cid"), "vec").select("id", "cid"), "ann-queries")
     limit = chi2_quantile(confidence)
 
-    # the upper splits, for each length of vector, from a bounded sample in hash order
+    # the upper splits, for each length of vector, from a bounded sample in hash order,
+    # projected where it lies: PROJECTED numbers of a vector reach the driver
     count = classes.groupBy(F.size("vec").alias("dim")).agg(F.count(F.lit(1)).alias("n"))
-    sizes = {r["dim"]: r["n"] for r in count.orderBy(F.desc("n")).limit(64).collect()}
+    few = count.orderBy(F.desc("n"), "dim").limit(LENGTHS).collect()
+    sizes = {r["dim"]: r["n"] for r in few}
     share = min(1.0, SAMPLE / max(1, sum(sizes.values())))
-    sample = classes.filter(F.pmod(F.xxhash64("cid"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1)) \
-        .select("vec").limit(2 * SAMPLE).collect()
+    chosen = classes.filter(F.pmod(F.xxhash64("cid"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1)) \
+        .select("vec").limit(2 * SAMPLE)
+
+    def project(batches):
+        for batch in batches:
+            vecs = batch.column("vec").to_pylist()
+            points = [(x / np.sqrt(x @ x)) @ projection(len(x)) for x in map(np.array, vecs)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([len(v) for v in vecs], pa.int32()), pa.array([p.tolist() for p in points], pa.list_(pa.float64()))],
+                names=["dim", "point"])
+    sample = chosen.mapInArrow(project, "dim int, point array<double>").collect()
     trees: dict[int, KDTree] = {}
     shards: dict[int, int] = {}
     for dim, n in sizes.items():
-        rows = np.array([r["vec"] for r in sample if len(r["vec"]) == dim], dtype=np.float64).reshape(-1, dim)
-        points = rows / np.sqrt((rows * rows).sum(axis=1))[:, None] @ projection(dim)
+        points = np.array([r["point"] for r in sample if r["dim"] == dim], dtype=np.float64).reshape(-1, PROJECTED)
         cells = max(1, min(MAX_CELLS, -(-n // CELL_ROWS)))
         trees[dim] = KDTree(points, 1, cells)
         trees[dim].members = [m[:0] for m in trees[dim].members]      # only the splits are used
         shards[dim] = max(1, -(-n // (CELL_ROWS * len(trees[dim].members))))
-    other = KDTree(np.zeros((0, PROJECTED)), 1)                       # lengths beyond the 64 commonest
+    # any rarer length has one cell, of as many shards as the rarest of these would need
+    other = KDTree(np.zeros((0, PROJECTED)), 1)
+    rest = max(1, -(-min(sizes.values(), default=1) // CELL_ROWS))
 
     def place(batches):
         """Deals classes to their cells."""
@@ -196,7 +209,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
                 cells.append(trees.get(len(v), other).leaf(x))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(cells, pa.int32()),
-                 pa.array([c % shards.get(len(v), 1) for c, v in zip(batch.column("cid").to_pylist(),
+                 pa.array([c % shards.get(len(v), rest) for c, v in zip(batch.column("cid").to_pylist(),
                                                                      batch.column("vec").to_pylist())], pa.int32())],
                 names=["cid", "vec", "cell", "shard"])
     placed = store(classes.select("cid", "vec").mapInArrow(
@@ -223,7 +236,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
         """(cid, other, score): the k + 1 best of each cell's shards for its queries. A
         shard's vectors come first, then its queries in a stream."""
         n_shards = F.create_map(*[F.lit(x) for d, n in (shards or {0: 1}).items() for x in (d, n)])
-        ask = wanted.withColumn("n_shards", F.coalesce(F.try_element_at(n_shards, F.size("vec")), F.lit(1))) \
+        ask = wanted.withColumn("n_shards", F.coalesce(F.try_element_at(n_shards, F.size("vec")), F.lit(rest))) \
             .withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("n_shards") - 1)))
         rows = placed.select(F.size("vec").alias("dim"), "cell", "shard", F.lit(0).alias("kind"), "cid", "vec",
                              F.lit(0.0).alias("bound")) \
