@@ -5,7 +5,8 @@ kept, and its decisions take effect: low quality goes, toxic text goes, one row
 group of near-duplicates stays, secrets are masked, and what is left is packed into
 sequences. All stages but the last return the columns of their input.
 
-Defined results, beside the operators' own: extra columns pass through untouched, rows
+Defined results, beside the operators' own: extra columns pass through untouched, whatever
+their names (dots, names that operators use) and types (maps and other nested ones), rows
 with null text are judged as empty ones, and of a group of near-duplicates the row with
 the smallest doc_id stays (null last; of rows that repeat it, one).
 """
@@ -15,9 +16,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from snapfold.llm import packing, quality, secrets, simhash_dedup, toxicity
-from snapfold.llm.common import map_slices, store, table
+from snapfold.llm.common import named, store, table, unboxed
 
 KEEP_QUALITY = 0.7       # score from which a document is kept
 REJECT_TOXIC = 0.5       # score from which a document is rejected
@@ -27,13 +29,13 @@ WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents that the quality classifier does not reject."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"), "quality", folds=4, held_out=2)
-    return quality.scored(docs, model).filter(F.col(quality.SCORE) >= KEEP_QUALITY).select(docs.columns)
+    return unboxed(quality.own_scored(docs, model).filter(F.col("score") >= KEEP_QUALITY), docs.columns)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents that the toxicity classifier does not reject."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), "toxic", folds=5, held_out=0)
-    return toxicity.scored(docs, model).filter(F.col(toxicity.SCORE) < REJECT_TOXIC).select(docs.columns)
+    return unboxed(toxicity.own_scored(docs, model).filter(F.col("score") < REJECT_TOXIC), docs.columns)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,12 +44,12 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Masks secrets; n_chars follows the masked text."""
-    masked = secrets.mask(docs)
-    if "n_chars" in docs.columns:
-        masked = masked.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.char_length("text"))
-                                   .otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return masked.select(docs.columns)
+    """Masks secrets; n_chars, where it is a number, follows the masked text."""
+    kinds = {f.name: f.dataType for f in docs.schema.fields}
+    n_chars = F.when(F.col("text").isNotNull(), F.char_length("text")).otherwise(F.col("n_chars"))
+    return secrets.mask(docs).select(*[
+        n_chars.cast(kinds[c]).alias(c) if c == "n_chars" and isinstance(kinds[c], NumericType) else named(c)
+        for c in docs.columns])
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
