@@ -5,8 +5,8 @@ Two ways to build the same table:
 * ``cumulate_*(prev, today)`` - one period: full outer join of yesterday's
   snapshot with today's rows (the incremental job that runs once a period);
   ``fold_changes`` runs it over a range of periods and writes, for each, the
-  entities that the period saw and no others. ``fold_periods`` writes whole
-  snapshots.
+  entities that the period saw and no others; a catch-up takes several periods
+  in a job. ``fold_periods`` writes whole snapshots.
 * ``backfill_*`` - every period in one pass: one aggregation per entity to a
   sorted history array, then ``explode(sequence(first, last))`` and a
   ``filter`` of the history - no theta join and no O(n^2) running window.
@@ -19,7 +19,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import DataType, IntegerType, StructField, StructType
 
 from snapfold.functions.pgcompat import first_elem, last_elem, safe_divisor, score_class
 from snapfold.session import scratch_path, stage_by_period
@@ -60,12 +60,20 @@ def fold_periods(initial: DataFrame, periods: Iterable, step: Callable[[DataFram
 
 PERIOD = "_period"      # number of the period, from 1, in which a row of a history was written
 BASE_EVERY = 8          # periods between two bases of a history
-# a row's field by name, and the period it is to be brought to -> the fields that time alone changes
-Aged = Callable[[Callable[[str], Column], Column], dict[str, Column]]
+AT_ONCE = 16            # periods that a job of a catch-up takes
+Field = Callable[[str], Column]                         # a row's field by name
+# a row, and the period it is to be brought to -> the fields that time alone changes
+Aged = Callable[[Field, Column], dict[str, Column]]
+# today's row and the state of the period before (null for a new entity) -> the new state
+Row = Callable[[Field, Field], list[Column]]
 
 
-def fold_changes(initial: DataFrame, periods: Iterable, key: str, at: str, today: Callable[[object], DataFrame],
-                 row: list[Column], aged: Aged, base_every: int = BASE_EVERY) -> DataFrame:
+def prefixed(prefix: str) -> Field:
+    return lambda c: F.col(prefix + c)
+
+
+def fold_changes(initial: DataFrame, periods: Iterable, key: str, at: str, today: Callable[..., DataFrame],
+                 row: Row | list[Column], aged: Aged, base_every: int = BASE_EVERY, at_once: int = 1) -> DataFrame:
     """All snapshots of a cumulative table, folded period by period from a history that
     holds changes only.
 
@@ -73,48 +81,81 @@ def fold_changes(initial: DataFrame, periods: Iterable, key: str, at: str, today
     from there, so that all steps run the same generated code). A period writes the entities
     that it saw, whatever the table holds besides: their state before (the newest of the
     last base and the changes since) and their row of today meet in one aggregation by
-    key, and ``row`` is the new state in terms of today's columns (``t_*``) and the state as
-    of the period before (``y_*``, null for a new entity). Every ``base_every`` periods the
-    newest row of each entity is written as a base, which bounds what a step reads.
+    key, and ``row`` is the new state in terms of today's columns and the state as of the
+    period before, given as fields or, as a list, as columns ``t_*`` and ``y_*``. Every
+    ``base_every`` periods the newest row of each entity is written as a base, which bounds
+    what a step reads.
+    ``at_once``: the periods that one job takes, for a catch-up. ``today(p, q)`` then has the
+    rows of p to q, and the same aggregation by key gathers an entity's rows of these
+    periods - at most ``at_once`` of them - which its state runs through one after the other;
+    the rows written are the same as with one period a job.
     A snapshot is derived when it is read: an entity's newest row, with the fields that
     ``aged`` names brought to the snapshot's period. Periods are consecutive integers or
     days. Everything lies in the shared folder, so a lost executor re-reads one step."""
     spark, periods = initial.sparkSession, list(periods)
     if not periods:
         return initial
+    if at_once > 1 and not callable(row):
+        raise ValueError("several periods at once need a row in terms of fields")
     root, columns = scratch_path(spark, "history"), initial.columns
     first, days = F.lit(periods[0]), isinstance(periods[0], dt.date)
-    stored = StructType([*initial.schema.fields, StructField(PERIOD, IntegerType())])
+    # read from files: any field or element may be null
+    stored = StructType([*DataType.fromDDL(initial.schema.simpleString()).fields, StructField(PERIOD, IntegerType())])
 
-    def brought(c: Callable[[str], Column], to: Column) -> list[Column]:
+    def brought(c: Field, to: Column) -> list[Column]:
         new = aged(c, to)
         return [new.get(name, c(name)) for name in columns]
 
+    def as_before(y: Column, now: Column) -> list[Column]:
+        before = F.date_sub(now, 1) if days else (now - 1).cast("int")
+        return [F.when(y.isNotNull(), x) for x in brought(lambda c: y[c], before)]
+
+    def number(now: Column) -> Column:
+        return ((F.datediff(now, first) if days else now - first) + 1).cast("int").alias(PERIOD)
+
     # the step's expressions, made once: they name columns, not tables
     given = today(periods[0]).columns
     seen = [F.col(key).cast(stored[key].dataType).alias(key), F.struct(*given).alias("t")]
     past = [F.col(key), F.struct(*columns, PERIOD).alias("y")]
     newest_of = F.max_by("y", F.col("y")[PERIOD]).alias("y")
-    both = [F.any_value("t", True).alias("t"), newest_of]
-    now, known = F.col("t")[at], F.col("y").isNotNull()
-    before = F.date_sub(now, 1) if days else (now - 1).cast("int")
+    now = F.col("t")[at]
     joined = [*[F.col("t")[c].alias("t_" + c) for c in given],
-              *[F.when(known, x).alias("y_" + c) for c, x in zip(columns, brought(lambda c: F.col("y")[c], before))],
-              ((F.datediff(now, first) if days else now - first) + 1).cast("int").alias(PERIOD)]
-    row = [*row, F.col(PERIOD)]
+              *[x.alias("y_" + c) for c, x in zip(columns, as_before(F.col("y"), now))], number(now)]
+    one = [*(row(prefixed("t_"), prefixed("y_")) if callable(row) else row), F.col(PERIOD)]
+
+    def after(states: Column, e: Column) -> Column:
+        """The states so far and the one that follows from the last of them."""
+        t, then = e["t"], e["at"]
+        y = dict(zip(columns, as_before(F.element_at(states, -1), then)))
+        new = [x.cast(stored[c].dataType).alias(c) for c, x in zip(columns, row(lambda c: t[c], y.__getitem__))]
+        return F.concat(states, F.array(F.struct(*new, number(then))))
+
+    in_order = F.array_sort(F.collect_list(F.when(F.col("t").isNotNull(), F.struct(now.alias("at"), "t")))).alias("ts")
     newest: list[str] = []                          # the last base, and the changes since
-    for n, p in enumerate(periods, start=1):
-        rows = today(p).select(*seen)
+    based = 0                                       # the period of the last base
+    for n in range(0, len(periods), at_once):
+        block = periods[n:n + at_once]
+        n += len(block)
+        rows = today(block[0]) if len(block) == 1 else today(block[0], block[-1])
+        rows = rows.select(*seen)
         if newest:
             old = spark.read.schema(stored).parquet(*newest).select(*past)
-            rows = rows.unionByName(old, allowMissingColumns=True).groupBy(key).agg(*both).where("t IS NOT NULL")
+            rows = rows.unionByName(old, allowMissingColumns=True)
         else:
             rows = rows.withColumn("y", F.lit(None).cast(stored))
+        if len(block) > 1:
+            states = F.aggregate("ts", F.array(F.col("y").cast(stored)), after)
+            rows = rows.groupBy(key).agg(in_order, newest_of).where(F.size("ts") > 0)
+            rows = rows.select(F.inline(F.slice(states, F.lit(2), F.size("ts"))))
+        else:
+            if newest:
+                rows = rows.groupBy(key).agg(F.any_value("t", True).alias("t"), newest_of).where("t IS NOT NULL")
+            rows = rows.select(*joined).select(*one)
         path = f"{root}/changes/{n}"
-        rows.select(*joined).select(*row).write.parquet(path)
+        rows.write.parquet(path)
         newest.append(path)
-        if n % base_every == 0 and n < len(periods):
-            base = f"{root}/base/{n}"
+        if n - based >= base_every and n < len(periods):
+            base, based = f"{root}/base/{n}", n
             spark.read.schema(stored).parquet(*newest).select(*past).groupBy(key).agg(newest_of).select("y.*").write.parquet(base)
             newest = [base]
     changes = spark.read.schema(stored).option("recursiveFileLookup", "true").parquet(f"{root}/changes")
@@ -138,24 +179,27 @@ def cumulate_players(prev: DataFrame, today: DataFrame, fixed: bool = False) ->
     so ``is_active`` is NULL; ``fixed`` fills it with "played this season"."""
     t = _prefixed(today, "t_")
     y = _prefixed(prev.select(*PLAYER_COLUMNS), "y_")
-    return t.join(y, F.col("t_player_name") == F.col("y_player_name"), "full_outer").select(*_players_row(fixed))
-
-
-def _players_row(fixed: bool) -> list[Column]:
-    """The new state from today's columns (t_*) and the snapshot of the season before (y_*)."""
-    played = F.col("t_season").isNotNull()
-    stat = F.array(player_stats_struct("t_"))
-    return [
-        F.coalesce("t_player_name", "y_player_name").alias("player_name"),
-        *[F.coalesce("t_" + c, "y_" + c).alias(c) for c in PLAYER_STATIC],
-        F.when(F.col("y_season_stats").isNull(), stat)
-         .when(played, F.concat("y_season_stats", stat))
-         .otherwise(F.col("y_season_stats")).alias("season_stats"),
-        F.when(played, score_class("t_pts")).otherwise(F.col("y_scoring_class")).alias("scoring_class"),
-        F.when(played, F.lit(0)).otherwise(F.col("y_years_since_last_season") + 1)
-         .cast("int").alias("years_since_last_season"),
-        F.coalesce("t_season", F.col("y_current_season") + 1).cast("int").alias("current_season"),
-        (played if fixed else F.lit(None).cast("boolean")).alias("is_active")]
+    return t.join(y, F.col("t_player_name") == F.col("y_player_name"), "full_outer") \
+        .select(*_players_row(fixed)(prefixed("t_"), prefixed("y_")))
+
+
+def _players_row(fixed: bool) -> Row:
+    """The new state from today's row and the snapshot of the season before."""
+    def row(t, y):
+        played = t("season").isNotNull()
+        stat = F.array(F.struct(*[t(f).alias(f) for f in STAT_FIELDS]))
+        return [
+            F.coalesce(t("player_name"), y("player_name")).alias("player_name"),
+            *[F.coalesce(t(c), y(c)).alias(c) for c in PLAYER_STATIC],
+            F.when(y("season_stats").isNull(), stat)
+             .when(played, F.concat(y("season_stats"), stat))
+             .otherwise(y("season_stats")).alias("season_stats"),
+            F.when(played, score_class(t("pts"))).otherwise(y("scoring_class")).alias("scoring_class"),
+            F.when(played, F.lit(0)).otherwise(y("years_since_last_season") + 1)
+             .cast("int").alias("years_since_last_season"),
+            F.coalesce(t("season"), y("current_season") + 1).cast("int").alias("current_season"),
+            (played if fixed else F.lit(None).cast("boolean")).alias("is_active")]
+    return row
 
 
 def _empty_players(seasons: DataFrame) -> DataFrame:
@@ -178,11 +222,12 @@ def _players_aged(fixed: bool) -> Aged:
     return aged
 
 
-def fold_players(seasons: DataFrame, first: int, last: int, fixed: bool = False) -> DataFrame:
+def fold_players(seasons: DataFrame, first: int, last: int, fixed: bool = False, at_once: int = 1) -> DataFrame:
     """All snapshots first..last built season by season; a season writes its own players."""
-    src = stage_by_period(seasons, "season")  # built once; each step reads one partition
+    src = stage_by_period(seasons, "season")  # built once; each step reads its partitions
     return fold_changes(_empty_players(src), range(first, last + 1), "player_name", "season",
-                        lambda s: src.where(F.col("season") == s), _players_row(fixed), _players_aged(fixed))
+                        lambda s, to=None: src.where(F.col("season").between(s, s if to is None else to)),
+                        _players_row(fixed), _players_aged(fixed), at_once=at_once)
 
 
 def backfill_players(seasons: DataFrame, lo: Column | int | None = None,
@@ -261,7 +306,8 @@ def cumulate_actors(prev: DataFrame, films: DataFrame, carry_class: bool = False
     is NULL); ``carry_class`` keeps the previous class instead."""
     n = _prefixed(_films_of_year(films), "t_")
     y = _prefixed(prev.select(*ACTOR_COLUMNS), "y_")
-    return n.join(y, F.col("t_actor") == F.col("y_actor"), "full_outer").select(*_actors_row(carry_class))
+    return n.join(y, F.col("t_actor") == F.col("y_actor"), "full_outer") \
+        .select(*_actors_row(carry_class)(prefixed("t_"), prefixed("y_")))
 
 
 def _films_of_year(films: DataFrame) -> DataFrame:
@@ -270,20 +316,22 @@ def _films_of_year(films: DataFrame) -> DataFrame:
         exact_avg("rating").alias("avg_rating"))
 
 
-def _actors_row(carry_class: bool) -> list[Column]:
-    """The new state from the year's films (t_*) and the snapshot of the year before (y_*)."""
-    year = F.coalesce("t_year", F.col("y_year") + 1).cast("int")
-    return [
-        F.coalesce("t_actor", "y_actor").alias("actor"),
-        year.alias("year"),
-        F.when(F.col("y_films").isNull(), F.col("t_new_films"))
-         .when(F.col("t_new_films").isNull(), F.col("y_films"))
-         .otherwise(F.concat("y_films", "t_new_films")).alias("films"),
-        (F.when(F.col("t_avg_rating").isNotNull(), quality_class(F.col("t_avg_rating")))
-          .otherwise(F.col("y_quality_class")) if carry_class
-         else quality_class(F.col("t_avg_rating"))).alias("quality_class"),
-        year.alias("current_year"),
-        F.col("t_new_films").isNotNull().alias("is_active")]
+def _actors_row(carry_class: bool) -> Row:
+    """The new state from the year's films and the snapshot of the year before."""
+    def row(t, y):
+        year = F.coalesce(t("year"), y("year") + 1).cast("int")
+        rated = quality_class(t("avg_rating"))
+        return [
+            F.coalesce(t("actor"), y("actor")).alias("actor"),
+            year.alias("year"),
+            F.when(y("films").isNull(), t("new_films"))
+             .when(t("new_films").isNull(), y("films"))
+             .otherwise(F.concat(y("films"), t("new_films"))).alias("films"),
+            (F.when(t("avg_rating").isNotNull(), rated).otherwise(y("quality_class")) if carry_class
+             else rated).alias("quality_class"),
+            year.alias("current_year"),
+            t("new_films").isNotNull().alias("is_active")]
+    return row
 
 
 def _empty_actors(films: DataFrame) -> DataFrame:
@@ -303,12 +351,12 @@ def _actors_aged(carry_class: bool) -> Aged:
     return aged
 
 
-def fold_actors(films: DataFrame, first: int, last: int, carry_class: bool = False) -> DataFrame:
+def fold_actors(films: DataFrame, first: int, last: int, carry_class: bool = False, at_once: int = 1) -> DataFrame:
     """All snapshots first..last built year by year; a year writes its own actors."""
     src = stage_by_period(films, "year")
     return fold_changes(_empty_actors(src), range(first, last + 1), "actor", "year",
-                        lambda yr: _films_of_year(src.where(F.col("year") == yr)),
-                        _actors_row(carry_class), _actors_aged(carry_class))
+                        lambda yr, to=None: _films_of_year(src.where(F.col("year").between(yr, yr if to is None else to))),
+                        _actors_row(carry_class), _actors_aged(carry_class), at_once=at_once)
 
 
 def backfill_actors(films: DataFrame, hi: Column | int | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapfold.functions.pgcompat import DAY_MASK, MASK_32, WEEK_MASK, bit32, bit32_text, has_any_bit
-from snapfold.operators.cumulative import fold_changes
+from snapfold.operators.cumulative import Row, fold_changes, prefixed
 
 
 def day_range(c: str, day: dt.date) -> Column:
@@ -49,27 +49,31 @@ def cumulate_dates(prev: DataFrame, today: DataFrame, key: str = "user_id") -> D
     ``today`` = (key, date_active) rows of one day."""
     t = today.select(F.col(key).alias("t_" + key), F.col("date_active").alias("t_date_active"))
     y = prev.select(*[F.col(c).alias("y_" + c) for c in (key, "dates_active", "date")])
-    return t.join(y, F.col("t_" + key) == F.col("y_" + key), "full_outer").select(*_dates_row(key))
+    return t.join(y, F.col("t_" + key) == F.col("y_" + key), "full_outer") \
+        .select(*_dates_row(key)(prefixed("t_"), prefixed("y_")))
 
 
-def _dates_row(key: str) -> list[Column]:
-    """The new state from today's columns (t_*) and the snapshot of the day before (y_*)."""
-    today_arr = F.array("t_date_active")
-    return [
-        F.coalesce("t_" + key, "y_" + key).alias(key),
-        F.when(F.col("y_dates_active").isNull(), today_arr)
-         .when(F.col("t_date_active").isNull(), F.col("y_dates_active"))
-         .otherwise(F.concat(today_arr, F.col("y_dates_active"))).alias("dates_active"),
-        F.coalesce(F.col("t_date_active"), F.date_add("y_date", 1)).alias("date")]
+def _dates_row(key: str) -> Row:
+    """The new state from today's row and the snapshot of the day before."""
+    def row(t, y):
+        today_arr = F.array(t("date_active"))
+        return [
+            F.coalesce(t(key), y(key)).alias(key),
+            F.when(y("dates_active").isNull(), today_arr)
+             .when(t("date_active").isNull(), y("dates_active"))
+             .otherwise(F.concat(today_arr, y("dates_active"))).alias("dates_active"),
+            F.coalesce(t("date_active"), F.date_add(y("date"), 1)).alias("date")]
+    return row
 
 
-def fold_dates(daily: DataFrame, first: dt.date, last: dt.date, key: str = "user_id") -> DataFrame:
+def fold_dates(daily: DataFrame, first: dt.date, last: dt.date, key: str = "user_id", at_once: int = 1) -> DataFrame:
     """All snapshots of ``users_cumulated`` first..last, day by day; a day writes the users
     that it saw. ``daily`` = (key, date) rows, staged by date."""
     empty = daily.limit(0).select(key, F.array(F.col("date")).alias("dates_active"), "date")
-    today = lambda d: daily.where(F.col("date") == F.lit(d)).select(key, F.col("date").alias("date_active"))
+    today = lambda d, to=None: daily.where(F.col("date").between(F.lit(d), F.lit(to or d))) \
+        .select(key, F.col("date").alias("date_active"))
     return fold_changes(empty, each_day(first, last), key, "date_active", today,
-                        _dates_row(key), lambda c, at: {"date": at})
+                        _dates_row(key), lambda c, at: {"date": at}, at_once=at_once)
 
 
 def each_day(lo: dt.date, hi: dt.date) -> list[dt.date]:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapfold.functions.pgcompat import days_between, pg_dow
-from snapfold.operators.cumulative import fold_changes
+from snapfold.operators.cumulative import Row, fold_changes, prefixed
 from snapfold.operators.datelists import each_day
 
 # Growth states.
@@ -31,13 +31,18 @@ def growth_step(prev: DataFrame, today: DataFrame, churn_first: bool = False) ->
     ``today`` = (user_id, today_date) of the day's active users."""
     t = today.select(F.col("user_id").cast("string").alias("t_user_id"), F.col("today_date").alias("t_today_date"))
     y = prev.select(*[F.col(c).alias("y_" + c) for c in GROWTH_COLUMNS])
-    return t.join(y, F.col("t_user_id") == F.col("y_user_id"), "full_outer").select(*_growth_row(churn_first))
+    return t.join(y, F.col("t_user_id") == F.col("y_user_id"), "full_outer") \
+        .select(*_growth_row(churn_first)(prefixed("t_"), prefixed("y_")))
 
 
-def _growth_row(churn_first: bool) -> list[Column]:
-    """The new state from today's columns (t_*) and the snapshot of the day before (y_*)."""
-    td, ylast, ydate = F.col("t_today_date"), F.col("y_last_active_date"), F.col("y_date")
-    no_prev, active = F.col("y_user_id").isNull(), F.col("t_user_id").isNotNull()
+def _growth_row(churn_first: bool) -> Row:
+    """The new state from today's row and the snapshot of the day before."""
+    return lambda t, y: _grown(t, y, churn_first)
+
+
+def _grown(t, y, churn_first: bool) -> list[Column]:
+    td, ylast, ydate = t("today_date"), y("last_active_date"), y("date")
+    no_prev, active = y("user_id").isNull(), t("user_id").isNotNull()
     daily = (F.when(no_prev & active, NEW)
               .when(ylast == F.date_sub(td, 1), RETAINED)
               .when(ylast < F.date_sub(td, 1), RESURRECTED)
@@ -52,14 +57,14 @@ def _growth_row(churn_first: bool) -> list[Column]:
                    .when(ylast < F.date_sub(td, 7), RESURRECTED).when(churned, CHURNED).otherwise(STALE))
     empty = F.array().cast("array<date>")
     return [
-        F.coalesce("t_user_id", "y_user_id").alias("user_id"),
-        F.coalesce("y_first_active_date", td).alias("first_active_date"),
-        F.coalesce(td, "y_last_active_date").alias("last_active_date"),
+        F.coalesce(t("user_id"), y("user_id")).alias("user_id"),
+        F.coalesce(y("first_active_date"), td).alias("first_active_date"),
+        F.coalesce(td, ylast).alias("last_active_date"),
         daily.alias("daily_active_state"),
         weekly.alias("weekly_active_state"),
-        F.concat(F.coalesce("y_dates_active", empty),
+        F.concat(F.coalesce(y("dates_active"), empty),
                  F.when(active, F.array(td)).otherwise(empty)).alias("dates_active"),
-        F.coalesce(td, F.date_add("y_date", 1)).alias("date")]
+        F.coalesce(td, F.date_add(ydate, 1)).alias("date")]
 
 
 def _growth_aged(churn_first: bool):
@@ -75,17 +80,17 @@ def _growth_aged(churn_first: bool):
     return aged
 
 
-def fold_growth(daily: DataFrame, first: dt.date, last: dt.date, churn_first: bool = False) -> DataFrame:
+def fold_growth(daily: DataFrame, first: dt.date, last: dt.date, churn_first: bool = False, at_once: int = 1) -> DataFrame:
     """All snapshots first..last, day by day; a day writes the users that it saw.
     ``daily`` = (user_id, date) rows, staged by date."""
     empty = daily.limit(0).select(
         F.col("user_id").cast("string").alias("user_id"), F.col("date").alias("first_active_date"),
         F.col("date").alias("last_active_date"), F.lit("").alias("daily_active_state"),
         F.lit("").alias("weekly_active_state"), F.array("date").alias("dates_active"), "date")
-    today = lambda d: daily.where(F.col("date") == F.lit(d)).select(
+    today = lambda d, to=None: daily.where(F.col("date").between(F.lit(d), F.lit(to or d))).select(
         F.col("user_id").cast("string").alias("user_id"), F.col("date").alias("today_date"))
     return fold_changes(empty, each_day(first, last), "user_id", "today_date", today,
-                        _growth_row(churn_first), _growth_aged(churn_first))
+                        _growth_row(churn_first), _growth_aged(churn_first), at_once=at_once)
 
 
 def growth_backfill(daily: DataFrame, end: Column, churn_first: bool = False) -> DataFrame:

@@ -37,7 +37,7 @@ def _players_step(fixed):
     def run(spark, sf_dir):
         seasons = fx.fx_player_seasons(spark, sf_dir)
         lo, hi = bounds(seasons, "season")
-        return _explode_players(cu.fold_players(seasons, lo, hi, fixed=fixed))
+        return _explode_players(cu.fold_players(seasons, lo, hi, fixed=fixed, at_once=cu.AT_ONCE))
     return run
 
 
@@ -132,7 +132,7 @@ def _actors_step(carry):
     def run(spark, sf_dir):
         films = fx.fx_actor_films(spark, sf_dir)
         lo, hi = bounds(films, "year")
-        return _explode_actors(cu.fold_actors(films, lo, hi, carry_class=carry))
+        return _explode_actors(cu.fold_actors(films, lo, hi, carry_class=carry, at_once=cu.AT_ONCE))
     return run
 
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from snapfold.functions.pgcompat import render_list
 from snapfold.operators import growth as gr
+from snapfold.operators.cumulative import AT_ONCE
 from snapfold.plans.oracle import oracle
 from snapfold.plans.q_datelists import DAILY_SQL, DAY_FMT, daily, day_bounds
 from snapfold.plans.registry import query
@@ -22,9 +23,9 @@ def _growth_step(churn_first):
 
 
 def growth_fold(spark, sf_dir, churn_first=False):
-    """Day-by-day fold over every day of the data."""
+    """Fold over every day of the data, caught up some days a job."""
     src = stage_by_period(daily(spark, sf_dir), "date")
-    return _render(gr.fold_growth(src, *day_bounds(src), churn_first=churn_first))
+    return _render(gr.fold_growth(src, *day_bounds(src), churn_first=churn_first, at_once=AT_ONCE))
 
 
 query("growth_step")(_growth_step(False))

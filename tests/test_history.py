@@ -45,6 +45,41 @@ def test_folds_equal_the_steps(spark):
         assert sorted(gr.fold_growth(daily, first, last, churn_first).collect(), key=str) == want
 
 
+def test_catch_up_equals_one_period_a_job(spark):
+    """Several periods in a job, whatever their number: the rows of the step by step fold,
+    with entities that come late, sit out whole jobs and return, and a job without rows."""
+    rnd = random.Random(5)
+    first, last = D(2024, 1, 30), D(2024, 2, 7)
+    rows = [(u, first + dt.timedelta(days=k)) for k in range(9) for u in range(8) if not 3 <= k < 6 and rnd.random() < 0.3]
+    daily = spark.createDataFrame(rows, "user_id int, date date")
+    stats = [(f"p{p}", 70, "c", "US", "2000", "1", "2", 10, float(rnd.randint(0, 30)), 1.0, 2.0, s)
+             for s in range(1996, 2003) for p in range(6) if s != 1999 and rnd.random() < 0.5]
+    seasons = spark.createDataFrame(stats, "player_name string, height int, college string, country string, draft_year string, "
+                                           "draft_round string, draft_number string, gp int, pts double, reb double, ast double, season int")
+    films = spark.createDataFrame([(f"a{a}", 2000 + y, f"f{k}", 10 * k, rnd.randint(50, 95) / 10, f"id{a}{y}{k}")
+                                   for y in range(6) for a in range(5) for k in range(2) if rnd.random() < 0.4],
+                                  "actor string, year int, film string, votes int, rating double, filmid string")
+    folds = [lambda n: dl.fold_dates(daily, first, last, at_once=n),
+             lambda n: gr.fold_growth(daily, first, last, at_once=n), lambda n: gr.fold_growth(daily, first, last, True, at_once=n),
+             lambda n: cu.fold_players(seasons, 1996, 2002, at_once=n), lambda n: cu.fold_players(seasons, 1996, 2002, True, at_once=n),
+             lambda n: cu.fold_actors(films, 2000, 2005, at_once=n), lambda n: cu.fold_actors(films, 2000, 2005, True, at_once=n)]
+    for fold in folds:
+        want = fold(1)
+        for n in (3, 40):
+            got = fold(n)
+            assert got.dtypes == want.dtypes
+            assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+
+
+def test_catch_up_writes_what_the_days_write(spark):
+    first = D(2024, 1, 1)
+    rows = [(u, first) for u in range(50)] + [(k, first + dt.timedelta(days=k)) for k in range(1, 6)]
+    daily = spark.createDataFrame(rows, "user_id int, date date")
+    files = dl.fold_dates(daily, first, first + dt.timedelta(days=5), at_once=4).inputFiles()
+    per = spark.read.parquet(*files).groupBy(cu.PERIOD).count().collect()
+    assert {r[0]: r[1] for r in per} == {1: 50, 2: 1, 3: 1, 4: 1, 5: 1, 6: 1}
+
+
 def test_a_day_writes_the_users_that_it_saw(spark):
     """200 users on the first day, one each day after: what a day writes does not grow with
     those who are absent."""
