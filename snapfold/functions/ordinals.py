@@ -49,6 +49,23 @@ def ordinal_within(df: DataFrame, keys: list[str], order: list[Column], bucket:
         *[(F.col(f"_o{n}") + F.col(f"_l{n}")).alias(n) for n in running])
 
 
+def dense_within(df: DataFrame, keys: list[str], value: str, bucket: Column, name: str = "nth",
+                 total: str = "n") -> DataFrame:
+    """Add ``name`` = 1-based dense rank of ``value`` (not null) within ``keys``, ascending,
+    and ``total`` = the distinct values of ``keys``. ``bucket`` must be monotone in
+    ``value``. One window holds the rows of a bucket, one a row per bucket of a key."""
+    b, plain = plain_keys(df.withColumn(_B, bucket), keys)
+    by = [*plain, _B]
+    local = b.withColumn("_lrn", F.dense_rank().over(Window.partitionBy(*by).orderBy(value)))
+    per_bucket = local.groupBy(*by).agg(F.max("_lrn").alias("_cnt"))
+    key = Window.partitionBy(*plain)
+    before = key.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_bucket.select(*by, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
+                                F.sum("_cnt").over(key).alias(total))
+    rest = [c for c in df.columns if c not in keys]
+    return local.join(offsets, by).select(*restored(keys), *rest, (F.col("_off") + F.col("_lrn")).alias(name), total)
+
+
 RANK_WIDTH = 1024  # values of one range when ranks are counted
 
 

@@ -3,14 +3,16 @@ page-to-page transition times."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapfold.functions.joins import plain_keys, restored
-from snapfold.functions.ordinals import ordinal_within
+from snapfold.functions.hot import grid_join
+from snapfold.functions.ordinals import dense_within, ordinal_within
 from snapfold.functions.pgcompat import wall_micros
+from snapfold.session import cut_lineage
 
 GAME_BUCKET = 4096  # game ids per bucket when numbering rows within a team/player
+BLOCK = 16          # instants of a user-day whose events meet pair by pair
 
 
 def _bucket(c: str, size: int) -> Column:
@@ -67,53 +69,50 @@ def _micros_between(later: str, earlier: str) -> Column:
     return wall_micros(later) - wall_micros(earlier)
 
 
-def page_transitions(combined: DataFrame, min_users: int | None = 100, bucket_seconds: int = 60) -> DataFrame:
+def page_transitions(combined: DataFrame, min_users: int | None = 100, bucket_seconds: int = 60,
+                     block: int = BLOCK) -> DataFrame:
     """Fastest move from ``from_url`` to ``to_url`` per user within a day, then
     per url pair: users, min, max and mean seconds; HAVING users > min_users.
 
-    The reference self-joins all earlier same-day events of a user (all pairs
-    of a user-day). Here each event only meets the latest earlier event of each
-    url: events are repeated once per distinct url of their user-day (at most
-    the number of urls) and an as-of lookup finds the latest earlier "from"
-    event. The minimum over events of (t - latest earlier from-time) equals the
-    minimum over all pairs.
-
-    The as-of lookup is split by time bucket so a busy user-day never sits in
-    one task: a window inside (user, day, from_url, bucket) finds the latest
-    earlier mark of the same bucket, and a window over the small table of
-    per-bucket latest marks carries the latest mark of earlier buckets."""
-    keys = ["user_id", "day", "from_url"]
+    The reference self-joins all earlier same-day events of a user (all pairs of a
+    user-day). Here the instants of a user-day are numbered (``dense_within``) and cut
+    into blocks of ``block``; pairs of events meet within a block only. Above the blocks
+    lies a binary tree: the fastest move over the middle of a node goes from the last
+    event of ``from_url`` in its left half to the first of ``to_url`` in its right half,
+    and each pair of instants of different blocks lies on both sides of exactly one
+    node's middle. So what is shuffled is an event per level of its user-day's tree,
+    combined map-side to the distinct urls of a half, and what the nodes join is reduced
+    to one gap per user and url pair before it moves on. A busy user-day has as many
+    keys as nodes; a node with many urls is cut into a grid (``hot.grid_join``)."""
     ev = (combined.where(F.col("user_id").isNotNull() & F.col("event_time").isNotNull())
-                  .select("user_id", F.to_date("event_time").alias("day"),
-                          F.col("event_time").alias("t"), "url"))
+                  .select("user_id", F.to_date("event_time").alias("day"), F.col("event_time").alias("t"), "url"))
     second_of_day = F.hour("t") * 3600 + F.minute("t") * 60 + F.second("t")
-    bucket = F.floor(second_of_day / F.lit(bucket_seconds))
-    urls = ev.select("user_id", "day", F.col("url").alias("from_url")).distinct()
-    cand = (ev.join(urls, ["user_id", "day"])
-              .select(*keys, "t", F.col("url").alias("to_url"), F.lit(1).alias("kind")))
-    marks = ev.select("user_id", "day", F.col("url").alias("from_url"), "t",
-                      F.lit(None).cast("string").alias("to_url"), F.lit(0).alias("kind"))
-    rows, keys = plain_keys(cand.unionByName(marks).withColumn("b", bucket), keys)
-    # latest mark per non-empty bucket (NULL when a bucket only has candidates),
-    # then the latest mark of all earlier buckets: at most one row per bucket
-    per_bucket = rows.groupBy(*keys, "b").agg(
-        F.max(F.when(F.col("kind") == 0, F.col("t"))).alias("bucket_max"))
-    carry = per_bucket.select(*keys, "b", F.max("bucket_max").over(
-        Window.partitionBy(*keys).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)).alias("carry_t"))
-    # inside a bucket: at equal times candidates sort first, so only strictly
-    # earlier marks count
-    w = (Window.partitionBy(*keys, "b").orderBy("t", F.col("kind").desc())
-               .rowsBetween(Window.unboundedPreceding, -1))
-    local = (rows.select(*keys, "b", "to_url", "t", "kind",
-                         F.max(F.when(F.col("kind") == 0, F.col("t"))).over(w).alias("local_t"))
-                 .where(F.col("kind") == 1))
-    asof = local.join(carry, [*keys, "b"]).select(
-        *restored(["user_id", "from_url"]), "to_url", "t", F.coalesce("local_t", "carry_t").alias("prev_t"))
+    # stored once: read by the blocks and by the tree
+    at = cut_lineage(dense_within(ev, ["user_id", "day"], "t", F.floor(second_of_day / F.lit(bucket_seconds)), "nth", "n")
+                     .withColumn("block", F.floor((F.col("nth") - 1) / F.lit(block))), "parquet")
+    left = at.select("user_id", "day", "block", F.col("url").alias("from_url"), F.col("t").alias("prev_t"))
+    right = at.select("user_id", "day", "block", F.col("url").alias("to_url"), "t")
+    near = left.join(right, ["user_id", "day", "block"]).where("t > prev_t")
+    # a node of level k spans 2^k blocks; a left half without a right one has no moves
+    blocks = F.floor((F.col("n") - 1) / F.lit(block)) + 1
+    halves = (at.where(F.col("n") > block)
+                .select("user_id", "day", "url", "t", "block", blocks.alias("blocks"), F.explode(F.sequence(
+                    F.lit(1), F.ceil(F.log2(blocks)).cast("int"))).alias("level"))
+                .withColumn("half", F.expr("shiftright(block, level - 1)"))
+                .where("half % 2 = 1 OR shiftleft(half + 1, level - 1) < blocks")
+                .select("user_id", "day", "level", F.expr("shiftright(half, 1)").alias("node"),
+                        F.expr("half % 2 = 1").alias("late"), "url", "t"))
+    node = ["user_id", "day", "level", "node"]
+    ends = cut_lineage(halves.groupBy(*node, "late", "url").agg(F.min("t").alias("first_t"), F.max("t").alias("last_t")),
+                       "parquet")
+    far = grid_join(ends.where("not late").select(*node, F.col("url").alias("from_url"), F.col("last_t").alias("prev_t")),
+                    ends.where("late").select(*node, F.col("url").alias("to_url"), F.col("first_t").alias("t")),
+                    node, [F.col("from_url")], [F.col("to_url")])
     # gaps in integer microseconds: the mean is an exact integer sum / count,
     # the same in any engine and any summation order
-    gaps = (asof.where(F.col("prev_t").isNotNull())
-                .select("user_id", "to_url", "from_url", _micros_between("t", "prev_t").alias("gap")))
-    per_user = gaps.groupBy("user_id", "to_url", "from_url").agg(F.min("gap").alias("gap"))
+    move = ["user_id", "to_url", "from_url"]
+    gap = _micros_between("t", "prev_t").alias("gap")
+    per_user = near.select(*move, gap).unionByName(far.select(*move, gap)).groupBy(*move).agg(F.min("gap").alias("gap"))
     n = F.count(F.lit(1))
     out = per_user.groupBy("to_url", "from_url").agg(
         n.alias("num_users"),

@@ -222,16 +222,26 @@ def _random_events(n=300, seed=7):
              rnd.choice(["/a", "/b", "/c", "/d"])) for _ in range(n)]
 
 
-@pytest.mark.parametrize("bucket_seconds,rows", [
-    (1, None), (60, None), (86400, None), (60, "random"), (7, "random")])
-def test_page_transitions_equals_pairs(spark, bucket_seconds, rows):
+def _busy_events(n=400):
+    """A user with most events, few of them at an instant of its own, some without a url."""
+    import random
+    rnd = random.Random(11)
+    base = dt.datetime(2023, 1, 1, 8, 0)
+    return [(rnd.choice([1, 1, 1, 1, 2]), base + dt.timedelta(seconds=rnd.randrange(0, 90)),
+             rnd.choice(["/a", "/b", None, f"/item/{rnd.randrange(40)}"])) for _ in range(n)]
+
+
+@pytest.mark.parametrize("bucket_seconds,block,rows", [
+    (1, 16, None), (60, 1, None), (86400, 2, None), (60, 16, "random"), (7, 1, "random"), (60, 3, "random"),
+    (60, 1, "busy"), (5, 4, "busy")])
+def test_page_transitions_equals_pairs(spark, bucket_seconds, block, rows):
     t = lambda h, m: dt.datetime(2023, 1, 1, h, m)
-    rows = _random_events() if rows == "random" else [
+    rows = _random_events() if rows == "random" else _busy_events() if rows == "busy" else [
         (1, t(10, 0), "/a"), (1, t(10, 5), "/b"), (1, t(10, 7), "/a"), (1, t(10, 9), "/b"),
         (2, t(9, 0), "/b"), (2, t(9, 0), "/a"), (None, t(9, 1), "/a")]
     ev = spark.createDataFrame(rows, "user_id int, event_time timestamp_ntz, url string")
     got = {(r.to_url, r.from_url): (r.num_users, r.min_seconds) for r in
-           sequences.page_transitions(ev, min_users=None, bucket_seconds=bucket_seconds).collect()}
+           sequences.page_transitions(ev, min_users=None, bucket_seconds=bucket_seconds, block=block).collect()}
     # brute force over all same-day earlier pairs
     exp = {}
     for u1, t1, a in rows:
