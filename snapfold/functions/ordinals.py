@@ -70,7 +70,7 @@ RANK_WIDTH = 1024  # values of one range when ranks are counted
 
 
 def rank_by_counts(df: DataFrame, keys: list[str], value: str, name: str = "rank",
-                   width: int = RANK_WIDTH) -> DataFrame:
+                   width: int = RANK_WIDTH, only: Column | None = None) -> DataFrame:
     """``RANK() OVER (PARTITION BY keys ORDER BY value DESC NULLS FIRST)`` of a
     numeric column without a window over a partition's rows: rank = 1 + rows of
     the partition that sort before the value.
@@ -79,7 +79,8 @@ def rank_by_counts(df: DataFrame, keys: list[str], value: str, name: str = "rank
     are cut into ranges of ``width``: a window over the ranges gives the rows of
     larger ranges, a window inside a range the rows of larger values there. No
     window holds more than the distinct values of one range, or the ranges of
-    one partition."""
+    one partition. ``only``, a condition on other columns than ``keys`` and ``value``:
+    the rows to rank; all rows count, the others are not returned."""
     d, plain = plain_keys(df.withColumn("_value", F.col(value)), [*keys, value])
     group = [c for c in plain if c not in ("_key_" + value, "_null_" + value)]
     v, none = "_key_" + value, "_null_" + value
@@ -95,5 +96,5 @@ def rank_by_counts(df: DataFrame, keys: list[str], value: str, name: str = "rank
              .join(above, [*group, none, "_range"])
              .select(*group, none, "_range", v, (F.col("_above") + F.col("_in") + 1).alias(name)))
     rest = [c for c in df.columns if c not in keys and c != value]
-    out = d.join(ranks, [*group, none, "_range", v])
+    out = (d if only is None else d.where(only)).join(ranks, [*group, none, "_range", v])
     return out.select(*restored(keys), F.col("_value").alias(value), *rest, name)

@@ -196,14 +196,14 @@ def points_sets(details: DataFrame, player_seasons: DataFrame, fixed: bool = Fal
         rank = F.when(F.col("season").isNotNull(), F.col("_rank"))
     else:
         # a player-team or player partition holds the few rows of one player; a
-        # team's holds all its players, so its ranks are counted
+        # team's holds all its players, so its ranks are counted, for its totals alone
         r_pt = F.rank().over(Window.partitionBy("season", "player_name", "team_abbreviation").orderBy(order))
         r_p = F.rank().over(Window.partitionBy("season", "player_name").orderBy(order))
-        agg = rank_by_counts(agg, ["season", "team_abbreviation"], "total_points", "_team_rank")
-        pa, ta, has_season = F.col("is_player_agg"), F.col("is_team_agg"), F.col("season").isNotNull()
-        rank = (F.when((pa == 0) & (ta == 0) & has_season, r_pt)
-                 .when((pa == 0) & (ta == 1) & has_season, r_p)
-                 .when((pa == 1) & (ta == 0) & has_season, F.col("_team_rank")))
+        of_team = (F.col("is_player_agg") == 1) & (F.col("is_team_agg") == 0)
+        teams = rank_by_counts(agg, ["season", "team_abbreviation"], "total_points", "_rank", only=of_team)
+        others = agg.withColumn("_rank", F.when(F.col("is_player_agg") == 0, F.when(F.col("is_team_agg") == 0, r_pt).otherwise(r_p)))
+        agg = others.where(~of_team).unionByName(teams)
+        rank = F.when(F.col("season").isNotNull(), F.col("_rank"))
     return agg.select("season", "player_name", "team_abbreviation",
                       F.col("total_points").cast("bigint").alias("total_points"),
                       rank.cast("bigint").alias("rank_in_group"))
