@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapfold.functions.ordinals import rank_by_counts
@@ -169,41 +169,91 @@ def points_sets(details: DataFrame, player_seasons: DataFrame, fixed: bool = Fal
     As written the details are joined to the player's seasons on the name only,
     so every game counts once per season of the player. ``fixed`` joins on
     (name, season) with ``player_seasons`` carrying the game's own season, and
-    ranks every set within its season."""
-    ps = player_seasons.select("player_name", "season")
+    ranks every set within its season.
+
+    No Expand: the rows of players come from a window over one player's teams, and all
+    other sets from ``counts``, the rows per season, team and total, which ranks are
+    counted from as well."""
     keys = ["player_name", "season"] if fixed else ["player_name"]
+    times = player_seasons.groupBy("player_name", "season").agg(F.count(F.lit(1)).alias("_times"))
     # SUM distributes over the join: sum the details per (join key, team)
     # first, so the join multiplies one row per player and team instead of
     # every game line by every season of the player.
     gd = (details.groupBy(*keys, "team_abbreviation")
                  .agg(F.sum(F.col("pts").cast("int")).alias("pts")))
-    j = gd.join(ps, keys)
-    sets = [["season", "player_name", "team_abbreviation"], ["season", "player_name"],
-            ["season", "team_abbreviation"], ["season"], []]
-    agg = (j.groupingSets([[F.col(c) for c in s] for s in sets],
-                          "season", "player_name", "team_abbreviation")
-            .agg(F.sum("pts").alias("total_points"),
-                 F.grouping("player_name").alias("is_player_agg"),
-                 F.grouping("team_abbreviation").alias("is_team_agg")))
-    agg = agg.where(F.col("season").isNotNull()
-                    | (F.col("season").isNull() & F.col("player_name").isNull()
-                       & F.col("team_abbreviation").isNull()))
-    order = F.col("total_points").desc_nulls_first()
+    lines = _with_player_rows(gd.dropna(subset=keys), keys)
+    if fixed:
+        rows = cut_lineage(_in_seasons(lines, times, keys).drop("_rank"), "parquet")
+    else:   # an inner join of two stored tables is read again, its many rows are not stored
+        rows = _in_seasons(cut_lineage(lines, "parquet"), cut_lineage(times, "parquet"), keys)
+    counts = cut_lineage(rows.groupBy("season", "team_abbreviation", "is_player_agg", "is_team_agg", "total_points")
+                             .agg(F.count(F.lit(1)).alias("_n")), "parquet")
+    teams = (counts.where("is_team_agg = 0").groupBy("season", "team_abbreviation")
+                   .agg(F.sum(F.col("total_points") * F.col("_n")).alias("total_points"))
+                   .withColumns({"is_player_agg": F.lit(1), "is_team_agg": F.lit(0)}))
+    seasons = (teams.groupingSets([[F.col("season")], []], "season")
+                    .agg(F.sum("total_points").alias("total_points"), F.grouping("season").alias("_all"))
+                    .withColumns({"is_player_agg": F.lit(1), "is_team_agg": F.lit(1)}))
     if fixed:
         # one rank per set and season (the partition carries the grouping
         # flags): a whole season per set, so ranked by counting distinct totals
-        agg = rank_by_counts(agg, ["season", "is_player_agg", "is_team_agg"], "total_points", "_rank")
-        rank = F.when(F.col("season").isNotNull(), F.col("_rank"))
+        of = ["season", "is_player_agg", "is_team_agg"]
+        ranked = rank_by_counts(rows, of, "total_points", "_rank", counts=counts)
+        teams = rank_by_counts(teams, of, "total_points", "_rank")
+        seasons = seasons.withColumn("_rank", F.lit(1))
     else:
         # a player-team or player partition holds the few rows of one player; a
         # team's holds all its players, so its ranks are counted, for its totals alone
-        r_pt = F.rank().over(Window.partitionBy("season", "player_name", "team_abbreviation").orderBy(order))
-        r_p = F.rank().over(Window.partitionBy("season", "player_name").orderBy(order))
-        of_team = (F.col("is_player_agg") == 1) & (F.col("is_team_agg") == 0)
-        teams = rank_by_counts(agg, ["season", "team_abbreviation"], "total_points", "_rank", only=of_team)
-        others = agg.withColumn("_rank", F.when(F.col("is_player_agg") == 0, F.when(F.col("is_team_agg") == 0, r_pt).otherwise(r_p)))
-        agg = others.where(~of_team).unionByName(teams)
-        rank = F.when(F.col("season").isNotNull(), F.col("_rank"))
+        ranked = rows
+        teams = _team_ranks(teams, counts, seasons)
+        seasons = seasons.withColumn("_rank", F.lit(None).cast("int"))
+    names = ["season", "player_name", "team_abbreviation", "total_points", "_rank"]
+    nobody = lambda df, *gone: df.withColumns({c: F.lit(None).cast("string") for c in gone}).select(*names)
+    agg = (ranked.where("season IS NOT NULL").select(*names)
+           .unionByName(nobody(teams.where("season IS NOT NULL OR team_abbreviation IS NULL"), "player_name"))
+           .unionByName(nobody(seasons, "player_name", "team_abbreviation")))
     return agg.select("season", "player_name", "team_abbreviation",
                       F.col("total_points").cast("bigint").alias("total_points"),
-                      rank.cast("bigint").alias("rank_in_group"))
+                      F.when(F.col("season").isNotNull(), F.col("_rank")).cast("bigint").alias("rank_in_group"))
+
+
+def _ahead(one: Column, other: Column) -> Column:
+    """1 where ``one`` sorts before ``other``, descending with NULLs first."""
+    return F.when(one.isNull(), other.isNotNull()).otherwise(F.coalesce(one > other, F.lit(False))).cast("int")
+
+
+def _with_player_rows(gd: DataFrame, keys: list[str]) -> DataFrame:
+    """``gd``, a row per ``keys`` and team, and a row per ``keys``: their points, the flags
+    of both sets and the rank among the rows that share player and team, or for a row per
+    ``keys`` among all rows of ``keys``. A player's seasons multiply all of them alike, so
+    the ranks hold in each."""
+    player = Window.partitionBy(*keys)
+    own, whole, team = F.col("pts"), F.col("_whole"), "team_abbreviation"
+    first = F.row_number().over(player.orderBy(F.col(team).asc_nulls_first()))
+    with_whole = gd.withColumn("_whole", F.sum("pts").over(player)).withColumn("_first", first)
+    with_place = with_whole.withColumn("_place", 1 + F.sum(_ahead(own, whole)).over(player))
+    of_team = F.struct(F.col(team), own.alias("pts"), F.lit(0).alias("is_player_agg"), F.lit(0).alias("is_team_agg"),
+                       F.when(F.col(team).isNull(), 1 + _ahead(whole, own)).otherwise(1).cast("bigint").alias("_rank"))
+    of_player = F.struct(F.lit(None).cast("string").alias(team), whole.alias("pts"), F.lit(0).alias("is_player_agg"),
+                         F.lit(1).alias("is_team_agg"), F.col("_place").cast("bigint").alias("_rank"))
+    made = F.when(F.col("_first") == 1, F.array(of_team, of_player)).otherwise(F.array(of_team))
+    return with_place.select(*keys, F.explode(made).alias("row")).select(*keys, "row.*")
+
+
+def _in_seasons(lines: DataFrame, times: DataFrame, keys: list[str]) -> DataFrame:
+    return lines.join(times, keys).select(
+        "season", "player_name", "team_abbreviation", "is_player_agg", "is_team_agg",
+        (F.col("pts") * F.col("_times")).alias("total_points"), "_rank")
+
+
+def _team_ranks(teams: DataFrame, counts: DataFrame, seasons: DataFrame) -> DataFrame:
+    """Rank of each team's row among all rows of its season and team, from the rows per total;
+    where the team is NULL these include the rows of players and of the season."""
+    t = teams.select("season", "team_abbreviation", F.col("total_points").alias("_of_team"))
+    beside = counts.select("season", "team_abbreviation", "total_points", "_n").unionByName(
+        seasons.where("_all = 0").select("season", F.lit(None).cast("string").alias("team_abbreviation"),
+                                         "total_points", F.lit(1).cast("bigint").alias("_n")))
+    same = (t.season.eqNullSafe(beside.season)) & t.team_abbreviation.eqNullSafe(beside.team_abbreviation)
+    return (t.join(beside, same).groupBy(t.season, t.team_abbreviation)
+             .agg(F.first("_of_team").alias("total_points"),
+                  (1 + F.sum(F.col("_n") * _ahead(F.col("total_points"), F.col("_of_team")))).alias("_rank")))

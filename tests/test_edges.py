@@ -397,3 +397,33 @@ def test_bitmask_of_an_early_start(spark):
     users = spark.createDataFrame([(1, [D(2023, 1, 31), D(2022, 11, 1), D(2022, 12, 31)])], "user_id int, dates_active array<date>")
     mask = lambda fixed: dl.date_bitmask(users, F.lit(D(2023, 1, 31)), F.lit(D(2022, 1, 1)), fixed=fixed).first()
     assert mask(True).bits_sum == 2 ** 31 + 2 ** 0 and mask(False).bits_sum == 2 ** 32 + 2 ** 1
+
+
+def _random_points(n=300):
+    import random
+    rnd = random.Random(n)
+    details = [(rnd.choice("abcdef"), rnd.choice([1, 2, None]), rnd.choice(["T1", "T2", None]), rnd.choice([-3, 0, 4, 9, None]))
+               for _ in range(n)] + [(None, 1, "T1", 5), ("g", 1, None, None), ("g", 2, "T1", -2)]
+    seasons = [(p, s) for p in "abcdeg" for s in (1, 2)] + [("a", 1), ("b", None), (None, 1), ("h", 2)]
+    return details, seasons
+
+
+@pytest.mark.parametrize("fixed", [False, True])
+def test_points_sets_equal_grouping_sets_and_windows(spark, fixed):
+    d, s = _random_points()
+    details = spark.createDataFrame(d, "player_name string, season int, team_abbreviation string, pts int")
+    seasons = spark.createDataFrame(s, "player_name string, season int")     # repeated, null and unknown ones
+    got = cubes.points_sets(details if fixed else details.drop("season"), seasons, fixed=fixed).collect()
+    dims, order = ["season", "player_name", "team_abbreviation"], F.col("total_points").desc_nulls_first()
+    joined = details.join(seasons, ["player_name", "season"]) if fixed else details.drop("season").join(seasons, "player_name")
+    want = joined.groupingSets([[F.col(c) for c in x] for x in (dims, dims[:2], [dims[0], dims[2]], dims[:1], [])], *dims).agg(
+        F.sum("pts").alias("total_points"), F.grouping("player_name").alias("p"), F.grouping("team_abbreviation").alias("t"))
+    want = want.where("season IS NOT NULL OR (player_name IS NULL AND team_abbreviation IS NULL)")
+    place = lambda *by: F.rank().over(Window.partitionBy(*by).orderBy(order))
+    if fixed:
+        rank = place("season", "p", "t")
+    else:
+        rank = F.when(F.expr("p + t = 0"), place(*dims)).when(F.expr("p = 0"), place(*dims[:2])) \
+            .when(F.expr("t = 0"), place("season", "team_abbreviation"))
+    want = want.select(*dims, "total_points", F.when(F.col("season").isNotNull(), rank).cast("bigint").alias("rank_in_group"))
+    assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, want.collect()), key=repr)

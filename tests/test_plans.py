@@ -95,3 +95,10 @@ def test_hosts_filter_is_pushed(spark, sf_dir):
     ev = fx.fx_events(spark, sf_dir)
     text = plan_text(ev.where(dl.before_day("event_time", dt.date(2024, 1, 3))).select("host"))
     assert "LessThan(ts," in text
+
+
+@pytest.mark.parametrize("name", ["points_grouping_sets", "points_grouping_sets_fixed"])
+def test_points_rows_are_not_expanded(spark, sf_dir, name):
+    tree = plan_text(QUERIES[name](spark, sf_dir)).split("\n\n")[0]
+    for below in tree.split("Expand")[1:]:                           # a set is summed from the stored counts
+        assert "Join" not in below.split("Scan")[0]
