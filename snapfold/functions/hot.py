@@ -17,6 +17,7 @@ from snapfold.session import cut_lineage
 SHARE = 1000        # a key with more than this part of all rows is heavy: at most so many keys
 LEAST = 256         # and none with fewer rows
 BLOCK = 1024        # rows of a crowded key in one cell of a pair join, on average
+SLOTS = 8192        # hashes of keys that are counted where the keys themselves are too many
 
 _N, _ROW, _COL = "_rows_of_key", "_grid_row", "_grid_column"
 
@@ -41,6 +42,20 @@ def heavy_of(counts: DataFrame, keys: list[str], n: str, least: int = LEAST, sha
     return counts.sparkSession.createDataFrame(rows, found.schema) if rows else None
 
 
+def split_heavy(df: DataFrame, keys: list[str], least: int = LEAST,
+                share: int = SHARE) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of ``df`` in two parts without a key in common: ordinary keys, each with at
+    most a ``share``-th of all rows, and the rest, None where there are none. NULL is a key.
+
+    Rows are counted by a hash of the key in ``SLOTS`` slots, so a task passes on that many
+    counts and no rows; all keys of a slot over the limit go to the second part."""
+    slot = F.pmod(F.xxhash64(*keys), F.lit(SLOTS))
+    rows = dict(df.groupBy(slot.alias("slot")).count().collect())
+    over = max(least, sum(rows.values()) // share)
+    heavy = [s for s, n in rows.items() if n > over]
+    return (df.where(~slot.isin(heavy)), df.where(slot.isin(heavy))) if heavy else (df, None)
+
+
 def join_unique(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner",
                 least: int = LEAST, share: int = SHARE, counts: DataFrame | None = None) -> DataFrame:
     """``big`` joined (inner or left) with the narrow table ``small``, in which ``keys`` are

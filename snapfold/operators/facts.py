@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from snapfold.functions.hot import split_heavy
+
 # Tie-break of rows that share the dedup key: these columns first, then every
 # other column, all ascending with NULLs first.
 DETAIL_ORDER = ("team_id", "player_id", "start_position", "pts", "min", "comment", "plus_minus")
@@ -53,10 +55,15 @@ def build_fact(details: DataFrame, games: DataFrame, fixed_minutes: bool = False
     date, season and home flag, DNP/DND/NWT flags and minutes.
 
     Dedup happens before the join (every row of a game has the same game
-    date, the reference's ordering key), which shrinks the join input."""
-    d = dedup(details, ["game_id", "team_id", "player_id"])
+    date, the reference's ordering key), which shrinks the join input. The lines are
+    shuffled and sorted once, by game, for both; those of crowded games are combined
+    before their shuffle instead (``dedup``), so no task holds such a game."""
+    line = ["game_id", "team_id", "player_id"]
     g = games.select("game_id", "game_date_est", "season", "home_team_id")
-    j = d.join(g, "game_id")
+    rest, crowded = split_heavy(details.dropna(subset=["game_id"]), ["game_id"])
+    j = dedup(rest.repartition("game_id"), line).join(g, "game_id")
+    if crowded is not None:
+        j = j.unionByName(dedup(crowded, line).join(g, "game_id"))
     mins = F.split_part(F.col("min"), F.lit(":"), F.lit(1)).try_cast("double")
     secs = F.split_part(F.col("min"), F.lit(":"), F.lit(2)).try_cast("double")
     minutes = mins + secs / 60 if fixed_minutes else (mins + secs) / 60

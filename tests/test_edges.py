@@ -427,3 +427,18 @@ def test_points_sets_equal_grouping_sets_and_windows(spark, fixed):
             .when(F.expr("t = 0"), place("season", "team_abbreviation"))
     want = want.select(*dims, "total_points", F.when(F.col("season").isNotNull(), rank).cast("bigint").alias("rank_in_group"))
     assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_fact_of_a_crowded_game(spark):
+    from snapfold.functions import hot
+    counters = ["fgm", "fga", "fg3m", "fg3a", "ftm", "fta", "oreb", "dreb", "reb", "ast", "stl", "blk", "TO", "pf"]
+    lines = [(g, t, p, f"P{p}", None, None, "12:30", *([1] * 14), p, 1)
+             for g, t, p in [(1, t, p) for t in (1, 2) for p in range(200)] * 2 + [(g, 1, 1) for g in range(2, 90)] + [(None, 1, 1)]]
+    details = spark.createDataFrame(lines, "game_id long, team_id long, player_id long, player_name string, start_position string, "
+                                    f"comment string, min string, {', '.join(f'`{c}` int' for c in counters)}, pts int, plus_minus int")
+    games = spark.createDataFrame([(g, D(2023, 1, 1), 2022, 1) for g in range(1, 80)],
+                                  "game_id long, game_date_est date, season int, home_team_id long")
+    _, crowded = hot.split_heavy(details.dropna(subset=["game_id"]), ["game_id"])
+    assert [r[0] for r in crowded.select("game_id").distinct().collect()] == [1]
+    out = facts.build_fact(details, games)
+    assert out.count() == 400 + 78 and out.groupBy("dim_player_id").count().where("dim_player_id = 7").first()[1] == 2

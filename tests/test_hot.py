@@ -89,3 +89,13 @@ def test_range_join_with_keys_and_without_a_nested_loop(spark):
         (k % 3, k) for k in range(60) if (3 <= k <= 40 and k % 3 == 0) or k == 10 or (k >= 50 and k % 3 == 2))
     text = plan_text(got)
     assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_split_heavy_parts_share_no_key(spark):
+    rows = [(k if k < 900 else 7,) for k in range(2000)] + [(None,)] * 900
+    df = spark.createDataFrame(rows, "k int")
+    light, heavy = hot.split_heavy(df, ["k"], least=10, share=100)
+    a, b = ({r[0] for r in part.distinct().collect()} for part in (light, heavy))
+    assert {7, None} <= b and not a & b and light.count() + heavy.count() == len(rows)
+    assert light.groupBy("k").count().agg(F.max("count")).first()[0] <= 29
+    assert hot.split_heavy(df.where("k < 7"), ["k"])[1] is None

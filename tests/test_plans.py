@@ -97,6 +97,15 @@ def test_hosts_filter_is_pushed(spark, sf_dir):
     assert "LessThan(ts," in text
 
 
+@pytest.mark.parametrize("name", ["fct_game_details", "fct_game_details_fixed", "fact_join_team"])
+def test_fact_lines_are_shuffled_once(spark, sf_dir, name):
+    tree = plan_text(QUERIES[name](spark, sf_dir)).split("\n\n")[0]
+    assert tree.count("Union") == 1 and tree.count("SortAggregate") == 2
+    below = tree.split("SortAggregate", 1)[1].split("Union")[0]      # from the lines' aggregate down to their scans
+    assert below.count("Exchange") == 1
+    assert "Exchange" not in below.split("SortAggregate", 1)[0]      # no combining, so no sort, before the shuffle
+
+
 @pytest.mark.parametrize("name", ["points_grouping_sets", "points_grouping_sets_fixed"])
 def test_points_rows_are_not_expanded(spark, sf_dir, name):
     tree = plan_text(QUERIES[name](spark, sf_dir)).split("\n\n")[0]
