@@ -442,3 +442,11 @@ def test_fact_of_a_crowded_game(spark):
     assert [r[0] for r in crowded.select("game_id").distinct().collect()] == [1]
     out = facts.build_fact(details, games)
     assert out.count() == 400 + 78 and out.groupBy("dim_player_id").count().where("dim_player_id = 7").first()[1] == 2
+
+
+def test_streaks_of_heavy_and_ordinary_keys(spark):
+    rows = [("hot", g, 20 if g % 100 else 1) for g in range(400)] + [("p", g, 20) for g in range(5)] + [(None, 1, 20)]
+    df = spark.createDataFrame(rows, "player_name string, game_id long, pts int")
+    got = {r[0]: r[1] for r in sequences.longest_streak(df, "player_name", ["game_id", "pts"], F.col("pts") > 10,
+                                                        bucket_size=7).collect()}
+    assert got == {"hot": 99, "p": 5, None: 1}

@@ -106,6 +106,11 @@ def test_fact_lines_are_shuffled_once(spark, sf_dir, name):
     assert "Exchange" not in below.split("SortAggregate", 1)[0]      # no combining, so no sort, before the shuffle
 
 
+def test_streak_is_one_window_per_ordinary_key(spark, sf_dir):
+    tree = plan_text(QUERIES["longest_streak_top"](spark, sf_dir)).split("\n\n")[0]
+    assert tree.count("Window") == 1 and tree.count("Exchange") == 1 and "Join" not in tree
+
+
 @pytest.mark.parametrize("name", ["points_grouping_sets", "points_grouping_sets_fixed"])
 def test_points_rows_are_not_expanded(spark, sf_dir, name):
     tree = plan_text(QUERIES[name](spark, sf_dir)).split("\n\n")[0]
