@@ -450,3 +450,10 @@ def test_streaks_of_heavy_and_ordinary_keys(spark):
     got = {r[0]: r[1] for r in sequences.longest_streak(df, "player_name", ["game_id", "pts"], F.col("pts") > 10,
                                                         bucket_size=7).collect()}
     assert got == {"hot": 99, "p": 5, None: 1}
+
+
+def test_moving_sum_across_blocks(spark, monkeypatch):
+    monkeypatch.setattr(sequences, "ROWS", 4)
+    df = spark.createDataFrame([("T1", g, int(g % 5 != 0)) for g in range(40)], "team string, game_id long, won int")
+    for n, most in ((1, 1), (3, 3), (4, 4), (6, 5), (90, 32)):
+        assert sequences.rolling_sum_top(df, "team", ["game_id"], F.col("won"), n=n, out="m").first()["m"] == most

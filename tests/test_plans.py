@@ -111,6 +111,12 @@ def test_streak_is_one_window_per_ordinary_key(spark, sf_dir):
     assert tree.count("Window") == 1 and tree.count("Exchange") == 1 and "Join" not in tree
 
 
+def test_moving_sum_keeps_no_table_of_sums(spark, sf_dir):
+    tree = plan_text(QUERIES["rolling_wins"](spark, sf_dir)).split("\n\n")[0]
+    above = tree.split("Join")[0]                                    # what happens to the numbered rows
+    assert above.count("Aggregate") == 2 and above.count("Window") == 1   # the best of each team only
+
+
 @pytest.mark.parametrize("name", ["points_grouping_sets", "points_grouping_sets_fixed"])
 def test_points_rows_are_not_expanded(spark, sf_dir, name):
     tree = plan_text(QUERIES[name](spark, sf_dir)).split("\n\n")[0]
