@@ -1,9 +1,10 @@
 """Multi-dimensional aggregation: GROUPING SETS / ROLLUP / CUBE dashboards and
 the points report with ``GROUPING()`` and per-set ranks.
 
-One Expand + one partial/final HashAggregate per report: the low-cardinality
+One Expand + one partial/final HashAggregate per dashboard: the low-cardinality
 dimensions are combined map-side before the shuffle, so hot keys never reach a
-single task as raw rows. ``lattice`` serves several reports at once: the raw rows
+single task as raw rows. The points report has a row per player, team and season, which
+is too many to expand: see ``points_sets``. ``lattice`` serves several reports at once: the raw rows
 are grouped once, to the finest cuboid, and every further set comes from a smaller
 cuboid that is there already.
 """
